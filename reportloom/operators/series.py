@@ -316,6 +316,6 @@ def counts(series: Series) -> DataFrame:
         blank("target").alias("rows_without_target"),
         blank("data_collection_period").alias("rows_without_collection_period"),
     )
-    found = disagreements(r).agg(F.count_if("documents > 1").alias("restatements"), F.count_if("documents = 1").alias("intra_document_conflicts"))
+    found = disagreements(r).agg(F.count_if(F.col("documents") > 1).alias("restatements"), F.count_if(F.col("documents") == 1).alias("intra_document_conflicts"))
     # three tables of one row each
     return row.join(series.problems.agg(F.count("*").alias("unparsed_blocks"))).join(found)
