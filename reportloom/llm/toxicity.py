@@ -19,6 +19,8 @@ SAMPLE = 8_000
 #: Features of one category, at most, and the labelled documents that must hold one.
 FEATURES, LEAST = 200, 5
 FOLDS = 5
+#: Ridge penalty of the linear models.
+PENALTY = 0.1
 
 
 @dataclass(frozen=True)
@@ -59,8 +61,8 @@ def features_of(text: str) -> set[str]:
 def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Chain:
     """Fit the chain on at most ``sample`` labelled documents.
 
-    Features are chosen by Spark over the sample: for each category those whose log odds between
-    its two classes stand out most.  Each model's inputs from the chain are out-of-fold predictions:
+    Features are chosen by Spark over the sample: for each category those whose presence
+    tells most of it, by the likelihood ratio.  Each model's inputs from the chain are out-of-fold predictions:
     a document's probability comes from a model that did not see it, so later models learn how far
     earlier ones can be trusted.  Only the chosen features' 0/1 rows of the sample reach the driver.
     Rows with a null id or label are left out; of labels that repeat an id one is used.
@@ -86,9 +88,11 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id: str =
     names: dict[str, int] = {}
     for y in ys:
         yes, no = totals[y] or 0.0, float(totals["n"]) - (totals[y] or 0.0)
-        a, b = F.col(y) + 0.5, F.col("n") - F.col(y) + 0.5
-        odds = F.log(a / (yes + 1 - F.col(y) + 0.5)) - F.log(b / (no + 1 - (F.col("n") - F.col(y)) + 0.5))
-        best = counted.select("f", F.abs(odds / F.sqrt(1 / a + 1 / b)).alias("z")).orderBy(F.desc("z"), "f").limit(FEATURES).collect()
+        # the likelihood ratio of a feature's presence and the category: what telling it apart is worth
+        n, k = F.col("n").cast("double"), F.col(y)
+        cells = [(k, n * yes), (n - k, n * no), (yes - k, (yes + no - n) * yes), (no - (n - k), (yes + no - n) * no)]
+        worth = sum((F.when(o > 0, o * F.log(o * (yes + no) / e)).otherwise(0.0) for o, e in cells), F.lit(0.0))
+        best = counted.select("f", F.round(worth, 6).alias("z")).orderBy(F.desc("z"), "f").limit(FEATURES).collect()
         for r in best:
             names.setdefault(r["f"], len(names))
     sparse = taken.select("id", "t", *ys).mapInArrow(_present(names, ys), "id long, at array<int>, " + ", ".join(f"{y} int" for y in ys)).toPandas()
@@ -103,9 +107,9 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id: str =
         inputs = np.hstack([x, _logit(earlier)])
         held_out = np.empty(len(x))
         for k in range(FOLDS):
-            w = fit_logistic(inputs[folds != k], target[folds != k])
+            w = fit_logistic(inputs[folds != k], target[folds != k], PENALTY)
             held_out[folds == k] = sigmoid(inputs[folds == k] @ w[:-1] + w[-1])
-        weights.append(fit_logistic(inputs, target))
+        weights.append(fit_logistic(inputs, target, PENALTY))
         earlier = np.hstack([earlier, held_out[:, None]])
     return Chain(tuple(categories), names, tuple(weights))
 
