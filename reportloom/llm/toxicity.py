@@ -44,17 +44,27 @@ def _logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
+#: What words shed at both ends, and the lengths of the beginnings that are features.
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+HEADS = (3, 4, 5, 6, 7, 8)
+
+
 def features_of(text: str) -> set[str]:
-    """Distinct words in lower case, their first 3 to 6 and their last 2 and 3 characters."""
+    """Distinct words in lower case without punctuation at their ends, and their first 3 to 8 characters.
+
+    The last 2 and 3 characters of words as they stand, punctuation included, are features too.
+    """
     out: set[str] = set()
     for w in set(text.lower().split()):
-        out.add(w)
-        for k in (3, 4, 5, 6):
-            if len(w) > k:
-                out.add(w[:k] + "-")
         for k in (2, 3):
             if len(w) > k:
                 out.add("-" + w[-k:])
+        w = w.strip(PUNCTUATION)
+        out.add(w)
+        for k in HEADS:
+            if len(w) > k:
+                out.add(w[:k] + "-")
+    out.discard("")
     return out
 
 
@@ -118,20 +128,24 @@ def _hits(text: str, names: dict[str, int]) -> list[int]:
     """Which features a text holds, without building those that no model uses."""
     out = set()
     get = names.get
+    bare = set()
     for w in set(text.lower().split()):
         n = len(w)
-        out.add(get(w))
         if n > 2:
             out.add(get("-" + w[-2:]))
             if n > 3:
-                out.add(get(w[:3] + "-"))
                 out.add(get("-" + w[-3:]))
-                if n > 4:
-                    out.add(get(w[:4] + "-"))
-                    if n > 5:
-                        out.add(get(w[:5] + "-"))
-                        if n > 6:
-                            out.add(get(w[:6] + "-"))
+        bare.add(w.strip(PUNCTUATION))
+    heads = set()
+    for w in bare:
+        out.add(get(w))
+        if len(w) > 3:
+            heads.add(w[:9])
+    for w in heads:
+        for k in HEADS:
+            if len(w) <= k:
+                break
+            out.add(get(w[:k] + "-"))
     out.discard(None)
     return sorted(out)
 
