@@ -91,7 +91,7 @@ def measures_of(headed: DataFrame) -> DataFrame:
     )
 
 
-def runs_of(headed: DataFrame, measures: DataFrame) -> DataFrame:
+def runs_of(headed: DataFrame) -> DataFrame:
     """``(doc_id, block, run, submeasure, actual, target)``: value runs of each block, from run 1.
 
     A line that begins with actual or target opens a run of values: those on the line, then bare
@@ -100,8 +100,8 @@ def runs_of(headed: DataFrame, measures: DataFrame) -> DataFrame:
     """
     i, s = F.col("i"), F.col("s")
     block = Window.partitionBy("doc_id", "block")
-    counted = measures.select("doc_id", "block", F.size("years").alias("n")).where("n > 0")
-    rows = headed.where(i >= F.col("run_from")).select("doc_id", "block", "i", "s").join(counted, ["doc_id", "block"])
+    years = F.when(F.col("inline_years") > 0, F.col("inline_years")).otherwise(F.col("run_from") - F.col("year_at") - 1)
+    rows = headed.where(i >= F.col("run_from")).select("doc_id", "block", "i", "s", years.alias("n")).where("n > 0")
     rows = rows.withColumn("stop_at", _first(block, s.rlike(text.STOP) | s.startswith("KPM #"))).where("i < stop_at")
     word = F.get(text.words(F.regexp_replace(F.lower(s), ":+$", "")), F.lit(0))
     rows = rows.withColumns({"kind": F.when(word.isin("actual", "target"), word), "is_value": text.is_value(s)})
@@ -249,7 +249,7 @@ def extract(docs: DataFrame, geometry: bool = True) -> Series:
     lines = lines_of(docs)
     headed = headers_of(blocks_of(lines))
     measures = measures_of(headed)
-    runs = runs_of(headed, measures)
+    runs = runs_of(headed)
     layout = layout_runs(docs.where(F.col("layout").isNotNull())) if geometry and "layout" in docs.columns else None
     checked = gated(runs, measures, layout)
     cells = F.arrays_zip(F.col("years").alias("year"), F.col("actual").alias("actual"), F.col("target").alias("target"))

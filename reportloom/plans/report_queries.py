@@ -42,14 +42,14 @@ def year_run(spark, sf):
  string_agg(CASE WHEN NOT blank THEN CASE WHEN c = 0 THEN 'No Data' ELSE CAST(c AS VARCHAR) END END, ',' ORDER BY yr) AS actual, string_agg(CAST(2 * c + 10 AS VARCHAR), ',' ORDER BY yr) AS target FROM cells GROUP BY n, ry, k, s""")
 def value_runs(spark, sf):
     headed = _headed(spark, sf)
-    return series.runs_of(headed, series.measures_of(headed)).select("doc_id", "block", "run", "submeasure", F.array_join("actual", ",").alias("actual"), F.array_join("target", ",").alias("target"))
+    return series.runs_of(headed).select("doc_id", "block", "run", "submeasure", F.array_join("actual", ",").alias("actual"), F.array_join("target", ",").alias("target"))
 
 
 @query(f"{_CELLS} SELECT DISTINCT {_DOC} AS doc_id, CAST(k AS VARCHAR) AS kpm_number, CAST(s - 1 AS INT) AS ordinal, CASE WHEN k <> 5 THEN seg END AS submeasure FROM cells")
 def run_ordinal(spark, sf):
     headed = _headed(spark, sf)
     measures = series.measures_of(headed)
-    return series.gated(series.runs_of(headed, measures), measures, None).select("doc_id", "kpm_number", "ordinal", "submeasure")
+    return series.gated(series.runs_of(headed), measures, None).select("doc_id", "kpm_number", "ordinal", "submeasure")
 
 
 @query(f"""{_CELLS} SELECT {_DOC} AS doc_id, CAST(k AS VARCHAR) AS kpm, CAST(s - 1 AS INT) AS ordinal, any_value(CASE WHEN k <> 5 THEN seg END) AS label,
@@ -65,7 +65,7 @@ def recover_runs(spark, sf):
     docs = source.reports(spark, sf)
     headed = series.headers_of(series.blocks_of(series.lines_of(docs)))
     measures = series.measures_of(headed)
-    checked = series.gated(series.runs_of(headed, measures), measures, series.layout_runs(docs.where("layout is not null")))
+    checked = series.gated(series.runs_of(headed), measures, series.layout_runs(docs.where("layout is not null")))
     return checked.select("doc_id", "kpm_number", "ordinal", "whole", "accepted")
 
 
@@ -82,7 +82,7 @@ def target_gate(spark, sf):
     measures = series.measures_of(headed)
     # a quarter of the targets lose their last value, and no layout says where it belongs
     k = F.regexp_extract("doc_id", "rpt-([0-9]+)-", 1).cast("int") + F.col("block") + F.col("run")
-    runs = series.runs_of(headed, measures).withColumn("target", F.when(k % 4 == 0, F.slice("target", 1, 4)).otherwise(F.col("target")))
+    runs = series.runs_of(headed).withColumn("target", F.when(k % 4 == 0, F.slice("target", 1, 4)).otherwise(F.col("target")))
     return series.gated(runs, measures, None).select("doc_id", "kpm_number", "ordinal", F.array_join("target", ",").alias("target"))
 
 

@@ -76,8 +76,11 @@ FROM blocks GROUP BY n, ry
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, n, agency, reporting_year, measure_status, source_url, text, layout)``."""
+    """``(doc_id, n, agency, reporting_year, measure_status, source_url, text, layout)``.
+
+    There are three for each nation; they are kept in memory, as an extraction reads them several times.
+    """
     query = _RENDER
     for name in ("nation", "orders", "customer"):
         query = query.replace(f"FROM {name} ", f"FROM {{{name}}} ").replace(f"FROM {name})", f"FROM {{{name}}})").replace(f"JOIN {name} ", f"JOIN {{{name}}} ")
-    return spark.sql(query, nation=table(spark, sf_dir, "nation"), orders=table(spark, sf_dir, "orders"), customer=table(spark, sf_dir, "customer"))
+    return spark.sql(query, nation=table(spark, sf_dir, "nation"), orders=table(spark, sf_dir, "orders"), customer=table(spark, sf_dir, "customer")).persist()
