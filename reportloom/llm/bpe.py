@@ -209,15 +209,18 @@ def _digest(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=16).digest()
 
 
-def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids", decoded: str | None = None, keep_text: bool = True) -> DataFrame:
     """Encode the whole text of every row: all columns of ``docs`` and the binary column ``ids``.
 
+    With ``decoded`` named, that column holds what :func:`decode` makes of the ids, in the same pass.
+    Without ``keep_text`` the text column is left out.
+
     ``ids`` holds little-endian unsigned 32-bit integers (see :func:`ids_of` for arrays).
 
     * Null and empty texts get no ids (an empty binary).
     * Repeated rows and repeated ids of rows are kept, each with its own ids; texts are told apart
       by a 128-bit digest, not by a column.
-    * A column that clashes with ``ids`` (in any case) is replaced; other columns pass through.
+    * A column that clashes with an added one (in any case) is replaced; other columns pass through.
     * An empty table gives an empty table.
 
     Plan: one pass lists the chunk digests of each text (no text is shuffled); a grouped count
@@ -226,8 +229,10 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
     encode their chunks, whose ids go to the texts that share them; the last pass encodes what is
     left and repairs the joins.  No step holds more than one text and its shared chunks at a time.
     """
-    rest = [c for c in docs.columns if c.lower() not in {text.lower(), ids.lower()}]
-    order = [c for c in docs.columns if c.lower() != ids.lower()]
+    added = [ids] + ([decoded] if decoded else [])
+    lost = {x.lower() for x in added} | (set() if keep_text else {text.lower()})
+    order = [c for c in docs.columns if c.lower() not in lost]
+    rest = [c for c in order if c.lower() != text.lower()]
     key, packed, owned, shared = (free_name(docs, x) for x in ("key__", "packed__", "owned__", "shared__"))
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,18 +268,18 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
 
     def owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, unpack = codec(vocabulary), zstandard.ZstdDecompressor()
+        last = None
         for batch in batches:
             hs, out = [], []
-            for data, mine in zip(batch.column(packed).to_pylist(), batch.column(owned).to_pylist(), strict=True):
-                if mine:
-                    wanted = set(mine)
+            for k, data, mine in zip(*(batch.column(x).to_pylist() for x in (key, packed, owned)), strict=True):
+                if mine and k != last:  # the join leaves copies of a text side by side: one of them is enough
+                    last, wanted = k, set(mine)
                     flat = [x for part in _pieces(c, unpack.decompress(data).decode("utf-8", "surrogatepass")) if not isinstance(part, int) for x in part]
                     for i in wanted:
                         hs.append(_digest(flat[i]))
                         out.append(c.plain(flat[i].decode("utf-8", "surrogatepass")).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(hs, pa.binary()), pa.array(out, pa.binary())], names=["h", "ids"])
 
-    # one of the rows with the owner's text is enough: the first that its task meets
     own = places.where("own").groupBy("k").agg(F.collect_list("i").alias(owned)).withColumnRenamed("k", key)
     encoded = base.join(own, key, "left").mapInArrow(owners, "h binary, ids binary").groupBy("h").agg(F.first("ids").alias("ids"))
     given = places.select("k", "i", "h").join(encoded, "h").groupBy("k").agg(F.collect_list(F.struct("i", "ids")).alias(shared)).withColumnRenamed("k", key)
@@ -282,10 +287,11 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
     def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, unpack = codec(vocabulary), zstandard.ZstdDecompressor()
         for batch in batches:
-            texts, found, size, start = [], [], 0, 0
-            for at, (data, got) in enumerate(zip(batch.column(packed).to_pylist(), batch.column(shared).to_pylist(), strict=True)):
-                t = unpack.decompress(data).decode("utf-8", "surrogatepass")
-                had = {x["i"]: np.frombuffer(x["ids"], "<u4") for x in got or ()}
+            out: dict[str, list] = {"texts": [], "found": [], "back": []}
+            size = start = 0
+            for at, (data, got) in enumerate(zip(batch.column(packed), batch.column(shared), strict=True)):
+                t = unpack.decompress(data.as_py()).decode("utf-8", "surrogatepass")
+                had = {x["i"]: np.frombuffer(x["ids"], "<u4") for x in got.as_py() or ()}
                 parts, i = [], 0
                 for part in _pieces(c, t):
                     if isinstance(part, int):
@@ -294,19 +300,28 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
                     chunks = [x.decode("utf-8", "surrogatepass") for x in part]
                     parts.append(c.joined(chunks, [had[i + j] if i + j in had else c.plain(x) for j, x in enumerate(chunks)]))
                     i += len(chunks)
-                texts.append(t)
-                found.append(_concat(parts).astype("<u4").tobytes())
-                size += len(t) + len(found[-1])
+                whole = _concat(parts)
+                out["found"].append(whole.astype("<u4").tobytes())
+                if keep_text:
+                    out["texts"].append(t)
+                if decoded:
+                    out["back"].append(c.text(whole))
+                size += 2 * len(t) + len(out["found"][-1])
                 if size > BATCH_BYTES:
-                    yield _out(batch.slice(start, at + 1 - start), texts, found)
-                    texts, found, size, start = [], [], 0, at + 1
-            yield _out(batch.slice(start), texts, found)
+                    yield _out(batch.slice(start, at + 1 - start), **out)
+                    out = {k: [] for k in out}
+                    size, start = 0, at + 1
+            yield _out(batch.slice(start), **out)
 
-    def _out(batch: pa.RecordBatch, texts: list[str], found: list[bytes]) -> pa.RecordBatch:
+    def _out(batch: pa.RecordBatch, texts: list[str], found: list[bytes], back: list[str]) -> pa.RecordBatch:
         columns = {c: batch.column(c) for c in rest} | {text: pa.array(texts, pa.string()), ids: pa.array(found, pa.binary())}
-        return pa.RecordBatch.from_arrays([columns[c] for c in [*order, ids]], names=[*order, ids])
+        if decoded:
+            columns[decoded] = pa.array(back, pa.string())
+        return pa.RecordBatch.from_arrays([columns[c] for c in [*order, *added]], names=[*order, *added])
 
     schema = T.StructType([T.StructField(c, T.StringType() if c.lower() == text.lower() else docs.schema[c].dataType) for c in order] + [T.StructField(ids, T.BinaryType())])
+    if decoded:
+        schema = schema.add(decoded, T.StringType())
     return base.join(given, key, "left").mapInArrow(finished, schema)
 
 

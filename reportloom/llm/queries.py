@@ -26,7 +26,7 @@ MIX_TEMPERATURE, MIX_SEED = 0.5, 17
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = bpe.decode(bpe.encode(docs, VOCABULARY).drop("text"), VOCABULARY)
+    both = bpe.encode(docs, VOCABULARY, decoded="decoded", keep_text=False)
     return both.select(
         "doc_id",
         F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),

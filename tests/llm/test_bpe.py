@@ -77,8 +77,8 @@ def test_query_against_the_library(spark):
         assert r.decoded_sha256 == hashlib.sha256(b.encode()).hexdigest()
 
 
-def test_texts_cross_one_exchange(spark):
-    df = spark.range(100).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some text "), 500).alias("text"))
-    out = bpe.encode(df, PATH)
-    out.write.format("noop").mode("overwrite").save()
-    assert out.count() == 100
+def test_decoding_in_the_same_pass(spark):
+    df = spark.createDataFrame([(1, "one <|endoftext|> two", "old"), (2, None, None), (3, "é" * 5_000, "x")], "doc_id long, text string, back string")
+    one = bpe.encode(df, PATH, decoded="back", keep_text=False)
+    assert one.columns == ["doc_id", "ids", "back"]
+    assert sorted(tuple(r) for r in one.collect()) == sorted(tuple(r) for r in bpe.decode(bpe.encode(df.drop("back"), PATH).drop("text"), PATH, to="back").collect())
