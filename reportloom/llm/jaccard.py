@@ -79,12 +79,12 @@ def _need(n, num: int, den: int):
 def _extra(n: int, num: int, den: int) -> int:
     """By how many shingles the prefix exceeds what a linked text may lack."""
     lack = n - _need(n, num, den)
-    return min(n - lack, (lack + 1) // 2 + 2)
+    return min(n - lack, (lack + 1) // 4 + 2)
 
 
 def _extra_column(n: Column, num: int, den: int) -> Column:
     lack = n - F.ceil(n * num / den)
-    return F.least(n - lack, F.floor((lack + 1) / 2) + 2)
+    return F.least(n - lack, F.floor((lack + 1) / 4) + 2)
 
 
 def near_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
