@@ -23,8 +23,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that a source repeats over its documents go; ``n_chars`` follows the text."""
-    cleaned = line_dedup.drop_lines(docs, ratio=LINE_RATIO, least=LINE_PAGES)
+    """Lines that a source repeats over its documents, or those of one language, go; ``n_chars`` follows the text."""
+    cleaned = line_dedup.drop_lines(docs, ratio=LINE_RATIO, least=LINE_PAGES, section="lang")
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 

@@ -35,11 +35,15 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio
     return met.where(F.col("pages") > F.col("total") * F.lit(float(ratio))).select("host", "line", "pages", "total")
 
 
-def drop_lines(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.05, least: int = 5, lines: str = "n_lines", dropped: str = "n_dropped") -> DataFrame:
+def drop_lines(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.05, least: int = 5, lines: str = "n_lines", dropped: str = "n_dropped", section: str | None = None) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and counts of lines and dropped lines.
 
     The lines that stay keep their order and bytes.  Every row stays, if with an empty text.
 
+    With ``section`` named (a language, say), lines that are boilerplate among the host's pages of
+    one section go from those pages as well: a French menu is held against the French pages, not
+    against those of all languages.
+
     * Null texts stay null and have no lines (0); an empty text has one line, which stays.
     * Columns that clash with the counts are replaced; repeated rows are all cleaned; an empty
       table gives an empty table.
@@ -51,16 +55,25 @@ def drop_lines(docs: DataFrame, host: str = "source", text: str = "text", ratio:
     :data:`SALTS` salted copies of each host's list, so a host with a third of all pages is spread.
     """
     kept = [c for c in docs.columns if c.lower() not in {lines.lower(), dropped.lower()}]
-    found = stored(boilerplate(docs, host, text, ratio, least).select("host", "line"), "boilerplate")
-    of, known, s = free_name(docs, "of__"), free_name(docs, "known__"), free_name(docs, "salt__")
-    lists = found.groupBy(F.col("host").alias(of)).agg(F.collect_list("line").alias(known))
-    rows = docs.select(*[F.col(quoted(c)) for c in kept])
-    same = F.col(quoted(host)).cast("string").eqNullSafe(F.col(of))
-    if found.count() <= BROADCAST_LINES:
-        met = rows.join(F.broadcast(lists), same, "left")
-    else:
-        spread = lists.withColumn(s + "_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        met = rows.withColumn(s, F.pmod(F.xxhash64(quoted(text)), F.lit(SALTS)).cast("int")).join(spread, same & (F.col(s) == F.col(s + "_")), "left")
+    known, s, at = free_name(docs, "known__"), free_name(docs, "salt__"), free_name(docs, "section__")
+    met = docs.select(*[F.col(quoted(c)) for c in kept])
+    parts = {known: F.col(quoted(host)).cast("string")}
+    if section is not None:
+        parts[known + at] = F.to_json(F.struct(F.col(quoted(host)).cast("string").alias("h"), F.col(quoted(section)).cast("string").alias("s")))
+    for name, part in parts.items():
+        keyed = docs.select(part.alias("host"), F.col(quoted(text)).alias("text"))
+        found = stored(boilerplate(keyed, "host", "text", ratio, least).select("host", "line"), "boilerplate")
+        of = name + "of"
+        lists = found.groupBy(F.col("host").alias(of)).agg(F.collect_list("line").alias(name))
+        same = part.eqNullSafe(F.col(of))
+        if found.count() <= BROADCAST_LINES:
+            met = met.join(F.broadcast(lists), same, "left")
+        else:
+            spread = lists.withColumn(s + "_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            met = met.withColumn(s, F.pmod(F.xxhash64(quoted(text)), F.lit(SALTS)).cast("int")).join(spread, same & (F.col(s) == F.col(s + "_")), "left").drop(s, s + "_")
+        met = met.drop(of)
+    if section is not None:
+        met = met.withColumn(known, F.coalesce(F.array_union(known, known + at), F.col(known), F.col(known + at)))
     all_lines = F.split(F.col(quoted(text)).cast("string"), "\n")
     is_known = lambda x: F.array_contains(F.col(known), F.xxhash64(line_key(x)))
     left = F.when(F.col(known).isNull(), all_lines).otherwise(F.filter(all_lines, lambda x: ~is_known(x) | (line_key(x) == "")))

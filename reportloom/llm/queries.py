@@ -71,6 +71,12 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_lines(docs, ratio=LINE_RATIO, least=LINE_PAGES)
 
 
+def op8_line_dedup_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op8_line_dedup; a host's pages of one language are a section of it."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    return line_dedup.drop_lines(docs, ratio=LINE_RATIO, least=LINE_PAGES, section="lang")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact.copies(docs, digest=True)
@@ -82,7 +88,7 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_toxicity, op3_url_filter, op4_quality, op5_mixing, op6_ngram_join, op7_token_counts, op8_line_dedup, op9_exact_dedup, op10_embedding_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_toxicity, op3_url_filter, op4_quality, op5_mixing, op6_ngram_join, op7_token_counts, op8_line_dedup, op8_line_dedup_by_language, op9_exact_dedup, op10_embedding_dedup)}
 
 
 _URLS = r"""
@@ -121,6 +127,23 @@ SELECT doc_id, any_value(k.source) AS source,
 FROM k LEFT JOIN b ON k.source = b.source AND k.body = b.body GROUP BY doc_id
 """
 
+_LANGUAGE_LINES = f"""
+WITH l AS (SELECT doc_id, source, lang, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS body FROM l),
+b AS (SELECT source, body FROM (SELECT source, body, count(DISTINCT text) AS pages FROM k WHERE body <> '' GROUP BY source, body) c
+      JOIN (SELECT source, count(DISTINCT text) AS total FROM documents GROUP BY source) t USING (source)
+      WHERE pages >= {LINE_PAGES} AND pages > CAST(total AS DOUBLE) * CAST({LINE_RATIO} AS DOUBLE)),
+s AS (SELECT source, lang, body FROM (SELECT source, lang, body, count(DISTINCT text) AS pages FROM k WHERE body <> '' GROUP BY source, lang, body) c
+      JOIN (SELECT source, lang, count(DISTINCT text) AS total FROM documents GROUP BY source, lang) t USING (source, lang)
+      WHERE pages >= {LINE_PAGES} AND pages > CAST(total AS DOUBLE) * CAST({LINE_RATIO} AS DOUBLE)),
+m AS (SELECT k.*, b.body IS NOT NULL OR s.body IS NOT NULL AS known FROM k LEFT JOIN b ON k.source = b.source AND k.body = b.body
+      LEFT JOIN s ON k.source = s.source AND k.lang = s.lang AND k.body = s.body)
+SELECT doc_id, any_value(source) AS source, any_value(lang) AS lang,
+       coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT known), '') AS text,
+       count(*) AS n_lines, count_if(known) AS n_dropped
+FROM m GROUP BY doc_id
+"""
+
 _COPIES = """
 WITH g AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
@@ -129,4 +152,4 @@ FROM g WINDOW w AS (PARTITION BY t)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": _URLS, "op5_mixing": _MIX, "op8_line_dedup": _LINES, "op9_exact_dedup": _COPIES}
+    return {"op3_url_filter": _URLS, "op5_mixing": _MIX, "op8_line_dedup": _LINES, "op8_line_dedup_by_language": _LANGUAGE_LINES, "op9_exact_dedup": _COPIES}

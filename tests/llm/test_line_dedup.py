@@ -35,3 +35,16 @@ def test_lines_of_a_site(spark, monkeypatch, limit):
     assert out.columns == ["doc_id", "source", "text", "n_lines", "n_dropped"]
     assert sorted((("None" if r.doc_id is None else str(r.doc_id), r.source, r.text, r.n_lines, r.n_dropped) for r in out.collect()), key=str) == brute(rows, 0.1, 5)
     assert line_dedup.drop_lines(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("limit", [line_dedup.BROADCAST_LINES, 0])
+def test_lines_of_a_section(spark, monkeypatch, limit):
+    monkeypatch.setattr(line_dedup, "BROADCAST_LINES", limit)
+    rows = [(i, "h", "en", f"own {i}\nmenu") for i in range(200)] + [(200 + i, "h", "fr", f"à moi {i}\nplan du site") for i in range(8)]
+    rows += [(300, "h", "en", "plan du site"), (301, "h", None, "menu"), (302, None, "fr", "plan du site"), (303, "h", "fr", None)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")
+    plain = {r.doc_id: r.text for r in line_dedup.drop_lines(df, ratio=0.05, least=5).collect()}
+    out = {r.doc_id: r for r in line_dedup.drop_lines(df, ratio=0.05, least=5, section="lang").collect()}
+    assert plain[200] == "à moi 0\nplan du site" and out[200].text == "à moi 0" and out[200].n_dropped == 1
+    assert all(out[i].text == f"own {i}" for i in range(200)) and all(out[200 + i].text == f"à moi {i}" for i in range(8))
+    assert [out[i].text for i in (300, 301, 302, 303)] == ["plan du site", "", "plan du site", None] and len(out) == len(rows)
