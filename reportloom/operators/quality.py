@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import difflib
+import re
 from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import matching, text
 
 # Domains and thresholds of the rules.
 YEAR_SOURCES = ["document", "filename", "filename-scan", "socrata"]
@@ -20,6 +20,7 @@ COVERAGE_FAIL, COVERAGE_WARN = 0.70, 0.90
 REVERIFY_DAYS = 90
 ID_PATTERN = r"^[a-z0-9][a-z0-9-]+$"
 NAMED = 10
+FIGURE = re.compile(r"\$?-?\d[\d,]*(?:\.\d+)?%?")
 
 Rule = Callable[[DataFrame], DataFrame]
 
@@ -120,12 +121,23 @@ def agreement(pairs: DataFrame) -> DataFrame:
     """``(doc_id, agreement, agree_ok)``: how far two readings of one page give the same words."""
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([difflib.SequenceMatcher(None, (x or "").split(), (y or "").split(), autojunk=False).ratio() for x, y in zip(a, b, strict=True)])
+        return pd.Series([matching.ratio((x or "").split(), (y or "").split()) for x, y in zip(a, b, strict=True)])
 
     r = ratio(F.col("primary"), F.col("cross_check"))
     return pairs.select("doc_id", r.alias("agreement")).withColumn("agree_ok", F.col("agreement") >= OCR_AGREEMENT)
 
 
+def figure_agreement(pairs: DataFrame) -> DataFrame:
+    """``(doc_id, figures, figure_agreement)``: the same for figures alone, 0 if a reading has none; no gate."""
+    @F.pandas_udf("struct<figures: long, ratio: double>")
+    def score(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        found = [(FIGURE.findall((x or "").lower()), FIGURE.findall((y or "").lower())) for x, y in zip(a, b, strict=True)]
+        return pd.DataFrame([(len(x), matching.ratio(x, y) if x and y else 0.0) for x, y in found], columns=["figures", "ratio"])
+
+    scored = pairs.select("doc_id", score(F.col("primary"), F.col("cross_check")).alias("s"))
+    return scored.select("doc_id", "s.figures", F.col("s.ratio").alias("figure_agreement"))
+
+
 def vocabulary(docs: DataFrame, most: int = 400) -> DataFrame:
     """Words of a systematic sample of the documents, about ``most`` of them in the order of ids."""
     sample = systematic(docs, max(1, docs.count() // most))

@@ -426,10 +426,16 @@ def ocr_counts(spark, sf):
 
 @query()
 def ocr_agreement(spark, sf):
-    docs = table(spark, sf, "documents").where("n_chars < 2000")
+    docs = table(spark, sf, "documents")
     return quality.agreement(docs.select("doc_id", F.col("text").alias("primary"), F.regexp_replace("text", "the", "tho").alias("cross_check")))
 
 
+@query()
+def figure_agreement(spark, sf):
+    docs = table(spark, sf, "documents")
+    return quality.figure_agreement(docs.select("doc_id", F.col("text").alias("primary"), F.replace("text", F.lit("0"), F.lit("8")).alias("cross_check")))
+
+
 @query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM documents), n AS (SELECT doc_id, count(*) FILTER (WHERE trim(regexp_replace(x, '[\\s\\x{00A0}]+', ' ', 'g')) <> '') AS c FROM l GROUP BY doc_id)
 SELECT doc_id, c AS lines, CASE WHEN doc_id % 3 = 0 THEN 0 ELSE c END AS found, CASE WHEN c > 0 AND doc_id % 3 = 0 THEN 'fail' ELSE 'ok' END AS verdict FROM n""")
 def provenance_coverage(spark, sf):
