@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 #: Relations that a document states.
 RELATIONS = ["implements", "implemented_by", "references_external", "related", "supersedes"]
+#: After so many rounds of a walk the nodes seen are one table again.
+COMPACT = 16
 
 
 def nodes(docs: DataFrame) -> DataFrame:
@@ -51,12 +53,26 @@ def neighbours(edges: DataFrame, id: str) -> DataFrame:
 
 
 def authority_chain(edges: DataFrame, id: str) -> DataFrame:
-    """``(id, depth)``: what a node reaches along edges, at its least depth; cycles end there."""
+    """``(id, depth)``: what a node reaches along edges, at its least depth; cycles end there.
+
+    A walk by breadth: each round meets the edges of the nodes that the last one found, without
+    those seen before, and ends with a round that finds none.
+    """
     spark = edges.sparkSession
-    return spark.sql(
-        """WITH RECURSIVE r(id, depth) AS (
-             SELECT CAST(:start AS STRING), 0 UNION ALL SELECT e.`to`, depth + 1 FROM r JOIN {e} e ON e.`from` = r.id WHERE depth < 50)
-           SELECT id, min(depth) AS depth FROM r WHERE id <> :start GROUP BY id""",
-        args={"start": id},
-        e=edges,
-    )
+    links = _cut(edges.select("from", "to").where("`from` is not null and `to` is not null").distinct())
+    front = seen = spark.createDataFrame([(id, 0)], "id string, depth int")
+    depth = 0
+    while True:
+        depth += 1
+        met = front.join(links, F.col("id") == F.col("from")).select(F.col("to").cast("string").alias("id")).distinct()
+        front = _cut(met.join(seen, "id", "left_anti").withColumn("depth", F.lit(depth)))
+        if front.isEmpty():
+            return seen.where(F.col("id") != id)
+        seen = seen.union(front)
+        if depth % COMPACT == 0:
+            seen = _cut(seen.coalesce(16))
+
+
+def _cut(df: DataFrame) -> DataFrame:
+    """``df`` with its lineage cut: in the shared checkpoint folder where there is one."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()

@@ -73,6 +73,13 @@ def test_reach_ends_in_cycles(spark):
     assert sorted(tuple(r) for r in graph.authority_chain(edges.limit(2).union(edges.where("`to` = 'd'")), "a").collect()) == [("b", 1), ("c", 2), ("d", 2)]
 
 
+def test_reach_has_no_depth_cap(spark):
+    chain = [(f"n{i}", "t", f"n{i + 1}") for i in range(55)] + [("n2", "t", "n0"), ("n0", "t", "d"), ("d", "t", "n2"), ("n1", "t", "n1"), ("n1", "t", None)]
+    edges = spark.createDataFrame(chain, "`from` string, type string, `to` string")
+    got = {r.id: r.depth for r in graph.authority_chain(edges, "n0").collect()}
+    assert got == {f"n{i}": i for i in range(1, 56)} | {"d": 1}
+
+
 def test_citations(spark):
     docs = spark.createDataFrame([("d", "ORS 192.355, ORS 238.4, OAR 123-456-7890 and ORS\n 12A.100")], "doc_id string, text string")
     both = citations.found(docs, "ors-section").union(citations.found(docs, "oar-rule"))
