@@ -39,8 +39,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each whole text, with their number."""
-    return bpe.encode(docs, VOCABULARY).withColumn("n_tokens", F.floor(F.length("ids") / 4).cast("long"))
+    """Token ids of each whole text, with their number and the SHA-256 of the text decoded from them."""
+    both = bpe.encode(docs, VOCABULARY, decoded="decoded").withColumn("n_tokens", F.floor(F.length("ids") / 4).cast("long"))
+    return both.withColumn("decoded_sha256", F.sha2(F.col("decoded").cast("binary"), 256)).drop("decoded")
 
 
 STAGES = [

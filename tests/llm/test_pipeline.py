@@ -1,3 +1,5 @@
+import hashlib
+
 import corpus_pipeline
 from reportloom.llm import bpe, components
 from reportloom.llm.common import read_table
@@ -27,6 +29,14 @@ def test_stages(spark):
     assert bpe.decode(last.limit(20), corpus_pipeline.VOCABULARY).where("decoded <> text").count() == 0
 
 
+def test_ids_give_back_the_text(spark):
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents")
+    out = corpus_pipeline.encoded(spark, docs, "/root/testdata/sf0.001")
+    assert out.columns == [*docs.columns, "ids", "n_tokens", "decoded_sha256"]
+    rows = out.select("text", "decoded_sha256").collect()
+    assert len(rows) == docs.count() and all(hashlib.sha256((r.text or "").encode()).hexdigest() == r.decoded_sha256 for r in rows)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(100, 160)] + [(7, i) for i in range(8, 40)] + [(5, 5), (None, 3), (2, 1), (1, 2)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
