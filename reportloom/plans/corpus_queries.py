@@ -106,6 +106,11 @@ def document_view(spark, sf):
     return _keyed(spark, sf).where("n % 10 = 3").select(*view)
 
 
+@query(f"{M} SELECT id, title, doc_type, status, agency, agency_key, agency_code, reporting_year, year_source, text_source, measure_status FROM m")
+def document_view_all(spark, sf):
+    return _keyed(spark, sf).select(*"id, title, doc_type, status, agency, agency_key, agency_code, reporting_year, year_source, text_source, measure_status".split(", "))
+
+
 # --- joins and entities --------------------------------------------------
 
 
@@ -251,6 +256,14 @@ def url_union(spark, sf):
     return one.union(two).select(text.normalise_url("url").alias("url")).distinct()
 
 
+@query("SELECT DISTINCT replace(regexp_replace(url, '#.*', ''), 'http://', 'https://') AS url FROM pages")
+def url_union_all(spark, sf):
+    """The union of two lists that each hold every page, as listed and in its https form."""
+    pages = table(spark, sf, "pages")
+    secure = pages.select(F.replace("url", F.lit("http://"), F.lit("https://")).alias("url"))
+    return pages.select("url").union(secure).select(text.normalise_url("url").alias("url")).distinct()
+
+
 # --- graph ---------------------------------------------------------------
 
 _EDGES = """e AS (SELECT 'cust-' || c_custkey AS "from", CASE WHEN c_custkey % 5 = 0 THEN 'implements' ELSE 'related' END AS type, 'cust-' || (c_custkey * 2) AS "to" FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey % 13 <> 0
