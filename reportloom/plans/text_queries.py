@@ -240,6 +240,18 @@ def embedding_count(spark, sf):
     return runs.select("k", arrays.embeddings(short, F.col("long")).cast("long").alias("ways"))
 
 
+@query("""WITH RECURSIVE r AS (SELECT o_custkey AS k, list(o_orderpriority ORDER BY o_orderkey) AS long FROM orders GROUP BY o_custkey), s AS (SELECT k, long, list_filter(long, lambda x, i: i % 3 <> 0) AS short FROM r),
+f(k, long, short, i, ways) AS (SELECT k, long, short, 0, list_transform(range(0, len(short) + 1), lambda j: CASE WHEN j = 0 THEN 1 ELSE 0 END) FROM s
+ UNION ALL SELECT k, long, short, i + 1, list_transform(range(0, len(short) + 1), lambda j: CASE WHEN j > 0 AND short[j] = long[i + 1] THEN least(2, ways[j + 1] + ways[j]) ELSE ways[j + 1] END) FROM f WHERE i < len(long))
+SELECT k, CAST(ways[len(short) + 1] AS BIGINT) AS ways FROM f WHERE i = len(long)""")
+def embedding_count_all(spark, sf):
+    """Runs of every length, as embedding_count for those of up to ten orders."""
+    runs = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))).alias("p"))
+    runs = runs.select("k", F.transform("p", lambda x: x["o_orderpriority"]).alias("long"))
+    short = F.filter("long", lambda x, i: (i + 1) % 3 != 0)
+    return runs.select("k", arrays.embeddings(short, F.col("long")).cast("long").alias("ways"))
+
+
 @query("SELECT o_custkey AS k, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INT) AS i, CAST(o_orderkey AS VARCHAR) AS year, o_orderpriority AS actual, CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) <= 2 THEN o_orderstatus END AS target FROM orders")
 def zip_series(spark, sf):
     runs = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority", "o_orderstatus"))).alias("p"))

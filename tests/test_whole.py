@@ -14,3 +14,17 @@ def test_whole_tables(spark):
     assert got["document_view_all"](spark, SF).count() == count("customer")
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     assert got["url_union_all"](spark, SF).count() == got["url_normalise"](spark, SF).select("url").distinct().count() <= pages.count()
+
+
+def test_runs_of_every_length_are_counted(spark):
+    out = {r.k: r.ways for r in catalog.queries()["embedding_count_all"](spark, SF).collect()}
+    runs = spark.read.parquet(f"{SF}/orders.parquet").orderBy("o_orderkey").groupBy("o_custkey").agg(F.sort_array(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))).alias("p")).collect()
+    assert len(out) == len(runs) and any(len(r.p) > 10 for r in runs)
+    for r in runs:
+        long = [x.o_orderpriority for x in r.p]
+        short = [x for i, x in enumerate(long, 1) if i % 3]
+        ways = [1] + [0] * len(short)
+        for v in long:
+            for j in range(len(short), 0, -1):
+                ways[j] += ways[j - 1] * (short[j - 1] == v)
+        assert out[r.o_custkey] == min(2, ways[-1])
