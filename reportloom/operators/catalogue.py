@@ -85,6 +85,19 @@ def page_furniture(pages: DataFrame, edge: int = 3, least: int = 4) -> DataFrame
     return counted.join(sizes, "doc_id").where(F.col("c") > F.col("pages") / 2).select("doc_id", "line").distinct()
 
 
+def without_furniture(pages: DataFrame, edge: int = 3, least: int = 4) -> DataFrame:
+    """Every page without its document's furniture lines, wherever they stand, and how many were ``removed``.
+
+    A document's furniture is one list (its lines are few), so pages meet it whole and keep the
+    order of their lines.
+    """
+    lists = page_furniture(pages, edge, least).groupBy("doc_id").agg(F.collect_list("line").alias("found"))
+    met = pages.join(lists, "doc_id", "left").withColumn("lines", F.split("text", "\n"))
+    left = F.when(F.col("found").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x: ~F.array_contains(F.col("found"), text.strip(x))))
+    kept = met.withColumn("left", left)
+    return kept.select("doc_id", "page_no", F.array_join("left", "\n").alias("text"), (F.size("lines") - F.size("left")).cast("long").alias("removed"))
+
+
 def conversion_notes(source: Column, words: Column, ratio: Column, agreement: Column, missing: Column, year_differs: Column) -> Column:
     """Notes in a fixed order, joined by semicolons; OCR comes first."""
     ocr = F.when(source == "ocr", F.concat(F.lit("OCR text: "), words.cast("string"), F.lit(" words, dictionary "), text.percent(ratio), F.lit(", agreement "), text.percent(agreement)))

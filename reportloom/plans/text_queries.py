@@ -95,6 +95,33 @@ def page_furniture(spark, sf):
     return catalogue.page_furniture(portable(spark, sf, _PAGES))
 
 
+PAGE = 1000
+_WHOLE_PAGES = f"""
+SELECT doc_id, p AS page_no, 'Report ' || CAST(doc_id AS STRING) || '\\n' || CASE WHEN p % 3 = 0 THEN 'odd' ELSE ' Board ' END || '\\n\\n' || substr(text, p * {PAGE} + 1, {PAGE}) || '\\nfoot ' || CAST(p % 2 AS STRING) AS text
+FROM (SELECT doc_id, text, explode(sequence(0, CAST(greatest(length(text) - 1, 0) AS INT) DIV {PAGE})) AS p FROM documents WHERE text IS NOT NULL)
+"""
+_DUCK_WHOLE = f"""
+WITH p AS (SELECT doc_id, p AS page_no, string_split('Report ' || doc_id || chr(10) || CASE WHEN p % 3 = 0 THEN 'odd' ELSE ' Board ' END || chr(10) || chr(10) || substr(text, p * {PAGE} + 1, {PAGE}) || chr(10) || 'foot ' || (p % 2), chr(10)) AS ls
+ FROM (SELECT doc_id, text, unnest(range(0, greatest(length(text) - 1, 0) // {PAGE} + 1)) AS p FROM documents WHERE text IS NOT NULL)),
+n AS (SELECT doc_id, count(*) AS pages FROM p GROUP BY doc_id HAVING count(*) >= 4),
+e AS (SELECT doc_id, 'h' AS part, unnest(ls[1:3]) AS line FROM p UNION ALL SELECT doc_id, 'f', unnest(ls[greatest(1, len(ls) - 2):]) FROM p),
+t AS (SELECT doc_id, part, regexp_replace(regexp_replace(line, '\\A{W}+', ''), '{W}+\\z', '') AS line FROM e),
+d AS (SELECT DISTINCT doc_id, line FROM (SELECT doc_id, part, line, count(*) AS c FROM t WHERE line <> '' GROUP BY ALL) JOIN n USING (doc_id) WHERE c > pages / 2)"""
+
+
+@query(f"{_DUCK_WHOLE} SELECT doc_id, line FROM d")
+def page_furniture_whole(spark, sf):
+    """Furniture of whole texts, cut into pages of a fixed size."""
+    return catalogue.page_furniture(portable(spark, sf, _WHOLE_PAGES))
+
+
+@query(f"""{_DUCK_WHOLE}, a AS (SELECT doc_id, page_no, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM p), k AS (SELECT *, regexp_replace(regexp_replace(line, '\\A{W}+', ''), '{W}+\\z', '') AS body FROM a)
+SELECT k.doc_id, page_no, md5(coalesce(string_agg(k.line, chr(10) ORDER BY i) FILTER (WHERE d.line IS NULL), '')) AS text_md5, count(d.line) AS removed FROM k LEFT JOIN d ON k.doc_id = d.doc_id AND body = d.line GROUP BY k.doc_id, page_no""")
+def page_furniture_removed(spark, sf):
+    pages = portable(spark, sf, _WHOLE_PAGES)
+    return catalogue.without_furniture(pages).select("doc_id", "page_no", F.md5(F.col("text").cast("binary")).alias("text_md5"), "removed")
+
+
 _COVERS = r"""
 SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 0 THEN 'Annual Performance Report' || chr(10) || 'Reporting  Year: ' || CAST(year(o_orderdate) AS STRING)
   WHEN 1 THEN 'Agency Management Report' || chr(10) || '  Board of ' || CAST(o_custkey AS STRING) WHEN 2 THEN '9/25/23, 5:36 PM' || chr(10) || 'Rep orting Ye ar ' || CAST(year(o_orderdate) AS STRING)

@@ -28,3 +28,11 @@ def test_runs_of_every_length_are_counted(spark):
             for j in range(len(short), 0, -1):
                 ways[j] += ways[j - 1] * (short[j - 1] == v)
         assert out[r.o_custkey] == min(2, ways[-1])
+
+
+def test_furniture_goes_from_every_page(spark):
+    pages = spark.createDataFrame([("d", p, f"Head\n\nbody {p}\n Head\nm\nx\ny\nfoot") for p in range(5)] + [("e", 0, "Head\nb")], "doc_id string, page_no int, text string")
+    out = {(r.doc_id, r.page_no): (r.text, r.removed) for r in catalogue.without_furniture(pages).collect()}
+    assert out == {("d", p): (f"\nbody {p}\nm", 5) for p in range(5)} | {("e", 0): ("Head\nb", 0)}
+    whole = catalog.queries()["page_furniture_removed"](spark, SF).groupBy("doc_id").count().collect()
+    assert len(whole) == spark.read.parquet(f"{SF}/documents.parquet").where("text is not null").count() and max(r["count"] for r in whole) > 5
