@@ -377,9 +377,32 @@ SELECT vec_id, round(sum(CAST(x AS DOUBLE) * y) / (sqrt(sum(CAST(x AS DOUBLE) *
 def vector_search(spark, sf):
     vectors = table(spark, sf, "embeddings")
     asked = vectors.where("vec_id = 7").select("embedding").first()
+    if asked is None:
+        return search.vector(vectors.limit(0), [0.0])
     return search.search(table(spark, sf, "documents"), "", vectors, list(asked["embedding"]))
 
 
+@query("""WITH t AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS ts FROM documents), s AS (SELECT count(*) AS n, avg(len(ts)) AS mean FROM t),
+p AS (SELECT doc_id, len(ts) AS l, unnest(ts) AS term FROM t), i AS (SELECT doc_id, term, any_value(l) AS l, count(*) AS tf FROM p GROUP BY doc_id, term),
+d AS (SELECT term, count(*) AS df FROM i GROUP BY term), q AS (SELECT doc_id AS query_id, term FROM i WHERE doc_id % 50 = 0),
+c AS (SELECT query_id, i.doc_id, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * l / mean))), 6) AS score FROM q JOIN i USING (term) JOIN d USING (term), s GROUP BY query_id, i.doc_id)
+SELECT query_id, doc_id, score FROM c WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) <= 20""")
+def keyword_search_all(spark, sf):
+    """Documents whose id is divisible by 50 as queries against all documents."""
+    docs = table(spark, sf, "documents")
+    return search.keyword_all(docs.where("doc_id % 50 = 0").select(F.col("doc_id").alias("query_id"), "text"), docs)
+
+
+@query("""WITH q AS (SELECT vec_id AS query_id, unnest(embedding) AS y, generate_subscripts(embedding, 1) AS i FROM embeddings WHERE vec_id % 50 = 0), v AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS i FROM embeddings),
+nq AS (SELECT query_id, sqrt(sum(CAST(y AS DOUBLE) * y)) AS b FROM q GROUP BY query_id), nv AS (SELECT vec_id, sqrt(sum(CAST(x AS DOUBLE) * x)) AS a FROM v GROUP BY vec_id),
+d AS (SELECT query_id, vec_id, sum(CAST(x AS DOUBLE) * y) AS dot FROM q JOIN v USING (i) GROUP BY query_id, vec_id)
+SELECT query_id, vec_id, round(dot / (a * b), 6) AS score FROM d JOIN nq USING (query_id) JOIN nv USING (vec_id) QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY round(dot / (a * b), 6) DESC, vec_id) <= 20""")
+def vector_search_all(spark, sf):
+    """Vectors whose id is divisible by 50 as queries against all vectors."""
+    vectors = table(spark, sf, "embeddings")
+    return search.vector_all(vectors.where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), vectors)
+
+
 # --- rules ---------------------------------------------------------------
 
 CAVEAT = "the agency's own"

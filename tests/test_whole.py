@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from reportloom.operators import catalogue
+from reportloom.operators import catalogue, search
 from reportloom.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -36,3 +36,24 @@ def test_furniture_goes_from_every_page(spark):
     assert out == {("d", p): (f"\nbody {p}\nm", 5) for p in range(5)} | {("e", 0): ("Head\nb", 0)}
     whole = catalog.queries()["page_furniture_removed"](spark, SF).groupBy("doc_id").count().collect()
     assert len(whole) == spark.read.parquet(f"{SF}/documents.parquet").where("text is not null").count() and max(r["count"] for r in whole) > 5
+
+
+def test_searches_take_a_table_of_queries(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(search, "QUERIES", 2)
+    monkeypatch.setattr(search, "VECTORS", 7)
+    vectors = spark.createDataFrame([(i, [float(i % 5), 1.0, float(i)]) for i in range(30)] + [(30, [0.0, 0.0, 0.0]), (31, [1.0]), (32, None)], "vec_id long, embedding array<float>")
+    asked = vectors.where("vec_id in (3, 8, 20, 30)")
+    got = search.vector_all(asked.select(F.col("vec_id").alias("query_id"), "embedding"), vectors, 4).collect()
+    docs = spark.createDataFrame([(i, f"w{i % 3} w{i % 7} common") for i in range(20)] + [(20, None)], "doc_id long, text string")
+    found = search.keyword_all(docs.where("doc_id % 5 = 0").select(F.col("doc_id").alias("query_id"), "text"), docs, 4).collect()
+    assert {r.query_id for r in got} == {3, 8, 20} and {r.query_id for r in found} == {0, 5, 10, 15}
+    for q in (3, 8, 20):
+        one = search.vector(vectors.where("size(embedding) = 3"), [float(q % 5), 1.0, float(q)], 4).collect()
+        assert sorted((-r.score, r.vec_id) for r in got if r.query_id == q) == [(-r.score, r.vec_id) for r in one]
+    for q in (0, 5, 10, 15):
+        one = search.keyword(docs, f"w{q % 3} w{q % 7} common", 4).collect()
+        assert sorted((-r.score, r.doc_id) for r in found if r.query_id == q) == [(-r.score, r.doc_id) for r in one]
+    assert search.vector_all(asked.limit(0).select(F.col("vec_id").alias("query_id"), "embedding"), vectors).count() == 0
+    vectors.where("vec_id <> 7").write.parquet(f"{tmp_path}/embeddings.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert catalog.queries()["vector_search"](spark, str(tmp_path)).count() == 0
