@@ -5,12 +5,18 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows written to one Arrow batch by the Python stages hold at most about this many bytes.
 BATCH_BYTES = 8 << 20
+#: A key is heavy if it has over one in so many rows: fewer keys than that can be, so they may be broadcast.
+HEAVY = 1_000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,27 +41,65 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+#: Paths of the tables that each open :func:`scratch` block has written, innermost last.
+_OPEN: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as a table to the shared folder and read again: its lineage ends there.
 
-    A lost executor costs only the tasks that it ran, since every reader finds the files.
+    A lost executor costs only the tasks that it ran, since every reader finds the files.  Results
+    that are not computed yet read such tables: they stay until the :func:`scratch` block around
+    them ends, or until :func:`discarded`.
     """
-    return _written(df, name)[0]
-
-
-def _written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/reportloom/{name}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discarded(*tables: DataFrame) -> None:
+    """Delete tables of :func:`stored` that nothing reads any more."""
+    for t in tables:
+        for path in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
+            if "/reportloom/" in path:
+                removed(t.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that operators store inside the block are deleted when it ends.
+
+    What is computed from them must be written or collected inside it.
+    """
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            removed(spark, path)
 
 
 def removed(spark: SparkSession, path: str) -> None:
-    """Delete a superseded table of :func:`stored` through Hadoop's file system."""
+    """Delete a folder through Hadoop's file system, if it is there."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``df.mapInArrow(run, schema)`` for columns of any name, dots included."""
+    given, made = df.columns, [f"c{i}" for i in range(len(schema))]
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(pa.RecordBatch.from_arrays(b.columns, names=given) for b in batches):
+            yield pa.RecordBatch.from_arrays(out.columns, names=made)
+
+    plain = T.StructType([T.StructField(n, f.dataType) for n, f in zip(made, schema, strict=True)])
+    return df.toDF(*[f"c{i}" for i in range(len(given))]).mapInArrow(renamed, plain).toDF(*schema.names)
+
+
 def text_or_empty(column: str | Column) -> Column:
     """A text column with null read as empty."""
     column = F.col(column) if isinstance(column, str) else column
@@ -73,9 +117,3 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted += "_"
     return wanted
-
-
-def without(df: DataFrame, *names: str) -> DataFrame:
-    """``df`` without columns that clash (in any case) with the names an operator adds."""
-    lost = {n.lower() for n in names}
-    return df.select(*[F.col(quoted(c)) for c in df.columns if c.lower() not in lost])
