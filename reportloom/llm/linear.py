@@ -33,11 +33,3 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, rounds: int = 30
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
-
-
-def folds_of(ids: np.ndarray, k: int) -> np.ndarray:
-    """The fold of each id, by a fixed mix of its bits, so that it does not depend on row order."""
-    z = ids.astype(np.int64).view(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return ((z ^ (z >> np.uint64(31))) % np.uint64(k)).astype(np.int64)

@@ -15,8 +15,8 @@ from .linear import fit_logistic, sigmoid
 
 #: Labelled documents that the classifier is fitted on, at most: those whose ids hash lowest.
 SAMPLE = 8_000
-#: Paths whose posteriors are broadcast, at most (about 100 bytes each).
-BROADCAST_PATHS = 100_000
+#: Bytes of hosts, paths and their posteriors that are broadcast, at most.
+BROADCAST_BYTES = 32 << 20
 SALTS = 16
 #: Bounds of the prior's weight, in documents.
 WEAKEST, STRONGEST = 1.0, 1_000.0
@@ -61,9 +61,13 @@ def _logit(p: Column) -> Column:
 
 
 def document_scores(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id: str, text: str, sample: int = SAMPLE) -> DataFrame:
-    """``(id, host, path, p)``: the classifier's evidence for each document, written once."""
+    """``(id, host, path, p)``: the classifier's evidence for each document, written once.
+
+    Of labels that repeat an id the largest counts, and of texts that repeat one that whose hash is
+    smallest.
+    """
     named = labels.where(F.col(quoted(id)).isNotNull() & F.col("quality").isNotNull()).select(F.col(quoted(id)).alias("id"), F.col("quality").cast("double").alias("y"))
-    chosen = named.dropDuplicates(["id"]).orderBy(F.xxhash64("id"), "id").limit(sample)
+    chosen = named.groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(sample)
     rows = docs.select(F.col(quoted(id)).alias("id"), host.alias("host"), path.alias("path"), text_or_empty(quoted(text)).alias("t"))
 
     def shaped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,8 +76,8 @@ def document_scores(docs: DataFrame, labels: DataFrame, host: Column, path: Colu
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(x, pa.list_(pa.float64()))], names=[*batch.schema.names[:-1], "x"])
 
     kind = dict(rows.dtypes)["id"]
-    sampled = rows.join(F.broadcast(chosen), "id").dropDuplicates(["id"]).select("id", "y", "t")
-    known = sampled.mapInArrow(shaped, f"id {kind}, y double, x array<double>").toPandas().sort_values("id")
+    sampled = rows.join(F.broadcast(chosen), "id").groupBy("id", "y").agg(F.min(F.struct(F.xxhash64("t"), "t")).alias("t"))
+    known = sampled.select(F.xxhash64("id").alias("mix"), "y", "t.t").mapInArrow(shaped, "mix long, y double, x array<double>").toPandas().sort_values("mix", kind="stable")
     x = np.array(known["x"].tolist(), np.float64).reshape(len(known), len(NAMES))
     mean, spread = (x.mean(0), x.std(0) + 1e-9) if len(x) else (np.zeros(len(NAMES)), np.ones(len(NAMES)))
     w = fit_logistic(_terms(x, mean, spread), known["y"].to_numpy(np.float64))
@@ -130,16 +134,18 @@ def judge(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id: st
     """For each row ``(id, p_document, p_host, p_path, p_quality, kept)``.
 
     The log odds of a document are those of its classifier, moved by how much the log odds of its
-    path's posterior differ from the global ones.  A row is kept at ``threshold`` or above.
+    path's posterior differ from the global ones.  A row is kept at ``threshold`` or above.  Ids may be of any type.
 
     * Null and empty texts have the form of nothing; the classifier scores them like any other.
     * Null hosts and paths are groups of their own; repeated rows count each and score alike.
+    * The result has its own columns only, so none of ``docs`` can clash with it.
     * Without labelled rows every ``p_document`` is one half; an empty table gives an empty table.
     """
     scores = document_scores(docs, labels, host, path, id, text)
     levels = stored(posteriors(scores), "levels").withColumnsRenamed({"host": "of_host", "path": "of_path"})
     same = F.col("host").eqNullSafe(F.col("of_host")) & F.col("path").eqNullSafe(F.col("of_path"))
-    if levels.count() <= BROADCAST_PATHS:
+    size = levels.agg(F.sum(F.coalesce(F.length("of_host"), F.lit(0)) + F.coalesce(F.length("of_path"), F.lit(0)) + 60).alias("b")).first()
+    if (size["b"] or 0) <= BROADCAST_BYTES:
         met = scores.join(F.broadcast(levels), same)
     else:
         spread = levels.withColumn("of_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, quoted, stored, text_or_empty
-from .linear import fit_logistic, folds_of, sigmoid
+from .common import discarded, free_name, mapped, quoted, stored, text_or_empty
+from .linear import fit_logistic, sigmoid
 
 #: Labelled documents that the chain is fitted on, at most: those whose ids hash lowest.
 SAMPLE = 8_000
@@ -30,6 +30,8 @@ class Chain:
     categories: tuple[str, ...]
     features: dict[str, int]
     weights: tuple[np.ndarray, ...]
+    #: Whether the sample had documents on both sides of a category: without, its model knows nothing.
+    learnt: tuple[bool, ...]
 
     def probabilities(self, present: np.ndarray) -> np.ndarray:
         """Category probabilities (document, category) from 0/1 features."""
@@ -75,12 +77,16 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id: str =
     tells most of it, by the likelihood ratio.  Each model's inputs from the chain are out-of-fold predictions:
     a document's probability comes from a model that did not see it, so later models learn how far
     earlier ones can be trusted.  Only the chosen features' 0/1 rows of the sample reach the driver.
-    Rows with a null id or label are left out; of labels that repeat an id one is used.
+    Rows with a null id or label are left out.  Of labels that repeat an id the largest of each
+    category counts, and of texts that repeat one that whose hash is smallest, so a rerun fits the
+    same chain.
     """
-    named = labels.where(F.col(quoted(id)).isNotNull()).select(F.col(quoted(id)).alias("id"), *[F.col(c).cast("int").alias(f"y{k}") for k, c in enumerate(categories)]).dropna().dropDuplicates(["id"])
+    named = labels.select(F.col(quoted(id)).alias("id"), *[F.col(c).cast("int").alias(f"y{k}") for k, c in enumerate(categories)]).dropna()
+    named = named.groupBy("id").agg(*[F.max(f"y{k}").alias(f"y{k}") for k in range(len(categories))])
     chosen = named.orderBy(F.xxhash64("id"), "id").limit(sample)
     texts = docs.select(F.col(quoted(id)).alias("id"), text_or_empty(quoted(text)).alias("t"))
-    taken = stored(texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"]), "labelled")
+    met = texts.join(F.broadcast(chosen), "id").groupBy("id", *[f"y{k}" for k in range(len(categories))]).agg(F.min(F.struct(F.xxhash64("t"), "t")).alias("t"))
+    taken = stored(met.select(F.xxhash64("id").alias("mix"), F.col("t.t").alias("t"), *[f"y{k}" for k in range(len(categories))]), "labelled")
     ys = [f"y{k}" for k in range(len(categories))]
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,13 +111,14 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id: str =
         best = counted.select("f", F.round(worth, 6).alias("z")).orderBy(F.desc("z"), "f").limit(FEATURES).collect()
         for r in best:
             names.setdefault(r["f"], len(names))
-    sparse = taken.select("id", "t", *ys).mapInArrow(_present(names, ys), "id long, at array<int>, " + ", ".join(f"{y} int" for y in ys)).toPandas()
-    sparse = sparse.sort_values("id")
+    sparse = taken.select("mix", "t", *ys).mapInArrow(_present(names, ys), "mix long, at array<int>, " + ", ".join(f"{y} int" for y in ys)).toPandas()
+    discarded(taken, counted)
+    sparse = sparse.sort_values("mix", kind="stable")
     x = np.zeros((len(sparse), len(names)))
     for i, at in enumerate(sparse["at"]):
         x[i, at] = 1.0
-    folds = folds_of(sparse["id"].to_numpy(np.int64), FOLDS)
-    earlier, weights = np.empty((len(x), 0)), []
+    folds = sparse["mix"].to_numpy(np.int64) % FOLDS
+    earlier, weights, learnt = np.empty((len(x), 0)), [], []
     for y in ys:
         target = sparse[y].to_numpy(np.float64)
         inputs = np.hstack([x, _logit(earlier)])
@@ -120,8 +127,9 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id: str =
             w = fit_logistic(inputs[folds != k], target[folds != k], PENALTY)
             held_out[folds == k] = sigmoid(inputs[folds == k] @ w[:-1] + w[-1])
         weights.append(fit_logistic(inputs, target, PENALTY))
+        learnt.append(bool(len(target)) and target.min() != target.max())
         earlier = np.hstack([earlier, held_out[:, None]])
-    return Chain(tuple(categories), names, tuple(weights))
+    return Chain(tuple(categories), names, tuple(weights), tuple(learnt))
 
 
 def _hits(text: str, names: dict[str, int]) -> list[int]:
@@ -154,7 +162,7 @@ def _present(names: dict[str, int], ys: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = pa.array([_hits(t, names) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), at, *batch.columns[2:]], names=["id", "at", *ys])
+            yield pa.RecordBatch.from_arrays([batch.column(0), at, *batch.columns[2:]], names=["mix", "at", *ys])
 
     return run
 
@@ -179,7 +187,7 @@ def score(docs: DataFrame, chain: Chain, text: str = "text", prefix: str = "p_")
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *[pa.array(p[:, k]) for k in range(len(added))]], names=[*kept, *added])
 
     schema = T.StructType([docs.schema[c] for c in kept] + [T.StructField(a, T.DoubleType()) for a in added])
-    return docs.select(*[F.col(quoted(c)) for c in kept], text_or_empty(quoted(text)).alias(t)).mapInArrow(scored, schema)
+    return mapped(docs.select(*[F.col(quoted(c)) for c in kept], text_or_empty(quoted(text)).alias(t)), scored, schema)
 
 
 def categories_of(labels: DataFrame) -> DataFrame:
@@ -192,8 +200,12 @@ CATEGORIES = ("low_quality", "toxic")
 
 
 def judge(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """``docs`` with ``p_low_quality``, ``p_toxic`` and ``toxic`` (at ``threshold`` or above)."""
+    """``docs`` with ``p_low_quality``, ``p_toxic`` and ``toxic`` (at ``threshold`` or above).
+
+    Without labelled documents of both kinds nothing is known of toxicity, and no row is toxic.
+    Ids may be of any type.  See :func:`fit` for clashing labels and :func:`score` for other rows.
+    """
     chain = fit(docs, categories_of(labels), CATEGORIES, id, text)
     scored = score(docs, chain, text)
     kept = [c for c in scored.columns if c.lower() != "toxic"]
-    return scored.select(*[F.col(quoted(c)) for c in kept], (F.col("p_toxic") >= threshold).alias("toxic"))
+    return scored.select(*[F.col(quoted(c)) for c in kept], ((F.col("p_toxic") >= threshold) & F.lit(chain.learnt[-1])).alias("toxic"))
