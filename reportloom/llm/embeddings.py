@@ -82,8 +82,9 @@ def plan_of(n: int, dim: int, joined: int | None = None) -> tuple[int, int, int]
     return joined, {1: 3, 2: 4, 3: 6}[joined], {1: 2, 2: 4, 3: 9}[joined]
 
 
-def _unit(data: list[bytes], kind: str) -> np.ndarray:
-    x = np.frombuffer(b"".join(data), kind).reshape(len(data), -1).astype(np.float64)
+def _unit(data: list[bytes], size: int, kind: str) -> np.ndarray:
+    """Vectors of ``size`` bytes each as rows of length 1."""
+    x = np.frombuffer(b"".join(data), np.uint8).reshape(-1, size).view(kind).astype(np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
@@ -99,13 +100,15 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
     * Null, empty and zero vectors, and those with null or non-finite components, link with nothing.
     * Vectors link only with those of the same length.
     * Equal vectors (copies, repeated rows) are one class before hashing and counted by its size.
-    * An empty table gives an empty table; other columns are not used.
+    * An empty table gives an empty table; other columns are not used, so none can clash.
 
     Each vector goes to its own bucket, and asks in its nearest ones.  Buckets over :data:`BLOCK` are
     split into pairs of blocks, so a task holds two blocks however large a group is.  A link is
     counted in the first bucket that shows it, which both vectors' hashes tell, and tasks return
     counts and spanning forests: never a list of all pairs.
     """
+    if dict(vectors.dtypes)[id] not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError("ids must be integers")
     kind = "<f4" if dict(vectors.dtypes)[vector] == "array<float>" else "<f8"
     v = F.col(quoted(vector)) if kind == "<f4" else F.col(quoted(vector)).cast("array<double>")
     sound = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(float("inf")))) & F.exists(v, lambda x: x != 0)
@@ -113,7 +116,9 @@ def near_vectors(vectors: DataFrame, id: str = "vec_id", vector: str = "embeddin
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data = [None if x is None else np.array(x, kind).tobytes() for x in batch.column(1).to_pylist()]
+            held, ends = batch.column(1), np.array(batch.column(1).offsets)
+            flat, some = held.values.to_numpy(zero_copy_only=False).astype(kind, copy=False), held.is_valid().to_pylist()
+            data = [flat[i:j].tobytes() if ok else None for i, j, ok in zip(ends, ends[1:], some, strict=False)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(data, pa.binary())], names=["id", "data"])
 
     rows = stored(rows.mapInArrow(packed, "id long, data binary"), "vectors")
@@ -152,7 +157,7 @@ def _links(classes: DataFrame, plans: dict[int, tuple[int, int, int, int]], kind
             sizes = np.array(batch.column(3).to_pylist())
             for size in np.unique(sizes).tolist():
                 some = batch.take(pa.array(np.flatnonzero(sizes == size)))
-                b = hasher(size).buckets(_unit(some.column(2).to_pylist(), kind))
+                b = hasher(size).buckets(_unit(some.column(2).to_pylist(), size, kind))
                 n, tables, probes = b.shape
                 row = np.repeat(np.arange(n), tables * (probes + 1))
                 # each table: the vector's own bucket as an entry, and all its probes as questions
@@ -179,7 +184,7 @@ def _links(classes: DataFrame, plans: dict[int, tuple[int, int, int, int]], kind
             if asks.all() or not asks.any():
                 continue
             h = hasher(size)
-            x = _unit(data, kind)
+            x = _unit(data, size, kind)
             held, ask = np.flatnonzero(~asks), np.flatnonzero(asks)
             q, i = np.nonzero(x[ask] @ x[held].T >= threshold)
             q, i = ask[q], held[i]
@@ -231,19 +236,27 @@ def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _groups(batches: Iterator[pa.RecordBatch]):
-    """Runs of rows with the same first four columns, as arrays."""
+    """Runs of rows with the same first four columns, as arrays; vectors as one block of bytes."""
     key, kept = None, []
 
     def made():
         asks, ids, m, data = zip(*kept, strict=True)
-        return key[0], key[1], np.array(asks), np.array(ids, np.int64), np.array(m, np.float64), list(data)
+        return key[0], key[1], np.concatenate(asks), np.concatenate(ids), np.concatenate(m), list(data)
 
     for batch in batches:
-        for size, bucket, i, j, *rest in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-            if (size, bucket, i, j) != key:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([c.to_numpy() for c in batch.columns[:4]], axis=1)
+        asks, ids, m = (c.to_numpy(zero_copy_only=False) for c in batch.columns[4:7])
+        edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(keys)], strict=True):
+            at = tuple(keys[lo].tolist())
+            if at != key:
                 if kept:
                     yield made()
-                key, kept = (size, bucket, i, j), []
-            kept.append(rest)
+                key, kept = at, []
+            some = batch.column(7).slice(lo, hi - lo)
+            begin = np.frombuffer(some.buffers()[1], np.int32)[some.offset]
+            kept.append((asks[lo:hi], ids[lo:hi], m[lo:hi].astype(np.float64), some.buffers()[2][begin : begin + (hi - lo) * at[0]].to_pybytes()))
     if kept:
         yield made()

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from reportloom.llm import embeddings, queries
 
@@ -60,6 +61,17 @@ def test_recall_at_the_threshold(joined):
     assert ((a[:, :, :1] == b).any(2) | (b[:, :, :1] == a).any(2)).any(1).mean() > 0.97
 
 
+def test_other_columns_and_repeated_rows(spark):
+    rows = [(1, [1.0, 0.0], 5, "x"), (1, [1.0, 0.0], 6, "y"), (2, [1.0, 0.01], 7, None), (None, [0.0, 1.0], 8, "z"), (4, [0.0, 1.0], 9, "z"), (5, [3e38, 3e38], 1, "")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, n_links int, `component_id` string")
+    got = sorted(((str(r.vec_id), r.n_links, r.component_id) for r in embeddings.near_vectors(df).collect()), key=str)
+    assert got == [("1", 2, 1), ("1", 2, 1), ("2", 2, 1), ("4", 1, 4), ("5", 0, 5), ("None", 1, 4)]
+    doubles = df.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
+    assert sorted((str(r.vec_id), r.n_links) for r in embeddings.near_vectors(doubles).collect()) == [(a, b) for a, b, _ in got]
+    with pytest.raises(TypeError):
+        embeddings.near_vectors(df.withColumn("vec_id", F.lit("a")))
+
+
 def test_transform_and_empty(spark):
     eye = embeddings.hadamard(np.eye(8))
     assert np.allclose(eye @ eye.T, np.eye(8))

@@ -46,3 +46,12 @@ def test_rules_stand_under_their_rarest_token(spark):
     df = spark.createDataFrame([("com", "/en/")] * 3 + [("example.com", "/x/")] * 2 + [("net", "/es/")], "host string, path string")
     found = url_filter.rarest(df, queries.RULES)
     assert found[queries.RULES[0]] == ".com" and found[queries.RULES[1]] == ".example" and found[queries.RULES[2]] == ".www" and found[queries.RULES[3]] in (".net", "/es")
+
+
+def test_no_python_on_the_main_path(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "http://example.com/en/")], "page_id long, url string")
+    for literal, broadcast in ((64, 100), (0, 100), (0, 0)):
+        monkeypatch.setattr(url_filter, "LITERAL", literal)
+        monkeypatch.setattr(url_filter, "BROADCAST", broadcast)
+        plan = url_filter.judge(df, queries.RULES)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
