@@ -17,25 +17,29 @@ def line_key(line: Column) -> Column:
     return F.btrim(line, F.lit(" \t\r"))
 
 
-def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.05, least: int = 5) -> DataFrame:
+def boilerplate(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.05, least: int = 2, distinct: bool = False) -> DataFrame:
     """Lines that more than ``ratio`` of a host's pages hold: ``(host, line, pages, total)``.
 
     ``line`` is a 64-bit hash of the line's key.  A page counts once for a line however often it
-    repeats it, and pages of one host with the same text count as one page, so that copies of a
-    page do not turn its own sentences into boilerplate.  A line must stand on ``least`` pages.
-    Blank lines are never boilerplate.  Null is a host of its own.
+    repeats it.  A line must stand on ``least`` pages: one that stands on a single page repeats
+    nothing, whatever share of a small host that page is.  With ``distinct``, pages of one host with
+    the same text count as one page in both numbers, so that copies of a page do not turn its own
+    sentences into boilerplate.  Blank lines are never boilerplate.  Null is a host of its own, and
+    pages without a text are pages.
     """
     t = text_or_empty(quoted(text))
     pages = docs.select(F.col(quoted(host)).cast("string").alias("host"), F.xxhash64(t).alias("page"), t.alias("t"))
-    totals = pages.groupBy("host", "page").count().groupBy("host").agg(F.count("*").alias("total"))
     keys = F.filter(F.transform(F.split("t", "\n"), line_key), lambda x: x != "")
     lines = pages.select("host", "page", F.explode(F.array_distinct(F.transform(keys, lambda x: F.xxhash64(x)))).alias("line"))
-    counted = lines.groupBy("host", "line", "page").count().groupBy("host", "line").agg(F.count("*").alias("pages")).where(F.col("pages") >= least)
-    met = counted.join(totals.withColumnRenamed("host", "of"), F.col("host").eqNullSafe(F.col("of")))
+    if distinct:
+        pages, lines = pages.groupBy("host", "page").count(), lines.groupBy("host", "line", "page").count()
+    totals = pages.groupBy(F.col("host").alias("of")).agg(F.count("*").alias("total"))
+    counted = lines.groupBy("host", "line").agg(F.count("*").alias("pages")).where(F.col("pages") >= least)
+    met = counted.join(totals, F.col("host").eqNullSafe(F.col("of")))
     return met.where(F.col("pages") > F.col("total") * F.lit(float(ratio))).select("host", "line", "pages", "total")
 
 
-def drop_lines(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.05, least: int = 5, lines: str = "n_lines", dropped: str = "n_dropped", section: str | None = None) -> DataFrame:
+def drop_lines(docs: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.05, least: int = 2, lines: str = "n_lines", dropped: str = "n_dropped", section: str | None = None, distinct: bool = False) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and counts of lines and dropped lines.
 
     The lines that stay keep their order and bytes.  Every row stays, if with an empty text.
@@ -48,8 +52,10 @@ def drop_lines(docs: DataFrame, host: str = "source", text: str = "text", ratio:
     * Columns that clash with the counts are replaced; repeated rows are all cleaned; an empty
       table gives an empty table.
 
-    Plan: distinct (host, line, page) triples are counted with combining before each shuffle; no
-    text is shuffled for that.  A host has at most (lines of a page / ratio) such lines on average,
+    See :func:`boilerplate` for ``ratio``, ``least`` and ``distinct``.
+
+    Plan: each page's distinct line hashes are counted with combining before the shuffle; no text is
+    shuffled for that.  A host has at most (lines of a page / ratio) such lines on average,
     so the table of them is small: it is written once, measured, and broadcast as one list for each
     host if within :data:`BROADCAST_LINES`.  Beyond that, texts and lists meet in a join over
     :data:`SALTS` salted copies of each host's list, so a host with a third of all pages is spread.
@@ -62,7 +68,7 @@ def drop_lines(docs: DataFrame, host: str = "source", text: str = "text", ratio:
         parts[known + at] = F.to_json(F.struct(F.col(quoted(host)).cast("string").alias("h"), F.col(quoted(section)).cast("string").alias("s")))
     for name, part in parts.items():
         keyed = docs.select(part.alias("host"), F.col(quoted(text)).alias("text"))
-        found = stored(boilerplate(keyed, "host", "text", ratio, least).select("host", "line"), "boilerplate")
+        found = stored(boilerplate(keyed, "host", "text", ratio, least, distinct).select("host", "line"), "boilerplate")
         of = name + "of"
         lists = found.groupBy(F.col("host").alias(of)).agg(F.collect_list("line").alias(name))
         same = part.eqNullSafe(F.col(of))

@@ -20,7 +20,8 @@ RULES = [
     url_filter.Rule("net", "/es/", "block"),
     url_filter.Rule("net", "/fr/", "block"),
 ]
-LINE_RATIO, LINE_PAGES = 0.05, 5
+#: A line on over one in fifty of a host's pages, and on three of them at least, is the host's and not the page's.
+LINE_RATIO, LINE_PAGES = 0.02, 3
 MIX_TEMPERATURE, MIX_SEED = 0.5, 17
 
 
@@ -118,8 +119,8 @@ FROM k, LATERAL (SELECT unnest(generate_series(1, many)) AS copy) t
 _LINES = f"""
 WITH l AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
 k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS body FROM l),
-b AS (SELECT source, body FROM (SELECT source, body, count(DISTINCT text) AS pages FROM k WHERE body <> '' GROUP BY source, body) c
-      JOIN (SELECT source, count(DISTINCT text) AS total FROM documents GROUP BY source) t USING (source)
+b AS (SELECT source, body FROM (SELECT source, body, count(DISTINCT doc_id) AS pages FROM k WHERE body <> '' GROUP BY source, body) c
+      JOIN (SELECT source, count(*) AS total FROM documents GROUP BY source) t USING (source)
       WHERE pages >= {LINE_PAGES} AND pages > CAST(total AS DOUBLE) * CAST({LINE_RATIO} AS DOUBLE))
 SELECT doc_id, any_value(k.source) AS source,
        coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE b.body IS NULL), '') AS text,
@@ -130,11 +131,11 @@ FROM k LEFT JOIN b ON k.source = b.source AND k.body = b.body GROUP BY doc_id
 _LANGUAGE_LINES = f"""
 WITH l AS (SELECT doc_id, source, lang, text, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
 k AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS body FROM l),
-b AS (SELECT source, body FROM (SELECT source, body, count(DISTINCT text) AS pages FROM k WHERE body <> '' GROUP BY source, body) c
-      JOIN (SELECT source, count(DISTINCT text) AS total FROM documents GROUP BY source) t USING (source)
+b AS (SELECT source, body FROM (SELECT source, body, count(DISTINCT doc_id) AS pages FROM k WHERE body <> '' GROUP BY source, body) c
+      JOIN (SELECT source, count(*) AS total FROM documents GROUP BY source) t USING (source)
       WHERE pages >= {LINE_PAGES} AND pages > CAST(total AS DOUBLE) * CAST({LINE_RATIO} AS DOUBLE)),
-s AS (SELECT source, lang, body FROM (SELECT source, lang, body, count(DISTINCT text) AS pages FROM k WHERE body <> '' GROUP BY source, lang, body) c
-      JOIN (SELECT source, lang, count(DISTINCT text) AS total FROM documents GROUP BY source, lang) t USING (source, lang)
+s AS (SELECT source, lang, body FROM (SELECT source, lang, body, count(DISTINCT doc_id) AS pages FROM k WHERE body <> '' GROUP BY source, lang, body) c
+      JOIN (SELECT source, lang, count(*) AS total FROM documents GROUP BY source, lang) t USING (source, lang)
       WHERE pages >= {LINE_PAGES} AND pages > CAST(total AS DOUBLE) * CAST({LINE_RATIO} AS DOUBLE)),
 m AS (SELECT k.*, b.body IS NOT NULL OR s.body IS NOT NULL AS known FROM k LEFT JOIN b ON k.source = b.source AND k.body = b.body
       LEFT JOIN s ON k.source = s.source AND k.lang = s.lang AND k.body = s.body)
@@ -144,6 +145,18 @@ SELECT doc_id, any_value(source) AS source, any_value(lang) AS lang,
 FROM m GROUP BY doc_id
 """
 
+_NEAR = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+i AS (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM w WHERE len(ws) > 0),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 3], ' ') AS g FROM i),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.y FROM r JOIN e ON r.other = e.x)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id FROM r LEFT JOIN n USING (doc_id) GROUP BY doc_id
+"""
+
 _COPIES = """
 WITH g AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
@@ -152,4 +165,4 @@ FROM g WINDOW w AS (PARTITION BY t)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": _URLS, "op5_mixing": _MIX, "op8_line_dedup": _LINES, "op8_line_dedup_by_language": _LANGUAGE_LINES, "op9_exact_dedup": _COPIES}
+    return {"op3_url_filter": _URLS, "op5_mixing": _MIX, "op6_ngram_join": _NEAR, "op8_line_dedup": _LINES, "op8_line_dedup_by_language": _LANGUAGE_LINES, "op9_exact_dedup": _COPIES}
