@@ -10,13 +10,15 @@ one must share that many frequent ones; these are dealt into fewer subclasses th
 subclass holds two shared ones, and 2-combinations within subclasses are the index.
 
 Candidates only say which texts belong in one cluster.  Each cluster's whole sets are then
-compared exactly: a breadth-first search over an inverted index finds every link that joins two of
-its parts, so large groups of near copies never become a list of all pairs.
+compared exactly: a breadth-first search over an index of each set's rarest shingles finds every
+link that joins two of its parts, so large groups of near copies never become a list of all pairs,
+and texts that only share a passage never meet.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,13 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _BASE, _INVERSE, _powers
-from .common import free_name, quoted, stored, text_or_empty
+from .common import discarded, free_name, quoted, stored, text_or_empty
 from .components import connected_components
 
 #: Prefixes that hold a frequent shingle, at least.
 FREQUENT = 24
-#: Shingles of one cluster that one task compares; larger clusters are split into pairs of blocks.
-CLUSTER_SHINGLES = 8_000_000
+#: Shingles and texts of one cluster that one task compares; larger clusters are dealt into blocks.
+CLUSTER_SHINGLES, CLUSTER_TEXTS = 2_000_000, 1_000
 #: Clustered documents whose ids are broadcast (16 bytes each), at most.
 BROADCAST_IDS = 1_000_000
 
@@ -101,11 +103,13 @@ def near_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
 
     At scale: shuffles move shingle prefixes (about a quarter of the hashes), not sets; a frequent
     shingle is counted with combining and its rows meet in skew-split joins; texts cross a shuffle
-    only if they are in a cluster.  A cluster beyond :data:`CLUSTER_SHINGLES` is compared in pairs
-    of blocks, exactly.
+    only if they are in a cluster.  A cluster beyond :data:`CLUSTER_SHINGLES` or
+    :data:`CLUSTER_TEXTS` is dealt into blocks (see :func:`_verified`), exactly.
     """
     if not 50 < percent <= 100:
         raise ValueError("percent must be over 50 and at most 100")
+    if dict(docs.dtypes)[id] not in ("tinyint", "smallint", "int", "bigint"):
+        raise TypeError("ids must be integers")
     num, den = percent, 100
     base = docs.select(F.col(quoted(id)).cast("long").alias("id"), text_or_empty(quoted(text)).alias("t"))
 
@@ -155,108 +159,203 @@ def _candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
     low = _extra_column(F.ceil(F.col("n") * num / den), num, den)
     high = _extra_column(F.col("n"), num, den)
     band = lambda x: F.floor(F.log2(F.greatest(x - 1, F.lit(1)).cast("double")) + 1e-9).cast("int")
-    hot = seen.where("frequent = 1").where(F.col("hot") >= low).select("h", "rep", F.explode(F.array_distinct(F.array(band(low), band(high)))).alias("band"))
+    hot = seen.where("frequent = 1").where(F.col("hot") >= low).select("h", "rep", "n", F.explode(F.array_distinct(F.array(band(low), band(high)))).alias("band"))
     sub = F.col("h").bitwiseAND(F.expr("shiftleft(1L, band) - 1"))
-    grouped = hot.groupBy("rep", "band", sub.alias("sub")).agg(F.array_sort(F.collect_list("h")).alias("hs")).where(F.size("hs") > 1)
-    two = F.flatten(F.transform("hs", lambda x, i: F.transform(F.slice(F.col("hs"), i + 2, F.size("hs")), lambda y: F.xxhash64(F.col("band"), x, y))))
-    combos = grouped.select("rep", F.explode(two).alias("sig"))
+    grouped = hot.groupBy("rep", "n", "band", sub.alias("sub")).agg(F.array_sort(F.collect_list("h")).alias("hs")).where(F.size("hs") > 1)
+    # sizes of linked sets lie in one span or in two that touch: sets of other sizes never meet
+    span = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(max(den / num, 1.01) * (1 + 1e-6)))).cast("int")
+    two = F.flatten(F.transform("hs", lambda x, i: F.transform(F.slice(F.col("hs"), i + 2, F.size("hs")), lambda y: F.xxhash64(F.col("band"), F.col("span"), x, y))))
+    combos = grouped.withColumn("span", F.explode(F.array(span, span + 1))).select("rep", F.explode(two).alias("sig"))
     hubs = combos.groupBy("sig").agg(F.min("rep").alias("hub"), F.max("rep").alias("far")).where("hub <> far").select("sig", "hub")
     frequent = combos.join(hubs, "sig").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     return rare.union(frequent)
 
 
 def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int, num: int, den: int, same: DataFrame) -> DataFrame:
-    """The classes ``(node, component)`` that exact comparison within clusters leaves."""
+    """The classes ``(node, component)`` that exact comparison within clusters leaves.
+
+    A cluster too large for one task is dealt into blocks, each compared in itself.  Then the
+    smallest texts' ids of all classes found so far are compared with each other, which makes one
+    class of a large group of near copies.  What may still be missed joins two classes, so all texts
+    outside the largest class of their cluster are compared with every text of it, block by block.
+    """
     placed = clusters.join(sizes, clusters["node"] == sizes["rep"]).select("node", "component", "n")
-    totals = placed.groupBy("component").agg(F.sum("n").alias("total"))
-    placed = placed.join(totals, "component").select("node", "component", F.ceil(F.col("total") / CLUSTER_SHINGLES).cast("int").alias("blocks"))
+    totals = placed.groupBy("component").agg(F.sum("n").alias("total"), F.count("*").alias("texts"))
+    blocks = F.greatest(F.ceil(F.col("total") / CLUSTER_SHINGLES), F.ceil(F.col("texts") / CLUSTER_TEXTS)).cast("int")
+    placed = placed.join(totals, "component").select("node", "component", blocks.alias("blocks"))
     placed = stored(placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "placed")
-    few = placed.count() <= BROADCAST_IDS
-    rows = base.join(F.broadcast(placed) if few else placed, base["id"] == placed["node"]).select("id", "t", "component", "blocks", "block")
-    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.least(F.col("block"), j).alias("i"), F.greatest(F.col("block"), j).alias("j")))
-    rows = rows.select("component", "blocks", F.explode(others).alias("at"), "id", "t")
-    rows = rows.repartition("component", "at").sortWithinPartitions("component", "at")
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for blocks, ids, texts in _groups(batches):
-            a, b = linked([shingles(t, width) for t in texts], np.array(ids, np.int64), num, den)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), blocks > 1))], names=["a", "b", "split"])
-
-    found = rows.select("component", "at.i", "at.j", "blocks", "id", "t").mapInArrow(compared, "a long, b long, split boolean")
-    found = stored(found, "links")
-    if not found.where("split").isEmpty() or not same.isEmpty():
+
+    def compared(rows: DataFrame, between: bool = False) -> DataFrame:
+        """Links within each ``(component, i, j)`` of rows, or of those that ask with all."""
+        few = rows.count() <= BROADCAST_IDS
+        met = base.join(F.broadcast(rows) if few else rows, base["id"] == rows["node"]).select("component", "i", "j", "asks", "label", "id", "t")
+        met = met.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for asks, labels, ids, texts in _groups(batches):
+                sets = Sets([shingles(t, width) for t in texts], num, den)
+                a, b = sets.between(ids, asks, labels) if between else sets.classes(ids)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        return stored(met.mapInArrow(run, "a long, b long"), "links")
+
+    zero, no = F.lit(0), F.lit(False)
+    found = compared(placed.select("node", "component", F.col("block").alias("i"), zero.alias("j"), no.alias("asks"), F.col("node").alias("label")))
+    large = placed.where("blocks > 1")
+    if not large.isEmpty():
+        own = large.join(found, F.col("node") == F.col("a"), "left").select("node", "component", F.coalesce("b", "node").alias("label"))
+        first = own.where("node = label")
+        fits = first.groupBy("component").agg(F.count("*").alias("c")).where(F.col("c") <= CLUSTER_TEXTS).select("component")
+        more = compared(first.join(fits, "component").select("node", "component", zero.alias("i"), zero.alias("j"), no.alias("asks"), "label"))
+        merged = connected_components(found.select("a", "b").union(more.select("a", "b")))
+        named = large.join(merged.select(F.col("node").alias("of"), F.col("component").alias("to")), F.col("node") == F.col("of"), "left")
+        named = stored(named.select("node", "component", "blocks", "block", F.coalesce("to", "node").alias("label")), "named")
+        main = named.groupBy("component", "label").agg(F.count("*").alias("c")).groupBy("component").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
+        rest = named.join(main, "component").withColumn("asks", F.col("label") != F.col("main"))
+        asked = rest.where("asks").groupBy("component").agg(F.ceil(F.count("*") / CLUSTER_TEXTS).cast("int").alias("parts"))
+        rest = rest.join(asked, "component")
+        every = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+        mine = F.pmod(F.xxhash64(F.lit(1), "node"), F.col("parts")).cast("int")
+        asking = rest.where("asks").select("node", "component", F.explode(every("blocks")).alias("i"), mine.alias("j"), "asks", "label")
+        held = rest.select("node", "component", F.col("block").alias("i"), F.explode(every("parts")).alias("j"), no.alias("asks"), "label")
+        across = compared(asking.union(held), between=True)
+        found = found.select("a", "b").union(more.select("a", "b")).union(across.select("a", "b"))
+        return connected_components(found.union(same))
+    if not same.isEmpty():
         return connected_components(found.select("a", "b").union(same))
+    discarded(placed)
     return found.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[int], list[str]]]:
-    """Runs of rows with the same first three columns."""
-    key, blocks, ids, texts = None, 1, [], []
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]]:
+    """Runs of rows with the same first three columns: the columns after them."""
+    key, kept = None, []
+
+    def made():
+        asks, labels, ids, texts = zip(*kept, strict=True)
+        return np.array(asks, bool), np.array(labels, np.int64), np.array(ids, np.int64), list(texts)
+
     for batch in batches:
-        for c, i, j, n, x, t in zip(*[col.to_pylist() for col in batch.columns], strict=True):
+        for c, i, j, *rest in zip(*[col.to_pylist() for col in batch.columns], strict=True):
             if (c, i, j) != key:
-                if ids:
-                    yield blocks, ids, texts
-                key, blocks, ids, texts = (c, i, j), n, [], []
-            ids.append(x)
-            texts.append(t)
-    if ids:
-        yield blocks, ids, texts
+                if kept:
+                    yield made()
+                key, kept = (c, i, j), []
+            kept.append(rest)
+    if kept:
+        yield made()
 
 
-def linked(sets: list[np.ndarray], ids: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(id, smallest id of its class)`` for all sets that link with another, compared exactly.
+class Sets:
+    """Shingle sets with an index that finds all sets that link with one of them.
 
-    Breadth-first: each set is compared once, by counts over an inverted index, with all that no
-    class has reached yet.  Sets with equal ids are one from the start.
+    Two linked sets share a shingle among the first ``n - need + 1`` of each, in the order of how
+    few of these sets hold a shingle.  Only those are indexed, and only if two sets hold them; what
+    they find is compared whole.
     """
-    m = len(sets)
-    size = np.array([len(s) for s in sets], np.int64)
-    doc = np.repeat(np.arange(m), size)
-    _, token, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    several = df[token] > 1
-    doc, token = doc[several], token[several]
-    by_doc = np.searchsorted(doc, np.arange(m + 1))
-    order = np.argsort(token, kind="stable")
-    posting, at = doc[order], np.searchsorted(token[order], np.arange(len(df) + 1))
-    open_, label = np.ones(m, bool), np.arange(m)
-    twins = {int(x): np.flatnonzero(ids == x) for x in np.unique(ids)[np.unique(ids, return_counts=True)[1] > 1]}
-    left = live = m
-    for first in np.argsort(ids, kind="stable"):
-        if not open_[first]:
-            continue
-        open_[first] = False
-        left -= 1
-        queue = [first]
-        while queue:
-            x = queue.pop()
-            mine = token[by_doc[x] : by_doc[x + 1]]
-            lo, n = at[mine], at[mine + 1] - at[mine]
-            hits = posting[np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())] if len(mine) else posting[:0]
-            both = np.bincount(hits[open_[hits]], minlength=m)
-            new = np.flatnonzero(open_ & (den * both >= num * (size[x] + size - both)) & (both > 0))
-            if int(ids[x]) in twins:
-                new = np.union1d(new, twins[int(ids[x])][open_[twins[int(ids[x])]]])
-            open_[new] = False
-            label[new] = first
-            left -= len(new)
-            queue += new.tolist()
-            if left * 2 < live:  # the index forgets what classes have taken
-                keep = open_[posting]
-                posting, at, live = posting[keep], np.r_[0, np.cumsum(keep)][at], left
-    label = ids[label]
-    far = label != ids
-    a = np.r_[ids[far], np.unique(label[far])]
-    b = np.r_[label[far], np.unique(label[far])]
-    return a, b
+
+    def __init__(self, sets: list[np.ndarray], num: int, den: int):
+        self.num, self.den = num, den
+        self.size = size = np.array([len(s) for s in sets], np.int64)
+        _, self.token, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        self.start = np.r_[0, np.cumsum(size)]
+        doc = np.repeat(np.arange(len(sets)), size)
+        order = np.lexsort((self.token, df[self.token], doc))
+        rank = np.arange(len(doc)) - self.start[doc]
+        lack = size - _need(size, num, den)
+        head = order[(rank <= lack[doc]) & (df[self.token[order]] > 1)]
+        doc, token = doc[head], self.token[head]
+        self.heads, self.by_doc = token, np.searchsorted(doc, np.arange(len(sets) + 1))
+        by_token = np.argsort(token, kind="stable")
+        self.posting, self.at = doc[by_token], np.searchsorted(token[by_token], np.arange(len(df) + 1))
+        self.held = np.zeros(len(df), bool)
+
+    def forget(self, keep: np.ndarray) -> None:
+        """Drop sets from the index."""
+        mask = keep[self.posting]
+        self.posting, self.at = self.posting[mask], np.r_[0, np.cumsum(mask)][self.at]
+
+    def near(self, x: int, among: np.ndarray) -> np.ndarray:
+        """The sets of those flagged that link with set ``x``."""
+        mine = self.heads[self.by_doc[x] : self.by_doc[x + 1]]
+        lo, n = self.at[mine], self.at[mine + 1] - self.at[mine]
+        hits = self.posting[np.repeat(lo - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())] if len(mine) else self.posting[:0]
+        hits = np.unique(hits[among[hits]])
+        size, own = self.size, self.size[x]
+        hits = hits[(np.minimum(size[hits], own) * self.den >= np.maximum(size[hits], own) * self.num)]
+        if not len(hits):
+            return hits
+        self.held[self.token[self.start[x] : self.start[x + 1]]] = True
+        ends = np.cumsum(size[hits])
+        flat = np.repeat(self.start[hits] - np.r_[0, ends[:-1]], size[hits]) + np.arange(ends[-1])
+        both = np.add.reduceat(self.held[self.token[flat]].astype(np.int64), np.r_[0, ends[:-1]])
+        self.held[self.token[self.start[x] : self.start[x + 1]]] = False
+        return hits[self.den * both >= self.num * (own + size[hits] - both)]
+
+    def classes(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(id, smallest id of its class)`` for all sets that link with another.
+
+        Breadth-first: each set is compared once with all that no class has reached yet.  Sets with
+        equal ids are one from the start.
+        """
+        m = len(ids)
+        open_, label = np.ones(m, bool), np.arange(m)
+        one, times = np.unique(ids, return_counts=True)
+        twins = {int(x): np.flatnonzero(ids == x) for x in one[times > 1]}
+        left = live = m
+        for first in np.argsort(ids, kind="stable"):
+            if not open_[first]:
+                continue
+            open_[first] = False
+            left -= 1
+            queue = [first]
+            while queue:
+                x = queue.pop()
+                new = self.near(x, open_)
+                if int(ids[x]) in twins:
+                    new = np.union1d(new, twins[int(ids[x])][open_[twins[int(ids[x])]]])
+                open_[new] = False
+                label[new] = first
+                left -= len(new)
+                queue += new.tolist()
+                if left * 2 < live:  # the index forgets what classes have taken
+                    self.forget(open_)
+                    live = left
+        label = ids[label]
+        far = label != ids
+        return np.r_[ids[far], np.unique(label[far])], np.r_[label[far], np.unique(label[far])]
+
+    def between(self, ids: np.ndarray, asks: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(id, label)`` for each set that asks and each other label among the sets it links with."""
+        out = []
+        self.forget(~asks)
+        for x in np.flatnonzero(asks):
+            out += [(ids[x], y) for y in np.unique(labels[self.near(x, ~asks & (labels != labels[x]))])]
+        a, b = np.array(out, np.int64).reshape(-1, 2).T
+        return a, b
 
 
 def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row for each class of :func:`near_classes`: that with the smallest id.
 
-    Rows without an id stay; of rows that repeat a kept id one stays.
+    * Rows without an id stay, and so do texts without words, each under its own id.
+    * Rows that share an id are told apart by their texts, each a document of its own: of a class
+      the one with the smallest id (then the smallest digest) stays.
+    * Of rows that share id and text that stays whose columns hash lowest.
+    * Other columns pass through whatever their names.  An empty table gives an empty table.
+
+    Texts cross one exchange, in the join with the ids that stay.
     """
-    kept = near_classes(docs, id, text, width, percent).where(F.col("component_id") == F.col(quoted(id))).select(F.col(quoted(id)).alias("k")).distinct()
-    kept = kept.withColumnRenamed("k", free_name(docs, "keep__"))
-    left = docs.join(kept, F.col(quoted(id)) == F.col(kept.columns[0]), "left_semi").dropDuplicates([id])
-    return left.union(docs.where(F.col(quoted(id)).isNull()))
+    key, own, row = (free_name(docs, x) for x in ("keep__", "own__", "row__"))
+    named = docs.where(F.col(quoted(id)).isNotNull())
+    nameless = docs.where(F.col(quoted(id)).isNull())
+    if named.groupBy(quoted(id)).count().where("count > 1").isEmpty():
+        kept = near_classes(named, id, text, width, percent).where(F.col("component_id") == F.col(quoted(id))).select(F.col(quoted(id)).alias(key))
+        return named.join(kept, F.col(quoted(id)) == F.col(key), "left_semi").union(nameless)
+    each = named.withColumns({own: F.xxhash64(quoted(id), text_or_empty(quoted(text))), row: F.xxhash64(F.to_json(F.struct(*[F.col(quoted(c)) for c in docs.columns])))})
+    classes = near_classes(each.select(F.col(own).alias("doc"), F.col(quoted(text)).alias("text")), "doc", "text", width, percent).distinct()
+    ids = each.select(F.col(own).alias("own"), F.col(quoted(id)).alias("id"), F.col(row).alias("row"))
+    first = ids.join(classes, F.col("own") == F.col("doc")).groupBy("component_id").agg(F.min(F.struct("id", "own", "row")).alias("k"))
+    kept = stored(first.select(F.col("k.own").alias(key), F.col("k.row").alias(key + "row")), "kept")
+    left = each.join(kept, (F.col(own) == F.col(key)) & (F.col(row) == F.col(key + "row")), "left_semi").dropDuplicates([own, row])
+    return left.drop(own, row).union(nameless)

@@ -72,8 +72,10 @@ def test_classes_equal_brute_force(spark, seed, width, percent):
     assert got == brute(rows, width, percent)
 
 
-def test_split_clusters_give_the_same(spark, monkeypatch):
-    monkeypatch.setattr(jaccard, "CLUSTER_SHINGLES", 3000)
+@pytest.mark.parametrize("texts", [7, 60])
+def test_split_clusters_give_the_same(spark, monkeypatch, texts):
+    monkeypatch.setattr(jaccard, "CLUSTER_TEXTS", texts)
+    monkeypatch.setattr(jaccard, "CLUSTER_SHINGLES", 9000)
     monkeypatch.setattr(jaccard, "BROADCAST_IDS", 0)
     rows = made(4)
     df = spark.createDataFrame(rows, "doc_id long, text string")
@@ -81,6 +83,19 @@ def test_split_clusters_give_the_same(spark, monkeypatch):
     assert got == brute(rows, 4, 85)
 
 
+def test_a_passage_on_many_pages_joins_nothing(spark):
+    """10,000 pages share a passage and no more: sets that only share it never meet in a comparison."""
+    rng = random.Random(8)
+    passage = [f"p{i}" for i in range(30)]
+    rows = [(i, " ".join([f"w{rng.randrange(50_000)}" for _ in range(rng.randint(60, 140))] + passage)) for i in range(10_000)]
+    rows += [(20_000 + i, rows[i][1] + " end") for i in range(5)] + [(30_000, "漢" * 100_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.component_id for r in jaccard.near_classes(df, width=4, percent=85).collect()}
+    assert got == {i: i - 20_000 if 20_000 <= i < 30_000 else i for i, _ in rows}
+    sets = jaccard.Sets([jaccard.shingles(t, 4) for _, t in rows[:2_000]], 85, 100)
+    assert len(sets.posting) < 200
+
+
 def test_queries_tables_equal_brute_force(spark):
     sf = "/root/testdata/sf0.01"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
@@ -96,7 +111,21 @@ def test_edges(spark):
     got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in jaccard.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), width=4).collect())
     assert got == sorted([("1", 7, "1"), ("1", 7, "1"), ("2", 7, "1"), ("None", 7, "1"), ("None", 0, "None"), ("5", 7, "1"), ("7", 1, "7"), ("7", 14, "7")])
     kept = jaccard.keep_one(spark.createDataFrame(rows, "doc_id long, text string"), width=4)
-    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "7", "None", "None"]
+    assert sorted((str(r.doc_id), r.text) for r in kept.where("doc_id is not null").collect()) == [("1", t), ("7", t + " k l m n o p q"), ("7", "z y")]
+    assert kept.where("doc_id is null").count() == 2
+    with pytest.raises(TypeError):
+        jaccard.near_classes(spark.createDataFrame([("a", t)], "doc_id string, text string"))
+
+
+def test_keep_one_keeps_other_columns(spark):
+    t = " ".join(f"w{i}" for i in range(40))
+    rows = [(3, t, 1, "x"), (2, t + " end", 2, "y"), (5, "", 3, "z"), (6, None, 4, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `keep__` int, `a.b` string")
+    assert sorted(map(tuple, jaccard.keep_one(df).collect())) == [rows[1], rows[2], rows[3]]
+    again = spark.createDataFrame([*rows, (2, t + " end", 9, "y"), (5, "", 3, "z"), (2, "another text", 0, "w")], df.schema)
+    out = [tuple(sorted(map(tuple, jaccard.keep_one(x).collect()), key=str)) for x in (again, again.orderBy("keep__", ascending=False))]
+    assert out[0] == out[1] and [r[0] for r in out[0]] == [2, 2, 5, 6] and out[0][1][1] in ("another text", t + " end")
+    assert jaccard.keep_one(df.limit(0)).count() == 0 and jaccard.keep_one(df).columns == df.columns
 
 
 def test_linked_forgets_nothing():
@@ -107,7 +136,11 @@ def test_linked_forgets_nothing():
         s = base.copy()
         s[rng.choice(300, rng.integers(0, 30), replace=False)] = rng.choice(10**9, 1)
         sets.append(np.unique(s))
-    a, b = jaccard.linked(sets, np.arange(400), 85, 100)
-    full = np.array([[len(np.intersect1d(x, y)) for y in sets[:60]] for x in sets[:60]])
-    assert (full > 0).all()
+    both = np.array([[len(np.intersect1d(x, y)) for y in sets[:60]] for x in sets[:60]])
+    size = np.array([len(x) for x in sets[:60]])
+    links = 100 * both >= 85 * (size[:, None] + size - both)
+    index = jaccard.Sets(sets[:60], 85, 100)
+    for x in range(60):
+        assert (np.isin(np.arange(60), index.near(x, np.ones(60, bool))) == links[x]).all()
+    a, b = jaccard.Sets(sets, 85, 100).classes(np.arange(400))
     assert set(b) <= set(range(400)) and (b <= a).all()
