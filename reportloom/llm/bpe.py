@@ -22,12 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BATCH_BYTES, free_name, quoted, text_or_empty
+from .common import BATCH_BYTES, HEAVY, free_name, mapped, quoted, stored, text_or_empty
 
 #: Split of a text before the merges (fixed value: the byte-level pattern of the vocabulary).
 PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Bytes of the rolling window, least bytes of a chunk, and 1 in how many bytes ends one.
 WINDOW, LEAST, ONE_IN = 24, 1024, 1024
+#: Texts that one copy of a shared chunk's ids goes out to, about.
+SHARERS = 500
 
 
 class Codec:
@@ -73,16 +75,23 @@ class Codec:
         return [*out, text[at:]]
 
     def joined(self, chunks: list[str], ids: list[np.ndarray]) -> np.ndarray:
-        """The ids of the text that the chunks make up, from the ids of each."""
+        """The ids of the text that the chunks make up, from the ids of each.
+
+        A chunk that is one piece of the pattern from end to end gives a repair nothing to agree on:
+        it becomes one with the chunk before it, and a run of such chunks is encoded once, at its end.
+        """
+        runs: list[list[int]] = []
+        for i, x in enumerate(chunks):
+            if runs and self.scan.match(x).end() == len(x):
+                runs[-1].append(i)
+            else:
+                runs.append([i])
+        texts = ["".join(chunks[i] for i in run) for run in runs]
+        known = [ids[run[0]] if len(run) == 1 else self.plain(x) for run, x in zip(runs, texts, strict=True)]
         done: list[np.ndarray] = []
-        text, tail = chunks[0], ids[0]
-        for nxt, more in zip(chunks[1:], ids[1:], strict=True):
-            fixed = self._repair(text, tail, nxt, more)
-            if fixed is None:  # no agreement inside either chunk: they become one
-                text += nxt
-                tail = self.plain(text)
-                continue
-            before, window, after, rest = fixed
+        text, tail = texts[0], known[0]
+        for nxt, more in zip(texts[1:], known[1:], strict=True):
+            before, window, after, rest = self._repair(text, tail, nxt, more)
             # what stands before the window is final; the window and the next chunk go on
             done.append(tail[:before])
             text, tail = rest, np.concatenate([window, more[after:]])
@@ -94,7 +103,8 @@ class Codec:
         Returns (ids kept of a, ids of the window, ids dropped from b, text from the window on).
         A boundary of a's scan holds in the joined text if its match ended two or more characters
         before the cut: the pattern looks no further ahead.  One of b's scan holds as soon as the
-        scan of the window meets it: both go on from there alike.
+        scan of the window meets it: both go on from there alike.  With all of both chunks in the
+        window their ends are such boundaries, so an agreement is found at the latest then.
         """
         back = ahead = 32
         while True:
@@ -117,7 +127,7 @@ class Codec:
                     if found and (right := self._ids(found[1])) == b_ids[: len(right)].tolist():
                         return len(a_ids) - len(tail), np.array(self._ids(found[0]), np.uint32), len(right), near[start:] + b
             if back == len(a) and ahead == len(b):
-                return None
+                raise ValueError("the ids of a chunk are not those of its text")
             back, ahead = back * 4, ahead * 4
 
     def _meeting(self, left: str, head: str, limit: int) -> tuple[list[str], list[str]] | None:
@@ -223,11 +233,15 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
     * A column that clashes with an added one (in any case) is replaced; other columns pass through.
     * An empty table gives an empty table.
 
-    Plan: one pass lists the chunk digests of each text (no text is shuffled); a grouped count
-    keeps those that occur twice or more, with the smallest (text, place) as owner.  The texts,
-    compressed, are dealt out by their digest once, and both joins read that one exchange: owners
-    encode their chunks, whose ids go to the texts that share them; the last pass encodes what is
-    left and repairs the joins.  No step holds more than one text and its shared chunks at a time.
+    Plan: one pass lists and stores the chunk digests of each text (no text is shuffled); a grouped
+    count keeps those that occur twice or more, with the smallest (text, place) as owner.  Chunks
+    with over one in :data:`HEAVY` of all places, of which there are fewer than that, meet their
+    places by broadcast.  The texts, compressed, are dealt out by their digest once, and both joins
+    read that one exchange: owners encode their chunks, whose ids go to the texts that share them
+    (one copy of the ids for each :data:`SHARERS` places, so no task gathers a popular chunk's); the
+    last pass encodes what is left and repairs the joins.  Copies of one text lie side by side
+    there, and the first one's ids serve all.  No step holds more than one text and its shared
+    chunks at a time.
     """
     added = [ids] + ([decoded] if decoded else [])
     lost = {x.lower() for x in added} | (set() if keep_text else {text.lower()})
@@ -251,10 +265,15 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(places, pa.int32()), pa.array(digests, pa.binary())], names=["k", "i", "h"])
 
     keyed = F.unhex(F.md5(text_or_empty(quoted(text)).cast("binary")))
-    refs = docs.select(keyed.alias("k"), text_or_empty(quoted(text)).alias("t")).mapInArrow(listed, "k binary, i int, h binary")
-    counts = refs.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("k", "i")).alias("owner")).where("n > 1").select("h", "owner")
-    places = refs.join(counts, "h").select("k", "i", "h", (F.struct("k", "i") == F.col("owner")).alias("own"))
-    places = places.groupBy("k", "i", "h", "own").count().drop("count")
+    refs = stored(docs.select(keyed.alias("k"), text_or_empty(quoted(text)).alias("t")).mapInArrow(listed, "k binary, i int, h binary"), "chunks")
+    total = refs.count()
+    counts = refs.groupBy("h").agg(F.count("*").alias("n"), F.min(F.struct("k", "i")).alias("owner")).where("n > 1")
+    # copies of a text have the same places: each counts once from here on
+    each = refs.groupBy("k", "i", "h").count().drop("count")
+    heavy = F.broadcast(counts.where(F.col("n") * HEAVY > total))
+    places = each.join(heavy, "h").union(each.join(heavy.select("h"), "h", "left_anti").join(counts.where(F.col("n") * HEAVY <= total), "h"))
+    salts = F.ceil(F.col("n") / SHARERS).cast("int")
+    places = places.select("k", "i", "h", (F.struct("k", "i") == F.col("owner")).alias("own"), salts.alias("salts"), F.pmod(F.xxhash64("k", "i"), salts).cast("int").alias("salt"))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = zstandard.ZstdCompressor(level=1)
@@ -264,49 +283,56 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
 
     fields = [T.StructField(c, docs.schema[c].dataType) for c in rest]
     base = docs.select(*[F.col(quoted(c)) for c in rest], keyed.alias(key), text_or_empty(quoted(text)).alias(packed))
-    base = base.mapInArrow(pack, T.StructType([*fields, T.StructField(key, T.BinaryType()), T.StructField(packed, T.BinaryType())]))
+    base = mapped(base, pack, T.StructType([*fields, T.StructField(key, T.BinaryType()), T.StructField(packed, T.BinaryType())]))
 
     def owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, unpack = codec(vocabulary), zstandard.ZstdDecompressor()
         last = None
         for batch in batches:
-            hs, out = [], []
+            hs, copies, out = [], [], []
             for k, data, mine in zip(*(batch.column(x).to_pylist() for x in (key, packed, owned)), strict=True):
                 if mine and k != last:  # the join leaves copies of a text side by side: one of them is enough
-                    last, wanted = k, set(mine)
+                    last, wanted = k, {x["i"]: x["salts"] for x in mine}
                     flat = [x for part in _pieces(c, unpack.decompress(data).decode("utf-8", "surrogatepass")) if not isinstance(part, int) for x in part]
-                    for i in wanted:
+                    for i, salts in wanted.items():
                         hs.append(_digest(flat[i]))
+                        copies.append(salts)
                         out.append(c.plain(flat[i].decode("utf-8", "surrogatepass")).astype("<u4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(hs, pa.binary()), pa.array(out, pa.binary())], names=["h", "ids"])
-
-    own = places.where("own").groupBy("k").agg(F.collect_list("i").alias(owned)).withColumnRenamed("k", key)
-    encoded = base.join(own, key, "left").mapInArrow(owners, "h binary, ids binary").groupBy("h").agg(F.first("ids").alias("ids"))
-    given = places.select("k", "i", "h").join(encoded, "h").groupBy("k").agg(F.collect_list(F.struct("i", "ids")).alias(shared)).withColumnRenamed("k", key)
+            yield pa.RecordBatch.from_arrays([pa.array(hs, pa.binary()), pa.array(copies, pa.int32()), pa.array(out, pa.binary())], names=["h", "salts", "ids"])
+
+    own = places.where("own").groupBy("k").agg(F.collect_list(F.struct("i", "salts")).alias(owned)).withColumnRenamed("k", key)
+    encoded = mapped(base.join(own, key, "left"), owners, T.StructType([T.StructField("h", T.BinaryType()), T.StructField("salts", T.IntegerType()), T.StructField("ids", T.BinaryType())]))
+    encoded = encoded.groupBy("h", "salts").agg(F.first("ids").alias("ids")).select("h", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "ids")
+    given = places.select("k", "i", "h", "salt").join(encoded, ["h", "salt"]).groupBy("k").agg(F.collect_list(F.struct("i", "ids")).alias(shared)).withColumnRenamed("k", key)
+
+    def whole_of(c: Codec, t: str, had: dict[int, np.ndarray]) -> np.ndarray:
+        parts, i = [], 0
+        for part in _pieces(c, t):
+            if isinstance(part, int):
+                parts.append(np.array([part], np.uint32))
+                continue
+            chunks = [x.decode("utf-8", "surrogatepass") for x in part]
+            parts.append(c.joined(chunks, [had[i + j] if i + j in had else c.plain(x) for j, x in enumerate(chunks)]))
+            i += len(chunks)
+        return _concat(parts)
 
     def finished(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, unpack = codec(vocabulary), zstandard.ZstdDecompressor()
+        last, t, coded, back = None, "", b"", ""
         for batch in batches:
             out: dict[str, list] = {"texts": [], "found": [], "back": []}
             size = start = 0
-            for at, (data, got) in enumerate(zip(batch.column(packed), batch.column(shared), strict=True)):
-                t = unpack.decompress(data.as_py()).decode("utf-8", "surrogatepass")
-                had = {x["i"]: np.frombuffer(x["ids"], "<u4") for x in got.as_py() or ()}
-                parts, i = [], 0
-                for part in _pieces(c, t):
-                    if isinstance(part, int):
-                        parts.append(np.array([part], np.uint32))
-                        continue
-                    chunks = [x.decode("utf-8", "surrogatepass") for x in part]
-                    parts.append(c.joined(chunks, [had[i + j] if i + j in had else c.plain(x) for j, x in enumerate(chunks)]))
-                    i += len(chunks)
-                whole = _concat(parts)
-                out["found"].append(whole.astype("<u4").tobytes())
+            for at, (k, data, got) in enumerate(zip(batch.column(key), batch.column(packed), batch.column(shared), strict=True)):
+                if k != last:
+                    last, t = k, unpack.decompress(data.as_py()).decode("utf-8", "surrogatepass")
+                    whole = whole_of(c, t, {x["i"]: np.frombuffer(x["ids"], "<u4") for x in got.as_py() or ()})
+                    coded, back = whole.astype("<u4").tobytes(), c.text(whole) if decoded else ""
+                out["found"].append(coded)
                 if keep_text:
                     out["texts"].append(t)
                 if decoded:
-                    out["back"].append(c.text(whole))
-                size += 2 * len(t) + len(out["found"][-1])
+                    out["back"].append(back)
+                size += 2 * len(t) + len(coded)
                 if size > BATCH_BYTES:
                     yield _out(batch.slice(start, at + 1 - start), **out)
                     out = {k: [] for k in out}
@@ -322,7 +348,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
     schema = T.StructType([T.StructField(c, T.StringType() if c.lower() == text.lower() else docs.schema[c].dataType) for c in order] + [T.StructField(ids, T.BinaryType())])
     if decoded:
         schema = schema.add(decoded, T.StringType())
-    return base.join(given, key, "left").mapInArrow(finished, schema)
+    return mapped(base.join(given, key, "left"), finished, schema)
 
 
 def ids_of(data: bytes) -> list[int]:
@@ -352,4 +378,4 @@ def decode(encoded: DataFrame, vocabulary: str, ids: str = "ids", to: str = "dec
             yield pa.RecordBatch.from_arrays([*batch.slice(start).columns, pa.array(out, pa.string())], names=[*kept, to])
 
     schema = T.StructType([encoded.schema[c] for c in kept] + [T.StructField(to, T.StringType())])
-    return encoded.select(*[F.col(quoted(c)) for c in kept]).mapInArrow(texts, schema)
+    return mapped(encoded.select(*[F.col(quoted(c)) for c in kept]), texts, schema)

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import public_tokenizers
 from pyspark.sql import functions as F
@@ -28,6 +29,24 @@ def test_joined_chunks_equal_whole_text():
         assert c.joined(chunks, [c.plain(x) for x in chunks]).tolist() == c.plain(s).tolist(), chunks
 
 
+def test_unbroken_text_is_linear():
+    """Letters without a break, and then some: as fast in chunks as in one go, but for a factor."""
+    c = bpe.codec(PATH)
+    rng = random.Random(3)
+    for text in ("".join(rng.choices("abcdefghij", k=2_000_000)), ("".join(rng.choices("abc", k=30_000)) + " and ,") * 20, "漢字" * 20_000 + "。" + "語" * 40_000, "x" * 60_000 + "!" * 60_000 + " " * 60_000):
+        begin = time.perf_counter()
+        whole = c.plain(text)
+        once = time.perf_counter() - begin
+        data = text.encode()
+        ends = bpe.cuts(data)
+        chunks = [data[i:j].decode() for i, j in zip([0, *ends], ends, strict=False)]
+        assert len(text) < 10**6 or len(chunks) > 500
+        begin = time.perf_counter()
+        ids = [c.plain(x) for x in chunks]
+        assert c.joined(chunks, ids).tolist() == whole.tolist()
+        assert time.perf_counter() - begin < 4 * once + 1
+
+
 def test_cuts_follow_content():
     rng = random.Random(1)
     body = "".join(rng.choice("abcdefg hij\n") for _ in range(60_000))
@@ -37,7 +56,7 @@ def test_cuts_follow_content():
     assert all(x % 2 == 0 for x in bpe.cuts("é".encode() * 40_000))
 
 
-def test_encode_equals_the_library(spark):
+def test_encode_equals_the_library(spark, monkeypatch):
     rng = random.Random(2)
     words = ["alpha", "beta,", "don't", "we're", "12,000", "naïve", "漢字", "🙂", "\n\n", "x  y", "ing"]
     long = " ".join(rng.choice(words) for _ in range(30_000))
@@ -45,6 +64,10 @@ def test_encode_equals_the_library(spark):
     texts = [None, "", " ", "\n", "a", long, long, shared + "tail", "head" + shared, "x" * 70_000, "<|endoftext|>", "a<|endoftext|> b<|endoftext|>", "\x00\x1c odd", "'" * 50, " " * 3_000 + "end"]
     rows = [(i, t, "k") for i, t in enumerate(texts)] + [(3, "again", "k"), (3, "again", "k"), (None, "no id", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, IDS string")
+    monkeypatch.setattr(bpe, "SHARERS", 2)
+    monkeypatch.setattr(bpe, "HEAVY", 20)
+    df = df.union(spark.createDataFrame([(100 + i, shared + f" number {i}", "x") for i in range(40)], df.schema))
+    rows += [(100 + i, shared + f" number {i}", "x") for i in range(40)]
     out = bpe.decode(bpe.encode(df, PATH), PATH)
     assert out.columns == ["doc_id", "text", "ids", "decoded"]
     got = sorted((str(r.doc_id), r.text or "", bpe.ids_of(r.ids), r.decoded) for r in out.collect())
