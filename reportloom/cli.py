@@ -1,6 +1,7 @@
-"""Commands: ``python -m reportloom.cli series|graph|rules|crosswalk|search PATH ...``.
+"""Commands: ``python -m reportloom.cli series|graph|rules|crosswalk|manifest|site|index|search|cite PATH ...``.
 
-Documents are a Parquet table with the columns that the operators name.  A check exits with 0 (all
+Documents are a Parquet table with the columns that the operators name, or a folder of Markdown
+files with ``--markdown``; ``search`` takes what ``index`` wrote.  A check exits with 0 (all
 well), 1 (violations or a stale table) or 2 (it could not run, which is not a pass).
 """
 
@@ -14,11 +15,12 @@ from pyspark.sql import functions as F
 
 from .functions import text
 from .operators import catalogue, citations, entities, graph, quality, search, series, sinks
+from .sources import frontmatter
 
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     p = argparse.ArgumentParser(prog="reportloom")
-    p.add_argument("command", choices=["series", "graph", "rules", "crosswalk", "manifest", "search", "cite"])
+    p.add_argument("command", choices=["series", "graph", "rules", "crosswalk", "manifest", "site", "index", "search", "cite"])
     p.add_argument("path", help="Parquet table of documents")
     p.add_argument("--out", help="folder to write to")
     p.add_argument("--check", action="store_true", help="compare with what is in --out and write nothing")
@@ -30,9 +32,14 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--mapping", help="Parquet table of the crosswalk")
     p.add_argument("--unmapped", help="Parquet table of keys without a slug")
     p.add_argument("--query", default="")
+    p.add_argument("--markdown", action="store_true", help="PATH is a folder of Markdown files")
+    p.add_argument("--json", action="store_true", help="write JSON lines instead of Parquet")
     a = p.parse_args(args)
     spark = spark or SparkSession.builder.appName("reportloom").getOrCreate()
-    docs = spark.read.parquet(a.path)
+    if a.command == "search":
+        search.keyword(spark, a.path, a.query, a.limit or 20).show(truncate=False)
+        return 0
+    docs = frontmatter.documents(spark, a.path) if a.markdown else spark.read.parquet(a.path)
     if a.years:
         docs = catalogue.year_filter(docs, a.years)
     if a.only:
@@ -50,18 +57,19 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         if a.check:
             return int(sinks.is_stale(spark, f"{a.out}/rows", rows))
         if a.out:
-            sinks.write_series(found, a.out)
+            sinks.write_series(found, a.out, a.json)
         return 0
     if a.command == "graph":
         edges = graph.series_edges(docs).union(graph.stated_edges(docs)) if "relationships" in docs.columns else graph.series_edges(docs)
         if a.check:
             return int(sinks.is_stale(spark, f"{a.out}/edges", edges))
         if a.out:
-            graph.nodes(docs).write.mode("overwrite").parquet(f"{a.out}/nodes")
-            edges.write.mode("overwrite").parquet(f"{a.out}/edges")
+            sinks.write_graph(graph.nodes(docs), edges, a.out, a.json)
         return 0
     if a.command == "rules":
-        rules = {"year_provenance": quality.year_provenance, "status": quality.status_domain}
+        rules = {"year_provenance": quality.year_provenance, "status": quality.status_domain, "no_assessment": quality.unassessed}
+        if "path" in docs.columns:
+            rules["ids"] = quality.odd_ids
         bad = quality.summary(quality.run_rules(docs, rules), rules)
         bad.show(truncate=False)
         return quality.outcome(False, bad.agg(F.sum("violations")).first()[0])
@@ -75,9 +83,15 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         return quality.outcome(False, problems.count())
     if a.command == "manifest":
         catalogue.count_by_year(docs).orderBy("year").show()
+        if a.out:
+            sinks.write_manifest(docs, a.out)
         return 0
-    if a.command == "search":
-        search.keyword(docs, a.query, a.limit or 20).show(truncate=False)
+    if a.command == "site":
+        nodes = graph.nodes(docs)
+        sinks.write_site(nodes, nodes.agg(F.count("*").alias("documents")), a.out)
+        return 0
+    if a.command == "index":
+        search.write_index(docs, a.out)
         return 0
     found = citations.found(docs, "ors-section").union(citations.found(docs, "oar-rule"))
     citations.counts(found).show()

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 # Patterns, words and limits that results depend on.
 WHITE = r"[\s\x0B\x1c-\x1f\x{0085}\x{00A0}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 STRUCTURAL_WORDS = ["department", "dept", "of", "the", "oregon", "state", "board", "commission", "office", "division", "bureau", "and", "their"]
+LINE_ENDS = r"\r\n|[\n\r\x0B\f\x1c-\x1e\x{0085}\x{2028}\x{2029}]"
 ANCHORS = ["KPM #", "Report Year", "Actual", "Target", "Data Collection Period"]
 KPM_HEAD = r"^KPM ?# ?([0-9]+)(?:[ \t]*$|[ \t]+(?=[A-Z])|(?=[A-Z][a-zA-Z]))"
 LAYOUT_HEAD = r"^KPM ?# ?([0-9]+)(?:[ \t]*$|[ \t]+(?=[A-Z])|[ \t]{2,}\S|(?=[A-Z][a-zA-Z]))"
@@ -130,20 +131,26 @@ def is_cover_name(line: Column) -> Column:
 
 def agency(first: str | Column, listed: str | Column) -> Column:
     """``struct(agency, agency_source)``: the first name on page one, else the listed one."""
-    names = F.filter(F.transform(F.split(_c(first), "\n"), strip), is_cover_name)
+    names = F.filter(F.transform(F.split(_c(first), LINE_ENDS), lambda x: strip(loose(x))), is_cover_name)
     found = F.get(names, F.lit(0))
     listed = F.nullif(_c(listed), F.lit(""))
     source = F.when(found.isNotNull(), "document").when(listed.isNotNull(), "socrata").otherwise("unknown")
     return F.struct(F.coalesce(found, listed, F.lit("")).alias("agency"), source.alias("agency_source"))
 
 
+def unescape(x: str | Column) -> Column:
+    """Percent escapes decoded; a percent sign that begins none, and plus signs, stay."""
+    sound = F.regexp_replace(_c(x), "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.url_decode(F.replace(sound, F.lit("+"), F.lit("%2B")))
+
+
 def parse_filename(x: str | Column) -> Column:
     """``struct(agency_code, reporting_year, year_source, measure_status)`` of a file name.
 
-    Four conventions in order; without one, a name that holds exactly one distinct year token gives
+    Percent escapes are decoded first.  Four conventions in order; without one, a name that holds exactly one distinct year token gives
     that year, and anything else is left null.
     """
-    name = _c(x)
+    name = unescape(x)
     proposed = lambda s: F.when(F.lower(s) == "apprproposed", "proposed").otherwise("approved")
     made = lambda code, year, source, status: F.struct(code.alias("agency_code"), year.alias("reporting_year"), source.alias("year_source"), status.alias("measure_status"))
     none, text = F.lit(None).cast("string"), F.lit("filename")

@@ -14,15 +14,19 @@ def feed_links(feeds: DataFrame, column: str = "xml", wanted: str = "/lfo/appr/"
     return links.where(F.contains(F.lower("url"), F.lit(wanted))).select(text.normalise_url("url").alias("url")).distinct()
 
 
-def probe_state(code: Column, content_type: Column, range_code: Column, range_type: Column) -> Column:
+def probe_state(code: Column, content_type: Column, range_code: Column, range_type: Column, range_head: Column) -> Column:
     """What a HEAD probe and the range probe after it say of a source.
 
     A PDF is verified at once.  Another type, and servers that refuse HEAD (405, 501), are asked for
-    the first bytes instead; a network error (0) and other codes are final.
+    the first bytes instead (``range_head``), and a PDF's magic there outweighs any declared type;
+    without it, a declared PDF counts only with code 200.  A network error (0) and other codes are
+    final.
     """
     pdf = lambda c: F.contains(F.lower(F.coalesce(c, F.lit(""))), F.lit("pdf"))
     again = ((code == 200) & ~pdf(content_type)) | code.isin(405, 501)
-    good = F.coalesce(range_code, F.lit(0)).isin(200, 206) & pdf(range_type)
+    answered = F.coalesce(range_code, F.lit(0)).isin(200, 206)
+    magic = answered & F.coalesce(range_head, F.lit("")).startswith("%PDF")
+    good = magic | ((F.coalesce(range_code, F.lit(0)) == 200) & pdf(range_type))
     return F.when((code == 200) & pdf(content_type), "verified").when(again & good, "verified by range").when(code == 0, "network error").otherwise("unreachable")
 
 
@@ -98,11 +102,18 @@ def without_furniture(pages: DataFrame, edge: int = 3, least: int = 4) -> DataFr
     return kept.select("doc_id", "page_no", F.array_join("left", "\n").alias("text"), (F.size("lines") - F.size("left")).cast("long").alias("removed"))
 
 
-def conversion_notes(source: Column, words: Column, ratio: Column, agreement: Column, missing: Column, year_differs: Column) -> Column:
-    """Notes in a fixed order, joined by semicolons; OCR comes first."""
-    ocr = F.when(source == "ocr", F.concat(F.lit("OCR text: "), words.cast("string"), F.lit(" words, dictionary "), text.percent(ratio), F.lit(", agreement "), text.percent(agreement)))
-    anchors = F.when(F.size(missing) > 0, F.concat(F.lit("missing: "), F.array_join(missing, ", ")))
-    return F.concat_ws("; ", ocr, anchors, F.when(year_differs, "filename year differs"))
+def conversion_notes(ocr_note: Column, missing: Column, listed_year: Column, stated_year: Column, agency_source: Column) -> Column:
+    """Notes in a fixed order, joined by semicolons; OCR comes first.
+
+    ``ocr_note`` is null for texts that were not read by OCR (see ``quality.ocr_note``).  A listed
+    year that differs from the one a document states is named, as is an agency's source other than
+    the document's own cover.
+    """
+    # The wording of notes.
+    anchors = F.when(F.size(missing) > 0, F.concat(F.lit("missing expected anchors: "), F.array_join(missing, ", ")))
+    differs = F.when(listed_year != stated_year, F.concat(F.lit("filename implied reporting year "), listed_year, F.lit("; the document states "), stated_year, F.lit(" and the document wins")))
+    taken = F.when(agency_source != "document", F.concat(F.lit("agency name taken from "), agency_source, F.lit(", not the document's own cover page")))
+    return F.concat_ws("; ", ocr_note, anchors, differs, taken)
 
 
 def difference(old: DataFrame, new: DataFrame) -> DataFrame:

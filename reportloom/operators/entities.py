@@ -13,6 +13,8 @@ from ..functions import text
 #: Bases of a mapping, and those that need a note.
 BASES = ["exact", "alias", "successor", "manual"]
 NOTED = ["alias", "successor", "manual"]
+#: Keys and slugs that one task holds against each other.
+BLOCK = 1_000
 
 
 def names_per_key(names: DataFrame, column: str = "agency") -> DataFrame:
@@ -71,15 +73,34 @@ def drift(docs: DataFrame, crosswalk: DataFrame) -> DataFrame:
 def suggestions(keys: DataFrame, slugs: DataFrame, cutoff: float = 0.6) -> DataFrame:
     """``(agency_key, slug, likeness)``: the nearest slug of each key, if near enough to be of use.
 
-    Pairs come from shared trigrams, so unlike names never meet; the ratio of matching runs is then
-    computed on those pairs only.  Advice for a person: nothing else reads it.
+    Likeness is difflib's ratio; of equally near slugs the last in order is taken.  Every key is
+    held against every slug, in blocks of :data:`BLOCK` of each; bounds by length and by characters
+    spare most ratios.  A block gives the best slug of each of its keys, never its pairs.  Advice
+    for a person: nothing else reads it.
     """
-    @F.pandas_udf("double")
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([difflib.SequenceMatcher(None, y, x).ratio() for x, y in zip(a, b, strict=True)])
-
-    grams = lambda df, c: df.select(c, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substring(F.col(c), i, F.lit(3))))).alias("g"))
-    pairs = grams(keys.select("agency_key").distinct(), "agency_key").join(grams(slugs.select("slug").distinct(), "slug"), "g").select("agency_key", "slug").distinct()
-    scored = pairs.withColumn("likeness", ratio("agency_key", "slug")).where(F.col("likeness") >= cutoff)
-    best = scored.groupBy("agency_key").agg(F.max(F.struct("likeness", "slug")).alias("b"))
-    return best.select("agency_key", "b.slug", F.round("b.likeness", 6).alias("likeness"))
+
+    def blocks(df: DataFrame, column: str) -> tuple[DataFrame, int]:
+        one = df.select(F.col(column).alias("s")).where("s is not null").distinct()
+        n = max(1, -(-one.count() // BLOCK))
+        return one.select("s", F.pmod(F.xxhash64("s"), F.lit(n)).cast("int").alias("own")), n
+
+    def best(keys: pd.DataFrame, slugs: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for key in keys["s"]:
+            m = difflib.SequenceMatcher(None, "", key)
+            top = (cutoff, "")
+            for slug in slugs["s"]:
+                m.set_seq1(slug)
+                if m.real_quick_ratio() >= top[0] and m.quick_ratio() >= top[0]:
+                    top = max(top, (m.ratio(), slug))
+            if top[1]:
+                found.append((key, top[1], top[0]))
+        return pd.DataFrame(found, columns=["agency_key", "slug", "likeness"]).astype({"likeness": "float64"})
+
+    (k, nk), (s, ns) = blocks(keys, "agency_key"), blocks(slugs, "slug")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asked = k.select("s", F.col("own").alias("k"), every(ns).alias("b")).groupBy("k", "b")
+    held = s.select("s", every(nk).alias("k"), F.col("own").alias("b")).groupBy("k", "b")
+    met = asked.cogroup(held).applyInPandas(best, "agency_key string, slug string, likeness double")
+    top = met.groupBy("agency_key").agg(F.max(F.struct("likeness", "slug")).alias("b"))
+    return top.select("agency_key", "b.slug", F.round("b.likeness", 6).alias("likeness"))

@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.storage import discarded, stored
+
 #: Relations that a document states.
 RELATIONS = ["implements", "implemented_by", "references_external", "related", "supersedes"]
-#: After so many rounds of a walk the nodes seen are one table again.
-COMPACT = 16
+#: Steps in one round of a walk, and rounds after which the nodes seen are one table again.
+HOPS, COMPACT = 8, 12
 
 
 def nodes(docs: DataFrame) -> DataFrame:
@@ -55,24 +57,38 @@ def neighbours(edges: DataFrame, id: str) -> DataFrame:
 def authority_chain(edges: DataFrame, id: str) -> DataFrame:
     """``(id, depth)``: what a node reaches along edges, at its least depth; cycles end there.
 
-    A walk by breadth: each round meets the edges of the nodes that the last one found, without
-    those seen before, and ends with a round that finds none.
+    A walk by breadth without a cap on depth: each round takes :data:`HOPS` steps from the nodes
+    that the last one found, keeps those not seen before, and the walk ends with a round that finds
+    none.  Every step keeps distinct nodes only, so diamonds and cliques do not multiply.  Rounds
+    are written to the shared folder.  Ids are compared as text; null ends are no edges, and the
+    node itself is not part of what it reaches.
     """
     spark = edges.sparkSession
-    links = _cut(edges.select("from", "to").where("`from` is not null and `to` is not null").distinct())
-    front = seen = spark.createDataFrame([(id, 0)], "id string, depth int")
-    depth = 0
+    ends = edges.select(F.col("from").cast("string").alias("from"), F.col("to").cast("string").alias("to"))
+    links = stored(ends.where("`from` is not null and `to` is not null and `from` <> `to`").distinct(), "links")
+    front = spark.createDataFrame([(id, 0)], "id string, depth int")
+    seen, depth = [front], 0
     while True:
-        depth += 1
-        met = front.join(links, F.col("id") == F.col("from")).select(F.col("to").cast("string").alias("id")).distinct()
-        front = _cut(met.join(seen, "id", "left_anti").withColumn("depth", F.lit(depth)))
+        at, steps = front.select("id"), []
+        for hop in range(1, HOPS + 1):
+            at = at.join(links, F.col("id") == F.col("from")).select(F.col("to").alias("id")).distinct()
+            steps.append(at.withColumn("depth", F.lit(depth + hop)))
+        found = _union(steps).groupBy("id").agg(F.min("depth").alias("depth"))
+        front = stored(found.join(_union(seen).select("id"), "id", "left_anti"), "front")
         if front.isEmpty():
-            return seen.where(F.col("id") != id)
-        seen = seen.union(front)
-        if depth % COMPACT == 0:
-            seen = _cut(seen.coalesce(16))
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut: in the shared checkpoint folder where there is one."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
+            return _union(seen).where(F.col("id") != id)
+        depth += HOPS
+        seen.append(front)
+        front = front.where(F.col("depth") == depth)
+        if len(seen) > COMPACT:
+            one = stored(_union(seen).coalesce(16), "seen")
+            front = one.where(F.col("depth") == depth)
+            discarded(*seen[1:])
+            seen = [one]
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
 
 import pandas as pd
@@ -19,8 +18,11 @@ OCR_WORDS, OCR_RATIO, OCR_AGREEMENT = 100, 0.80, 0.80
 COVERAGE_FAIL, COVERAGE_WARN = 0.70, 0.90
 REVERIFY_DAYS = 90
 ID_PATTERN = r"^[a-z0-9][a-z0-9-]+$"
-NAMED = 10
-FIGURE = re.compile(r"\$?-?\d[\d,]*(?:\.\d+)?%?")
+#: Problems of a rule that a summary names, and parts that they are ranked in first.
+NAMED, PARTS = 10, 64
+WORD = r"[a-z]{2,}"
+FIGURE = r"\$?-?\p{Nd}[\p{Nd},]*(?:\.\p{Nd}+)?%?"
+ENGINES = ["tesseract (ocrmypdf)", "paddleocr PP-OCRv6"]
 
 Rule = Callable[[DataFrame], DataFrame]
 
@@ -77,6 +79,22 @@ def orphans(series: DataFrame, docs: DataFrame) -> DataFrame:
     return series.select(F.col("agency_doc").alias("id")).distinct().join(docs.select("id"), "id", "left_anti")
 
 
+def linked_corpus(corpus: str) -> Rule:
+    """A stamped registry slug comes with the name of the corpus that defines it."""
+
+    def rule(docs: DataFrame) -> DataFrame:
+        stamped = docs.where(F.coalesce("agency_registry_slug", F.lit("")) != "")
+        return _bad(stamped, F.coalesce("agency_registry_corpus", F.lit("")) != corpus, "agency_registry_slug without its corpus")
+
+    return rule
+
+
+def unassessed(docs: DataFrame) -> DataFrame:
+    """No column holds a verdict of our own: a row for each that does, under its name."""
+    found = no_assessment(docs)
+    return docs.sparkSession.createDataFrame([(c, "column holds an assessment") for c in found], "id string, problem string")
+
+
 def run_rules(docs: DataFrame, rules: dict[str, Rule]) -> DataFrame:
     """``(rule, id, problem)`` over all rules."""
     parts = [rule(docs).select(F.lit(name).alias("rule"), "id", "problem") for name, rule in rules.items()]
@@ -86,12 +104,22 @@ def run_rules(docs: DataFrame, rules: dict[str, Rule]) -> DataFrame:
     return out
 
 
-def summary(found: DataFrame, rules: dict[str, Rule]) -> DataFrame:
-    """``(rule, violations, passed)`` with a row for each rule, violated or not."""
+def summary(found: DataFrame, rules: dict[str, Rule], named: int = NAMED) -> DataFrame:
+    """``(rule, violations, passed, first)`` with a row for each rule, violated or not.
+
+    ``first`` holds the first ``named`` problems in the order of ids, as text.  Problems are ranked
+    within :data:`PARTS` parts of a rule before those that are left are ranked together, so no
+    task orders all problems of one rule.
+    """
     spark = found.sparkSession
-    named = spark.createDataFrame([(r,) for r in rules], "rule string")
+    rows = spark.createDataFrame([(r,) for r in rules], "rule string")
     counted = found.groupBy("rule").agg(F.count("*").alias("n"))
-    return named.join(counted, "rule", "left").select("rule", F.coalesce("n", F.lit(0)).cast("long").alias("violations"), F.col("n").isNull().alias("passed"))
+    shown = found.select("rule", F.concat_ws(": ", "id", "problem").alias("p"), F.pmod(F.xxhash64("id", "problem"), F.lit(PARTS)).alias("part"))
+    for by in (["rule", "part"], ["rule"]):
+        shown = shown.withColumn("k", F.row_number().over(Window.partitionBy(*by).orderBy("p"))).where(F.col("k") <= named)
+    first = shown.groupBy("rule").agg(F.array_sort(F.collect_list("p")).alias("first"))
+    met = rows.join(counted, "rule", "left").join(first, "rule", "left")
+    return met.select("rule", F.coalesce("n", F.lit(0)).cast("long").alias("violations"), F.col("n").isNull().alias("passed"), F.coalesce("first", F.array().cast("array<string>")).alias("first"))
 
 
 def outcome(skipped: bool, violations: int) -> int:
@@ -102,59 +130,93 @@ def outcome(skipped: bool, violations: int) -> int:
 def ocr_scores(pairs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """``(doc_id, words, dict_ratio, glued, figures, gate_ok)`` of the first text of each pair.
 
-    Words in lower case of two letters or more are looked up in the vocabulary by a join.
+    Words in lower case of two letters or more are looked up in the vocabulary by a join.  A null
+    text has no words.
     """
-    found = pairs.select("doc_id", F.regexp_extract_all(F.lower(F.col("primary")), F.lit("[a-z]{2,}"), 0).alias("ws"), "primary")
+    own = F.coalesce("primary", F.lit(""))
+    found = pairs.select("doc_id", F.regexp_extract_all(F.lower(own), F.lit(WORD), 0).alias("ws"), own.alias("primary"))
     known = found.select("doc_id", F.explode("ws").alias("word")).join(vocabulary.select("word").distinct(), "word").groupBy("doc_id").agg(F.count("*").alias("known"))
     counted = found.select(
         "doc_id",
         F.size("ws").cast("long").alias("words"),
         F.size(F.filter(F.split("primary", r"[^\p{L}\p{N}_]+"), lambda w: w.rlike("^[A-Za-z]{18,}$"))).cast("long").alias("glued"),
-        F.size(F.regexp_extract_all("primary", F.lit(r"\d[\d,.]*%?"), 0)).cast("long").alias("figures"),
+        F.size(F.regexp_extract_all(F.lower("primary"), F.lit(FIGURE), 0)).cast("long").alias("figures"),
     )
     met = counted.join(known, "doc_id", "left")
     ratio = F.when(F.col("words") > 0, F.coalesce("known", F.lit(0)) / F.col("words")).otherwise(0.0)
     return met.select("doc_id", "words", ratio.alias("dict_ratio"), "glued", "figures", ((F.col("words") >= OCR_WORDS) & (ratio >= OCR_RATIO)).alias("gate_ok"))
 
 
-def agreement(pairs: DataFrame) -> DataFrame:
-    """``(doc_id, agreement, agree_ok)``: how far two readings of one page give the same words."""
+def _alike(pattern: str) -> Column:
+    """How alike the matches of a pattern are in two readings, 0 if one has none; compared in lower case."""
+    found = lambda c: F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(pattern), 0)
+
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([matching.ratio((x or "").split(), (y or "").split()) for x, y in zip(a, b, strict=True)])
+        return pd.Series([matching.ratio(list(x), list(y)) if len(x) and len(y) else 0.0 for x, y in zip(a, b, strict=True)], dtype="float64")
 
-    r = ratio(F.col("primary"), F.col("cross_check"))
-    return pairs.select("doc_id", r.alias("agreement")).withColumn("agree_ok", F.col("agreement") >= OCR_AGREEMENT)
+    return ratio(found("primary"), found("cross_check"))
+
+
+def agreement(pairs: DataFrame) -> DataFrame:
+    """``(doc_id, agreement, agree_ok)``: how far two readings of one page give the same words."""
+    return pairs.select("doc_id", _alike(WORD).alias("agreement")).withColumn("agree_ok", F.col("agreement") >= OCR_AGREEMENT)
 
 
 def figure_agreement(pairs: DataFrame) -> DataFrame:
-    """``(doc_id, figures, figure_agreement)``: the same for figures alone, 0 if a reading has none; no gate."""
-    @F.pandas_udf("struct<figures: long, ratio: double>")
-    def score(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-        found = [(FIGURE.findall((x or "").lower()), FIGURE.findall((y or "").lower())) for x, y in zip(a, b, strict=True)]
-        return pd.DataFrame([(len(x), matching.ratio(x, y) if x and y else 0.0) for x, y in found], columns=["figures", "ratio"])
+    """``(doc_id, figures, figure_agreement)``: the same for figures alone; told, not gated."""
+    n = F.size(F.regexp_extract_all(F.lower(F.coalesce("primary", F.lit(""))), F.lit(FIGURE), 0)).cast("long")
+    return pairs.select("doc_id", n.alias("figures"), _alike(FIGURE).alias("figure_agreement"))
+
+
+def ocr_note(agreement: Column, figure_agreement: Column, figures: Column, dict_ratio: Column, glued: Column) -> Column:
+    """What a text read by OCR says of itself: agreements, dictionary, glued words, and that nobody checked it."""
+    # The wording of the note.
+    lost = F.when(glued > 0, F.concat(F.lit("; "), glued.cast("string"), F.lit(" heading/letterhead token(s) lost their word spacing in extraction and are left as-is rather than reconstructed"))).otherwise("")
+    return F.concat(
+        F.lit(f"no text layer in the source PDF; text recovered by OCR. Two independent engines ({' + '.join(ENGINES)}) agree on "), text.percent(agreement),
+        F.lit(" of the word sequence and "), text.percent(figure_agreement), F.lit(" of the "), figures.cast("string"), F.lit(" figures, "),
+        text.percent(dict_ratio), F.lit(" dictionary-recognizable"), lost, F.lit("; NOT human-verified — treat every number as unchecked against the source"),
+    )
+
 
-    scored = pairs.select("doc_id", score(F.col("primary"), F.col("cross_check")).alias("s"))
-    return scored.select("doc_id", "s.figures", F.col("s.ratio").alias("figure_agreement"))
+def promoted(pairs: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """``(doc_id, decision, note)`` for texts read by OCR: whether each may be used.
+
+    A text is promoted only if a second engine has read the page too (``cross_check`` is not null),
+    the text passes the gate of words and dictionary, and the readings agree; otherwise it is
+    refused, and why is the decision.  The note of a refused text is null.
+    """
+    both = pairs.select("doc_id", F.col("cross_check").isNotNull().alias("second")).join(ocr_scores(pairs, vocabulary), "doc_id")
+    both = both.join(agreement(pairs), "doc_id").join(figure_agreement(pairs).drop("figures"), "doc_id")
+    why = F.when(~F.col("second"), "second engine unavailable").when(~(F.col("gate_ok") & F.col("agree_ok")), "failed the two-engine bar").otherwise("promoted")
+    note = ocr_note(F.col("agreement"), F.col("figure_agreement"), F.col("figures"), F.col("dict_ratio"), F.col("glued"))
+    return both.select("doc_id", why.alias("decision"), F.when(why == "promoted", note).alias("note"))
 
 
 def vocabulary(docs: DataFrame, most: int = 400) -> DataFrame:
-    """Words of a systematic sample of the documents, about ``most`` of them in the order of ids."""
-    sample = systematic(docs, max(1, docs.count() // most))
-    return sample.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{2,}"), 0)).alias("word")).distinct()
+    """Words of a systematic sample of the documents, about ``most`` of them in the order of ids.
+
+    Documents whose ``text_source`` is OCR are left out before the sample is taken, so that the
+    errors of OCR never become words that vouch for it.
+    """
+    own = docs.where(F.coalesce("text_source", F.lit("")) != "ocr") if "text_source" in docs.columns else docs
+    sample = systematic(own, max(1, own.count() // most))
+    return sample.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0)).alias("word")).distinct()
 
 
-def systematic(docs: DataFrame, step: int, order: str = "doc_id", buckets: int = 1024) -> DataFrame:
-    """Every ``step``-th row in the order of a numeric column, from the first on.
+def systematic(docs: DataFrame, step: int, order: str = "doc_id", buckets: int = 128) -> DataFrame:
+    """Every ``step``-th row in the order of a column, from the first on; nulls come first.
 
-    Rows are ranked within equal ranges of the column, and ranges by how many rows stand before
-    them, so no task numbers more than one range.  The ranges are a table of ``buckets`` rows.
+    Rows are ranked within ranges of the column that hold about equally many of them, by
+    approximate quantiles, and ranges by how many rows stand before them, so no task numbers more
+    than one range, whatever outliers there are.  The ranges are a table of ``buckets`` rows.
     """
-    ends = docs.agg(F.min(order).alias("low"), F.max(order).alias("high")).first()
-    if ends["low"] is None:
+    bounds = docs.agg(F.percentile_approx(order, F.array(*[F.lit(k / buckets) for k in range(1, buckets)]), F.lit(10_000))).first()[0]
+    if bounds is None:
         return docs
-    width = max(1, -(-(ends["high"] - ends["low"] + 1) // buckets))
-    cut = docs.withColumn("range", F.floor((F.col(order) - ends["low"]) / width))
+    at = F.size(F.filter(F.array(*map(F.lit, sorted(set(bounds)))), lambda b: b < F.col(order)))
+    cut = docs.withColumn("range", F.when(F.col(order).isNull(), -1).otherwise(at))
     sizes = cut.groupBy("range").agg(F.count("*").alias("n"))
     before = sizes.select("range", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     rank = F.row_number().over(Window.partitionBy("range").orderBy(order)) - 1 + F.col("before")
@@ -189,3 +251,10 @@ def provenance(pairs: DataFrame) -> DataFrame:
     met = pairs.select("doc_id", walk("body", "snapshot").alias("w")).select("doc_id", "w.lines", "w.found")
     share = F.when(F.col("lines") > 0, F.col("found") / F.col("lines")).otherwise(1.0)
     return met.withColumn("coverage", share).withColumn("verdict", F.when(share < COVERAGE_FAIL, "fail").when(share < COVERAGE_WARN, "warn").otherwise("ok"))
+
+
+def odd_ids(docs: DataFrame) -> DataFrame:
+    """Documents whose id is not lower-case letters, digits and hyphens, or not their file's name."""
+    stem = F.regexp_extract("path", r"([^/]*)\.md$", 1)
+    bad = ~F.coalesce("id", F.lit("")).rlike(ID_PATTERN)
+    return _bad(docs, bad, "id outside its pattern").union(_bad(docs, ~bad & (stem != F.col("id")), "id is not the file's name"))

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import arrays, text
+from ..sources.storage import discarded, stored
 
 FAR = 2_147_483_647
 #: Lines after its own that a collection period may take; characters of a label line, below which.
@@ -244,14 +245,16 @@ def extract(docs: DataFrame, geometry: bool = True) -> Series:
     """Series rows and problems of ``docs(doc_id, agency, reporting_year, measure_status, source_url, text, layout)``.
 
     A blank cell gives no row; a written non-value such as ``No Data`` does.  Every block or run
-    that is refused, and every document without text or blocks, is one row of ``problems``.
+    that is refused, and every document without text or blocks, is one row of ``problems``.  Lines
+    with the parts of their block, measures and gated runs are each worked out once and written to
+    the shared folder; rows and problems read the latter two.
     """
-    lines = lines_of(docs)
-    headed = headers_of(blocks_of(lines))
-    measures = measures_of(headed)
+    headed = stored(headers_of(blocks_of(lines_of(docs))), "headed")
+    measures = stored(measures_of(headed), "measures")
     runs = runs_of(headed)
     layout = layout_runs(docs.where(F.col("layout").isNotNull())) if geometry and "layout" in docs.columns else None
-    checked = gated(runs, measures, layout)
+    checked = stored(gated(runs, measures, layout), "runs")
+    discarded(headed)
     cells = F.arrays_zip(F.col("years").alias("year"), F.col("actual").alias("actual"), F.col("target").alias("target"))
     values = checked.where("accepted").select("doc_id", "block", "run", "kpm_number", "measure", "submeasure", "data_collection_period", F.posexplode(cells).alias("year_index", "c"))
     values = values.where(F.col("c.actual").isNotNull())

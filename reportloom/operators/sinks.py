@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import html
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from . import catalogue
 from . import series as s
 
 #: Fields of a report's front matter, in order.
@@ -18,9 +21,55 @@ def markdown(docs: DataFrame, fields: list[str] | None = None) -> Column:
     return F.concat(F.lit("---\n"), F.concat_ws("\n", *lines), F.lit("\n---\n\n## Full text\n\n"), text.escape_headings(F.coalesce("full_text", F.lit(""))), F.lit("\n"))
 
 
-def write_reports(docs: DataFrame, path: str) -> None:
-    """One line-free text file set, a folder for each report, written by the executors."""
-    docs.select("id", markdown(docs).alias("value")).write.mode("overwrite").partitionBy("id").text(path)
+def write_reports(docs: DataFrame, path: str, buckets: int = 64) -> None:
+    """Reports as Markdown, ``(id, markdown)``, in as many folders as there are buckets of ids."""
+    _bucketed(docs.select("id", markdown(docs).alias("markdown")), path, buckets)
+
+
+def write_texts(docs: DataFrame, path: str, buckets: int = 64) -> None:
+    """Texts and layout sidecars, ``(id, kind, text)``: a row for each that a document has."""
+    kinds = [docs.select("id", F.lit(kind).alias("kind"), F.col(c).alias("text")) for kind, c in (("text", "text"), ("layout", "layout")) if c in docs.columns]
+    rows = kinds[0]
+    for x in kinds[1:]:
+        rows = rows.union(x)
+    _bucketed(rows.where("text is not null"), path, buckets)
+
+
+def _bucketed(rows: DataFrame, path: str, buckets: int) -> None:
+    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")).repartition("bucket")
+    dealt.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(path)
+
+
+def write_manifest(sources: DataFrame, path: str, note: str = "", first: int | None = None, last: int | None = None) -> None:
+    """A manifest as JSON lines in the order of year, code and id, and its coverage beside them.
+
+    ``coverage`` holds the sources of each year, attempted years without any (``first`` to
+    ``last``), names that no pattern parsed, and the note.
+    """
+    spark = sources.sparkSession
+    order = [catalogue.as_text(F.col(c)) for c in ("reporting_year", "agency_code")]
+    sources.orderBy(*order, "id").write.mode("overwrite").json(f"{path}/sources")
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) == ""
+    rows = catalogue.count_by_year(sources).select(F.lit("year").alias("kind"), F.col("year").alias("name"), F.col("sources").cast("long").alias("n"))
+    if first is not None and last is not None:
+        rows = rows.union(catalogue.year_gaps(sources, first, last).select(F.lit("gap"), "year", F.lit(0).cast("long")))
+    rows = rows.union(sources.where(blank("agency_code") | blank("reporting_year")).select(F.lit("unparsed"), "id", F.lit(1).cast("long")))
+    rows.union(spark.createDataFrame([("note", note, 0)], "kind string, name string, n long")).orderBy("kind", "name").write.mode("overwrite").json(f"{path}/coverage")
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The sources of a written manifest; numbers and years stay text, but for ``bytes``."""
+    df = spark.read.option("primitivesAsString", "true").json(f"{path}/sources")
+    return df.withColumn("bytes", F.col("bytes").cast("long")) if "bytes" in df.columns else df
+
+
+def write_graph(nodes: DataFrame, edges: DataFrame, path: str, as_json: bool = False) -> None:
+    """Nodes, edges, and their counts with the edges that end outside the corpus."""
+    external = edges.join(nodes.select(F.col("id").alias("to")), "to", "left_anti").agg(F.count("*").alias("n_edges_external"))
+    counts = nodes.agg(F.count("*").alias("n_nodes")).join(edges.agg(F.count("*").alias("n_edges"))).join(external)
+    for name, df in (("nodes", nodes), ("edges", edges), ("counts", counts)):
+        writer = df.write.mode("overwrite")
+        writer.json(f"{path}/{name}") if as_json else writer.parquet(f"{path}/{name}")
 
 
 def write_series(found: s.Series, path: str, as_json: bool = False) -> None:
@@ -41,14 +90,21 @@ def write_series(found: s.Series, path: str, as_json: bool = False) -> None:
 
 def is_stale(spark: SparkSession, path: str, new: DataFrame) -> bool:
     """Whether a written table differs from what a rebuild gives, repeats counted."""
-    from .catalogue import difference
+    return not catalogue.difference(spark.read.parquet(path).select(*new.columns), new).isEmpty()
 
-    return not difference(spark.read.parquet(path).select(*new.columns), new).isEmpty()
 
+def write_site(nodes: DataFrame, stats: DataFrame, path: str) -> None:
+    """An index of ``[title, doc_type, path]`` rows in JSON, and a page of tiles and sections.
 
-def site_index(nodes: DataFrame) -> DataFrame:
-    """``[title, doc_type, path]`` of each document."""
-    return nodes.select(F.array("title", "doc_type", "path").alias("row"))
+    The page shows the one row of ``stats`` as tiles and the documents of each type as a count.
+    """
+    index = nodes.select(F.array("title", "doc_type", "path").alias("row"))
+    index.write.mode("overwrite").json(f"{path}/corpus-index")
+    spark = nodes.sparkSession
+    tiles = [f"<div class=tile><b>{v}</b> {k.replace('_', ' ')}</div>" for k, v in stats.first().asDict().items()]
+    types = nodes.groupBy("doc_type").agg(F.count("*").alias("n")).orderBy("doc_type").collect()
+    page = ["<!doctype html>", "<title>Corpus</title>", *tiles, *[f"<section><h2>{html.escape(str(r.doc_type))}</h2><p>{r.n} documents</p></section>" for r in types]]
+    spark.createDataFrame([("\n".join(page),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/page")
 
 
 def status_report(docs: DataFrame, overdue: DataFrame, sources: int, named: int = 50) -> str:
@@ -61,9 +117,23 @@ def status_report(docs: DataFrame, overdue: DataFrame, sources: int, named: int
 
 
 def work_list(problems: DataFrame, named: int = 500) -> str:
-    """Crosswalk problems as a Markdown table in buckets, pipes escaped, so many rows of each."""
-    from pyspark.sql import Window
+    """Crosswalk problems as a Markdown table in buckets, pipes escaped, so many rows of each.
 
+    A bucket that holds more ends with a row that says how many.  The whole list is the table
+    ``problems``; :func:`write_work_list` writes it without a limit.
+    """
     ranked = problems.withColumn("k", F.row_number().over(Window.partitionBy("problem").orderBy("agency_key"))).where(F.col("k") <= named)
     rows = ranked.orderBy("problem", "agency_key").select("problem", text.escape_pipes("agency_key").alias("key")).collect()
-    return "\n".join(["| problem | agency |", "|-|-|", *[f"| {r.problem} | {r.key} |" for r in rows]]) + "\n"
+    more = {r.problem: r.n - named for r in problems.groupBy("problem").agg(F.count("*").alias("n")).collect() if r.n > named}
+    out = ["| problem | agency |", "|-|-|"]
+    for i, r in enumerate(rows):
+        out.append(f"| {r.problem} | {r.key} |")
+        if r.problem in more and (i + 1 == len(rows) or rows[i + 1].problem != r.problem):
+            out.append(f"| {r.problem} | {more[r.problem]} more |")
+    return "\n".join(out) + "\n"
+
+
+def write_work_list(problems: DataFrame, path: str) -> None:
+    """Every crosswalk problem as a line of a Markdown table, in order."""
+    lines = problems.orderBy("problem", "agency_key").select(F.concat(F.lit("| "), "problem", F.lit(" | "), text.escape_pipes("agency_key"), F.lit(" |")).alias("value"))
+    lines.write.mode("overwrite").text(path)

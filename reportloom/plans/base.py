@@ -55,6 +55,8 @@ SELECT 'cust-' || CAST(c_custkey AS STRING) AS id, c_custkey AS n, c_name AS tit
        CASE WHEN c_custkey % 3 = 0 THEN 'Figures are the agency''s own. Read by OCR.' ELSE 'Figures are as stated.' END AS body,
        CASE c_custkey % 16 WHEN 0 THEN 'two engines; not proofread; figures disclosed' ELSE 'two engines' END AS notes,
        CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE '2025-' || CASE c_custkey % 3 WHEN 0 THEN '01' WHEN 1 THEN '06' ELSE '09' END || '-15' END AS last_verified,
+       CASE WHEN c_custkey % 6 <> 0 THEN 'nation-' || CAST(c_nationkey AS STRING) END AS agency_registry_slug,
+       CASE WHEN c_custkey % 10 = 1 THEN 'elsewhere' WHEN c_custkey % 15 <> 7 THEN 'registry' END AS agency_registry_corpus,
        CASE WHEN c_custkey % 2 = 0 THEN 'C' || CAST(c_nationkey AS STRING) END AS agency_code
 FROM customer JOIN nation ON c_nationkey = n_nationkey
 """

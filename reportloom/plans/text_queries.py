@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import arrays, text
-from ..operators import catalogue
+from ..operators import catalogue, quality
 from ..sources.tables import table
-from .base import DUCK_KEY, portable, query
+from .base import DUCK_KEY, SQL, portable, query
 
 W = text.WHITE
 UNESCAPED = "replace(url_encode({0}), '%2F', '/')"
@@ -79,22 +79,6 @@ def letter_spaced(spark, sf):
     return portable(spark, sf, _SPACED).select("doc_id", text.is_letter_spaced("t").alias("spaced"))
 
 
-_PAGES = """
-SELECT doc_id, p AS page_no, 'Report ' || CAST(doc_id AS STRING) || '\n' || CASE WHEN p % 3 = 0 THEN 'odd' ELSE ' Board ' END || '\n\n' || substr(text, p * 100 + 1, 100) || '\nfoot ' || CAST(p % 2 AS STRING) AS text
-FROM documents CROSS JOIN (VALUES (0), (1), (2), (3), (4)) v(p) WHERE p < doc_id % 6
-"""
-_DUCK_PAGES = _PAGES.replace("AS STRING", "AS VARCHAR").replace("'\\n' ||", "chr(10) ||").replace("|| '\\n\\n' ||", "|| chr(10) || chr(10) ||").replace("'\\nfoot '", "chr(10) || 'foot '")
-
-
-@query(rf"""
-WITH p AS ({_DUCK_PAGES}), s AS (SELECT doc_id, page_no, string_split(text, chr(10)) AS ls FROM p), n AS (SELECT doc_id, count(*) AS pages FROM p GROUP BY doc_id HAVING count(*) >= 4),
-e AS (SELECT doc_id, 'h' AS part, unnest(ls[1:3]) AS line FROM s UNION ALL SELECT doc_id, 'f', unnest(ls[greatest(1, len(ls) - 2):]) FROM s),
-t AS (SELECT doc_id, part, regexp_replace(regexp_replace(line, '\A{W}+', ''), '{W}+\z', '') AS line FROM e)
-SELECT DISTINCT doc_id, line FROM (SELECT doc_id, part, line, count(*) AS c FROM t WHERE line <> '' GROUP BY ALL) JOIN n USING (doc_id) WHERE c > pages / 2""")
-def page_furniture(spark, sf):
-    return catalogue.page_furniture(portable(spark, sf, _PAGES))
-
-
 PAGE = 1000
 _WHOLE_PAGES = f"""
 SELECT doc_id, p AS page_no, 'Report ' || CAST(doc_id AS STRING) || '\\n' || CASE WHEN p % 3 = 0 THEN 'odd' ELSE ' Board ' END || '\\n\\n' || substr(text, p * {PAGE} + 1, {PAGE}) || '\\nfoot ' || CAST(p % 2 AS STRING) AS text
@@ -110,11 +94,16 @@ d AS (SELECT DISTINCT doc_id, line FROM (SELECT doc_id, part, line, count(*) AS
 
 
 @query(f"{_DUCK_WHOLE} SELECT doc_id, line FROM d")
-def page_furniture_whole(spark, sf):
+def page_furniture(spark, sf):
     """Furniture of whole texts, cut into pages of a fixed size."""
     return catalogue.page_furniture(portable(spark, sf, _WHOLE_PAGES))
 
 
+@query(SQL["page_furniture"])
+def page_furniture_whole(spark, sf):
+    return page_furniture(spark, sf)
+
+
 @query(f"""{_DUCK_WHOLE}, a AS (SELECT doc_id, page_no, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM p), k AS (SELECT *, regexp_replace(regexp_replace(line, '\\A{W}+', ''), '{W}+\\z', '') AS body FROM a)
 SELECT k.doc_id, page_no, md5(coalesce(string_agg(k.line, chr(10) ORDER BY i) FILTER (WHERE d.line IS NULL), '')) AS text_md5, count(d.line) AS removed FROM k LEFT JOIN d ON k.doc_id = d.doc_id AND body = d.line GROUP BY k.doc_id, page_no""")
 def page_furniture_removed(spark, sf):
@@ -124,7 +113,7 @@ def page_furniture_removed(spark, sf):
 
 _COVERS = r"""
 SELECT o_orderkey AS k, CASE o_orderkey % 5 WHEN 0 THEN 'Annual Performance Report' || chr(10) || 'Reporting  Year: ' || CAST(year(o_orderdate) AS STRING)
-  WHEN 1 THEN 'Agency Management Report' || chr(10) || '  Board of ' || CAST(o_custkey AS STRING) WHEN 2 THEN '9/25/23, 5:36 PM' || chr(10) || 'Rep orting Ye ar ' || CAST(year(o_orderdate) AS STRING)
+  WHEN 1 THEN 'Agency Management Report' || chr(10) || '  Board   of ' || chr(9) || CAST(o_custkey AS STRING) WHEN 2 THEN '9/25/23, 5:36 PM' || chr(10) || 'Rep orting Ye ar ' || CAST(year(o_orderdate) AS STRING)
   WHEN 3 THEN 'a b' || chr(10) || 'https://x.example' || chr(10) || 'Office of ' || o_orderpriority ELSE '' END AS first,
  'Reporting' || chr(10) || 'Year ' || CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE CAST(1900 + o_orderkey % 200 AS STRING) END AS body, CASE WHEN o_orderkey % 2 = 0 THEN 'Listed ' || o_orderstatus END AS listed FROM orders
 """
@@ -137,23 +126,23 @@ def reporting_year(spark, sf):
     return portable(spark, sf, _COVERS).select("k", text.reporting_year("first", "body").alias("reporting_year"))
 
 
-@query("SELECT k, CASE k % 5 WHEN 1 THEN trim(split_part(first, chr(10), 2)) WHEN 2 THEN split_part(first, chr(10), 2) WHEN 3 THEN split_part(first, chr(10), 3) ELSE coalesce(listed, '') END AS agency, CASE WHEN k % 5 IN (1, 2, 3) THEN 'document' WHEN listed IS NOT NULL THEN 'socrata' ELSE 'unknown' END AS agency_source FROM (" + _DUCK_COVERS + ")")
+@query("SELECT k, CASE k % 5 WHEN 1 THEN 'Board of ' || split_part(first, chr(9), 2) WHEN 2 THEN split_part(first, chr(10), 2) WHEN 3 THEN split_part(first, chr(10), 3) ELSE coalesce(listed, '') END AS agency, CASE WHEN k % 5 IN (1, 2, 3) THEN 'document' WHEN listed IS NOT NULL THEN 'socrata' ELSE 'unknown' END AS agency_source FROM (" + _DUCK_COVERS + ")")
 def agency_from_cover(spark, sf):
     found = text.agency("first", "listed")
     return portable(spark, sf, _COVERS).select("k", found["agency"].alias("agency"), found["agency_source"].alias("agency_source"))
 
 
 _FILES = """
-SELECT o_orderkey AS k, CASE o_orderkey % 8 WHEN 0 THEN 'APPR_b' || o_orderstatus || '_' || y || '-09-' || d || '.pdf' WHEN 1 THEN 'APPRProposed_dEq_' || y || '_01_' || d || '.pdf'
+SELECT o_orderkey AS k, CASE WHEN o_orderkey % 16 = 15 THEN 'APPR_B%26' || o_orderstatus || '_' || y || '.pdf' WHEN o_orderkey % 16 = 3 THEN 'OBD%20' || y || ' Annual%20Performance Progress Report 100%.pdf' ELSE CASE o_orderkey % 8 WHEN 0 THEN 'APPR_b' || o_orderstatus || '_' || y || '-09-' || d || '.pdf' WHEN 1 THEN 'APPRProposed_dEq_' || y || '_01_' || d || '.pdf'
  WHEN 2 THEN 'appr_' || o_orderstatus || '.x_' || y || '.PDF' WHEN 3 THEN 'OBD ' || y || ' Annual Performance Progress Report final.pdf' WHEN 4 THEN 'Annual Performance Progress Report - ' || y || ' (Ob' || o_orderstatus || ').pdf'
- WHEN 5 THEN 'Updated 20' || d || ' of 2016 APPR.pdf' WHEN 6 THEN 'appr proposed 2019.pdf' ELSE 'Report ' || d || '.pdf' END AS f, y, d, o_orderstatus AS s
+ WHEN 5 THEN 'Updated 20' || d || ' of 2016 APPR.pdf' WHEN 6 THEN 'appr proposed 2019.pdf' ELSE 'Report ' || d || '.pdf' END END AS f, y, d, o_orderstatus AS s
 FROM (SELECT *, CAST(year(o_orderdate) + 15 AS STRING) AS y, CAST(10 + o_orderkey % 15 AS STRING) AS d FROM orders) q
 """
 
 
-@query("""SELECT k, CASE k % 8 WHEN 0 THEN 'B' || s WHEN 1 THEN 'DEQ' WHEN 2 THEN s || '.X' WHEN 3 THEN 'OBD' WHEN 4 THEN 'OB' || s END AS agency_code,
- CASE WHEN k % 8 <= 4 THEN y WHEN k % 8 = 5 THEN CASE WHEN CAST(d AS INT) BETWEEN 13 AND 26 AND d <> '16' THEN NULL ELSE '2016' END WHEN k % 8 = 6 THEN '2019' END AS reporting_year,
- CASE WHEN k % 8 <= 4 THEN 'filename' WHEN k % 8 = 5 AND CAST(d AS INT) BETWEEN 13 AND 26 AND d <> '16' THEN NULL WHEN k % 8 <= 6 THEN 'filename-scan' END AS year_source,
+@query("""SELECT k, CASE WHEN k % 16 = 15 THEN 'B&' || s ELSE CASE k % 8 WHEN 0 THEN 'B' || s WHEN 1 THEN 'DEQ' WHEN 2 THEN s || '.X' WHEN 3 THEN 'OBD' WHEN 4 THEN 'OB' || s END END AS agency_code,
+ CASE WHEN k % 8 <= 4 OR k % 16 = 15 THEN y WHEN k % 8 = 5 THEN CASE WHEN CAST(d AS INT) BETWEEN 13 AND 26 AND d <> '16' THEN NULL ELSE '2016' END WHEN k % 8 = 6 THEN '2019' END AS reporting_year,
+ CASE WHEN k % 8 <= 4 OR k % 16 = 15 THEN 'filename' WHEN k % 8 = 5 AND CAST(d AS INT) BETWEEN 13 AND 26 AND d <> '16' THEN NULL WHEN k % 8 <= 6 THEN 'filename-scan' END AS year_source,
  CASE WHEN k % 8 IN (1, 6) THEN 'proposed' ELSE 'approved' END AS measure_status FROM (""" + _FILES.replace("AS STRING", "AS VARCHAR") + ")")
 def filename_parse(spark, sf):
     p = text.parse_filename("f")
@@ -238,13 +227,17 @@ def year_disagreement(spark, sf):
     return table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("j"), differs.alias("differs"), stated.alias("reporting_year"))
 
 
-@query("""SELECT c_custkey AS k, concat_ws('; ', CASE WHEN c_custkey % 2 = 0 THEN 'OCR text: ' || c_custkey || ' words, dictionary ' || CAST(round_even((c_custkey % 1000) / 1000.0 * 100, 0) AS INT) || '%, agreement ' || CAST(round_even((c_custkey % 200) / 200.0 * 100, 0) AS INT) || '%' END,
- CASE WHEN c_custkey % 3 = 0 THEN 'missing: Actual, Target' END, CASE WHEN c_custkey % 5 = 0 THEN 'filename year differs' END) AS notes FROM customer""")
+@query("""SELECT c_custkey AS k, concat_ws('; ', CASE WHEN c_custkey % 2 = 0 THEN 'no text layer in the source PDF; text recovered by OCR. Two independent engines (tesseract (ocrmypdf) + paddleocr PP-OCRv6) agree on ' || CAST(round_even((c_custkey % 200) / 200.0 * 100, 0) AS INT) || '% of the word sequence and ' || CAST(round_even((c_custkey % 8) / 8.0 * 100, 0) AS INT)
+ || '% of the ' || c_custkey || ' figures, ' || CAST(round_even((c_custkey % 1000) / 1000.0 * 100, 0) AS INT) || '% dictionary-recognizable' || CASE WHEN c_custkey % 4 > 0 THEN '; ' || (c_custkey % 4) || ' heading/letterhead token(s) lost their word spacing in extraction and are left as-is rather than reconstructed' ELSE '' END || '; NOT human-verified — treat every number as unchecked against the source' END,
+ CASE WHEN c_custkey % 3 = 0 THEN 'missing expected anchors: Actual, Target' END, CASE WHEN c_custkey % 5 = 0 THEN 'filename implied reporting year 2019; the document states 2020 and the document wins' END,
+ CASE c_custkey % 7 WHEN 0 THEN 'agency name taken from socrata, not the document''s own cover page' WHEN 1 THEN 'agency name taken from unknown, not the document''s own cover page' END) AS notes FROM customer""")
 def conversion_notes(spark, sf):
     k = F.col("c_custkey")
     missing = F.when(k % 3 == 0, F.array(F.lit("Actual"), F.lit("Target"))).otherwise(F.array().cast("array<string>"))
-    notes = catalogue.conversion_notes(F.when(k % 2 == 0, "ocr").otherwise("pdf-text"), k, (k % 1000) / 1000, (k % 200) / 200, missing, k % 5 == 0)
-    return table(spark, sf, "customer").select(k.alias("k"), notes.alias("notes"))
+    note = F.when(k % 2 == 0, quality.ocr_note((k % 200) / 200, (k % 8) / 8, k, (k % 1000) / 1000, k % 4))
+    listed = F.when(k % 5 == 0, "2019").when(k % 5 == 1, "2020")
+    source = F.when(k % 7 == 0, "socrata").when(k % 7 == 1, "unknown").otherwise("document")
+    return table(spark, sf, "customer").select(k.alias("k"), catalogue.conversion_notes(note, missing, listed, F.lit("2020"), source).alias("notes"))
 
 
 @query(f"SELECT doc_id, CASE WHEN length(t) >= 200 THEN sha256(trim(regexp_replace(translate(t, '‘’“”', '''''\"\"'), '{W}+', ' ', 'g'), ' ')) ELSE sha256(t) END AS content_sha256 FROM (SELECT doc_id, '“' || text || '’' AS t FROM documents)")
@@ -258,27 +251,23 @@ def section_extract(spark, sf):
     return _docs(spark, sf).select("doc_id", F.md5(text.section(body, "Full text").cast("binary")).alias("section"))
 
 
-@query("""WITH r AS (SELECT o_custkey AS k, list(o_orderpriority ORDER BY o_orderkey) AS long FROM orders GROUP BY o_custkey), s AS (SELECT k, long, list_filter(long, lambda x, i: i % 3 <> 0) AS short FROM r)
-SELECT k, CASE WHEN len(short) = 0 THEN 1 ELSE least(2, (SELECT count(*) FROM (SELECT 1 FROM (SELECT unnest(range(0, CAST(power(2, least(len(long), 10)) AS BIGINT))) AS m) WHERE list_filter(long[1:10], lambda x, i: (m // CAST(power(2, i - 1) AS BIGINT)) % 2 = 1) = short))) END AS ways FROM s WHERE len(long) <= 10""")
-def embedding_count(spark, sf):
-    runs = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))).alias("p"))
-    runs = runs.select("k", F.transform("p", lambda x: x["o_orderpriority"]).alias("long")).where(F.size("long") <= 10)
-    short = F.filter("long", lambda x, i: (i + 1) % 3 != 0)
-    return runs.select("k", arrays.embeddings(short, F.col("long")).cast("long").alias("ways"))
-
-
 @query("""WITH RECURSIVE r AS (SELECT o_custkey AS k, list(o_orderpriority ORDER BY o_orderkey) AS long FROM orders GROUP BY o_custkey), s AS (SELECT k, long, list_filter(long, lambda x, i: i % 3 <> 0) AS short FROM r),
 f(k, long, short, i, ways) AS (SELECT k, long, short, 0, list_transform(range(0, len(short) + 1), lambda j: CASE WHEN j = 0 THEN 1 ELSE 0 END) FROM s
  UNION ALL SELECT k, long, short, i + 1, list_transform(range(0, len(short) + 1), lambda j: CASE WHEN j > 0 AND short[j] = long[i + 1] THEN least(2, ways[j + 1] + ways[j]) ELSE ways[j + 1] END) FROM f WHERE i < len(long))
 SELECT k, CAST(ways[len(short) + 1] AS BIGINT) AS ways FROM f WHERE i = len(long)""")
-def embedding_count_all(spark, sf):
-    """Runs of every length, as embedding_count for those of up to ten orders."""
+def embedding_count(spark, sf):
+    """Runs of every length."""
     runs = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))).alias("p"))
     runs = runs.select("k", F.transform("p", lambda x: x["o_orderpriority"]).alias("long"))
     short = F.filter("long", lambda x, i: (i + 1) % 3 != 0)
     return runs.select("k", arrays.embeddings(short, F.col("long")).cast("long").alias("ways"))
 
 
+@query(SQL["embedding_count"])
+def embedding_count_all(spark, sf):
+    return embedding_count(spark, sf)
+
+
 @query("SELECT o_custkey AS k, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INT) AS i, CAST(o_orderkey AS VARCHAR) AS year, o_orderpriority AS actual, CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) <= 2 THEN o_orderstatus END AS target FROM orders")
 def zip_series(spark, sf):
     runs = table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("k")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority", "o_orderstatus"))).alias("p"))

@@ -34,3 +34,15 @@ def scan(spark: SparkSession, root: str) -> DataFrame:
     named = files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("name"), F.col("value").alias("md"))
     named = named.where(~F.col("name").startswith("_") & (F.col("name") != "CHANGELOG.md"))
     return named.select("path", "md", fields("md").alias("fields"), text.section("md", "Full text").alias("full_text"))
+
+
+def documents(spark: SparkSession, root: str) -> DataFrame:
+    """Content files as documents: a column for each field that reports carry, null where absent.
+
+    ``doc_id`` is the id; ``text`` the full text; ``body`` all that stands after the fields.
+    """
+    known = ["id", "title", "doc_type", "status", "agency", "agency_key", "agency_code", "reporting_year", "year_source", "text_source", "measure_status", "source_url", "last_verified"]
+    rows = scan(spark, root)
+    named = [F.element_at("fields", F.lit(k)).alias(k) for k in known]
+    body = F.regexp_replace("md", r"(?s)\A---\n.*?\n---\n", "")
+    return rows.select("path", *named, F.element_at("fields", F.lit("id")).alias("doc_id"), body.alias("body"), text.strip("full_text").alias("text"))

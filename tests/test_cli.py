@@ -19,9 +19,38 @@ def test_series_is_written_and_checked(spark, tmp_path):
 def test_sinks(spark, tmp_path):
     docs = spark.createDataFrame([("a", "T", "x", None, "# head\nbody"), ("b", "U|V", "x", "2019", None)], "id string, title string, doc_type string, reporting_year string, full_text string")
     sinks.write_reports(docs, f"{tmp_path}/md")
-    text = spark.read.text(f"{tmp_path}/md/id=a").collect()
-    assert [r.value for r in text] == ["---", "id: a", "title: T", "doc_type: x", "---", "", "## Full text", "", " # head", "body", ""]
+    md = {r.id: r.markdown for r in spark.read.parquet(f"{tmp_path}/md").collect()}
+    assert md["a"].split("\n") == ["---", "id: a", "title: T", "doc_type: x", "---", "", "## Full text", "", " # head", "body", ""] and set(md) == {"a", "b"}
+    sinks.write_texts(docs.select("id", F.col("full_text").alias("text"), F.lit("  x").alias("layout")), f"{tmp_path}/texts")
+    assert sorted((r.id, r.kind, r.text) for r in spark.read.parquet(f"{tmp_path}/texts").collect()) == [("a", "layout", "  x"), ("a", "text", "# head\nbody"), ("b", "layout", "  x")]
     late = quality.freshness(docs.withColumn("last_verified", F.lit("")), "2025-01-01")
     assert "- 1 more" in sinks.status_report(docs, late, 3, named=1)
     problems = spark.createDataFrame([("a|b", "stale")], "agency_key string, problem string")
     assert "a\\|b" in sinks.work_list(problems)
+    several = spark.createDataFrame([(f"k{i}", "stale") for i in range(5)] + [("a", "no slug")], "agency_key string, problem string")
+    assert sinks.work_list(several, named=2).split("\n")[2:-1] == ["| no slug | a |", "| stale | k0 |", "| stale | k1 |", "| stale | 3 more |"]
+    sinks.write_work_list(several, f"{tmp_path}/work")
+    assert spark.read.text(f"{tmp_path}/work").count() == 6
+
+
+def test_manifest_graph_and_site(spark, tmp_path):
+    sources = spark.createDataFrame([("b", "2019", None, 5), ("a", "2019", "X", 6), ("c", None, "Y", 7)], "id string, reporting_year string, agency_code string, bytes long")
+    sinks.write_manifest(sources, f"{tmp_path}/m", "note", 2018, 2020)
+    back = sinks.read_manifest(spark, f"{tmp_path}/m")
+    assert sorted((r.id, r.reporting_year, r.bytes) for r in back.collect()) == [("a", "2019", 6), ("b", "2019", 5), ("c", None, 7)]
+    rows = sorted((r.kind, r.name) for r in spark.read.json(f"{tmp_path}/m/coverage").collect())
+    assert rows == [("gap", "2018"), ("gap", "2020"), ("note", "note"), ("unparsed", "b"), ("unparsed", "c"), ("year", "2019"), ("year", "None")]
+    nodes = spark.createDataFrame([("a", "A & B", "report", "current", "p/a.md")], "id string, title string, doc_type string, status string, path string")
+    edges = spark.createDataFrame([("a", "related", "a"), ("a", "related", "z")], "`from` string, type string, `to` string")
+    sinks.write_graph(nodes, edges, f"{tmp_path}/g", as_json=True)
+    assert tuple(spark.read.json(f"{tmp_path}/g/counts").select("n_nodes", "n_edges", "n_edges_external").first()) == (1, 2, 1)
+    sinks.write_site(nodes, nodes.select(F.lit(1).alias("nodes"), F.lit("2019").alias("first_year")), f"{tmp_path}/site")
+    assert spark.read.json(f"{tmp_path}/site/corpus-index").first().row == ["A & B", "report", "p/a.md"]
+    assert "<b>2019</b> first year" in "\n".join(r.value for r in spark.read.text(f"{tmp_path}/site/page").collect())
+
+
+def test_search_command(spark, tmp_path, capsys):
+    spark.createDataFrame([(1, "alpha"), (2, "beta")], "doc_id long, text string").write.parquet(f"{tmp_path}/d")
+    assert cli.main(["index", f"{tmp_path}/d", "--out", f"{tmp_path}/i"], spark) == 0
+    assert cli.main(["search", f"{tmp_path}/i", "--query", "beta"], spark) == 0
+    assert "|2 " in capsys.readouterr().out.replace("| 2", "|2").replace("|     2", "|2")

@@ -68,16 +68,35 @@ def test_chain_skips_gaps_and_takes_the_last_path(spark):
     assert [r.documents for r in graph.collisions(docs).collect()] == [2]
 
 
+def reach(spark, pairs, start):
+    edges = spark.createDataFrame([(a, "t", b) for a, b in pairs], "`from` string, type string, `to` string")
+    return {r.id: r.depth for r in graph.authority_chain(edges, start).collect()}
+
+
 def test_reach_ends_in_cycles(spark):
-    edges = spark.createDataFrame([("a", "t", "b"), ("b", "t", "c"), ("c", "t", "a"), ("b", "t", "d")], "`from` string, type string, `to` string")
-    assert sorted(tuple(r) for r in graph.authority_chain(edges.limit(2).union(edges.where("`to` = 'd'")), "a").collect()) == [("b", 1), ("c", 2), ("d", 2)]
+    assert reach(spark, [("a", "b"), ("b", "c"), ("c", "a"), ("b", "d"), ("d", "d")], "a") == {"b": 1, "c": 2, "d": 2}
+    clique = [(f"n{i}", f"n{j}") for i in range(12) for j in range(12)]
+    assert reach(spark, [*clique, ("n3", "x"), ("x", None)], "n0") == {f"n{i}": 1 for i in range(1, 12)} | {"x": 2}
+    assert reach(spark, [("a", "b")], "z") == {}
+
+
+def test_reach_has_no_depth_cap(spark, monkeypatch):
+    monkeypatch.setattr(graph, "COMPACT", 5)
+    chain = [(f"n{i}", f"n{i + 1}") for i in range(200)] + [("n2", "n0"), ("n0", "d"), ("d", "n2"), ("n1", "n1"), ("n1", None)]
+    assert reach(spark, chain, "n0") == {f"n{i}": i for i in range(1, 201)} | {"d": 1}
 
 
-def test_reach_has_no_depth_cap(spark):
-    chain = [(f"n{i}", "t", f"n{i + 1}") for i in range(55)] + [("n2", "t", "n0"), ("n0", "t", "d"), ("d", "t", "n2"), ("n1", "t", "n1"), ("n1", "t", None)]
-    edges = spark.createDataFrame(chain, "`from` string, type string, `to` string")
-    got = {r.id: r.depth for r in graph.authority_chain(edges, "n0").collect()}
-    assert got == {f"n{i}": i for i in range(1, 56)} | {"d": 1}
+def test_suggestions_lose_no_link(spark, monkeypatch):
+    import difflib
+    import random
+
+    monkeypatch.setattr(entities, "BLOCK", 7)
+    rng = random.Random(3)
+    name = lambda: "".join(rng.choice("abcde-") for _ in range(rng.randint(1, 9)))
+    keys, slugs = sorted({name() for _ in range(40)} | {"ab", "abxde"}), sorted({name() for _ in range(30)} | {"abc", "abyde"})
+    got = {r.agency_key: r.slug for r in entities.suggestions(spark.createDataFrame([(k,) for k in [*keys, None]], "agency_key string"), spark.createDataFrame([(s,) for s in slugs], "slug string")).collect()}
+    assert got == {k: m[0] for k in keys if (m := difflib.get_close_matches(k, slugs, n=1, cutoff=0.6))}
+    assert "ab" in got and "abxde" in got
 
 
 def test_citations(spark):
@@ -101,8 +120,49 @@ def test_furniture_and_outcomes(spark):
     assert sorted(tuple(r) for r in catalogue.page_furniture(pages).collect()) == [("d", "Head"), ("d", "foot"), ("d", "x"), ("d", "y")]
 
 
-def test_search_falls_back(spark):
+def test_search_falls_back(spark, tmp_path):
     docs = spark.createDataFrame([(1, "alpha beta beta"), (2, "beta"), (3, None)], "doc_id int, text string")
-    assert [r.doc_id for r in search.search(docs, "alpha").collect()] == [1]
-    index = {(r.term, r.doc_id): r.tf for r in search.inverted_index(docs).collect()}
-    assert index == {("alpha", 1): 1, ("beta", 1): 2, ("beta", 2): 1}
+    search.write_index(docs, str(tmp_path))
+    assert [r.doc_id for r in search.search(spark, str(tmp_path), "alpha").collect()] == [1]
+    assert search.keyword(spark, str(tmp_path), "").count() == 0 and search.keyword(spark, str(tmp_path), "gamma").count() == 0
+    index = {(r.term, r.doc_id): (r.tf, r.length) for r in search.inverted_index(docs).collect()}
+    assert index == {("alpha", 1): (1, 3), ("beta", 1): (2, 3), ("beta", 2): (1, 1), ("", 3): (1, 0)}
+    assert tuple(spark.read.parquet(f"{tmp_path}/sizes").first()) == (3, 4 / 3)
+
+
+def test_search_reads_only_the_terms_asked_for(spark, tmp_path):
+    search.write_index(spark.createDataFrame([(i, f"w{i} w{i % 3}") for i in range(500)], "doc_id int, text string"), str(tmp_path))
+    plan = search.keyword(spark, str(tmp_path), "w1 w400")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    assert "In(term, [w1,w400])" in plan
+
+
+def test_names_of_files_and_agencies(spark):
+    parsed = text.parse_filename("x")
+    assert tuple(one(spark, "APPR_B%26W_2019.pdf", parsed)) == ("B&W", "2019", "filename", "approved")
+    assert tuple(one(spark, "APPR_a+b%_2019%2Epdf", parsed)) == (None, "2019", "filename-scan", "approved")
+    assert one(spark, "100%+%20", text.unescape("x")) == "100%+ "
+    assert tuple(one(spark, "  Board  of \t Nursing ", text.agency("x", F.lit(None)))) == ("Board of Nursing", "document")
+    assert tuple(one(spark, "ab\rOffice of X", text.agency("x", F.lit(None)))) == ("Office of X", "document")
+
+
+def test_probes(spark):
+    rows = [(200, "application/pdf", None, None, None), (200, "text/html", 206, "application/pdf", "%PDF-1.7"), (200, "text/html", 206, "application/pdf", "<html>"), (405, None, 200, "application/pdf", "<html>"), (405, None, 403, None, None), (0, "timed out", None, None, None), (404, None, 206, None, "%PDF")]
+    df = spark.createDataFrame(rows, "c int, t string, rc int, rt string, h string")
+    assert [r[0] for r in df.select(catalogue.probe_state(*map(F.col, ["c", "t", "rc", "rt", "h"]))).collect()] == ["verified", "verified by range", "unreachable", "verified by range", "unreachable", "network error", "unreachable"]
+
+
+def test_samples_survive_outliers(spark):
+    ids = [*range(1000), 10**15, -(10**15), 5, 5]
+    df = spark.createDataFrame([(i,) for i in ids], "doc_id long").repartition(4)
+    assert sorted(r[0] for r in quality.systematic(df, 7).collect()) == sorted(ids)[::7]
+    assert quality.systematic(df.limit(0), 7).count() == 0
+
+
+def test_ids_and_summaries(spark):
+    docs = spark.createDataFrame([("ok-1", "r/ok-1.md"), ("Bad", "r/Bad.md"), ("a-b", "r/other.md"), (None, "r/x.md")], "id string, path string")
+    assert sorted((str(r.id), r.problem) for r in quality.odd_ids(docs).collect()) == [("Bad", "id outside its pattern"), ("None", "id outside its pattern"), ("a-b", "id is not the file's name")]
+    many = spark.createDataFrame([("r", f"i{k:03}", "p") for k in range(300)], "rule string, id string, problem string")
+    got = {r.rule: (r.violations, r.passed, r.first) for r in quality.summary(many, {"r": None, "s": None}).collect()}
+    assert got == {"r": (300, False, [f"i{k:03}: p" for k in range(10)]), "s": (0, True, [])}
+    assert quality.unassessed(docs).count() == 0 and [r.id for r in quality.unassessed(docs.withColumn("assessment", F.lit("green"))).collect()] == ["assessment"]
