@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.storage import discarded, new_path, removed, scratch, shared_dir, stored
+
+__all__ = ["discarded", "new_path", "removed", "scratch", "shared_dir", "stored"]
+
 #: Rows written to one Arrow batch by the Python stages hold at most about this many bytes.
 BATCH_BYTES = 8 << 20
 #: A key is heavy if it has over one in so many rows: fewer keys than that can be, so they may be broadcast.
@@ -24,70 +24,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share.
-
-    It is the one that the cluster names in ``spark.checkpoint.dir``.  Where that is unset, a
-    temporary folder serves local masters; on a cluster that would be a different disk for each
-    executor, so an unset setting is an error there.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = os.path.join(tempfile.gettempdir(), f"reportloom-{spark.sparkContext.applicationId}")
-    spark.sparkContext.setCheckpointDir(own)
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
-
-
-#: Paths of the tables that each open :func:`scratch` block has written, innermost last.
-_OPEN: list[list[str]] = []
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as a table to the shared folder and read again: its lineage ends there.
-
-    A lost executor costs only the tasks that it ran, since every reader finds the files.  Results
-    that are not computed yet read such tables: they stay until the :func:`scratch` block around
-    them ends, or until :func:`discarded`.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/reportloom/{name}-{uuid.uuid4().hex}"
-    if _OPEN:
-        _OPEN[-1].append(path)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discarded(*tables: DataFrame) -> None:
-    """Delete tables of :func:`stored` that nothing reads any more."""
-    for t in tables:
-        for path in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
-            if "/reportloom/" in path:
-                removed(t.sparkSession, path)
-
-
-@contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
-    """Tables that operators store inside the block are deleted when it ends.
-
-    What is computed from them must be written or collected inside it.
-    """
-    _OPEN.append([])
-    try:
-        yield
-    finally:
-        for path in _OPEN.pop():
-            removed(spark, path)
-
-
-def removed(spark: SparkSession, path: str) -> None:
-    """Delete a folder through Hadoop's file system, if it is there."""
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
     """``df.mapInArrow(run, schema)`` for columns of any name, dots included."""
     given, made = df.columns, [f"c{i}" for i in range(len(schema))]
