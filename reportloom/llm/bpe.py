@@ -240,14 +240,15 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
     read that one exchange: owners encode their chunks, whose ids go to the texts that share them
     (one copy of the ids for each :data:`SHARERS` places, so no task gathers a popular chunk's); the
     last pass encodes what is left and repairs the joins.  Copies of one text lie side by side
-    there, and the first one's ids serve all.  No step holds more than one text and its shared
+    there, and the first one's ids serve all; a text with over one in :data:`HEAVY` of the rows is
+    dealt out in parts of about :data:`SHARERS` rows.  No step holds more than one text and its shared
     chunks at a time.
     """
     added = [ids] + ([decoded] if decoded else [])
     lost = {x.lower() for x in added} | (set() if keep_text else {text.lower()})
     order = [c for c in docs.columns if c.lower() not in lost]
     rest = [c for c in order if c.lower() != text.lower()]
-    key, packed, owned, shared = (free_name(docs, x) for x in ("key__", "packed__", "owned__", "shared__"))
+    key, part, parts, packed, owned, shared = (free_name(docs, x) for x in ("key__", "part__", "parts__", "packed__", "owned__", "shared__"))
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary)
@@ -281,9 +282,15 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
             packs = pa.array([level.compress(t.encode("utf-8", "surrogatepass")) for t in batch.column(len(batch.schema) - 1).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], packs], names=[*batch.schema.names[:-1], packed])
 
+    # a text of very many copies is dealt out in parts, each of which gets its shared chunks
+    texts = refs.where("i = 0").groupBy("k").agg(F.count("*").alias("c"))
+    often = F.broadcast(texts.where(F.col("c") * HEAVY > docs.count()).select(F.col("k").alias(key), F.ceil(F.col("c") / SHARERS).cast("int").alias(parts)))
     fields = [T.StructField(c, docs.schema[c].dataType) for c in rest]
+    spread = F.monotonically_increasing_id()
+    any_part = F.when(F.length(packed) == 0, F.pmod(spread, F.lit(1 << 30))).when(F.col(parts).isNotNull(), F.pmod(spread, F.col(parts))).otherwise(0).cast("int")
     base = docs.select(*[F.col(quoted(c)) for c in rest], keyed.alias(key), text_or_empty(quoted(text)).alias(packed))
-    base = mapped(base, pack, T.StructType([*fields, T.StructField(key, T.BinaryType()), T.StructField(packed, T.BinaryType())]))
+    base = base.join(often, key, "left").select(*[F.col(quoted(c)) for c in rest], key, any_part.alias(part), packed)
+    base = mapped(base, pack, T.StructType([*fields, T.StructField(key, T.BinaryType()), T.StructField(part, T.IntegerType()), T.StructField(packed, T.BinaryType())]))
 
     def owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c, unpack = codec(vocabulary), zstandard.ZstdDecompressor()
@@ -301,9 +308,12 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
             yield pa.RecordBatch.from_arrays([pa.array(hs, pa.binary()), pa.array(copies, pa.int32()), pa.array(out, pa.binary())], names=["h", "salts", "ids"])
 
     own = places.where("own").groupBy("k").agg(F.collect_list(F.struct("i", "salts")).alias(owned)).withColumnRenamed("k", key)
-    encoded = mapped(base.join(own, key, "left"), owners, T.StructType([T.StructField("h", T.BinaryType()), T.StructField("salts", T.IntegerType()), T.StructField("ids", T.BinaryType())]))
+    # part 0, in a form that is no literal: a literal would become a filter of the texts, and they another exchange
+    own = own.withColumn(part, F.pmod(F.hash(key), F.lit(1)))
+    encoded = mapped(base.join(own, [key, part], "left"), owners, T.StructType([T.StructField("h", T.BinaryType()), T.StructField("salts", T.IntegerType()), T.StructField("ids", T.BinaryType())]))
     encoded = encoded.groupBy("h", "salts").agg(F.first("ids").alias("ids")).select("h", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), "ids")
     given = places.select("k", "i", "h", "salt").join(encoded, ["h", "salt"]).groupBy("k").agg(F.collect_list(F.struct("i", "ids")).alias(shared)).withColumnRenamed("k", key)
+    given = given.join(often, key, "left").withColumn(part, F.explode(F.sequence(F.lit(0), F.coalesce(parts, F.lit(1)) - 1))).drop(parts)
 
     def whole_of(c: Codec, t: str, had: dict[int, np.ndarray]) -> np.ndarray:
         parts, i = [], 0
@@ -348,7 +358,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
     schema = T.StructType([T.StructField(c, T.StringType() if c.lower() == text.lower() else docs.schema[c].dataType) for c in order] + [T.StructField(ids, T.BinaryType())])
     if decoded:
         schema = schema.add(decoded, T.StringType())
-    return mapped(base.join(given, key, "left"), finished, schema)
+    return mapped(base.join(given, [key, part], "left"), finished, schema)
 
 
 def ids_of(data: bytes) -> list[int]:
