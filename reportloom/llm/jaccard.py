@@ -34,8 +34,10 @@ from .components import connected_components
 FREQUENT = 24
 #: Shingles and texts of one cluster that one task compares; larger clusters are dealt into blocks.
 CLUSTER_SHINGLES, CLUSTER_TEXTS = 2_000_000, 1_000
-#: Clustered documents whose ids are broadcast (16 bytes each), at most.
-BROADCAST_IDS = 1_000_000
+#: Clustered documents whose places are broadcast (about 100 bytes each), at most.
+BROADCAST_IDS = 250_000
+#: Sets that share a combination and make it a popular one, over; popular ones that are broadcast, at most.
+POPULAR, BROADCAST_POPULAR = 500, 100_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -166,9 +168,15 @@ def _candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
     span = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(max(den / num, 1.01) * (1 + 1e-6)))).cast("int")
     two = F.flatten(F.transform("hs", lambda x, i: F.transform(F.slice(F.col("hs"), i + 2, F.size("hs")), lambda y: F.xxhash64(F.col("band"), F.col("span"), x, y))))
     combos = grouped.withColumn("span", F.explode(F.array(span, span + 1))).select("rep", F.explode(two).alias("sig"))
-    hubs = combos.groupBy("sig").agg(F.min("rep").alias("hub"), F.max("rep").alias("far")).where("hub <> far").select("sig", "hub")
-    frequent = combos.join(hubs, "sig").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    return rare.union(frequent)
+    hubs = combos.groupBy("sig").agg(F.min("rep").alias("hub"), F.max("rep").alias("far"), F.count("*").alias("c")).where("hub <> far")
+    hubs = stored(hubs.select("sig", "hub", "c"), "hubs")
+    popular = hubs.where(F.col("c") > POPULAR)
+    if popular.count() <= BROADCAST_POPULAR:  # their sets stay spread over the tasks that have them
+        popular = F.broadcast(popular)
+        met = combos.join(popular, "sig").union(combos.join(popular.select("sig"), "sig", "left_anti").join(hubs.where(F.col("c") <= POPULAR), "sig"))
+    else:
+        met = combos.join(hubs, "sig")
+    return rare.union(met.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")))
 
 
 def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int, num: int, den: int, same: DataFrame) -> DataFrame:
@@ -177,18 +185,23 @@ def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int
     A cluster too large for one task is dealt into blocks, each compared in itself.  Then the
     smallest texts' ids of all classes found so far are compared with each other, which makes one
     class of a large group of near copies.  What may still be missed joins two classes, so all texts
-    outside the largest class of their cluster are compared with every text of it, block by block.
+    outside the largest class of their cluster are compared with every text of it, block by block;
+    but first those go that cannot link: too few of their shingles occur in another text of the
+    cluster.
     """
     placed = clusters.join(sizes, clusters["node"] == sizes["rep"]).select("node", "component", "n")
     totals = placed.groupBy("component").agg(F.sum("n").alias("total"), F.count("*").alias("texts"))
     blocks = F.greatest(F.ceil(F.col("total") / CLUSTER_SHINGLES), F.ceil(F.col("texts") / CLUSTER_TEXTS)).cast("int")
-    placed = placed.join(totals, "component").select("node", "component", blocks.alias("blocks"))
+    placed = placed.join(totals, "component").select("node", "component", "n", blocks.alias("blocks"))
     placed = stored(placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "placed")
 
+    def texts_of(rows: DataFrame) -> DataFrame:
+        few = rows.count() <= BROADCAST_IDS
+        return base.join(F.broadcast(rows) if few else rows, base["id"] == rows["node"])
+
     def compared(rows: DataFrame, between: bool = False) -> DataFrame:
         """Links within each ``(component, i, j)`` of rows, or of those that ask with all."""
-        few = rows.count() <= BROADCAST_IDS
-        met = base.join(F.broadcast(rows) if few else rows, base["id"] == rows["node"]).select("component", "i", "j", "asks", "label", "id", "t")
+        met = texts_of(rows).select("component", "i", "j", "asks", "label", "id", "t")
         met = met.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,6 +212,20 @@ def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int
 
         return stored(met.mapInArrow(run, "a long, b long"), "links")
 
+    def supported(rows: DataFrame) -> DataFrame:
+        """Of rows those of which enough shingles occur in another text of the cluster."""
+
+        def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for c, x, t in zip(*[col.to_pylist() for col in batch.columns], strict=True):
+                    h = shingles(t, width).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), c)), pa.array(np.full(len(h), x)), pa.array(h)], names=["component", "node", "h"])
+
+        each = texts_of(rows.select("component", "node")).select("component", "node", "t").mapInArrow(listed, "component long, node long, h long")
+        twice = each.groupBy("component", "h").agg(F.count("*").alias("c")).where("c > 1").select("component", "h")
+        held = each.join(twice, ["component", "h"]).groupBy(F.col("node").alias("of")).agg(F.count("*").alias("c"))
+        return stored(rows.join(held, F.col("node") == F.col("of")).where(F.col("c") * den >= F.col("n") * num).drop("of", "c"), "supported")
+
     zero, no = F.lit(0), F.lit(False)
     found = compared(placed.select("node", "component", F.col("block").alias("i"), zero.alias("j"), no.alias("asks"), F.col("node").alias("label")))
     large = placed.where("blocks > 1")
@@ -209,9 +236,10 @@ def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int
         more = compared(first.join(fits, "component").select("node", "component", zero.alias("i"), zero.alias("j"), no.alias("asks"), "label"))
         merged = connected_components(found.select("a", "b").union(more.select("a", "b")))
         named = large.join(merged.select(F.col("node").alias("of"), F.col("component").alias("to")), F.col("node") == F.col("of"), "left")
-        named = stored(named.select("node", "component", "blocks", "block", F.coalesce("to", "node").alias("label")), "named")
+        named = stored(named.select("node", "component", "n", "blocks", "block", F.coalesce("to", "node").alias("label")), "named")
         main = named.groupBy("component", "label").agg(F.count("*").alias("c")).groupBy("component").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
         rest = named.join(main, "component").withColumn("asks", F.col("label") != F.col("main"))
+        rest = supported(rest.join(rest.where("asks").select("component").distinct(), "component", "left_semi"))
         asked = rest.where("asks").groupBy("component").agg(F.ceil(F.count("*") / CLUSTER_TEXTS).cast("int").alias("parts"))
         rest = rest.join(asked, "component")
         every = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
