@@ -322,17 +322,17 @@ def graph_neighbors(spark, sf):
     return graph.neighbours(graph.stated_edges(_related(spark, sf)), "cust-8")
 
 
-#: Rings of 200 documents, each related to the next, with a shortcut here and there.
+#: Rings of 100 documents, each related to the next, with a shortcut here and there.
 _RING = """
-SELECT 'cust-' || CAST(c_custkey AS STRING) AS `from`, 'related' AS type, 'cust-' || CAST(CASE WHEN c_custkey % 200 = 0 THEN c_custkey - 199 ELSE c_custkey + 1 END AS STRING) AS `to` FROM customer
-UNION ALL SELECT 'cust-' || CAST(c_custkey AS STRING), 'implements', 'cust-' || CAST(c_custkey + 7 AS STRING) FROM customer WHERE c_custkey % 35 = 0 AND c_custkey % 200 BETWEEN 1 AND 190
+SELECT 'cust-' || CAST(c_custkey AS STRING) AS `from`, 'related' AS type, 'cust-' || CAST(CASE WHEN c_custkey % 100 = 99 THEN c_custkey - 99 ELSE c_custkey + 1 END AS STRING) AS `to` FROM customer
+UNION ALL SELECT 'cust-' || CAST(c_custkey AS STRING), 'implements', 'cust-' || CAST(c_custkey + 7 AS STRING) FROM customer WHERE c_custkey % 35 = 0 AND c_custkey % 100 < 92
 """
 
 
-@query(f"""WITH RECURSIVE e AS ({_RING.replace('`', '"').replace('AS STRING', 'AS VARCHAR')}), r(id, depth) AS (SELECT 'cust-1', 0 UNION SELECT "to", depth + 1 FROM r JOIN e ON "from" = r.id WHERE depth < 250)
+@query(f"""WITH RECURSIVE e AS ({_RING.replace('`', '"').replace('AS STRING', 'AS VARCHAR')}), r(id, depth) AS (SELECT 'cust-1', 0 UNION SELECT "to", depth + 1 FROM r JOIN e ON "from" = r.id WHERE depth < 150)
 SELECT id, min(depth) AS depth FROM r WHERE id <> 'cust-1' GROUP BY id""")
 def authority_chain(spark, sf):
-    """A ring is a cycle, and deeper than 150 steps."""
+    """A ring is a cycle, and deeper than 50 steps."""
     return graph.authority_chain(portable(spark, sf, _RING), "cust-1")
 
 

@@ -18,12 +18,12 @@ CELLS = """
 SELECT n.n_nationkey AS n, n.n_name AS name, y.y AS ry, m.k AS k, s.seg AS seg, s.s AS s, p.yr AS yr,
        coalesce(c.c, 0) + CASE WHEN y.y = 2001 AND p.yr = 1998 AND (n.n_nationkey + m.k) % 3 = 0 THEN 1 ELSE 0 END AS c,
        m.k = 2 AND (n.n_nationkey + s.s + p.yr) % 11 = 0 AS blank
-FROM (SELECT n_nationkey + 25 * g AS n_nationkey, n_nationkey AS nk, g, n_name || CASE WHEN g = 0 THEN '' ELSE ' ' || CAST(g AS STRING) END AS n_name FROM nation CROSS JOIN (SELECT DISTINCT CAST(floor((c_custkey - 1) / 1500) AS INT) AS g FROM customer) gs) n
+FROM (SELECT n_nationkey + 25 * g AS n_nationkey, n_nationkey AS nk, g, n_name || CASE WHEN g = 0 THEN '' ELSE ' ' || CAST(g AS STRING) END AS n_name FROM nation CROSS JOIN (SELECT DISTINCT CAST(floor(c_custkey / 1500) AS INT) AS g FROM customer) gs) n
 CROSS JOIN (SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS INT) AS k FROM orders) m
 CROSS JOIN (SELECT c_mktsegment AS seg, CAST(row_number() OVER (ORDER BY c_mktsegment) AS INT) AS s FROM (SELECT DISTINCT c_mktsegment FROM customer) q) s
 CROSS JOIN (VALUES (1999), (2000), (2001)) y(y)
 CROSS JOIN (VALUES (1995), (1996), (1997), (1998), (1999), (2000), (2001)) p(yr)
-LEFT JOIN (SELECT c_nationkey, CAST(floor((c_custkey - 1) / 1500) AS INT) AS g, CAST(substr(o_orderpriority, 1, 1) AS INT) AS k, c_mktsegment, year(o_orderdate) AS yr, count(*) AS c
+LEFT JOIN (SELECT c_nationkey, CAST(floor(c_custkey / 1500) AS INT) AS g, CAST(substr(o_orderpriority, 1, 1) AS INT) AS k, c_mktsegment, year(o_orderdate) AS yr, count(*) AS c
            FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3, 4, 5) c
   ON c.c_nationkey = n.nk AND c.g = n.g AND c.k = m.k AND c.c_mktsegment = s.seg AND c.yr = p.yr
 WHERE p.yr BETWEEN y.y - 4 AND y.y AND (m.k <> 5 OR s.s = 1)
