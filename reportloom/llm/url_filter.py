@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from .common import free_name, quoted
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Up to so many rules the index is a literal in the plan; up to BROADCAST it is broadcast.
-LITERAL, BROADCAST = 64, 100_000
+#: Up to so many rules the index is a literal in the plan; up to so many bytes of rules it is broadcast.
+LITERAL, BROADCAST_BYTES = 64, 16 << 20
 
 
 class Rule(NamedTuple):
@@ -78,8 +78,15 @@ def rarest(urls: DataFrame, rules: Sequence[Rule]) -> dict[Rule, str | None]:
     whole token has None: it is a candidate for every url.
     """
     named = sorted({t for r in rules for t in r.tokens})
-    seen = urls.select(F.explode(tokens_of(F.col("host"), F.col("path"))).alias("t")).where(F.col("t").isin(named)) if named else None
-    count = {r["t"]: r["n"] for r in seen.groupBy("t").agg(F.count("*").alias("n")).collect()} if named else {}
+    if not named:
+        return {r: None for r in rules}
+    seen = urls.select(F.explode(tokens_of(F.col("host"), F.col("path"))).alias("t"))
+    if len(named) <= 4 * LITERAL:
+        seen = seen.where(F.col("t").isin(named))
+    else:  # a table of tokens, which is as small as the rules are
+        seen = seen.groupBy("t").agg(F.count("*").alias("c")).join(urls.sparkSession.createDataFrame([(t,) for t in named], "t string"), "t", "left_semi")
+    n = F.sum("c") if "c" in seen.columns else F.count("*")
+    count = {r["t"]: r["n"] for r in seen.groupBy("t").agg(n.alias("n")).collect()}
     return {r: min(r.tokens, key=lambda t: (count.get(t, 0), t), default=None) for r in rules}
 
 
@@ -96,8 +103,9 @@ def judge(pages: DataFrame, rules: Sequence[Rule], url: str = "url", otherwise:
     * Of equal rules the last one counts.
 
     Up to :data:`LITERAL` rules the judgement is a projection: nothing is shuffled but token counts.
-    With more, distinct urls meet the index in a join: by broadcast up to :data:`BROADCAST` rules,
-    beyond that by a shuffled join in which a token's urls are spread over salted copies of its rules.
+    With more, distinct urls meet the index in a join: by broadcast up to :data:`BROADCAST_BYTES` of
+    rules, beyond that by a shuffled join in which a token's urls are spread over salted copies of
+    its rules.  The rules themselves are a list of the driver's.
     """
     rules = list({(r.host, r.path): r for r in map(lambda r: Rule(*r), rules)}.values())
     kept = [c for c in pages.columns if c.lower() not in {"host", "path", "rule", "verdict"}]
@@ -113,7 +121,7 @@ def judge(pages: DataFrame, rules: Sequence[Rule], url: str = "url", otherwise:
         win = free_name(base, "win__")
         judged = base.withColumn(win, best)
         return judged.select(*[F.col(quoted(c)) for c in base.columns], F.col(f"{win}.rule").alias("rule"), F.coalesce(F.col(f"{win}.verdict"), F.lit(otherwise)).alias("verdict"))
-    return _by_join(base, index, always, otherwise, len(rules))
+    return _by_join(base, index, always, otherwise)
 
 
 _ENTRY = "struct<n:int,h:int,rule:string,verdict:string,pattern:string>"
@@ -131,10 +139,11 @@ def _by_literal(index: dict[str, list[dict]], always: list[dict]) -> Column:
     return _fits(F.concat(fetched, every), host, path)
 
 
-def _by_join(base: DataFrame, index: dict[str, list[dict]], always: list[dict], otherwise: str, n: int) -> DataFrame:
+def _by_join(base: DataFrame, index: dict[str, list[dict]], always: list[dict], otherwise: str) -> DataFrame:
     spark = base.sparkSession
-    salts = 1 if n <= BROADCAST else 16
-    entries = spark.createDataFrame([(t, json.dumps(x)) for t, v in index.items() if t for x in v] or [("", "null")], "t string, x string")
+    rows = [(t, json.dumps(x)) for t, v in index.items() if t for x in v] or [("", "null")]
+    salts = 1 if sum(len(t) + len(x) for t, x in rows) <= BROADCAST_BYTES else 16
+    entries = spark.createDataFrame(rows, "t string, x string")
     entries = entries.select("t", F.from_json("x", _ENTRY).alias("c"))
     urls = base.select("host", "path").distinct()
     asked = urls.select("host", "path", F.explode(tokens_of(F.col("host"), F.col("path"))).alias("t"))

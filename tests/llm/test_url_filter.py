@@ -32,9 +32,9 @@ def test_both_indexes_equal_brute_force(spark, monkeypatch):
     rules = [*queries.RULES, Rule("", "/a.b/", "block"), Rule("org", "", "block"), Rule("b.net", "/(c", "block"), Rule("example.com", "/en/1", "review")]
     df = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate(urls())], "page_id long, url string, HOST string, extra string")
     want = sorted((i, *brute(u, rules)) for i, u in enumerate(urls()))
-    for literal, broadcast in ((64, 100), (0, 100), (0, 0)):
+    for literal, broadcast in ((64, 1 << 20), (0, 1 << 20), (0, 0)):
         monkeypatch.setattr(url_filter, "LITERAL", literal)
-        monkeypatch.setattr(url_filter, "BROADCAST", broadcast)
+        monkeypatch.setattr(url_filter, "BROADCAST_BYTES", broadcast)
         out = url_filter.judge(df, rules)
         assert out.columns == ["page_id", "url", "extra", "host", "path", "rule", "verdict"]
         assert sorted((r.page_id, r.host, r.path, r.rule, r.verdict) for r in out.collect()) == want, (literal, broadcast)
@@ -50,8 +50,8 @@ def test_rules_stand_under_their_rarest_token(spark):
 
 def test_no_python_on_the_main_path(spark, monkeypatch):
     df = spark.createDataFrame([(1, "http://example.com/en/")], "page_id long, url string")
-    for literal, broadcast in ((64, 100), (0, 100), (0, 0)):
+    for literal, broadcast in ((64, 1 << 20), (0, 1 << 20), (0, 0)):
         monkeypatch.setattr(url_filter, "LITERAL", literal)
-        monkeypatch.setattr(url_filter, "BROADCAST", broadcast)
+        monkeypatch.setattr(url_filter, "BROADCAST_BYTES", broadcast)
         plan = url_filter.judge(df, queries.RULES)._jdf.queryExecution().optimizedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
