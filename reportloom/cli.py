@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .functions import text
 from .operators import catalogue, citations, entities, graph, quality, search, series, sinks
-from .sources import frontmatter
+from .sources import frontmatter, tables
 
 
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -28,7 +28,7 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--only", help="one document id")
     p.add_argument("--limit", type=int)
     p.add_argument("--report", action="store_true", help="print counts")
-    p.add_argument("--registry", help="Parquet table of slugs")
+    p.add_argument("--registry", nargs="*", help="Parquet table of slugs: the first of these paths that is there")
     p.add_argument("--mapping", help="Parquet table of the crosswalk")
     p.add_argument("--unmapped", help="Parquet table of keys without a slug")
     p.add_argument("--query", default="")
@@ -74,11 +74,12 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> in
         bad.show(truncate=False)
         return quality.outcome(False, bad.agg(F.sum("violations")).first()[0])
     if a.command == "crosswalk":
-        if not (a.registry and a.mapping and a.unmapped):
+        registry = tables.first_table(spark, a.registry or [])
+        if registry is None or not (a.mapping and a.unmapped):
             print("skipped: a registry, a mapping and an unmapped table are needed", file=sys.stderr)
             return quality.outcome(True, 0)
         keys = docs.select(text.entity_key("agency").alias("agency_key")).distinct()
-        problems = entities.crosswalk_problems(keys, *[spark.read.parquet(x) for x in (a.mapping, a.unmapped, a.registry)])
+        problems = entities.crosswalk_problems(keys, spark.read.parquet(a.mapping), spark.read.parquet(a.unmapped), registry)
         print(sinks.work_list(problems))
         return quality.outcome(False, problems.count())
     if a.command == "manifest":

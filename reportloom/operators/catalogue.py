@@ -30,6 +30,12 @@ def probe_state(code: Column, content_type: Column, range_code: Column, range_ty
     return F.when((code == 200) & pdf(content_type), "verified").when(again & good, "verified by range").when(code == 0, "network error").otherwise("unreachable")
 
 
+def split_verified(probes: DataFrame, state: str = "state") -> tuple[DataFrame, DataFrame]:
+    """Probed sources that may be ingested, and those that are listed as unreachable."""
+    good = F.coalesce(state, F.lit("")).startswith("verified")
+    return probes.where(good), probes.where(~good)
+
+
 def fallback(primary: Column, other: Column, least: int = 500) -> Column:
     """The other extraction where the first is short and it is longer."""
     return F.when((F.length(primary) < least) & (F.length(other) > F.length(primary)), other).otherwise(primary)

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from reportloom.functions import text
 from reportloom.operators import catalogue, citations, entities, graph, quality, search
-from reportloom.sources import frontmatter
+from reportloom.sources import frontmatter, tables
 
 
 def one(spark, value, column):
@@ -152,6 +152,23 @@ def test_probes(spark):
     assert [r[0] for r in df.select(catalogue.probe_state(*map(F.col, ["c", "t", "rc", "rt", "h"]))).collect()] == ["verified", "verified by range", "unreachable", "verified by range", "unreachable", "network error", "unreachable"]
 
 
+    good, bad = catalogue.split_verified(spark.createDataFrame([("verified",), ("verified by range",), ("unreachable",), (None,)], "state string"))
+    assert (good.count(), bad.count()) == (2, 2)
+
+
+def test_tables_are_kept_and_sought(spark, tmp_path):
+    built = []
+
+    def build():
+        built.append(1)
+        return spark.range(len(built))
+
+    for refresh, n in ((False, 1), (False, 1), (True, 2)):
+        assert tables.kept(spark, f"{tmp_path}/kept", build, refresh).count() == n
+    assert tables.first_table(spark, [f"{tmp_path}/none", f"{tmp_path}/kept"]).count() == 2
+    assert tables.first_table(spark, [f"{tmp_path}/none"]) is None
+
+
 def test_samples_survive_outliers(spark):
     ids = [*range(1000), 10**15, -(10**15), 5, 5]
     df = spark.createDataFrame([(i,) for i in ids], "doc_id long").repartition(4)
