@@ -33,7 +33,7 @@ from .components import connected_components
 #: Prefixes that hold a frequent shingle, at least.
 FREQUENT = 24
 #: Shingles and texts of one cluster that one task compares; larger clusters are dealt into blocks.
-CLUSTER_SHINGLES, CLUSTER_TEXTS = 2_000_000, 1_000
+CLUSTER_SHINGLES, CLUSTER_TEXTS = 1_000_000, 250
 #: Clustered documents whose places are broadcast (about 100 bytes each), at most.
 BROADCAST_IDS = 250_000
 #: Sets that share a combination and make it a popular one, over; popular ones that are broadcast, at most.
@@ -205,7 +205,8 @@ def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int
         met = met.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for asks, labels, ids, texts in _groups(batches):
+            for asks, labels, ids, texts in _runs(batches, 3):
+                asks, labels, ids = np.array(asks, bool), np.array(labels, np.int64), np.array(ids, np.int64)
                 sets = Sets([shingles(t, width) for t in texts], num, den)
                 a, b = sets.between(ids, asks, labels) if between else sets.classes(ids)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
@@ -213,17 +214,33 @@ def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int
         return stored(met.mapInArrow(run, "a long, b long"), "links")
 
     def supported(rows: DataFrame) -> DataFrame:
-        """Of rows those of which enough shingles occur in another text of the cluster."""
+        """Of rows those of which enough shingles occur in another text of the cluster.
 
-        def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for c, x, t in zip(*[col.to_pylist() for col in batch.columns], strict=True):
-                    h = shingles(t, width).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), c)), pa.array(np.full(len(h), x)), pa.array(h)], names=["component", "node", "h"])
+        Each text's shingles are dealt out by their hash, as lists, to parts of a cluster that one
+        task can hold; a part counts its shingles and tells each text how many it shares.
+        """
+        parts = rows.groupBy("component").agg(F.ceil(F.sum("n") / CLUSTER_SHINGLES).cast("int").alias("parts"))
 
-        each = texts_of(rows.select("component", "node")).select("component", "node", "t").mapInArrow(listed, "component long, node long, h long")
-        twice = each.groupBy("component", "h").agg(F.count("*").alias("c")).where("c > 1").select("component", "h")
-        held = each.join(twice, ["component", "h"]).groupBy(F.col("node").alias("of")).agg(F.count("*").alias("c"))
+        def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                out: list[tuple[int, int, int, np.ndarray]] = []
+                for c, x, n, t in zip(*[col.to_pylist() for col in batch.columns], strict=True):
+                    h = shingles(t, width)
+                    part = h % np.uint64(n)
+                    out += [(c, int(p), x, h[part == p].view(np.int64)) for p in np.unique(part)]
+                c, p, x, hs = zip(*out, strict=True) if out else ((), (), (), ())
+                lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum([len(h) for h in hs])].astype(np.int32)), pa.array(np.concatenate(hs) if hs else np.empty(0, np.int64)))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(p, pa.int32()), pa.array(x, pa.int64()), lists], names=["component", "part", "node", "hs"])
+
+        def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for nodes, hs in _runs(batches, 2):
+                _, token, df = np.unique(np.concatenate([np.array(h, np.int64) for h in hs]), return_inverse=True, return_counts=True)
+                shared = np.add.reduceat((df[token] > 1).astype(np.int64), np.r_[0, np.cumsum([len(h) for h in hs])[:-1]])
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(shared)], names=["node", "c"])
+
+        met = texts_of(rows.join(parts, "component").select("component", "node", "parts")).select("component", "node", "parts", "t")
+        lists = met.mapInArrow(dealt, "component long, part int, node long, hs array<long>").repartition("component", "part").sortWithinPartitions("component", "part")
+        held = lists.mapInArrow(counted, "node long, c long").groupBy(F.col("node").alias("of")).agg(F.sum("c").alias("c"))
         return stored(rows.join(held, F.col("node") == F.col("of")).where(F.col("c") * den >= F.col("n") * num).drop("of", "c"), "supported")
 
     zero, no = F.lit(0), F.lit(False)
@@ -255,23 +272,18 @@ def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int
     return found.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[str]]]:
-    """Runs of rows with the same first three columns: the columns after them."""
+def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, ...]]:
+    """Runs of rows with the same first columns: the columns after those."""
     key, kept = None, []
-
-    def made():
-        asks, labels, ids, texts = zip(*kept, strict=True)
-        return np.array(asks, bool), np.array(labels, np.int64), np.array(ids, np.int64), list(texts)
-
     for batch in batches:
-        for c, i, j, *rest in zip(*[col.to_pylist() for col in batch.columns], strict=True):
-            if (c, i, j) != key:
+        for row in zip(*[col.to_pylist() for col in batch.columns], strict=True):
+            if row[:keys] != key:
                 if kept:
-                    yield made()
-                key, kept = (c, i, j), []
-            kept.append(rest)
+                    yield tuple(zip(*kept, strict=True))
+                key, kept = row[:keys], []
+            kept.append(row[keys:])
     if kept:
-        yield made()
+        yield tuple(zip(*kept, strict=True))
 
 
 class Sets:
