@@ -143,10 +143,10 @@ FROM (SELECT *, CAST(year(o_orderdate) + 15 AS STRING) AS y, CAST(10 + o_orderke
 @query("""SELECT k, CASE WHEN k % 16 = 15 THEN 'B&' || s ELSE CASE k % 8 WHEN 0 THEN 'B' || s WHEN 1 THEN 'DEQ' WHEN 2 THEN s || '.X' WHEN 3 THEN 'OBD' WHEN 4 THEN 'OB' || s END END AS agency_code,
  CASE WHEN k % 8 <= 4 OR k % 16 = 15 THEN y WHEN k % 8 = 5 THEN CASE WHEN CAST(d AS INT) BETWEEN 13 AND 26 AND d <> '16' THEN NULL ELSE '2016' END WHEN k % 8 = 6 THEN '2019' END AS reporting_year,
  CASE WHEN k % 8 <= 4 OR k % 16 = 15 THEN 'filename' WHEN k % 8 = 5 AND CAST(d AS INT) BETWEEN 13 AND 26 AND d <> '16' THEN NULL WHEN k % 8 <= 6 THEN 'filename-scan' END AS year_source,
- CASE WHEN k % 8 IN (1, 6) THEN 'proposed' ELSE 'approved' END AS measure_status FROM (""" + _FILES.replace("AS STRING", "AS VARCHAR") + ")")
+ CASE WHEN k % 8 IN (1, 6) THEN 'proposed' ELSE 'approved' END AS measure_status, CASE WHEN lower(f) LIKE '%.pdf' THEN substr(f, 1, length(f) - 4) ELSE f END AS id FROM (""" + _FILES.replace("AS STRING", "AS VARCHAR") + ")")
 def filename_parse(spark, sf):
     p = text.parse_filename("f")
-    return portable(spark, sf, _FILES).select("k", *[p[c].alias(c) for c in ("agency_code", "reporting_year", "year_source", "measure_status")])
+    return portable(spark, sf, _FILES).select("k", *[p[c].alias(c) for c in ("agency_code", "reporting_year", "year_source", "measure_status")], text.id_of_file("f").alias("id"))
 
 
 @query("SELECT p_partkey, substr(trim(regexp_replace(lower(p_type || ': ' || p_name || '!'), '[^a-z0-9]+', ' ', 'g')), 1, 200) AS measure_key FROM part")
