@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BATCH_BYTES, HEAVY, free_name, mapped, quoted, stored, text_or_empty
+from .common import BATCH_BYTES, HEAVY, free_name, mapped, quoted, slices, stored, text_or_empty
 
 #: Split of a text before the merges (fixed value: the byte-level pattern of the vocabulary).
 PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -53,6 +53,8 @@ class Codec:
         self.encoding = tiktoken.Encoding("reportloom", pat_str=PRETOKENS, mergeable_ranks=ranks, special_tokens=self.special)
         self.known = np.zeros(max([*ranks.values(), *self.special.values()]) + 1, bool)
         self.known[[*ranks.values(), *self.special.values()]] = True
+        #: How ids travel between tasks: in two bytes where the vocabulary allows it.
+        self.kind = "<u2" if len(self.known) <= 1 << 16 else "<u4"
         self.scan = regex.compile(PRETOKENS)
         self.word = regex.compile(r"(?<=\S)(?=\s)")
         self.stops = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
@@ -252,7 +254,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(vocabulary)
-        for batch in batches:
+        for batch in slices(batches):
             keys, places, digests = [], [], []
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 i = 0
@@ -304,7 +306,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
                     for i, salts in wanted.items():
                         hs.append(_digest(flat[i]))
                         copies.append(salts)
-                        out.append(c.plain(flat[i].decode("utf-8", "surrogatepass")).astype("<u4").tobytes())
+                        out.append(c.plain(flat[i].decode("utf-8", "surrogatepass")).astype(c.kind).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(hs, pa.binary()), pa.array(copies, pa.int32()), pa.array(out, pa.binary())], names=["h", "salts", "ids"])
 
     own = places.where("own").groupBy("k").agg(F.collect_list(F.struct("i", "salts")).alias(owned)).withColumnRenamed("k", key)
@@ -335,7 +337,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
             for at, (k, data, got) in enumerate(zip(batch.column(key), batch.column(packed), batch.column(shared), strict=True)):
                 if k != last:
                     last, t = k, unpack.decompress(data.as_py()).decode("utf-8", "surrogatepass")
-                    whole = whole_of(c, t, {x["i"]: np.frombuffer(x["ids"], "<u4") for x in got.as_py() or ()})
+                    whole = whole_of(c, t, {x["i"]: np.frombuffer(x["ids"], c.kind).astype(np.uint32) for x in got.as_py() or ()})
                     coded, back = whole.astype("<u4").tobytes(), c.text(whole) if decoded else ""
                 out["found"].append(coded)
                 if keep_text:

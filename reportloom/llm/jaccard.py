@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _BASE, _INVERSE, _powers
-from .common import discarded, free_name, quoted, stored, text_or_empty
+from .common import discarded, free_name, quoted, slices, stored, text_or_empty
 from .components import connected_components
 
 #: Prefixes that hold a frequent shingle, at least.
@@ -116,7 +116,7 @@ def near_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
     base = docs.select(F.col(quoted(id)).cast("long").alias("id"), text_or_empty(quoted(text)).alias("t"))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             sizes, keys, heads = [], [], []
             for t in batch.column(1).to_pylist():
                 s = shingles(t, width)
@@ -222,7 +222,7 @@ def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int
         parts = rows.groupBy("component").agg(F.ceil(F.sum("n") / CLUSTER_SHINGLES).cast("int").alias("parts"))
 
         def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 out: list[tuple[int, int, int, np.ndarray]] = []
                 for c, x, n, t in zip(*[col.to_pylist() for col in batch.columns], strict=True):
                     h = shingles(t, width)

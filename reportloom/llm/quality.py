@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import quoted, stored, text_or_empty
+from .common import quoted, slices, stored, text_or_empty
 from .linear import fit_logistic, sigmoid
 
 #: Labelled documents that the classifier is fitted on, at most: those whose ids hash lowest.
@@ -71,7 +71,7 @@ def document_scores(docs: DataFrame, labels: DataFrame, host: Column, path: Colu
     rows = docs.select(F.col(quoted(id)).alias("id"), host.alias("host"), path.alias("path"), text_or_empty(quoted(text)).alias("t"))
 
     def shaped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             x = [shape(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(x, pa.list_(pa.float64()))], names=[*batch.schema.names[:-1], "x"])
 
@@ -83,7 +83,7 @@ def document_scores(docs: DataFrame, labels: DataFrame, host: Column, path: Colu
     w = fit_logistic(_terms(x, mean, spread), known["y"].to_numpy(np.float64))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             z = np.array([shape(t) for t in batch.column(3).to_pylist()]).reshape(batch.num_rows, len(NAMES))
             p = sigmoid(_terms(z, mean, spread) @ w[:-1] + w[-1])
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(p)], names=["id", "host", "path", "p"])

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import discarded, free_name, mapped, quoted, stored, text_or_empty
+from .common import discarded, free_name, mapped, quoted, slices, stored, text_or_empty
 from .linear import fit_logistic, sigmoid
 
 #: Labelled documents that the chain is fitted on, at most: those whose ids hash lowest.
@@ -90,7 +90,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id: str =
     ys = [f"y{k}" for k in range(len(categories))]
 
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 200):
             rows, found = [], []
             for at, t in enumerate(batch.column(0).to_pylist()):
                 f = features_of(t)
@@ -160,7 +160,7 @@ def _hits(text: str, names: dict[str, int]) -> list[int]:
 
 def _present(names: dict[str, int], ys: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             at = pa.array([_hits(t, names) for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0), at, *batch.columns[2:]], names=["mix", "at", *ys])
 
