@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embeddings, exact, jaccard, line_dedup, mixing, quality, toxicity, unigram, url_filter
+from . import bpe, decontaminate, embeddings, exact, fim, jaccard, line_dedup, mixing, quality, toxicity, unigram, url_filter, variants
 from .common import read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -23,6 +23,8 @@ RULES = [
 #: A line on over one in fifty of a host's pages, and on three of them at least, is the host's and not the page's.
 LINE_RATIO, LINE_PAGES = 0.02, 3
 MIX_TEMPERATURE, MIX_SEED = 0.5, 17
+#: One run in so many, by its checksum, is misspelt before words are counted.
+TYPOS = 97
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,8 +90,33 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_vectors(vectors)
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256")
+    cut = fim.fill_in_middle(docs.withColumnRenamed("text", "given"), text="given").drop("given")
+    return fim.restored(cut).select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored"))
+
+
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, read_table(spark, sf_dir, "benchmark"), keep_text=False)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return variants.variants(docs, typos=TYPOS)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op2_toxicity, op3_url_filter, op4_quality, op5_mixing, op6_ngram_join, op7_token_counts, op8_line_dedup, op8_line_dedup_by_language, op9_exact_dedup, op10_embedding_dedup)}
+    return {f.__name__: f for f in (op1_bpe, op2_toxicity, op3_url_filter, op4_quality, op5_mixing, op6_ngram_join, op7_token_counts, op8_line_dedup, op8_line_dedup_by_language, op9_exact_dedup, op10_embedding_dedup, op11_fill_in_middle, op12_decontaminate, op13_spelling_variants)}
 
 
 _URLS = r"""
@@ -164,5 +191,53 @@ FROM g WINDOW w AS (PARTITION BY t)
 """
 
 
+_MIDDLE = r"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || doc_id) AS h FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '(?s)[A-Za-z]+|[^A-Za-z]') AS ws,
+             [CAST('0x' || substr(h, 8 * i + 1, 8) AS BIGINT) for i in range(4)] AS h FROM t),
+c AS (SELECT doc_id, t, ws, len(ws) AS n, h[1] % (len(ws) + 1) AS x, h[2] % (len(ws) + 1) AS y,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                  WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM w),
+p AS (SELECT doc_id, t, n, form, array_to_string(ws[1:least(x, y)], '') AS p, array_to_string(ws[least(x, y) + 1:greatest(x, y)], '') AS m,
+             array_to_string(ws[greatest(x, y) + 1:], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+_LEAKS = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+q AS (SELECT item_id, ws, least(len(ws), 10) AS l, unnest(range(1, len(ws) - least(len(ws), 10) + 2)) AS i FROM b WHERE len(ws) > 0),
+w AS (SELECT DISTINCT item_id, l, array_to_string(ws[i:i + l - 1], ' ') AS g FROM q),
+k AS (SELECT doc_id, ws, l, unnest(range(1, len(ws) - l + 2)) AS i FROM d, (SELECT DISTINCT l FROM w) WHERE len(ws) >= l),
+o AS (SELECT doc_id, i, k.l, item_id FROM k JOIN w ON k.l = w.l AND array_to_string(ws[i:i + k.l - 1], ' ') = g),
+h AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + l)) AS j FROM o) GROUP BY doc_id),
+s AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM o) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
+
+_SPELLINGS = f"""
+WITH RECURSIVE p(i, k, c) AS (SELECT i, 0, i FROM range(256) r(i) UNION ALL
+    SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM p WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM p WHERE k = 8),
+r AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) AS w FROM documents),
+g AS (SELECT doc_id, w, count(*) AS n, hex(encode(doc_id || ':' || w)) AS x FROM r GROUP BY doc_id, w),
+h AS (SELECT w, n, xor(list_reduce([CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT) for i in range(length(x) // 2)],
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h FROM g, crc),
+v AS (SELECT CASE WHEN h % {TYPOS} = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, n FROM h),
+c AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM v WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+d AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS k FROM (SELECT word, n, unnest(range(length(word))) AS i FROM c)),
+e AS (SELECT a.word, b.word AS other, b.n AS other_n FROM d a JOIN d b ON a.k = b.k AND a.i = b.i AND a.word <> b.word AND length(a.word) = length(b.word)
+      UNION SELECT d.word, c.word, c.n FROM d JOIN c ON d.k = c.word UNION SELECT c.word, d.word, d.n FROM d JOIN c ON d.k = c.word),
+b AS (SELECT word, count(*) AS n_near, min_by(other, (-other_n, other)) AS other, max(other_n) AS other_n FROM e GROUP BY word),
+f AS (SELECT c.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form, CASE WHEN other_n >= 2 * n THEN other_n END AS form_n FROM c LEFT JOIN b USING (word)),
+z(word, root) AS (SELECT word, word FROM f UNION ALL SELECT z.word, f.form FROM z JOIN f ON z.root = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, z.root FROM f JOIN z ON f.word = z.word JOIN f AS l ON z.root = l.word AND l.form IS NULL
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_url_filter": _URLS, "op5_mixing": _MIX, "op6_ngram_join": _NEAR, "op8_line_dedup": _LINES, "op8_line_dedup_by_language": _LANGUAGE_LINES, "op9_exact_dedup": _COPIES}
+    return {"op3_url_filter": _URLS, "op5_mixing": _MIX, "op6_ngram_join": _NEAR, "op8_line_dedup": _LINES, "op8_line_dedup_by_language": _LANGUAGE_LINES, "op9_exact_dedup": _COPIES, "op11_fill_in_middle": _MIDDLE, "op12_decontaminate": _LEAKS, "op13_spelling_variants": _SPELLINGS}
