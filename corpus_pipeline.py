@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from reportloom.llm import bpe, jaccard, line_dedup, mixing, toxicity
 from reportloom.llm.common import free_name, quoted, read_table, removed, scratch, shared_dir
-from reportloom.llm.queries import LINE_PAGES, LINE_RATIO, MIX_SEED, MIX_TEMPERATURE, VOCABULARY
+from reportloom.llm.queries import LINE_PAGES, LINE_RATIO, MIX_SEED, MIX_TEMPERATURE, vocabulary
 
 #: SQL cannot express classifiers, near-duplicate classes or BPE; tests hold stages to brute force.
 ORACLE_SQL = None
@@ -87,7 +87,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     added = ["ids", "n_tokens", "decoded_sha256"]
     decoded = free_name(docs, "decoded__")
-    both = bpe.encode(docs.select(*[F.col(quoted(c)) for c in docs.columns if c.lower() not in added]), VOCABULARY, decoded=decoded)
+    both = bpe.encode(docs.select(*[F.col(quoted(c)) for c in docs.columns if c.lower() not in added]), vocabulary(), decoded=decoded)
     both = both.withColumns({"n_tokens": F.floor(F.length("ids") / 4).cast("long"), "decoded_sha256": F.sha2(F.col(decoded).cast("binary"), 256)})
     return both.drop(decoded)
 

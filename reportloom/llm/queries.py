@@ -4,15 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, decontaminate, embeddings, exact, fim, jaccard, line_dedup, mixing, quality, toxicity, unigram, url_filter, variants
 from .common import read_table
 
-VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-UNIGRAM = public_tokenizers.path("piece_bpe_32k.model")
 RULES = [
     url_filter.Rule("com", "/", "allow"),
     url_filter.Rule("example.com", "/en/", "block"),
@@ -20,16 +17,23 @@ RULES = [
     url_filter.Rule("net", "/es/", "block"),
     url_filter.Rule("net", "/fr/", "block"),
 ]
-#: A line on over one in fifty of a host's pages, and on three of them at least, is the host's and not the page's.
-LINE_RATIO, LINE_PAGES = 0.02, 3
+#: A line on over one in fifty of a host's pages is the host's and not the page's; a line on a single page repeats nothing.
+LINE_RATIO, LINE_PAGES = 0.02, 2
 MIX_TEMPERATURE, MIX_SEED = 0.5, 17
 #: One run in so many, by its checksum, is misspelt before words are counted.
 TYPOS = 97
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """Where a public vocabulary is on this machine; other queries do without."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = bpe.encode(docs, VOCABULARY, decoded="decoded", keep_text=False)
+    both = bpe.encode(docs, vocabulary(), decoded="decoded", keep_text=False)
     return both.select(
         "doc_id",
         F.floor(F.length("ids") / 4).cast("long").alias("n_tokens"),
@@ -66,7 +70,7 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return unigram.count_tokens(docs, UNIGRAM).select("doc_id", "n_words", "n_tokens")
+    return unigram.count_tokens(docs, vocabulary("piece_bpe_32k.model")).select("doc_id", "n_words", "n_tokens")
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ def test_stages(spark):
     assert last.count() == counts[4]
     row = last.first()
     assert len(bpe.ids_of(row.ids)) == row.n_tokens
-    assert bpe.decode(last.limit(20), corpus_pipeline.VOCABULARY).where("decoded <> text").count() == 0
+    assert bpe.decode(last.limit(20), corpus_pipeline.vocabulary()).where("decoded <> text").count() == 0
 
 
 def fixture(spark, path, seed):
