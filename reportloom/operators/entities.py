@@ -24,9 +24,14 @@ def names_per_key(names: DataFrame, column: str = "agency") -> DataFrame:
 
 
 def crosswalk_join(docs: DataFrame, crosswalk: DataFrame) -> DataFrame:
-    """``docs`` with the slug of their agency's key, null where it is not mapped."""
-    keyed = docs.withColumn("agency_key", text.entity_key("agency"))
-    return keyed.join(crosswalk.select("agency_key", F.col("slug").alias("agency_registry_slug")), "agency_key", "left")
+    """``docs`` with the slug of their agency's key, null where it is not mapped.
+
+    A slug and a key that documents carry already give way to those found here.  Of several rows of
+    one key in the crosswalk the last slug in order counts, so no document is doubled.
+    """
+    keyed = docs.drop("agency_registry_slug").withColumn("agency_key", text.entity_key("agency"))
+    known = crosswalk.groupBy("agency_key").agg(F.max("slug").alias("agency_registry_slug"))
+    return keyed.join(known, "agency_key", "left")
 
 
 def coverage(keys: DataFrame, mapping: DataFrame, unmapped: DataFrame) -> DataFrame:
@@ -37,19 +42,31 @@ def coverage(keys: DataFrame, mapping: DataFrame, unmapped: DataFrame) -> DataFr
     return missing.union(stale)
 
 
-def crosswalk_problems(keys: DataFrame, mapping: DataFrame, unmapped: DataFrame, registry: DataFrame) -> DataFrame:
-    """``(agency_key, problem)``: every violation of the crosswalk's rules."""
+def crosswalk_problems(keys: DataFrame, mapping: DataFrame, unmapped: DataFrame, registry: DataFrame | None = None, docs: DataFrame | None = None) -> DataFrame:
+    """``(agency_key, problem)``: every violation of the crosswalk's rules.
+
+    An entry without a slug is not judged further.  With documents (``id, agency_key,
+    agency_registry_slug``), a corpus of which only a part carries its mapped slugs is a problem of
+    its own, under a null key.  Without a registry slugs are not looked up.
+    """
     say = lambda df, what: df.select("agency_key", F.lit(what).alias("problem"))
     blank = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
+    judged = mapping.where(~blank("slug"))
     found = [
         say(mapping.select("agency_key").intersect(unmapped.select("agency_key")), "mapped and unmapped"),
         coverage(keys, mapping, unmapped).select("agency_key", F.col("state").alias("problem")),
         say(mapping.where(blank("slug")), "no slug"),
-        say(mapping.where(~F.coalesce("basis", F.lit("")).isin(BASES)), "bad basis"),
-        say(mapping.where(F.col("basis").isin(NOTED) & blank("note")), "needs a note"),
+        say(judged.where(~F.coalesce("basis", F.lit("")).isin(BASES)), "bad basis"),
+        say(judged.where(F.col("basis").isin(NOTED) & blank("note")), "needs a note"),
         say(unmapped.where(blank("reason")), "needs a reason"),
-        say(mapping.where(~blank("slug")).join(registry.select("slug"), "slug", "left_anti"), "slug not in registry"),
     ]
+    if registry is not None:
+        found.append(say(judged.join(registry.select("slug"), "slug", "left_anti"), "slug not in registry"))
+    if docs is not None:
+        stamp = F.nullif("agency_registry_slug", F.lit(""))
+        wanted = docs.select("agency_key", stamp.alias("stamped")).join(mapping.select("agency_key").distinct(), "agency_key", "left_semi")
+        short = wanted.agg(F.count_if(F.col("stamped").isNull()).alias("n")).where("n > 0")
+        found.append(short.select(F.lit(None).cast("string").alias("agency_key"), F.concat(F.col("n").cast("string"), F.lit(" mapped document(s) carry no slug")).alias("problem")))
     out = found[0]
     for f in found[1:]:
         out = out.union(f)

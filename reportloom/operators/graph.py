@@ -29,18 +29,25 @@ def stated_edges(docs: DataFrame) -> DataFrame:
 def series_edges(docs: DataFrame, key: str = "agency_key") -> DataFrame:
     """An edge from each report to its agency's report of the year before, where there is one.
 
-    Of two reports of one agency and year the one with the last path counts.
+    The agency is ``key``, or its stated name where there is none.  Years that are no number link
+    nothing.  Of two reports of one agency and year the one with the last path counts.
     """
-    rows = docs.where(F.coalesce(key, F.lit("")) != "").where(F.col("reporting_year").isNotNull())
-    last = rows.groupBy(F.col(key).alias("key"), F.col("reporting_year").cast("int").alias("year")).agg(F.max_by("id", "path").alias("id"))
+    rows = _by_agency(docs, key)
+    last = rows.groupBy("key", "year").agg(F.max_by("id", "path").alias("id"))
     before = last.select("key", (F.col("year") + 1).alias("year"), F.col("id").alias("to"))
-    return last.join(before, ["key", "year"]).select(F.col("id").alias("from"), F.lit("supersedes").alias("type"), "to")
+    return last.join(before, ["key", "year"]).select(F.col("id").alias("from"), F.lit("related").alias("type"), "to")
+
+
+def _by_agency(docs: DataFrame, key: str) -> DataFrame:
+    who = F.nullif(F.col(key), F.lit(""))
+    who = F.coalesce(who, F.nullif("agency", F.lit(""))) if "agency" in docs.columns else who
+    rows = docs.where(F.coalesce("id", F.lit("")) != "")
+    return rows.withColumns({"key": who, "year": F.col("reporting_year").try_cast("int")}).where("key is not null and year is not null")
 
 
 def collisions(docs: DataFrame, key: str = "agency_key") -> DataFrame:
     """Agency years with several reports: all but the last are outside the chain."""
-    rows = docs.where(F.coalesce(key, F.lit("")) != "").where(F.col("reporting_year").isNotNull())
-    return rows.groupBy(F.col(key).alias("key"), "reporting_year").agg(F.count("*").alias("documents")).where("documents > 1")
+    return _by_agency(docs, key).groupBy("key", "reporting_year").agg(F.count("*").alias("documents")).where("documents > 1")
 
 
 def external_edges(edges: DataFrame, ids: DataFrame) -> DataFrame:

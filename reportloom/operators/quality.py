@@ -14,6 +14,10 @@ from ..functions import matching, text
 YEAR_SOURCES = ["document", "filename", "filename-scan", "socrata"]
 STATUSES = ["approved", "proposed"]
 TEXT_SOURCES = ["pdf-text", "ocr"]
+CAVEAT = "THE AGENCY'S OWN REPORT ON ITSELF"
+OCR_SENTENCE = "MACHINE READING OF AN IMAGE"
+OCR_PHRASES = ["agree on", "dictionary-recognizable", "NOT human-verified"]
+DOC_TYPES = {"performance_report": "reports"}
 OCR_WORDS, OCR_RATIO, OCR_AGREEMENT = 100, 0.80, 0.80
 COVERAGE_FAIL, COVERAGE_WARN = 0.70, 0.90
 REVERIFY_DAYS = 90
@@ -42,18 +46,20 @@ def status_domain(docs: DataFrame) -> DataFrame:
     return _bad(docs, ~F.coalesce("measure_status", F.lit("")).isin(STATUSES), "measure_status outside its domain")
 
 
-def has_caveat(caveat: str) -> Rule:
+def has_caveat(caveat: str = CAVEAT) -> Rule:
     return lambda docs: _bad(docs, ~F.contains(F.coalesce("body", F.lit("")), F.lit(caveat)), "caveat missing")
 
 
-def ocr_declared(phrases: list[str]) -> Rule:
-    """A text source in its domain; a text read by OCR says so in its body and its notes."""
+def ocr_declared(phrases: list[str] | None = None, sentence: str = OCR_SENTENCE) -> Rule:
+    """A text source in its domain; a text read by OCR says so in its body, in these words, and in its notes."""
+    wanted_phrases = OCR_PHRASES if phrases is None else phrases
 
     def rule(docs: DataFrame) -> DataFrame:
         source = F.coalesce("text_source", F.lit(""))
         ocr = docs.where(source == "ocr")
-        silent = ocr.where(~F.contains(F.lower(F.coalesce("body", F.lit(""))), F.lit("ocr"))).select("id", F.lit("body does not say ocr").alias("problem"))
-        wanted = ocr.select("id", F.coalesce("notes", F.lit("")).alias("notes"), F.explode(F.array(*[F.lit(p) for p in phrases])).alias("p"))
+        silent = ocr.where(~F.contains(F.coalesce("body", F.lit("")), F.lit(sentence))).select("id", F.lit("body does not say that OCR read it").alias("problem"))
+        notes = "conversion_notes" if "conversion_notes" in docs.columns else "notes"
+        wanted = ocr.select("id", F.coalesce(notes, F.lit("")).alias("notes"), F.explode(F.array(*[F.lit(p) for p in wanted_phrases])).alias("p"))
         lacking = wanted.where(~F.contains("notes", F.col("p"))).select("id", F.concat(F.lit("notes lack: "), F.col("p")).alias("problem"))
         return _bad(docs, ~source.isin(TEXT_SOURCES), "text_source outside its domain").union(silent).union(lacking)
 
@@ -90,9 +96,45 @@ def linked_corpus(corpus: str) -> Rule:
 
 
 def unassessed(docs: DataFrame) -> DataFrame:
-    """No column holds a verdict of our own: a row for each that does, under its name."""
+    """No column holds a verdict of our own: a row for each that does, under its name.
+
+    Documents read from files, which have their fields' names, must have no such field either.
+    """
     found = no_assessment(docs)
-    return docs.sparkSession.createDataFrame([(c, "column holds an assessment") for c in found], "id string, problem string")
+    columns = docs.sparkSession.createDataFrame([(c, "column holds an assessment") for c in found], "id string, problem string")
+    if "field_names" not in docs.columns:
+        return columns
+    return columns.union(_bad(docs, F.coalesce(F.array_contains("field_names", "assessment"), F.lit(False)), "carries an assessment field"))
+
+
+def registry_link(mapping: DataFrame, corpus: str) -> Rule:
+    """A stamped slug is the one that the crosswalk has for the document's key, and names its corpus."""
+
+    def rule(docs: DataFrame) -> DataFrame:
+        stamped = docs.where(F.coalesce("agency_registry_slug", F.lit("")) != "")
+        known = mapping.groupBy("agency_key").agg(F.max("slug").alias("wanted_slug"))
+        met = stamped.select("id", F.coalesce("agency_key", F.lit("")).alias("agency_key"), "agency_registry_slug").join(known, "agency_key", "left")
+        return _bad(met, ~F.col("agency_registry_slug").eqNullSafe(F.col("wanted_slug")), "agency_registry_slug is not the crosswalk's").union(linked_corpus(corpus)(docs))
+
+    return rule
+
+
+def series_documents(series: DataFrame) -> Rule:
+    """Every document that a series names is there."""
+    return lambda docs: orphans(series, docs).select("id", F.lit("series row without a document").alias("problem"))
+
+
+def placed_by_type(folders: dict[str, str] | None = None) -> Rule:
+    """A document stands in the folder of its ``doc_type``; types without a folder are not known."""
+    known = DOC_TYPES if folders is None else folders
+
+    def rule(docs: DataFrame) -> DataFrame:
+        folder = F.element_at(F.create_map(*[F.lit(x) for kv in known.items() for x in kv]), F.coalesce("doc_type", F.lit(""))) if known else F.lit(None).cast("string")
+        inside = F.concat(F.lit("/"), "path")
+        wrong = folder.isNotNull() & ~F.contains(inside, F.concat(F.lit("/"), folder, F.lit("/")))
+        return _bad(docs, folder.isNull(), "doc_type is not known").union(_bad(docs, F.coalesce(wrong, F.lit(False)), "not in the folder of its doc_type"))
+
+    return rule
 
 
 def run_rules(docs: DataFrame, rules: dict[str, Rule]) -> DataFrame:

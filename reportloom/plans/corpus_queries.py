@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -34,6 +32,38 @@ def frontmatter_scan(spark, sf):
     return md.select("k", *[F.element_at(fields, F.lit(f)).alias(f) for f in ("id", "title", "doc_type")])
 
 
+#: Front matter in each form that a value can take; ``k`` picks the form.
+_FORMS = r"""
+SELECT c_custkey AS k, concat_ws(chr(10), '---', 'schema_version: 1', concat('id: cust-', c_custkey), concat('title: "', c_name, ' says \\"hi\\" \\u00e9', chr(10), '  on two lines"'),
+ concat('agency: ', chr(39), 'O', chr(39), chr(39), 'Brien', chr(10), chr(10), '    of ', c_mktsegment, chr(39), ' # who'),
+ CASE c_custkey % 5 WHEN 0 THEN 'agency_code: null' WHEN 1 THEN 'agency_code: ~' WHEN 2 THEN 'agency_code: ""' WHEN 3 THEN 'agency_code:' ELSE concat('agency_code: C', c_nationkey, '   # code') END,
+ 'conversion_notes: first part', concat('  and ', c_mktsegment), '  # a remark', 'maintainer: >-', '  folded', '  line', '', '  last',
+ 'source_url: https://h.example/a:b#c', 'relationships:',
+ CASE WHEN c_custkey % 3 = 0 THEN '  implements: []' ELSE concat('  implements: [a-', c_custkey, ', "b, c",', chr(10), '    ', chr(39), 'd', chr(39), ']') END,
+ '  related:', CASE WHEN c_custkey % 2 = 0 THEN concat('  - cust-', c_custkey + 1, chr(10), '  - "x: y"') ELSE concat('    - cust-', c_custkey - 1) END, 'tags:', '- kpm', concat('- ry', 2000 + c_custkey % 20), concat('id: last-', c_custkey),
+ '---', '', '## Full text', '', 'body') AS md FROM customer
+"""
+
+
+@query("""SELECT c_custkey AS k, '1' AS schema_version, 'last-' || c_custkey AS id, c_name || ' says "hi" é on two lines' AS title, 'O''Brien' || chr(10) || 'of ' || c_mktsegment AS agency,
+ CASE c_custkey % 5 WHEN 2 THEN '' WHEN 4 THEN 'C' || c_nationkey END AS agency_code, 'first part and ' || c_mktsegment AS conversion_notes, 'folded line' || chr(10) || 'last' AS maintainer, 'https://h.example/a:b#c' AS source_url,
+ CASE WHEN c_custkey % 3 = 0 THEN '' ELSE 'a-' || c_custkey || '|b, c|d' END AS implements, CASE WHEN c_custkey % 2 = 0 THEN 'cust-' || (c_custkey + 1) || '|x: y' ELSE 'cust-' || (c_custkey - 1) END AS related,
+ 'kpm|ry' || (2000 + c_custkey % 20) AS tags, TRUE AS sound FROM customer""")
+def frontmatter_forms(spark, sf):
+    """Null, empty, quoted, escaped, folded and repeated fields, lists of both kinds, one level of names below a name."""
+    docs = frontmatter.as_documents(frontmatter.read(portable(spark, sf, _FORMS).withColumn("path", F.col("k").cast("string"))))
+    joined = lambda c: F.array_join(c, "|").alias(c.split(".")[-1])
+    scalars = ["schema_version", "id", "title", "agency", "agency_code", "conversion_notes", "maintainer", "source_url"]
+    return docs.select(F.col("path").cast("long").alias("k"), *scalars, joined("relationships.implements"), joined("relationships.related"), joined("tags"), F.col("problem").isNull().alias("sound"))
+
+
+@query("""SELECT 'last-' || c_custkey AS "from", 'implements' AS type, unnest(['a-' || c_custkey, 'b, c', 'd']) AS "to" FROM customer WHERE c_custkey % 3 <> 0
+UNION ALL SELECT 'last-' || c_custkey, 'related', unnest(CASE WHEN c_custkey % 2 = 0 THEN ['cust-' || (c_custkey + 1), 'x: y'] ELSE ['cust-' || (c_custkey - 1)] END) FROM customer""")
+def graph_edges_of_files(spark, sf):
+    """Relations that the files themselves state."""
+    return graph.stated_edges(frontmatter.as_documents(frontmatter.read(portable(spark, sf, _FORMS).withColumn("path", F.lit("x.md")))))
+
+
 @query("SELECT DISTINCT 'https://h.example/LFO/APPR/' || (page_id % 50) || '%20x.pdf?v=' || (page_id % 3) AS url FROM pages WHERE page_id % 3 <> 0")
 def feed_link_extract(spark, sf):
     feeds = portable(spark, sf, "SELECT CASE WHEN page_id % 3 = 0 THEN '<item><link>http://h.example/other/a.pdf</link></item>' ELSE concat('<item><title>t</title><link>http://h.example/LFO/APPR/', page_id % 50, ' x.pdf?v=', page_id % 3, '#p</link></item>') END AS xml FROM pages")
@@ -160,12 +190,14 @@ def registry_orphans(spark, sf):
 
 @query(f"""{M}, {_WALK}, l AS (SELECT agency_key FROM mapping UNION SELECT agency_key FROM unmapped)
 SELECT agency_key, 'mapped and unmapped' AS problem FROM mapping WHERE agency_key IN (SELECT agency_key FROM unmapped) UNION ALL SELECT DISTINCT agency_key, 'unclassified' FROM m WHERE agency_key NOT IN (SELECT * FROM l)
-UNION ALL SELECT agency_key, 'stale' FROM l WHERE agency_key NOT IN (SELECT agency_key FROM m) UNION ALL SELECT agency_key, 'no slug' FROM mapping WHERE slug = '' UNION ALL SELECT agency_key, 'bad basis' FROM mapping WHERE basis = 'guess'
-UNION ALL SELECT agency_key, 'needs a note' FROM mapping WHERE basis IN ('alias', 'successor', 'manual') AND note IS NULL UNION ALL SELECT agency_key, 'needs a reason' FROM unmapped WHERE reason = ''
-UNION ALL SELECT agency_key, 'slug not in registry' FROM mapping WHERE slug <> '' AND slug NOT IN (SELECT slug FROM registry)""")
+UNION ALL SELECT agency_key, 'stale' FROM l WHERE agency_key NOT IN (SELECT agency_key FROM m) UNION ALL SELECT agency_key, 'no slug' FROM mapping WHERE slug = '' UNION ALL SELECT agency_key, 'bad basis' FROM mapping WHERE slug <> '' AND basis = 'guess'
+UNION ALL SELECT agency_key, 'needs a note' FROM mapping WHERE slug <> '' AND basis IN ('alias', 'successor', 'manual') AND note IS NULL UNION ALL SELECT agency_key, 'needs a reason' FROM unmapped WHERE reason = ''
+UNION ALL SELECT agency_key, 'slug not in registry' FROM mapping WHERE slug <> '' AND slug NOT IN (SELECT slug FROM registry)
+UNION ALL SELECT NULL, count(*) || ' mapped document(s) carry no slug' FROM m WHERE agency_key IN (SELECT agency_key FROM mapping) AND agency_registry_slug IS NULL HAVING count(*) > 0""")
 def crosswalk_check(spark, sf):
     mapping, unmapped, registry = _walk(spark, sf)
-    return entities.crosswalk_problems(_keyed(spark, sf).select("agency_key").distinct(), mapping, unmapped, registry)
+    docs = _keyed(spark, sf)
+    return entities.crosswalk_problems(docs.select("agency_key").distinct(), mapping, unmapped, registry, docs)
 
 
 @query(f"WITH {_WALK} SELECT agency_key FROM mapping INTERSECT SELECT agency_key FROM unmapped")
@@ -301,7 +333,7 @@ def graph_nodes(spark, sf):
 
 
 @query(f"""{M}, l AS (SELECT agency_key AS k, CAST(reporting_year AS INT) AS y, max_by(id, path) AS id FROM m WHERE agency_key <> '' AND reporting_year IS NOT NULL GROUP BY ALL)
-SELECT a.id AS "from", 'supersedes' AS type, b.id AS "to" FROM l a JOIN l b ON a.k = b.k AND a.y = b.y + 1""")
+SELECT a.id AS "from", 'related' AS type, b.id AS "to" FROM l a JOIN l b ON a.k = b.k AND a.y = b.y + 1""")
 def consecutive_edges(spark, sf):
     return graph.series_edges(_keyed(spark, sf))
 
@@ -386,18 +418,11 @@ def keyword_search(spark, sf):
     return search.search(spark, _index(spark, sf), " ".join(_QUERY))
 
 
-#: Indexes written in a session, by application and data directory.
-_INDEXES: dict[tuple[str, str], str] = {}
-
-
 def _index(spark, sf):
-    """The index of a data directory's documents, written when it is first asked for."""
-    key = spark.sparkContext.applicationId, sf
-    if key not in _INDEXES:
-        path = f"{storage.shared_dir(spark)}/reportloom/index-{uuid.uuid4().hex}"
-        search.write_index(table(spark, sf, "documents"), path)
-        _INDEXES[key] = path
-    return _INDEXES[key]
+    """An index of a data directory's documents, in the shared folder: a block of ``storage.scratch`` deletes it."""
+    path = storage.new_path(spark, "index")
+    search.write_index(table(spark, sf, "documents"), path)
+    return path
 
 
 @query("""WITH q AS (SELECT embedding AS e FROM embeddings WHERE vec_id = 7), n AS (SELECT vec_id, unnest(embedding) AS x, unnest((SELECT e FROM q)) AS y FROM embeddings)
@@ -435,11 +460,12 @@ def vector_search_all(spark, sf):
 
 CAVEAT = "the agency's own"
 PHRASES = ["two engines", "not proofread", "figures disclosed"]
+SENTENCE = "Read by OCR"
 RULES = {
     "year_provenance": quality.year_provenance,
     "status": quality.status_domain,
     "caveat": quality.has_caveat(CAVEAT),
-    "ocr_declared": quality.ocr_declared(PHRASES),
+    "ocr_declared": quality.ocr_declared(PHRASES, SENTENCE),
     "registry_corpus": quality.linked_corpus("registry"),
     "no_assessment": quality.unassessed,
 }
@@ -447,7 +473,7 @@ _YEAR = "SELECT id, 'no reporting year' AS problem FROM m WHERE coalesce(reporti
 _STATUS = "SELECT id, 'measure_status outside its domain' AS problem FROM m WHERE measure_status NOT IN ('approved', 'proposed')"
 _CAVEAT = "SELECT id, 'caveat missing' AS problem FROM m WHERE NOT contains(body, 'the agency''s own')"
 _LINKED = "SELECT id, 'agency_registry_slug without its corpus' AS problem FROM m WHERE agency_registry_slug IS NOT NULL AND coalesce(agency_registry_corpus, '') <> 'registry'"
-_OCR = "SELECT id, 'text_source outside its domain' AS problem FROM m WHERE text_source NOT IN ('pdf-text', 'ocr') UNION ALL SELECT id, 'body does not say ocr' FROM m WHERE text_source = 'ocr' AND NOT contains(lower(body), 'ocr') UNION ALL SELECT id, 'notes lack: ' || p FROM m, (VALUES ('two engines'), ('not proofread'), ('figures disclosed')) t(p) WHERE text_source = 'ocr' AND NOT contains(notes, p)"
+_OCR = "SELECT id, 'text_source outside its domain' AS problem FROM m WHERE text_source NOT IN ('pdf-text', 'ocr') UNION ALL SELECT id, 'body does not say that OCR read it' FROM m WHERE text_source = 'ocr' AND NOT contains(body, 'Read by OCR') UNION ALL SELECT id, 'notes lack: ' || p FROM m, (VALUES ('two engines'), ('not proofread'), ('figures disclosed')) t(p) WHERE text_source = 'ocr' AND NOT contains(notes, p)"
 
 
 @query(f"{M} {_YEAR}")
@@ -475,6 +501,17 @@ def rule_registry_corpus(spark, sf):
     return RULES["registry_corpus"](_meta(spark, sf))
 
 
+@query(f"{M}, {_WALK} SELECT id, 'agency_registry_slug is not the crosswalk''s' AS problem FROM m LEFT JOIN mapping ON m.agency_key = mapping.agency_key WHERE agency_registry_slug IS NOT NULL AND agency_registry_slug IS DISTINCT FROM slug UNION ALL {_LINKED}")
+def rule_registry_link(spark, sf):
+    return quality.registry_link(_walk(spark, sf)[0], "registry")(_keyed(spark, sf))
+
+
+@query(f"{M} SELECT id, 'doc_type is not known' AS problem FROM m WHERE doc_type NOT IN ('BUILDING', 'MACHINERY') UNION ALL SELECT id, 'not in the folder of its doc_type' FROM m WHERE doc_type = 'MACHINERY' OR doc_type = 'BUILDING' AND n % 97 <> 5")
+def rule_doc_type(spark, sf):
+    """Buildings belong in folder 5, and machinery in a folder that nothing is in."""
+    return quality.placed_by_type({"BUILDING": "reports/5", "MACHINERY": "elsewhere"})(_meta(spark, sf))
+
+
 @query(f"""{M}, f AS (SELECT 'year_provenance' AS rule, * FROM ({_YEAR}) UNION ALL SELECT 'status', * FROM ({_STATUS}) UNION ALL SELECT 'caveat', * FROM ({_CAVEAT}) UNION ALL SELECT 'ocr_declared', * FROM ({_OCR}) UNION ALL SELECT 'registry_corpus', * FROM ({_LINKED})),
 k AS (SELECT rule, string_agg(p, '|' ORDER BY p) AS first FROM (SELECT rule, id || ': ' || problem AS p, row_number() OVER (PARTITION BY rule ORDER BY id || ': ' || problem) AS k FROM f) WHERE k <= 10 GROUP BY rule)
 SELECT rule, count(f.id) AS violations, count(f.id) = 0 AS passed, coalesce(any_value(first), '') AS first FROM (VALUES ('year_provenance'), ('status'), ('caveat'), ('ocr_declared'), ('registry_corpus'), ('no_assessment')) r(rule) LEFT JOIN f USING (rule) LEFT JOIN k USING (rule) GROUP BY rule""")

@@ -60,11 +60,34 @@ def test_crosswalk_rules(spark):
     registry = spark.createDataFrame([("s-a",)], "slug string")
     got = sorted(tuple(r) for r in entities.crosswalk_problems(keys, mapping, unmapped, registry).collect())
     assert got == [("a", "mapped and unmapped"), ("a", "needs a note"), ("a", "needs a reason"), ("b", "slug not in registry"), ("new", "unclassified"), ("old", "stale")]
+    # an entry without a slug is not judged further; a part of the corpus without its slug is one problem
+    bare = spark.createDataFrame([("a", "", "guess", None), ("b", "s-b", "exact", None)], mapping.schema)
+    docs = spark.createDataFrame([("1", "a", None), ("2", "b", "s-b"), ("3", "b", ""), ("4", "new", None)], "id string, agency_key string, agency_registry_slug string")
+    got = {tuple(r) for r in entities.crosswalk_problems(keys, bare, unmapped.limit(0), None, docs).collect()}
+    assert got == {("a", "no slug"), ("new", "unclassified"), (None, "2 mapped document(s) carry no slug")}
+
+
+def test_crosswalk_join_of_stamped_documents(spark):
+    docs = spark.createDataFrame([("1", "Board of Accountancy", "old", "k"), ("2", "Nobody", None, None)], "id string, agency string, agency_registry_slug string, agency_key string")
+    walk = spark.createDataFrame([("accountancy", "s-1"), ("accountancy", "s-2"), ("accountancy", None)], "agency_key string, slug string")
+    got = entities.crosswalk_join(docs, walk).select("id", "agency_key", "agency_registry_slug").orderBy("id").collect()
+    assert [tuple(r) for r in got] == [("1", "accountancy", "s-2"), ("2", "nobody", None)]
+
+
+def test_links_folders_and_fields(spark):
+    docs = spark.createDataFrame([("a", "k", "s", "r", "performance_report", "x/reports/a.md", ["id", "assessment"]), ("b", "k", "t", None, "memo", "reports/b.md", ["id"]), ("c", None, None, None, "performance_report", "c.md", None)], "id string, agency_key string, agency_registry_slug string, agency_registry_corpus string, doc_type string, path string, field_names array<string>")
+    mapping = spark.createDataFrame([("k", "s")], "agency_key string, slug string")
+    link = quality.registry_link(mapping, "r")(docs).collect()
+    assert sorted(map(tuple, link)) == [("b", "agency_registry_slug is not the crosswalk's"), ("b", "agency_registry_slug without its corpus")]
+    assert sorted(map(tuple, quality.placed_by_type()(docs).collect())) == [("b", "doc_type is not known"), ("c", "not in the folder of its doc_type")]
+    assert [tuple(r) for r in quality.unassessed(docs).collect()] == [("a", "carries an assessment field")]
+    series = spark.createDataFrame([("a",), ("z",)], "agency_doc string")
+    assert [r.id for r in quality.series_documents(series)(docs).collect()] == ["z"]
 
 
 def test_chain_skips_gaps_and_takes_the_last_path(spark):
     docs = spark.createDataFrame([("a", "k", "2018", "1"), ("b", "k", "2020", "2"), ("c", "k", "2021", "3"), ("d", "k", "2021", "4"), ("e", "", "2019", "5")], "id string, agency_key string, reporting_year string, path string")
-    assert [tuple(r) for r in graph.series_edges(docs).collect()] == [("d", "supersedes", "b")]
+    assert [tuple(r) for r in graph.series_edges(docs).collect()] == [("d", "related", "b")]
     assert [r.documents for r in graph.collisions(docs).collect()] == [2]
 
 

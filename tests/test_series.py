@@ -1,3 +1,6 @@
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from reportloom.functions import arrays, text
@@ -90,11 +93,12 @@ def test_geometry_recovers_what_it_places(spark):
 def test_place_refuses_what_is_unclear():
     at = lambda cells: "Actual" + "".join(c.rjust(10) for c in cells)
     centres = [14.0, 24.0, 34.0]
-    assert arrays.place(at(["1", "", "3"]), 6, centres, 3) == ["1", None, "3"]
-    assert arrays.place("Actual       1 2", 6, centres, 3) is None  # two under one year
-    assert arrays.place("Actual                                            9", 6, centres, 3) is None
-    assert arrays.place(at(["1", "2", "3", "4"]), 6, centres, 3) is None
-    assert arrays.place(at(["1"]), 6, [], 3) is None
+    place = lambda *one: arrays.placed(*[[x] for x in one])[0]
+    assert place(at(["1", "", "3"]), 6, centres, 3) == ["1", None, "3"]
+    assert place("Actual       1 2", 6, centres, 3) is None  # two under one year
+    assert place("Actual                                            9", 6, centres, 3) is None
+    assert place(at(["1", "2", "3", "4"]), 6, centres, 3) is None
+    assert place(at(["1"]), 6, [], 3) is None
 
 
 def test_embeddings(spark):
@@ -113,3 +117,33 @@ def test_narrative_actual_and_long_lines(spark):
     body = run(label="x" * 130) + "\nHow Are We Doing\nActual results fell.\n"
     rows, problems = read(spark, [(HEAD + block(body=body)).replace("\n", "\r\n")])
     assert not problems and len(rows) == 5 and rows[0][5] is None
+
+
+def test_many_lines_are_placed_at_once():
+    """A batch gives what its lines give alone, the nearest column by trying all, the left one of two."""
+    rng = random.Random(6)
+    lines, starts, centres, years = [], [], [], []
+    for _ in range(400):
+        k = rng.randint(0, 5)
+        at = sorted(rng.sample(range(8, 60), k)) if rng.random() < 0.9 else [20.0] * k
+        line = list("Actual" + " " * 60)
+        for x in rng.sample(range(8, 64), rng.randint(0, 4)):
+            line[x] = rng.choice("0123456789")
+        lines.append("".join(line) + rng.choice(["", "", "(5)"]))
+        starts.append(6)
+        centres.append([x + rng.choice([0.0, 0.5]) for x in at] if k and at[0] != at[-1] else [float(x) for x in at])
+        years.append(rng.choice([k, k, max(k - 1, 0)]))
+    got = arrays.placed(lines, starts, centres, years)
+    for line, s, at, n, out in zip(lines, starts, centres, years, got, strict=True):
+        values = [(m[0], (m.start() + m.end()) / 2) for m in re.finditer(r"\S+", line) if m.start() >= s]
+        pitch = (at[-1] - at[0]) / max(1, len(at) - 1) if at else 0
+        want = [None] * n
+        near = [min(range(len(at)), key=lambda k: (abs(at[k] - x), k)) for _, x in values] if at else []  # noqa: B023
+        far = any(abs(at[k] - x) > 0.6 * pitch for k, (_, x) in zip(near, values, strict=True)) if at else True
+        if "(" in line or not 0 < len(values) <= n or pitch <= 0 or far or len(set(near)) < len(near) or max(near) >= n:
+            assert out is None
+        else:
+            for k, (v, _) in zip(near, values, strict=True):
+                want[k] = v
+            assert out == want
+    assert sum(x is not None for x in got) > 20 and arrays.placed([], [], [], []) == []
