@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import matching, text
+from . import ranks
 
 # Domains and thresholds of the rules.
 YEAR_SOURCES = ["document", "filename", "filename-scan", "socrata"]
@@ -243,26 +244,13 @@ def vocabulary(docs: DataFrame, most: int = 400) -> DataFrame:
     errors of OCR never become words that vouch for it.
     """
     own = docs.where(F.coalesce("text_source", F.lit("")) != "ocr") if "text_source" in docs.columns else docs
-    sample = systematic(own, max(1, own.count() // most))
+    sample = systematic(own.select("doc_id", "text"), max(1, own.count() // most))
     return sample.select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), 0)).alias("word")).distinct()
 
 
-def systematic(docs: DataFrame, step: int, order: str = "doc_id", buckets: int = 128) -> DataFrame:
-    """Every ``step``-th row in the order of a column, from the first on; nulls come first.
-
-    Rows are ranked within ranges of the column that hold about equally many of them, by
-    approximate quantiles, and ranges by how many rows stand before them, so no task numbers more
-    than one range, whatever outliers there are.  The ranges are a table of ``buckets`` rows.
-    """
-    bounds = docs.agg(F.percentile_approx(order, F.array(*[F.lit(k / buckets) for k in range(1, buckets)]), F.lit(10_000))).first()[0]
-    if bounds is None:
-        return docs
-    at = F.size(F.filter(F.array(*map(F.lit, sorted(set(bounds)))), lambda b: b < F.col(order)))
-    cut = docs.withColumn("range", F.when(F.col(order).isNull(), -1).otherwise(at))
-    sizes = cut.groupBy("range").agg(F.count("*").alias("n"))
-    before = sizes.select("range", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    rank = F.row_number().over(Window.partitionBy("range").orderBy(order)) - 1 + F.col("before")
-    return cut.join(F.broadcast(before), "range").withColumn("rank", rank).where(F.pmod("rank", F.lit(step)) == 0).select(*docs.columns)
+def systematic(docs: DataFrame, step: int, order: str | list[str] = "doc_id") -> DataFrame:
+    """Every ``step``-th row in the order of ids of any kind, or of other columns; nulls come first (see :mod:`ranks`)."""
+    return ranks.every(docs, step, [order] if isinstance(order, str) else order)
 
 
 def freshness(docs: DataFrame, today: str, days: int = REVERIFY_DAYS) -> DataFrame:

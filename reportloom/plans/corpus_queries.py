@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import catalogue, citations, entities, graph, quality, search
+from ..operators import catalogue, citations, entities, graph, quality, ranks, search
 from ..sources import frontmatter, storage
 from ..sources.tables import table
 from .base import DUCK_KEY, DUCK_META, META, SQL, portable, query
@@ -266,6 +266,17 @@ def systematic_sample(spark, sf):
     return quality.systematic(table(spark, sf, "documents").select("doc_id"), 7)
 
 
+@query(f"{M} SELECT path, id FROM (SELECT path, id, row_number() OVER (ORDER BY path, id) - 1 AS r FROM m) WHERE r % 5 = 0")
+def systematic_sample_of_paths(spark, sf):
+    return quality.systematic(_meta(spark, sf).select("path", "id"), 5, ["path", "id"])
+
+
+@query("SELECT o_orderkey, o_orderstatus, o_orderpriority, row_number() OVER (ORDER BY o_orderstatus, o_orderpriority, o_orderkey) - 1 AS place FROM orders")
+def places_in_order(spark, sf):
+    """A place for each order: three states hold all rows, so the ranges are split by what follows them."""
+    return ranks.ranked(table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), ["o_orderstatus", "o_orderpriority", "o_orderkey"], "place")
+
+
 #: Documents as texts with a source: one in eight was read by OCR.
 _READ = "SELECT doc_id, text, CASE WHEN doc_id % 8 = 0 THEN 'ocr' ELSE 'pdf-text' END AS text_source FROM documents"
 _VOCAB = f"d AS ({_READ}), v AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{{2,}}')) AS word FROM (SELECT text, row_number() OVER (ORDER BY doc_id) - 1 AS r, count(*) OVER () AS n FROM d WHERE text_source <> 'ocr') WHERE r % greatest(1, n // 400) = 0)"
@@ -277,6 +288,12 @@ def vocabulary(spark, sf):
     return quality.vocabulary(portable(spark, sf, _READ))
 
 
+@query(f"WITH {_VOCAB.replace('ORDER BY doc_id', 'ORDER BY CAST(doc_id AS VARCHAR)')} SELECT word FROM v")
+def vocabulary_by_text_ids(spark, sf):
+    """As vocabulary, with ids that are text, as those of files are."""
+    return quality.vocabulary(portable(spark, sf, _READ).withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
 @query(f"{M} SELECT count(*) AS nodes, count(DISTINCT coalesce(nullif(agency_key, ''), agency)) AS agencies, min(reporting_year) AS first_year, max(reporting_year) AS last_year FROM m")
 def corpus_stats(spark, sf):
     who = F.coalesce(F.nullif("agency_key", F.lit("")), F.col("agency"))
