@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -125,3 +125,34 @@ def conversion_notes(ocr_note: Column, missing: Column, listed_year: Column, sta
 def difference(old: DataFrame, new: DataFrame) -> DataFrame:
     """``(side, ...)`` rows that only one of two tables has, counted with repeats: none means not stale."""
     return old.exceptAll(new).select(F.lit("old").alias("side"), "*").union(new.exceptAll(old).select(F.lit("new").alias("side"), "*"))
+
+
+def taken(pages: DataFrame, size: int, recorded: str | None = None) -> DataFrame:
+    """Of pages ``(query, start, ok, items)`` those that a sweep would have read.
+
+    A query's pages start at row 1, 1 + ``size`` and so on.  A sweep reads them in order and stops
+    at the first that failed or was never recorded, and after the first that holds less than
+    ``size`` items.  Of a page that was recorded several times the last by ``recorded`` counts.
+    """
+    if recorded is not None:
+        last = [F.max_by(c, recorded).alias(c) for c in pages.columns if c not in ("query", "start", recorded)]
+        pages = pages.groupBy("query", "start").agg(*last, F.max(recorded).alias(recorded))
+    order = Window.partitionBy("query").orderBy("start")
+    stops = ~F.coalesce("ok", F.lit(False)) | (F.coalesce(F.size("items"), F.lit(0)) < size)
+    ended = F.coalesce(F.max(stops).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(False))
+    in_turn = F.col("start") == 1 + size * (F.row_number().over(order) - 1)
+    return pages.withColumns({"in_turn_": in_turn, "ended_": ended}).where("in_turn_ and ok and not ended_").drop("in_turn_", "ended_")
+
+
+def facts(sources: DataFrame, first: int, last: int, named: int = 1_000, **more: str) -> dict[str, str | list[str] | dict[str, str]]:
+    """What a manifest's header says: coverage by year, years without a source, and up to ``named`` names that did not parse.
+
+    Years are few; names beyond ``named`` are counted in a last line, and :func:`unparsed` has them all.
+    """
+    years = {r["year"]: str(r["sources"]) for r in count_by_year(sources).orderBy("year").collect()}
+    gaps = [f"{r['year']}: no report found" for r in year_gaps(sources, first, last).orderBy("year").collect()]
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")) == ""
+    odd = sources.where(blank("agency_code") | blank("reporting_year")).select("id")
+    names, n = [r["id"] for r in odd.orderBy("id").limit(named).collect()], odd.count()
+    rest = [f"and {n - len(names)} more"] if n > len(names) else []
+    return {**more, "by_year": years, "years_attempted": [str(y) for y in range(first, last + 1)], "gaps": gaps or ["none"], "unparsed_filenames": names + rest}

@@ -7,36 +7,69 @@ import html
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import text
-from . import catalogue
+from ..functions import fields, text
+from ..sources import files, frontmatter
+from . import catalogue, quality
 from . import series as s
 
-#: Fields of a report's front matter, in order.
-FRONT = ["id", "title", "doc_type", "agency", "agency_key", "reporting_year", "year_source", "text_source", "measure_status", "source_url", "source_sha256", "conversion_notes"]
+#: Texts in a folder, about.
+TEXTS = 100_000
 
 
-def markdown(docs: DataFrame, fields: list[str] | None = None) -> Column:
-    """A report as Markdown: front matter without null fields, then its whole text."""
-    lines = [F.when(F.col(f).isNotNull(), F.concat(F.lit(f"{f}: "), F.col(f).cast("string"))) for f in (fields or FRONT) if f in docs.columns]
-    return F.concat(F.lit("---\n"), F.concat_ws("\n", *lines), F.lit("\n---\n\n## Full text\n\n"), text.escape_headings(F.coalesce("full_text", F.lit(""))), F.lit("\n"))
+def markdown(docs: DataFrame) -> Column:
+    """A report as Markdown: its fields, a glance at them, and its whole text.
 
-
-def write_reports(docs: DataFrame, path: str, buckets: int = 64) -> None:
-    """Reports as Markdown, ``(id, markdown)``, in as many folders as there are buckets of ids."""
-    _bucketed(docs.select("id", markdown(docs).alias("markdown")), path, buckets)
+    Every field that ``docs`` has a column for is written so that it reads back as it is, null as
+    null; an agency without a registry slug has no such field.  ``relationships`` and ``tags`` are
+    lists.  The glance carries the caveat that every report must show, and says so if OCR read the
+    text (``full_text``, or ``text``).
+    """
+    optional = ("agency_registry_slug", "agency_registry_corpus")
+    said = lambda c: F.col(c).cast("string")
+    lines = []
+    for f in (c for c in frontmatter.SCALARS if c in docs.columns):
+        line = F.concat(F.lit(f"{f}: "), fields.written(said(f)))
+        lines.append(F.when(F.col(f).isNotNull(), line) if f in optional else line)
+    listed = lambda name, items, pad: F.when(F.coalesce(F.size(items), F.lit(0)) <= 0, f"{pad}{name}: []").otherwise(F.concat(F.lit(f"{pad}{name}:"), F.array_join(F.transform(items, lambda x: F.concat(F.lit(f"\n{pad}- "), fields.written(x))), "")))
+    if "relationships" in docs.columns:
+        lines += [F.lit("relationships:"), *[listed(r, F.col(f"relationships.{r}"), "  ") for r in frontmatter.RELATIONS]]
+    if "tags" in docs.columns:
+        lines.append(listed("tags", F.col("tags"), ""))
+    has = lambda c: F.nullif(said(c), F.lit("")) if c in docs.columns else F.lit(None).cast("string")
+    who, year = F.coalesce(has("agency"), F.lit("unnamed agency")), F.coalesce(has("reporting_year"), F.lit("not stated"))
+    status = F.when(has("measure_status") == "proposed", "proposed").otherwise("approved")
+    glance = [
+        F.concat(F.lit("**"), F.coalesce(has("citation"), has("id"), F.lit("")), F.lit("**, "), who),
+        F.lit(""),
+        F.concat(F.lit("- Reporting year: "), year),
+        F.concat(F.lit("- Measures: "), status),
+        F.when(has("source_filename").isNotNull(), F.concat(F.lit("- Source file: `"), has("source_filename"), F.lit("`"))),
+        F.lit(""),
+        F.lit(f"_A copy. Figures and assessments are {quality.CAVEAT}, and nobody else's finding; check figures and periods at the source._"),
+        F.when(has("text_source") == "ocr", f"\n_The source has no text of its own: what follows is a {quality.OCR_SENTENCE}, with errors in words and figures._"),
+    ]
+    whole = F.coalesce(F.col("full_text" if "full_text" in docs.columns else "text"), F.lit(""))
+    return F.concat(F.lit("---\n"), F.concat_ws("\n", *lines), F.lit("\n---\n\n## At a glance\n\n"), F.concat_ws("\n", *glance), F.lit("\n\n## Full text\n\n"), text.escape_headings(whole), F.lit("\n"))
+
+
+def write_reports(docs: DataFrame, path: str, folder: str = "") -> None:
+    """Reports as Markdown, a file ``<id>.md`` for each, in place of what the folder held (see :mod:`files`).
+
+    ``folder`` puts them below the path.  A document without an id is left out, as it has no name.
+    """
+    named = docs.where(F.coalesce("id", F.lit("")) != "")
+    files.write_files(named.select(F.concat(F.lit(folder and f"{folder}/"), "id", F.lit(".md")).alias("name"), markdown(docs).alias("content")), path)
 
 
-def write_texts(docs: DataFrame, path: str, buckets: int = 64) -> None:
-    """Texts and layout sidecars, ``(id, kind, text)``: a row for each that a document has."""
+def write_texts(docs: DataFrame, path: str, each: int = TEXTS) -> None:
+    """Texts and layout sidecars, ``(id, kind, text)``: a row for each that a document has, about ``each`` to a folder."""
     kinds = [docs.select("id", F.lit(kind).alias("kind"), F.col(c).alias("text")) for kind, c in (("text", "text"), ("layout", "layout")) if c in docs.columns]
     rows = kinds[0]
     for x in kinds[1:]:
         rows = rows.union(x)
-    _bucketed(rows.where("text is not null"), path, buckets)
-
-
-def _bucketed(rows: DataFrame, path: str, buckets: int) -> None:
-    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")).repartition("bucket")
+    rows = rows.where("text is not null")
+    buckets = max(1, -(-rows.count() // each))
+    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")).repartition(buckets, "bucket")
     dealt.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(path)
 
 
@@ -88,9 +121,10 @@ def write_series(found: s.Series, path: str, as_json: bool = False) -> None:
         writer.json(f"{path}/{name}") if as_json else writer.parquet(f"{path}/{name}")
 
 
-def is_stale(spark: SparkSession, path: str, new: DataFrame) -> bool:
-    """Whether a written table differs from what a rebuild gives, repeats counted."""
-    return not catalogue.difference(spark.read.parquet(path).select(*new.columns), new).isEmpty()
+def is_stale(spark: SparkSession, path: str, new: DataFrame, as_json: bool = False) -> bool:
+    """Whether a written table, as Parquet or JSON lines, differs from what a rebuild gives, repeats counted."""
+    old = spark.read.schema(new.schema).json(path) if as_json else spark.read.parquet(path)
+    return not catalogue.difference(old.select(*new.columns), new).isEmpty()
 
 
 def write_site(nodes: DataFrame, stats: DataFrame, path: str) -> None:

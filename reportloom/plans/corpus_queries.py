@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import catalogue, citations, entities, graph, quality, ranks, search
-from ..sources import frontmatter, storage
+from ..operators import catalogue, citations, entities, graph, quality, ranks, search, sinks
+from ..sources import frontmatter, listings, storage
 from ..sources.tables import table
 from .base import DUCK_KEY, DUCK_META, META, SQL, portable, query
 
@@ -240,6 +240,57 @@ def fuzzy_suggest(spark, sf):
     return entities.suggestions(_keyed(spark, sf).select("agency_key"), table(spark, sf, "nation").select(text.slug("n_name").alias("slug")))
 
 
+@query(f"{M} SELECT id, title, doc_type, status, agency, agency_key, agency_code, reporting_year, year_source, text_source, measure_status, agency_registry_slug, agency_registry_corpus, last_verified, 'it''s: ' || title || chr(10) || '# ' || agency AS conversion_notes, CASE WHEN n % 2 = 0 THEN 'a-' || n || '|b: c' ELSE '' END AS related, 'kpm|null' AS tags, TRUE AS sound FROM m")
+def report_round_trip(spark, sf):
+    """Reports written as Markdown and read again: every field as it was, null as null."""
+    docs = _keyed(spark, sf).withColumn("conversion_notes", F.concat(F.lit("it's: "), "title", F.lit("\n# "), "agency"))
+    ends = F.when(F.col("n") % 2 == 0, F.array(F.concat(F.lit("a-"), F.col("n").cast("string")), F.lit("b: c")))
+    none = F.array().cast("array<string>")
+    docs = docs.withColumns({"relationships": F.struct(*[(ends if r == "related" else none).alias(r) for r in frontmatter.RELATIONS]), "tags": F.array(F.lit("kpm"), F.lit("null")), "full_text": F.col("body")})
+    back = frontmatter.as_documents(frontmatter.read(docs.select("path", sinks.markdown(docs).alias("md"))))
+    same = ["id", "title", "doc_type", "status", "agency", "agency_key", "agency_code", "reporting_year", "year_source", "text_source", "measure_status", "agency_registry_slug", "agency_registry_corpus", "last_verified", "conversion_notes"]
+    joined = lambda c: F.coalesce(F.array_join(c, "|"), F.lit("")).alias(c.split(".")[-1])
+    return back.select(*same, joined("relationships.related"), joined("tags"), F.col("problem").isNull().alias("sound"))
+
+
+@query(f"{M} SELECT id, path AS url, agency_code, agency, reporting_year, n * 1000 AS bytes, CAST(row_number() OVER (ORDER BY coalesce(reporting_year, 'None'), coalesce(agency_code, 'None'), id) - 1 AS BIGINT) AS place FROM m")
+def manifest_round_trip(spark, sf):
+    """A manifest written as one listing and read again by its records, which come in the order of year, code and id."""
+    columns = ["id", "url", "agency_code", "agency", "reporting_year", "bytes"]
+    sources = _meta(spark, sf).select("id", F.col("path").alias("url"), "agency_code", "agency", "reporting_year", (F.col("n") * 1000).alias("bytes"))
+    path = storage.new_path(spark, "manifest")
+    listings.write_manifest(sources, path, catalogue.facts(sources, 2010, 2030), columns)
+    rows = listings.read_items(spark, path).select("place", *[F.element_at("fields", c).alias(c) for c in columns]).withColumn("bytes", F.col("bytes").cast("long"))
+    return ranks.ranked(rows.withColumnRenamed("place", "at"), ["at"], "place").drop("at")
+
+
+@query(f"WITH {_WALK} SELECT agency_key, slug, basis, note FROM mapping")
+def crosswalk_round_trip(spark, sf):
+    """A crosswalk written as one listing and read again."""
+    mapping, unmapped, _ = _walk(spark, sf)
+    path = storage.new_path(spark, "crosswalk")
+    listings.write_crosswalk(mapping, unmapped, path, {"note": "Keys, and slugs of the registry: curated.", "registry_corpus": "registry"})
+    back = listings.read_map(spark, path, "mapping")
+    return back.select(F.col("key").alias("agency_key"), *[F.element_at("fields", c).alias(c) for c in ("slug", "basis", "note")])
+
+
+#: Recorded answers to paged queries: pages of up to five rows from row 1 on; some are short, some failed, some were never asked.
+_PAGES = """
+SELECT o_custkey % 40 AS q, 1 + 5 * (o_custkey % 7) AS start, o_custkey % 11 <> 3 AS ok, o_orderkey AS k, CASE WHEN o_custkey % 5 = 4 THEN o_orderkey % 3 ELSE 5 END AS rows FROM orders WHERE o_custkey % 13 <> 6
+"""
+
+
+@query(f"""WITH p AS (SELECT q, start, max_by(ok, k) AS ok, max_by(rows, k) AS rows, max(k) AS k FROM ({_PAGES}) GROUP BY q, start),
+r AS (SELECT *, row_number() OVER w - 1 = (start - 1) // 5 AS there, bool_or(NOT ok OR rows < 5) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ended FROM p WINDOW w AS (PARTITION BY q ORDER BY start))
+SELECT q, start, k, rows FROM r WHERE there AND ok AND NOT coalesce(ended, FALSE)""")
+def paged_sweep(spark, sf):
+    """Pages of each query up to its first short, failed or missing page; of a page recorded twice the last counts."""
+    pages = portable(spark, sf, _PAGES).select(F.col("q").alias("query"), "start", "ok", "k", F.expr("transform(sequence(1, 5), i -> if(i <= rows, i, null))").alias("items"))
+    pages = pages.withColumn("items", F.filter("items", lambda x: x.isNotNull()))
+    taken = catalogue.taken(pages, 5, "k")
+    return taken.select(F.col("query").alias("q"), "start", "k", F.size("items").cast("long").alias("rows"))
+
+
 # --- counts, ranks and samples -------------------------------------------
 
 

@@ -1,7 +1,11 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from reportloom import cli
-from reportloom.operators import quality, sinks
+from reportloom.operators import catalogue, quality, sinks
+from reportloom.sources import files, frontmatter
 from reportloom.sources.reports import reports
 
 
@@ -19,8 +23,9 @@ def test_series_is_written_and_checked(spark, tmp_path):
 def test_sinks(spark, tmp_path):
     docs = spark.createDataFrame([("a", "T", "x", None, "# head\nbody"), ("b", "U|V", "x", "2019", None)], "id string, title string, doc_type string, reporting_year string, full_text string")
     sinks.write_reports(docs, f"{tmp_path}/md")
-    md = {r.id: r.markdown for r in spark.read.parquet(f"{tmp_path}/md").collect()}
-    assert md["a"].split("\n") == ["---", "id: a", "title: T", "doc_type: x", "---", "", "## Full text", "", " # head", "body", ""] and set(md) == {"a", "b"}
+    back = {r.id: r for r in frontmatter.documents(spark, f"{tmp_path}/md").collect()}
+    assert set(back) == {"a", "b"} and back["b"].title == "U|V" and back["a"].reporting_year is None and back["b"].reporting_year == "2019"
+    assert back["a"].text == "# head\nbody" or back["a"].text == " # head\nbody".strip() and quality.CAVEAT in back["a"].body
     sinks.write_texts(docs.select("id", F.col("full_text").alias("text"), F.lit("  x").alias("layout")), f"{tmp_path}/texts")
     assert sorted((r.id, r.kind, r.text) for r in spark.read.parquet(f"{tmp_path}/texts").collect()) == [("a", "layout", "  x"), ("a", "text", "# head\nbody"), ("b", "layout", "  x")]
     late = quality.freshness(docs.withColumn("last_verified", F.lit("")), "2025-01-01")
@@ -54,3 +59,49 @@ def test_search_command(spark, tmp_path, capsys):
     assert cli.main(["index", f"{tmp_path}/d", "--out", f"{tmp_path}/i"], spark) == 0
     assert cli.main(["search", f"{tmp_path}/i", "--query", "beta"], spark) == 0
     assert "|2 " in capsys.readouterr().out.replace("| 2", "|2").replace("|     2", "|2")
+
+
+def test_files_are_written_as_a_set(spark, tmp_path):
+    """A file for each row; a task that fails leaves the old files, and nothing beside them."""
+    rows = spark.createDataFrame([(f"d{i % 3}/n{i}.md", f"é {i}\n") for i in range(40)], "name string, content string").repartition(4)
+    out = tmp_path / "set"
+    files.write_files(rows, str(out))
+    read = lambda: {str(p.relative_to(out)): p.read_text() for p in out.rglob("*.md")}
+    assert read() == {f"d{i % 3}/n{i}.md": f"é {i}\n" for i in range(40)}
+    with pytest.raises(Exception, match="no name for a file"):
+        files.write_files(rows.select("name", F.lit("new").alias("content")).union(spark.sql("SELECT '../x', 'y'")), f"file://{out}")
+    assert len(read()) == 40 and "new" not in read().values() and [p.name for p in tmp_path.iterdir()] == ["set"]
+    with pytest.raises(ValueError, match="one name"):
+        files.write_files(rows.union(rows.limit(1)), str(out))
+    with pytest.raises(Exception, match="overwrite"):
+        rows.write.format("file_for_each").mode("append").save(str(out))
+    files.write_files(rows.limit(1), str(out))
+    assert len(read()) == 1 and [p.name for p in tmp_path.iterdir()] == ["set"]
+
+
+def test_stale_json(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1), ("a", 1)], "x string, n int")
+    df.write.json(f"{tmp_path}/j")
+    assert not sinks.is_stale(spark, f"{tmp_path}/j", df, True) and sinks.is_stale(spark, f"{tmp_path}/j", df.limit(1), True)
+
+
+def test_pages_that_a_sweep_reads(spark):
+    def brute(pages, size):
+        out = []
+        for q in {p[0] for p in pages}:
+            at = 1
+            while own := [p for p in pages if p[:2] == (q, at)]:
+                last = max(own, key=lambda p: p[4])
+                if not last[2]:
+                    break
+                out.append(last)
+                if len(last[3] or []) < size:
+                    break
+                at += size
+        return sorted(out, key=str)
+
+    rng = random.Random(1)
+    pages = [(q, 1 + 3 * s + (q % 9 == 0), rng.random() > 0.1, [1] * rng.choice([3, 3, 3, 4, 2, 0]), t) for q in range(60) for s in range(6) for t in range(rng.choice([0, 1, 1, 1, 1, 2]))] + [(99, 1, None, None, 0), (98, 1, True, None, 0)]
+    df = spark.createDataFrame(pages, "query int, start int, ok boolean, items array<int>, at int")
+    got = catalogue.taken(df, 3, "at").select("query", "start", "ok", "items", "at").collect()
+    assert sorted(map(tuple, got), key=str) == brute(pages, 3) and len(got) > 60
