@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import text
 
 
+#: Buckets of a level of fingerprints, and levels of buckets that rows are told apart by before they are compared.
+SPLIT, LEVELS = 1024, 2
+
+
 def feed_links(feeds: DataFrame, column: str = "xml", wanted: str = "/lfo/appr/") -> DataFrame:
     """Distinct normalised links of feed items whose address holds ``wanted`` in any case."""
     links = feeds.select(F.explode(F.regexp_extract_all(column, F.lit(r"<link>([^<]*)</link>"), F.lit(1))).alias("url"))
@@ -123,10 +127,42 @@ def conversion_notes(ocr_note: Column, missing: Column, listed_year: Column, sta
 
 
 def difference(old: DataFrame, new: DataFrame) -> DataFrame:
-    """``(side, ...)`` rows that only one of two tables has, counted with repeats: none means not stale."""
+    """``(side, ...)`` rows that only one of two tables has, counted with repeats: none means not stale.
+
+    Tables are compared by fingerprints first: for each bucket of row hashes the number of rows and
+    two sums of hashes, which no order of rows changes and repeats count in.  Buckets that differ
+    are split into finer ones, and only rows of the fine buckets that differ are compared as rows.
+    Equal tables shuffle a few thousand sums and no row.
+    """
+    for level in range(LEVELS):
+        odd = _odd_buckets(old, new, level)
+        if not odd:
+            old, new = old.limit(0), new.limit(0)
+            break
+        old, new = old.where(_bucket_of(old, level).isin(odd)), new.where(_bucket_of(new, level).isin(odd))
     return old.exceptAll(new).select(F.lit("old").alias("side"), "*").union(new.exceptAll(old).select(F.lit("new").alias("side"), "*"))
 
 
+def _row_hash(df: DataFrame, seed: int) -> Column:
+    """A hash of a whole row.  Which columns are null is hashed too, as nulls leave a hash unchanged."""
+    kinds = dict(df.dtypes)
+    plain = lambda c: F.to_json(F.struct(F.col(c))) if "map<" in kinds[c] else F.col(c)
+    return F.xxhash64(F.lit(seed), F.array(*[F.col(c).isNull() for c in df.columns]), *[plain(c) for c in df.columns])
+
+
+def _bucket_of(df: DataFrame, level: int) -> Column:
+    return F.pmod(_row_hash(df, 10 + level), F.lit(SPLIT)).cast("int")
+
+
+def _odd_buckets(old: DataFrame, new: DataFrame, level: int) -> list[int]:
+    """Buckets of a level in which two tables differ; at most :data:`SPLIT` numbers."""
+    wide = lambda seed, df: F.sum(_row_hash(df, seed).cast("decimal(38,0)"))
+    sums = [df.groupBy(_bucket_of(df, level).alias("b")).agg(F.count("*").alias("n"), wide(1, df).alias("x"), wide(2, df).alias("y")) for df in (old, new)]
+    signed = sums[0].select("b", "n", "x", "y").union(sums[1].select("b", -F.col("n"), -F.col("x"), -F.col("y")))
+    left = signed.groupBy("b").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y")]).where("n <> 0 or x <> 0 or y <> 0")
+    return [r["b"] for r in left.collect()]
+
+
 def taken(pages: DataFrame, size: int, recorded: str | None = None) -> DataFrame:
     """Of pages ``(query, start, ok, items)`` those that a sweep would have read.
 

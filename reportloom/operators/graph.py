@@ -26,6 +26,23 @@ def stated_edges(docs: DataFrame) -> DataFrame:
     return each.select("from", F.col("r.type").alias("type"), F.explode("r.ends").alias("to"))
 
 
+def all_edges(docs: DataFrame) -> DataFrame:
+    """Edges that documents state, if they have ``relationships``, and those of the chain of years."""
+    chain = series_edges(docs)
+    return stated_edges(docs).union(chain) if "relationships" in docs.columns else chain
+
+
+def overview(docs: DataFrame) -> DataFrame:
+    """One row: how many documents, agencies and edges, and the first and last reporting year."""
+    who = [F.nullif(c, F.lit("")) for c in ("agency_key", "agency") if c in docs.columns]
+    year = F.col("reporting_year") if "reporting_year" in docs.columns else F.lit(None).cast("string")
+    agencies = F.count_distinct(F.coalesce(*who)) if who else F.lit(0)
+    counts = docs.agg(F.count("*").alias("documents"), agencies.alias("agencies"), F.min(year).alias("first_year"), F.max(year).alias("last_year"))
+    linked = {"agency_key", "reporting_year"} <= set(docs.columns)
+    # one row each
+    return counts.join(F.broadcast(all_edges(docs).agg(F.count("*").alias("edges")))) if linked else counts
+
+
 def series_edges(docs: DataFrame, key: str = "agency_key") -> DataFrame:
     """An edge from each report to its agency's report of the year before, where there is one.
 

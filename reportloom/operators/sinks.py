@@ -12,6 +12,8 @@ from ..sources import files, frontmatter
 from . import catalogue, quality
 from . import series as s
 
+#: Fields of a source in a manifest, in order.
+SOURCE = ["id", "url", "format", "filename", "doc_type", "agency_code", "agency", "reporting_year", "year_source", "measure_status", "date_published", "bytes", "recheck", "sha256"]
 #: Texts in a folder, about.
 TEXTS = 100_000
 

@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reportloom import cli
 from reportloom.operators import catalogue, quality, sinks
-from reportloom.sources import files, frontmatter
+from reportloom.sources import files, frontmatter, listings
 from reportloom.sources.reports import reports
 
 
@@ -105,3 +106,57 @@ def test_pages_that_a_sweep_reads(spark):
     df = spark.createDataFrame(pages, "query int, start int, ok boolean, items array<int>, at int")
     got = catalogue.taken(df, 3, "at").select("query", "start", "ok", "items", "at").collect()
     assert sorted(map(tuple, got), key=str) == brute(pages, 3) and len(got) > 60
+
+
+def test_commands_on_files(spark, tmp_path, capsys):
+    """From rows to report files, and every command on the files."""
+    rows = [("r-2018", "Board of Ants", "ants", "ANT", "2018", None, "s-1"), ("r-2019", "Ants, Board of", "ants", None, "2019", ["r-x"], "s-1"), ("r-x", "Bees", "bees", "BEE", None, [], None)]
+    docs = spark.createDataFrame([(*r, "document", "approved", "pdf-text", "performance_report", "k", "alpha beta") for r in rows], "id string, agency string, agency_key string, agency_code string, reporting_year string, implements array<string>, agency_registry_slug string, year_source string, measure_status string, text_source string, doc_type string, status string, full_text string")
+    docs = docs.withColumn("relationships", F.struct(*[(F.col("implements") if r == "implements" else F.lit(None).cast("array<string>")).alias(r) for r in frontmatter.RELATIONS]))
+    docs = docs.withColumn("agency_registry_corpus", F.when(F.col("agency_registry_slug").isNotNull(), "registry")).withColumn("conversion_notes", F.lit(""))
+    at, out = f"{tmp_path}/c", f"{tmp_path}/out"
+    sinks.write_reports(docs, at, "reports")
+    said = lambda *args: (cli.main([args[0], args[1], *args[2:]], spark), capsys.readouterr().out)
+    code, shown = said("document", at, "--markdown", "--only", "r-2019")
+    assert code == 0 and json.loads(shown)["relationships"]["implements"] == ["r-x"] and "agency_code" not in json.loads(shown)
+    assert said("document", at, "--markdown", "--only", "none")[0] == 1
+    code, shown = said("neighbours", at, "--markdown", "--only", "r-2019")
+    assert code == 0 and [tuple(json.loads(x).values()) for x in shown.split()] == [("out", "implements", "r-x"), ("out", "related", "r-2018")]
+    assert [json.loads(x)["id"] for x in said("chain", at, "--markdown", "--only", "r-2019")[1].split()] == ["r-2018", "r-x"]
+    assert json.loads(said("resolve", at, "--markdown", "--query", "APPR ANT 2018")[1])["doc_ids"] == "r-2018"
+    spark.createDataFrame([("ants", "s-1", "exact", None), ("bees", "s-2", "exact", None)], "agency_key string, slug string, basis string, note string").createOrReplaceTempView("m")
+    walk = f"{tmp_path}/walk.yml"
+    listings.write_crosswalk(spark.table("m"), spark.createDataFrame([], "agency_key string, reason string"), walk, {"note": "n"})
+    code, shown = said("rules", at, "--markdown", "--mapping", walk)
+    assert code == 1 and "year_provenance|1" in shown.replace(" ", "") and "registry_link|0" in shown.replace(" ", "") and "caveat|0" in shown.replace(" ", "")
+    sound = f"{tmp_path}/sound"
+    sinks.write_reports(docs.where("reporting_year is not null"), sound, "reports")
+    assert said("rules", sound, "--markdown", "--mapping", walk)[0] == 2  # no series was given: not a pass
+    code, shown = said("crosswalk", at, "--markdown", "--mapping", walk)
+    assert code == 1 and "1 mapped document(s) carry no slug" in shown
+    assert said("graph", at, "--markdown", "--out", out, "--json")[0] == 0 and said("graph", at, "--markdown", "--out", out, "--json", "--check")[0] == 0
+    assert said("site", at, "--markdown", "--out", f"{tmp_path}/site")[0] == 0 and "<b>2</b> edges" in "".join(r.value for r in spark.read.text(f"{tmp_path}/site/page").collect())
+    docs.select("id", F.col("agency_code"), "reporting_year", "agency").write.parquet(f"{tmp_path}/s")
+    assert said("manifest", f"{tmp_path}/s", "--out", f"{tmp_path}/m.yml")[0] == 0
+    assert "2019|1" in said("manifest", f"{tmp_path}/m.yml")[1].replace(" ", "")
+    spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.0, 1.0])], "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/v")
+    assert json.loads(said("vectors", f"{tmp_path}/v", "--query", "[0, 2]", "--limit", "1")[1]) == {"vec_id": 2, "score": 1.0}
+
+
+def test_difference_by_fingerprints(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, "a", "b"]), rng.choice([None, 1, 2]), {"k": rng.randint(0, 3)} if rng.random() < 0.1 else None) for _ in range(400)]
+    plain = [r[:2] for r in rows]
+    old = spark.createDataFrame(plain, "x string, n int")
+    swapped = spark.createDataFrame([("1", None), (None, 1)], "x string, n int")
+    for split in (2, 1024):
+        monkeypatch.setattr(catalogue, "SPLIT", split)
+        new = spark.createDataFrame(plain[5:] + plain[-3:] + [("z", 9)], "x string, n int").repartition(5)
+        want = sorted([("old", *r) for r in old.exceptAll(new).collect()] + [("new", *r) for r in new.exceptAll(old).collect()], key=str)
+        assert sorted(map(tuple, catalogue.difference(old, new).collect()), key=str) == want and want
+        assert catalogue.difference(old, old.orderBy("n")).isEmpty() and catalogue.difference(swapped.limit(1), spark.createDataFrame([(None, 1)], "x string, n int")).count() == 2
+    same = spark.createDataFrame(rows, "x string, n int, m map<string,int>")
+    assert catalogue._odd_buckets(same, same.repartition(3), 0) == []
+    # tables that are equal are not compared row by row
+    plan = catalogue.difference(old, old)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Scan" not in plan
