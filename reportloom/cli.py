@@ -5,7 +5,8 @@
 
 Documents are a Parquet table with the columns that the operators name, or a folder of Markdown
 files with ``--markdown``; manifests and crosswalks may be listings (``.yml``); ``search`` takes
-what ``index`` wrote, and ``vectors`` a Parquet table ``(vec_id, embedding)``.  A check exits with 0
+what ``index`` wrote, ``vectors`` a Parquet table ``(vec_id, embedding)``, and
+``neighbours`` what ``graph --out`` wrote as well.  A check exits with 0
 (all well), 1 (violations or a stale table) or 2 (it could not run, which is not a pass).
 """
 
@@ -120,6 +121,8 @@ def _run(spark: SparkSession, a: argparse.Namespace) -> int:
             facts = catalogue.facts(sources, a.first, a.last, note=a.note, recheck="annual")
             listings.write_manifest(sources, a.out, facts, columns)
         return 0
+    if a.command == "neighbours" and tables.there(spark, f"{a.path}/adjacency/layout"):
+        return _show(graph.stored_neighbours(spark, f"{a.path}/adjacency", a.only).orderBy("direction", "type", "id"))
     docs = frontmatter.documents(spark, a.path) if a.markdown else spark.read.parquet(a.path)
     if a.command in ("document", "neighbours", "chain", "resolve"):
         return _asked(spark, docs, a)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.storage import discarded, stored
@@ -11,6 +11,8 @@ from ..sources.storage import discarded, stored
 RELATIONS = ["implements", "implemented_by", "references_external", "related", "supersedes"]
 #: Steps in one round of a walk, and rounds after which the nodes seen are one table again.
 HOPS, COMPACT = 8, 12
+#: Rows of a stored bucket, about, and files that a hub's edges are spread over.
+EACH, SPREAD = 100_000, 16
 
 
 def nodes(docs: DataFrame) -> DataFrame:
@@ -77,6 +79,45 @@ def neighbours(edges: DataFrame, id: str) -> DataFrame:
     out = edges.where(F.col("from") == id).select(F.lit("out").alias("direction"), "type", F.col("to").alias("id"))
     return out.union(edges.where(F.col("to") == id).select(F.lit("in").alias("direction"), "type", F.col("from").alias("id")))
 
+def write_adjacency(edges: DataFrame, path: str, each: int = EACH) -> None:
+    """Edges stored for lookups from both ends: ``(id, direction, type, other)`` in buckets of about ``each`` rows.
+
+    A bucket is a folder, by a hash of the id, and sorted by it; buckets grow in number with the
+    edges.  A hub's edges, which one bucket holds, are written by several tasks to several files.
+    Null ends are no edges.
+    """
+    ways = F.inline(F.array(*[F.struct(F.col(a).cast("string").alias("id"), F.lit(d).alias("direction"), F.col("type"), F.col(b).cast("string").alias("other")) for a, d, b in (("from", "out", "to"), ("to", "in", "from"))]))
+    rows = edges.where("`from` is not null and `to` is not null").select(ways)
+    _bucketed(rows, path, each, F.pmod(F.xxhash64("other"), F.lit(SPREAD)))
+
+
+def write_documents(docs: DataFrame, path: str, each: int = EACH) -> None:
+    """Documents stored for lookups by ``id``, in buckets of about ``each`` rows; those without an id are left out."""
+    _bucketed(docs.where("id is not null"), path, each, F.lit(0))
+
+
+def _bucketed(rows: DataFrame, path: str, each: int, salt: Column) -> None:
+    buckets = max(1, -(-rows.count() // each))
+    dealt = rows.withColumn("bucket", _bucket(F.col("id"), F.lit(buckets))).repartition("bucket", salt).sortWithinPartitions("bucket", "id")
+    dealt.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{path}/rows")
+    rows.sparkSession.range(1).select(F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(f"{path}/layout")
+
+
+def _bucket(id: Column, buckets: Column) -> Column:
+    return F.pmod(F.xxhash64(id.cast("string")), buckets).cast("int")
+
+
+def looked_up(spark: SparkSession, path: str, id: str) -> DataFrame:
+    """The rows of one id in what :func:`write_adjacency` or :func:`write_documents` stored: one bucket is read."""
+    layout = spark.read.parquet(f"{path}/layout")
+    bucket = layout.select(_bucket(F.lit(id), F.col("buckets"))).first()[0]
+    return spark.read.parquet(f"{path}/rows").where((F.col("bucket") == bucket) & (F.col("id") == id)).drop("bucket")
+
+
+def stored_neighbours(spark: SparkSession, path: str, id: str) -> DataFrame:
+    """As :func:`neighbours`, from a stored adjacency."""
+    return looked_up(spark, path, id).select("direction", "type", F.col("other").alias("id"))
+
 
 def authority_chain(edges: DataFrame, id: str) -> DataFrame:
     """``(id, depth)``: what a node reaches along edges, at its least depth; cycles end there.

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fields, text
 from ..sources import files, frontmatter
-from . import catalogue, quality
+from . import catalogue, graph, quality
 from . import series as s
 
 #: Fields of a source in a manifest, in order.
@@ -99,7 +99,8 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_graph(nodes: DataFrame, edges: DataFrame, path: str, as_json: bool = False) -> None:
-    """Nodes, edges, and their counts with the edges that end outside the corpus."""
+    """Nodes, edges, and their counts with the edges that end outside the corpus; ``adjacency`` is for lookups."""
+    graph.write_adjacency(edges, f"{path}/adjacency")
     external = edges.join(nodes.select(F.col("id").alias("to")), "to", "left_anti").agg(F.count("*").alias("n_edges_external"))
     counts = nodes.agg(F.count("*").alias("n_nodes")).join(edges.agg(F.count("*").alias("n_edges"))).join(external)
     for name, df in (("nodes", nodes), ("edges", edges), ("counts", counts)):

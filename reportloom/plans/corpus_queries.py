@@ -422,6 +422,14 @@ def graph_neighbors(spark, sf):
     return graph.neighbours(graph.stated_edges(_related(spark, sf)), "cust-8")
 
 
+@query(SQL["graph_neighbors"].replace("cust-8'", "cust-16'"))
+def graph_neighbors_stored(spark, sf):
+    """Neighbours from an adjacency that is stored in buckets, of which one is read."""
+    path = storage.new_path(spark, "adjacency")
+    graph.write_adjacency(graph.stated_edges(_related(spark, sf)), path, 64)
+    return graph.stored_neighbours(spark, path, "cust-16")
+
+
 #: Rings of 100 documents, each related to the next, with a shortcut here and there.
 _RING = """
 SELECT 'cust-' || CAST(c_custkey AS STRING) AS `from`, 'related' AS type, 'cust-' || CAST(CASE WHEN c_custkey % 100 = 99 THEN c_custkey - 99 ELSE c_custkey + 1 END AS STRING) AS `to` FROM customer

@@ -135,6 +135,7 @@ def test_commands_on_files(spark, tmp_path, capsys):
     code, shown = said("crosswalk", at, "--markdown", "--mapping", walk)
     assert code == 1 and "1 mapped document(s) carry no slug" in shown
     assert said("graph", at, "--markdown", "--out", out, "--json")[0] == 0 and said("graph", at, "--markdown", "--out", out, "--json", "--check")[0] == 0
+    assert said("neighbours", out, "--only", "r-2019") == said("neighbours", at, "--markdown", "--only", "r-2019") and said("neighbours", out, "--only", "zz")[0] == 1
     assert said("site", at, "--markdown", "--out", f"{tmp_path}/site")[0] == 0 and "<b>2</b> edges" in "".join(r.value for r in spark.read.text(f"{tmp_path}/site/page").collect())
     docs.select("id", F.col("agency_code"), "reporting_year", "agency").write.parquet(f"{tmp_path}/s")
     assert said("manifest", f"{tmp_path}/s", "--out", f"{tmp_path}/m.yml")[0] == 0

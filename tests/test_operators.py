@@ -206,3 +206,24 @@ def test_ids_and_summaries(spark):
     got = {r.rule: (r.violations, r.passed, r.first) for r in quality.summary(many, {"r": None, "s": None}).collect()}
     assert got == {"r": (300, False, [f"i{k:03}: p" for k in range(10)]), "s": (0, True, [])}
     assert quality.unassessed(docs).count() == 0 and [r.id for r in quality.unassessed(docs.withColumn("assessment", F.lit("green"))).collect()] == ["assessment"]
+
+
+def test_a_lookup_reads_one_bucket(spark, tmp_path):
+    pairs = [(f"n{i}", f"n{i % 7}") for i in range(200)] + [("hub", f"n{i}") for i in range(300)] + [(None, "n1"), ("n1", None), ("n1", "n1")]
+    edges = spark.createDataFrame([(a, "t", b) for a, b in pairs], "`from` string, type string, `to` string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)  # as if partitions were large
+    graph.write_adjacency(edges, f"{tmp_path}/a", each=50)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    whole = spark.read.parquet(f"{tmp_path}/a/rows")
+    assert whole.select("bucket").distinct().count() > 10
+    for id in ("n1", "n3", "hub", "n150", "nobody"):
+        got = sorted(map(tuple, graph.stored_neighbours(spark, f"{tmp_path}/a", id).collect()))
+        assert got == sorted([("out", "t", b) for a, b in pairs if a == id and b] + [("in", "t", a) for a, b in pairs if b == id and a])
+    found = graph.looked_up(spark, f"{tmp_path}/a", "hub")
+    assert found.select(F.regexp_extract(F.col("_metadata.file_path"), "bucket=([0-9]+)", 1)).distinct().count() == 1
+    assert "PartitionFilters: [isnotnull(bucket" in found._jdf.queryExecution().executedPlan().toString()
+    # a hub is written by several tasks
+    assert found.select(F.col("_metadata.file_path")).distinct().count() > 3
+    docs = spark.createDataFrame([(f"d{i}", i) for i in range(100)] + [(None, 5)], "id string, n int")
+    graph.write_documents(docs, f"{tmp_path}/d", each=10)
+    assert graph.looked_up(spark, f"{tmp_path}/d", "d42").first().n == 42 and graph.looked_up(spark, f"{tmp_path}/d", "x").isEmpty()
