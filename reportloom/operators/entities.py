@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-import difflib
+import math
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import matching, text
+from ..sources.storage import stored
 
 #: Bases of a mapping, and those that need a note.
 BASES = ["exact", "alias", "successor", "manual"]
 NOTED = ["alias", "successor", "manual"]
-#: Keys and slugs that one task holds against each other.
-BLOCK = 1_000
+#: Keys or slugs of a block, and characters of a block.
+BLOCK, CHARS = 1_000, 1 << 20
+#: Slugs that are shown for a least trigram, and odd factors that order trigrams.
+SHOWN = 4
+MIX = np.array([2 * (0x9E3779B97F4A7C15 * k % (1 << 63)) + 1 for k in range(1, 9)], dtype=np.uint64)
 
 
 def names_per_key(names: DataFrame, column: str = "agency") -> DataFrame:
@@ -87,37 +92,93 @@ def drift(docs: DataFrame, crosswalk: DataFrame) -> DataFrame:
     return met.where(~F.col("stamped").eqNullSafe(F.col("slug"))).select("doc_id", "agency_key", "stamped", "slug")
 
 
-def suggestions(keys: DataFrame, slugs: DataFrame, cutoff: float = 0.6) -> DataFrame:
+def suggestions(keys: DataFrame, slugs: DataFrame, cutoff: float = 0.6, counted: bool = False) -> DataFrame:
     """``(agency_key, slug, likeness)``: the nearest slug of each key, if near enough to be of use.
 
-    Likeness is difflib's ratio; of equally near slugs the last in order is taken.  Every key is
-    held against every slug, in blocks of :data:`BLOCK` of each; bounds by length and by characters
-    spare most ratios.  A block gives the best slug of each of its keys, never its pairs.  Advice
-    for a person: nothing else reads it.
-    """
+    Likeness is difflib's ratio; of equally near slugs the last in order is taken.  Nulls and empty
+    strings are neither keys nor slugs.  The result is exact, and few pairs are compared:
+
+    * a first likeness of each key comes from slugs that share a least trigram with it;
+    * what is nearer must have a length that the first likeness allows, so slugs are dealt into
+      bands of length and a block of keys visits the bands that its keys allow;
+    * of a visited block only slugs are compared whose bounds reach the best likeness so far (see
+      ``matching.Held``), the most promising first.
 
-    def blocks(df: DataFrame, column: str) -> tuple[DataFrame, int]:
-        one = df.select(F.col(column).alias("s")).where("s is not null").distinct()
-        n = max(1, -(-one.count() // BLOCK))
-        return one.select("s", F.pmod(F.xxhash64("s"), F.lit(n)).cast("int").alias("own")), n
+    ``counted`` adds ``compared``, the ratios that were taken for a key, and a row for each key
+    (its slug null where none is near).  ``cutoff`` is above 0.  Advice for a person: nothing else
+    reads it.
+    """
+    one = lambda df, c: df.select(F.col(c).cast("string").alias("s")).where("s <> ''").distinct()
+    held = stored(one(slugs, "slug"), "slugs")
+    firsts = stored(_firsts(one(keys, "agency_key"), held, cutoff), "firsts")
+
+    # a band holds lengths of which the longest is a tenth above the shortest, about
+    band = lambda length: F.floor(F.log(length) / math.log(1.1) + 1e-9).cast("int")
+    size = F.length("s").cast("double")
+    least = F.coalesce("likeness", F.lit(cutoff))
+    share = least / (2 - least)
+    asked = firsts.withColumns({"least": least, "low": band(F.greatest(size * share - 1e-6, F.lit(1.0))), "high": band(size / share + 1e-6)})
+    k = _blocks(asked, ["low", "high"], F.struct("s", "least", "slug")).withColumnRenamed("block", "k")
+    s = _blocks(held.withColumn("band", band(size)), ["band"], F.col("s")).withColumnRenamed("block", "b")
+    k, s = stored(k, "keys"), stored(s, "slugs")
+    visits = k.select("k", F.explode(F.sequence("low", "high")).alias("band")).join(s.select("band", "b"), "band").select("k", "b")
 
     def best(keys: pd.DataFrame, slugs: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        for key in keys["s"]:
-            m = difflib.SequenceMatcher(None, "", key)
-            top = (cutoff, "")
-            for slug in slugs["s"]:
-                m.set_seq1(slug)
-                if m.real_quick_ratio() >= top[0] and m.quick_ratio() >= top[0]:
-                    top = max(top, (m.ratio(), slug))
-            if top[1]:
-                found.append((key, top[1], top[0]))
-        return pd.DataFrame(found, columns=["agency_key", "slug", "likeness"]).astype({"likeness": "float64"})
-
-    (k, nk), (s, ns) = blocks(keys, "agency_key"), blocks(slugs, "slug")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    asked = k.select("s", F.col("own").alias("k"), every(ns).alias("b")).groupBy("k", "b")
-    held = s.select("s", every(nk).alias("k"), F.col("own").alias("b")).groupBy("k", "b")
-    met = asked.cogroup(held).applyInPandas(best, "agency_key string, slug string, likeness double")
-    top = met.groupBy("agency_key").agg(F.max(F.struct("likeness", "slug")).alias("b"))
-    return top.select("agency_key", "b.slug", F.round("b.likeness", 6).alias("likeness"))
+        near, found = matching.Held(list(slugs["rows"].iloc[0])), []
+        for row in keys["rows"].iloc[0]:
+            (likeness, slug), taken = near.best(row["s"], (row["least"], row["slug"] or ""))
+            found.append((row["s"], slug or None, likeness if slug else None, taken))
+        out = pd.DataFrame(found, columns=["s", "slug", "likeness", "compared"])
+        return out.astype({"likeness": "float64", "compared": "int64"})
+
+    # both sides come from one table of visits, so their columns get names of their own
+    own = visits.join(k, "k").select("k", "b", "rows").toDF("k1", "b1", "rows").groupBy("k1", "b1")
+    near = visits.join(s, "b").select("k", "b", "rows").toDF("k2", "b2", "rows").groupBy("k2", "b2")
+    more = own.cogroup(near).applyInPandas(best, "s string, slug string, likeness double, compared long")
+    every = firsts.select("s", "slug", "likeness", "compared").union(more)
+    nearest = F.max(F.when(F.col("slug").isNotNull(), F.struct("likeness", "slug")))
+    top = every.groupBy("s").agg(nearest.alias("b"), F.sum("compared").alias("compared"))
+    out = top.select(F.col("s").alias("agency_key"), "b.slug", F.round("b.likeness", 6).alias("likeness"), "compared")
+    return out if counted else out.where("slug is not null").drop("compared")
+
+
+def _blocks(rows: DataFrame, by: list[str], row: Column) -> DataFrame:
+    """``(*by, block, rows)``: rows of equal ``by``, in arrays of about :data:`BLOCK` rows or :data:`CHARS` characters."""
+    # bands are under 250, so these are few rows
+    sizes = rows.groupBy(*by).agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum(F.length("s")) / CHARS)).alias("parts"))
+    dealt = rows.join(F.broadcast(sizes), by).withColumn("part", F.pmod(F.xxhash64("s"), F.col("parts")).cast("int"))
+    each = dealt.groupBy(*by, "part").agg(F.collect_list(row).alias("rows"))
+    return each.withColumn("block", F.concat_ws(" ", *by, "part")).drop("part")
+
+
+def _firsts(keys: DataFrame, slugs: DataFrame, cutoff: float) -> DataFrame:
+    """``(s, slug, likeness, compared)``: each key with the nearest of a few slugs that look like it, null if none is near.
+
+    Of its trigrams each string gives the least under some hashes; a key meets up to :data:`SHOWN`
+    slugs of each of its own.  What is missed here costs time later, and no result.
+    """
+
+    @F.pandas_udf("array<long>")
+    def least(texts: pd.Series) -> pd.Series:
+        out = []
+        for t in texts:
+            c = np.frombuffer(f"  {t} ".encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+            grams = (c[:-2] << np.uint64(42)) ^ (c[1:-1] << np.uint64(21)) ^ c[2:]
+            mixed = (grams[None, :] * MIX[:, None]) >> np.uint64(11)
+            out.append(mixed.min(axis=1).astype(np.int64))
+        return pd.Series(out)
+
+    shown = F.row_number().over(Window.partitionBy("seed", "h").orderBy(F.xxhash64("s"), "s"))
+    signed = lambda df: df.select("s", F.posexplode(least("s")).alias("seed", "h"))
+    few = signed(slugs).withColumn("n", shown).where(F.col("n") <= SHOWN).select("seed", "h", F.col("s").alias("slug"))
+    met = signed(keys).join(few, ["seed", "h"]).groupBy("s").agg(F.collect_set("slug").alias("slugs"))
+
+    @F.pandas_udf("slug string, likeness double, compared long")
+    def nearest(key: pd.Series, slugs: pd.Series) -> pd.DataFrame:
+        out = []
+        for k, near in zip(key, slugs, strict=True):
+            (likeness, slug), taken = matching.Held(list(near)).best(k, (cutoff, "")) if near is not None else ((0.0, ""), 0)
+            out.append((slug or None, likeness if slug else None, taken))
+        return pd.DataFrame(out, columns=["slug", "likeness", "compared"]).astype({"likeness": "float64", "compared": "int64"})
+
+    return keys.join(met, "s", "left").select("s", nearest("s", "slugs").alias("near")).select("s", "near.*")
