@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from reportloom.operators import catalogue, search
+from reportloom.operators import vectors as vectors_
 from reportloom.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -39,8 +40,8 @@ def test_furniture_goes_from_every_page(spark):
 
 
 def test_searches_take_a_table_of_queries(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(search, "QUERIES", 2)
-    monkeypatch.setattr(search, "VECTORS", 7)
+    monkeypatch.setattr(vectors_, "QUERIES", 2)
+    monkeypatch.setattr(vectors_, "VECTORS", 7)
     vectors = spark.createDataFrame([(i, [float(i % 5), 1.0, float(i)]) for i in range(30)] + [(30, [0.0, 0.0, 0.0]), (31, [1.0]), (32, None)], "vec_id long, embedding array<float>")
     asked = vectors.where("vec_id in (3, 8, 20, 30)")
     got = search.vector_all(asked.select(F.col("vec_id").alias("query_id"), "embedding"), vectors, 4).collect()
