@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import arrays, text
+from ..sources import frontmatter
 from ..sources.storage import discarded, stored
 
 FAR = 2_147_483_647
@@ -274,6 +275,25 @@ def extract(docs: DataFrame, geometry: bool = True) -> Series:
     return Series(rows, refused.union(yearless).union(blockless).union(textless))
 
 
+def of_files(files: DataFrame) -> dict[str, DataFrame]:
+    """``rows`` and ``problems`` of reports in files ``(doc_id, path, content)``, for ``ledger.refresh``.
+
+    ``<id>.md`` has the fields and the text, unless ``<id>.txt`` has the text; ``<id>.layout.txt`` is
+    the layout.  Of several files of one name the last path counts.  Without ``<id>.md`` there is no
+    report.
+    """
+    layout, md = F.col("path").endswith(".layout.txt"), F.col("path").endswith(".md")
+    last = lambda where: F.max_by(F.when(where, F.col("content")), F.when(where, F.col("path")))
+    plain = F.col("path").endswith(".txt") & ~layout
+    each = files.groupBy("doc_id").agg(last(md).alias("md"), last(plain).alias("plain"), last(layout).alias("layout"))
+    read = frontmatter.read(each.where("md is not null").withColumn("path", F.col("doc_id")))
+    facts = frontmatter.as_documents(read).select("path", "agency", "reporting_year", "measure_status", "source_url", "text")
+    docs = facts.withColumnRenamed("path", "doc_id").join(each.select("doc_id", "plain", "layout"), "doc_id")
+    docs = stored(docs.withColumn("text", F.coalesce("plain", F.nullif("text", F.lit("")))).drop("plain"), "reports")
+    found = extract(docs)
+    return {"rows": found.rows.withColumn("doc_id", F.col("agency_doc")), "problems": found.problems}
+
+
 IDENTITY = ["agency", "measure_key", "submeasure", "year"]
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import arrays, text
-from ..operators import catalogue, series
+from ..operators import catalogue, series, sinks
+from ..sources import files, ledger, storage
 from ..sources import reports as source
 from .base import query
 
@@ -162,3 +163,24 @@ def top_n_problems(spark, sf):
     rows = series.extract(source.reports(spark, sf)).rows.where("actual = 'No Data'")
     shown = rows.select(F.concat_ws(" ", "agency_doc", "measure_key", "year").alias("problem")).orderBy("problem").limit(10)
     return shown.select(F.lit("gap").alias("rule"), F.row_number().over(Window.orderBy("problem")).alias("place"), "problem")
+
+
+@query(source.EXPECTED)
+def series_refreshed(spark, sf):
+    """Reports in files, some of which change, come and go: the kept series is that of the files as they are."""
+    docs = source.reports(spark, sf)
+    root, target = storage.new_path(spark, "files"), storage.new_path(spark, "kept")
+    stale = F.regexp_replace("text", "No Data", "999")
+    before = docs.where("n % 4 <> 1").withColumn("text", F.when(F.col("n") % 3 == 0, stale).otherwise(F.col("text")))
+    gone = docs.where("n = 2").withColumn("doc_id", F.concat("doc_id", F.lit("-draft")))
+    for state in (before.unionByName(gone), docs):
+        files.write_files(_files(state), root)
+        ledger.refresh(spark, root, target, series.of_files)
+    return ledger.table_of(spark, target, "rows").select(*COLUMNS)
+
+
+def _files(docs):
+    """Reports as ``<id>.md`` and, where there is one, ``<id>.layout.txt``."""
+    facts = docs.withColumns({"id": F.col("doc_id"), "title": F.col("doc_id")})
+    written = facts.select(F.concat("doc_id", F.lit(".md")).alias("name"), sinks.markdown(facts).alias("content"))
+    return written.union(docs.where("layout is not null").select(F.concat("doc_id", F.lit(".layout.txt")), "layout"))
