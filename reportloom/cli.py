@@ -1,6 +1,7 @@
 """Commands: ``python -m reportloom.cli COMMAND PATH ...``.
 
-``series graph rules crosswalk manifest site index search cite`` work on a collection;
+``series graph rules crosswalk manifest site index search cite`` work on a collection; ``ingest``
+keeps the series of a folder of files at ``--out`` and works out only what has changed;
 ``document resolve neighbours chain vectors`` ask it for one thing, as a reader does.
 
 Documents are a Parquet table with the columns that the operators name, or a folder of Markdown
@@ -21,9 +22,9 @@ from pyspark.sql import functions as F
 
 from .functions import text
 from .operators import catalogue, citations, entities, graph, quality, search, series, sinks
-from .sources import frontmatter, listings, storage, tables
+from .sources import frontmatter, ledger, listings, storage, tables
 
-COMMANDS = ["series", "graph", "rules", "crosswalk", "manifest", "site", "index", "search", "cite", "document", "resolve", "neighbours", "chain", "vectors"]
+COMMANDS = ["series", "graph", "rules", "crosswalk", "manifest", "site", "index", "search", "cite", "document", "resolve", "neighbours", "chain", "vectors", "ingest"]
 
 
 def _crosswalk(spark: SparkSession, path: str, section: str) -> DataFrame:
@@ -109,6 +110,13 @@ def _run(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.command == "search":
         search.keyword(spark, a.path, a.query, a.limit or 20).show(truncate=False)
         return 0
+    if a.command == "ingest":
+        if not a.out:
+            print("ingest needs --out", file=sys.stderr)
+            return quality.outcome(True, 0)
+        done = ledger.refresh(spark, a.path, a.out, series.of_files)
+        print(f"{done.read} file(s) read, {done.built} document(s) worked out, {done.gone} gone")
+        return 0
     if a.command == "vectors":
         return _show(search.vector(spark.read.parquet(a.path), json.loads(a.query), a.limit or 20))
     if a.command == "manifest":

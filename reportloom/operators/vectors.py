@@ -15,8 +15,10 @@ from ..sources.storage import stored
 QUERIES, VECTORS = 256, 2048
 #: Vectors that centres are fitted on at most, their bytes at most, and centres at most.
 SAMPLE, SAMPLE_BYTES, CENTRES = 16_384, 32 << 20, 1_024
+#: Vectors for each centre, about, until there are enough centres; smaller blocks cost more than they spare.
+CENTRE_ROWS = 256
 #: Rounds of fitting, and the width of a ring around a centre in radians.
-ROUNDS, RING = 4, 0.1
+ROUNDS, RING = 4, 0.2
 #: What rounding may add to an angle, and to a score of six places.
 SLACK, PLACES = 1e-6, 1e-6
 
@@ -89,7 +91,7 @@ def fitted(vectors: DataFrame) -> dict[int, np.ndarray]:
     for row in _units(some, "vec_id").toLocalIterator():
         unit.setdefault(row["size"], []).append(np.array(row["e"]))
     total = max(1, sum(map(len, unit.values())))
-    wanted = min(CENTRES, int(np.ceil(np.sqrt(sizes["n"]))))
+    wanted = min(CENTRES, -(-sizes["n"] // CENTRE_ROWS))
     out = {}
     for size, rows in unit.items():
         e = np.stack(rows)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from reportloom import cli
 from reportloom.operators import catalogue, quality, sinks
-from reportloom.sources import files, frontmatter, listings
+from reportloom.sources import files, frontmatter, ledger, listings
 from reportloom.sources.reports import reports
 
 
@@ -161,3 +161,15 @@ def test_difference_by_fingerprints(spark, monkeypatch):
     # tables that are equal are not compared row by row
     plan = catalogue.difference(old, old)._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan and "Scan" not in plan
+
+
+def test_ingest_keeps_the_series_of_a_folder(spark, tmp_path, capsys):
+    docs = reports(spark, "/root/testdata/sf0.001").where("n < 2").withColumns({"id": F.col("doc_id"), "title": F.col("doc_id")})
+    root, out = f"{tmp_path}/files", f"{tmp_path}/kept"
+    sinks.write_reports(docs, root)
+    assert cli.main(["ingest", root], spark) == 2
+    assert cli.main(["ingest", root, "--out", out], spark) == 0
+    assert "6 file(s) read, 6 document(s) worked out, 0 gone" in capsys.readouterr().out
+    assert cli.main(["ingest", root, "--out", out], spark) == 0
+    assert "0 file(s) read, 0 document(s) worked out, 0 gone" in capsys.readouterr().out
+    assert {r.agency_doc for r in ledger.table_of(spark, out, "rows").collect()} == {r.id for r in docs.collect()}

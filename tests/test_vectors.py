@@ -40,6 +40,7 @@ def same(got, want):
 def test_nearest_vectors_are_those_of_a_whole_comparison(spark, monkeypatch):
     monkeypatch.setattr(vectors, "VECTORS", 40)
     monkeypatch.setattr(vectors, "QUERIES", 7)
+    monkeypatch.setattr(vectors, "CENTRE_ROWS", 30)
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(12, 16))
     # a third of the rows are one vector, and lengths differ
