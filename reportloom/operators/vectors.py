@@ -5,20 +5,23 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.storage import stored
 
-#: Queries and vectors in a block.
-QUERIES, VECTORS = 256, 2048
+#: Queries that meet a block of vectors at a time, and vectors of a block, about.
+QUERIES, VECTORS = 4096, 2048
 #: Vectors that centres are fitted on at most, their bytes at most, and centres at most.
 SAMPLE, SAMPLE_BYTES, CENTRES = 16_384, 32 << 20, 1_024
 #: Vectors for each centre, about, until there are enough centres; smaller blocks cost more than they spare.
 CENTRE_ROWS = 256
 #: Rounds of fitting, and the width of a ring around a centre in radians.
 ROUNDS, RING = 4, 0.2
+#: More than the rings of a centre.
+RINGS = 64
 #: What rounding may add to an angle, and to a score of six places.
 SLACK, PLACES = 1e-6, 1e-6
 
@@ -34,47 +37,57 @@ def vector_all(queries: DataFrame, vectors: DataFrame, k: int = 20, counted: boo
     a ring of angles.  A query's angle to a vector is no less than its angle to the centre differs
     from the vector's.  So rings are searched first that can be nearest, and then those that can
     reach the ``k``-th best score found: the result is exact whatever the centres are.  Vectors of a
-    length that the sample lacks form a ring that is always searched.  Large rings are split, and
-    queries go by blocks of one centre, which ask for the same rings.
+    length that the sample lacks form a ring that is always searched.  Rings travel in blocks of about
+    :data:`VECTORS` vectors, and a query once to a block that has rings for it.
 
     ``counted`` adds ``compared``, the number of vectors that the query was held against.
     """
     centres = fitted(vectors)
     v = stored(_placed(vectors, "vec_id", centres), "vectors")
-    q = stored(_placed(queries, "query_id", centres), "queries")
+    q = stored(_placed(queries, "query_id", centres).withColumn("group", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-queries.count() // QUERIES)))).cast("int")), "queries")
     rings = stored(v.groupBy("size", "centre", "ring").agg(F.count("*").alias("n"), F.min("angle").alias("low"), F.max("angle").alias("high")), "rings")
-    # at most CENTRES centres, of a few dozen rings each, and a row for each length that the sample lacks
+    # at most CENTRES centres, of a few dozen rings each
     known = rings.where("centre >= 0").toPandas()
-    split = rings.select("size", "centre", "ring", F.ceil(F.col("n") / VECTORS).cast("int").alias("parts"))
-    v = stored(v.join(split, ["size", "centre", "ring"]).withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int")).select("id", "e", *BLOCK), "blocks")
-    blocks = split.select("size", "centre", "ring", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    many = q.groupBy("size", "centre").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("groups"))
-    grouped = q.join(many, ["size", "centre"]).select("id", "e", "size", F.concat_ws(" ", "size", "centre", F.pmod(F.xxhash64("id"), "groups")).alias("group"))
-
-    def rows_of(asked: DataFrame) -> DataFrame:
-        """Rings that queries ask for; a query of a length without centres asks for the one ring of it."""
-        lone = rings.where("centre < 0").select("size", "centre", "ring")
-        return asked.union(grouped.join(lone, "size").select("id", "size", "centre", "ring"))
-
-    none = grouped.select("id", "e", F.lit(None).cast("double").alias("least"))
-    first = stored(rows_of(_rings(none, known, centres, k)), "asked")
-    hits = stored(_searched(grouped, first, blocks, v, k), "hits")
+    homes = stored(_homes(rings, known), "homes")
+    v = v.join(homes, ["size", "centre"]).select("id", "e", "centre", "ring", _block(F.pmod(F.xxhash64("id"), "parts")).alias("block"))
+
+    def visits(asked: DataFrame) -> DataFrame:
+        """Queries with the blocks that hold a ring they ask for, and the rings there."""
+        met = asked.join(homes, ["size", "centre"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        return met.groupBy("id", _block(F.col("part")).alias("block")).agg(F.collect_list(F.col("centre") * RINGS + F.col("ring")).alias("rings"))
+
+    def searched(asked: DataFrame) -> DataFrame:
+        return stored(_searched(visits(asked).join(q.select("id", "e", "group"), "id"), v, k), "hits")
+
+    lone = q.join(rings.where("centre < 0").select("size", F.lit(-1).alias("c"), F.lit(0).alias("r")), "size").select("id", "size", "c", "r")
+    first = stored(_rings(q.select("id", "e", F.lit(None).cast("double").alias("least")), known, centres, k).union(lone), "asked")
+    hits = searched(first)
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     kth = hits.withColumn("k", place).where(F.col("k") == k).select(F.col("query_id").alias("id"), F.col("score").alias("least"))
     # a query with fewer than k hits so far may ask for every ring
-    wide = grouped.select("id", "e").join(kth, "id", "left").select("id", "e", F.coalesce("least", F.lit(-2.0)).alias("least"))
-    rest = _rings(wide, known, centres, k).join(first, ["id", "size", "centre", "ring"], "left_anti")
-    rest = stored(rest, "asked")
-    found = hits.union(_searched(grouped, rest, blocks, v, k))
-    best = found.withColumn("k", place).where(F.col("k") <= k).select("query_id", "vec_id", "score")
+    wide = q.select("id", "e").join(kth, "id", "left").select("id", "e", F.coalesce("least", F.lit(-2.0)).alias("least"))
+    rest = stored(_rings(wide, known, centres, k).join(first, ["id", "size", "centre", "ring"], "left_anti"), "asked")
+    best = hits.union(searched(rest)).withColumn("k", place).where(F.col("k") <= k).select("query_id", "vec_id", "score")
     if not counted:
         return best
     work = first.union(rest).join(rings, ["size", "centre", "ring"]).groupBy(F.col("id").alias("query_id")).agg(F.sum("n").alias("compared"))
     return best.join(work, "query_id")
 
 
-#: The columns that name a block of vectors.
-BLOCK = ["size", "centre", "ring", "part"]
+def _homes(rings: DataFrame, known: pd.DataFrame) -> DataFrame:
+    """``(size, centre, home, parts)``: centres of few vectors share a block, one of many has several of its own."""
+    rows = []
+    for size, each in known.groupby("size"):
+        n = each.groupby("centre")["n"].sum()
+        for centre, here, before in zip(n.index, n, n.cumsum() - n, strict=True):
+            rows.append((int(size), int(centre), f"c{centre}" if here > VECTORS else f"b{before // VECTORS}", int(-(-here // VECTORS))))
+    listed = rings.sparkSession.createDataFrame(rows, "size int, centre int, home string, parts int")
+    lone = rings.where("centre < 0").select("size", "centre", F.lit("c").alias("home"), F.ceil(F.col("n") / VECTORS).cast("int").alias("parts"))
+    return listed.union(lone)
+
+
+def _block(part: Column) -> Column:
+    return F.concat_ws(" ", "size", "home", part.cast("string"))
 
 
 def fitted(vectors: DataFrame) -> dict[int, np.ndarray]:
@@ -88,13 +101,13 @@ def fitted(vectors: DataFrame) -> dict[int, np.ndarray]:
     most = max(1, min(SAMPLE, SAMPLE_BYTES // (8 * sizes["size"])))
     some = vectors.where(F.size("embedding") > 0).orderBy(F.xxhash64("vec_id"), "vec_id").limit(most)
     unit: dict[int, list[np.ndarray]] = {}
-    for row in _units(some, "vec_id").toLocalIterator():
+    for row in _sound(some, "vec_id").toLocalIterator():
         unit.setdefault(row["size"], []).append(np.array(row["e"]))
     total = max(1, sum(map(len, unit.values())))
     wanted = min(CENTRES, -(-sizes["n"] // CENTRE_ROWS))
     out = {}
     for size, rows in unit.items():
-        e = np.stack(rows)
+        e = _unit(np.stack(rows))
         # lengths that the sample hardly holds get no centre, so that there are never more than CENTRES
         if n := min(wanted * len(e) // total, len(e)):
             out[size] = _means(e, n)
@@ -113,25 +126,22 @@ def _means(e: np.ndarray, n: int) -> np.ndarray:
     return centres
 
 
-def _units(df: DataFrame, id: str) -> DataFrame:
-    """``(id, size, e)``: vectors of length one in double precision, in rows that can be compared."""
+def _sound(df: DataFrame, id: str) -> DataFrame:
+    """``(id, size, e)``: vectors that have a direction, their components as they come if they are floats."""
     e = F.col("embedding").cast("array<double>")
-    rows = df.where(F.col(id).isNotNull()).select(F.col(id).cast("long").alias("id"), e.alias("e"))
-    sound = F.forall("e", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("e", lambda x: x != 0)
+    sound = F.forall(e, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(e, lambda x: x != 0)
+    floats = df.schema["embedding"].dataType.simpleString() == "array<float>"
+    rows = df.where(F.col(id).isNotNull() & sound)
+    return rows.select(F.col(id).cast("long").alias("id"), F.size("embedding").alias("size"), (F.col("embedding") if floats else e).alias("e"))
 
-    def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            flat, sizes = _flat(batch["e"])
-            rows = np.repeat(np.arange(len(sizes)), sizes)
-            peak = np.zeros(len(sizes))
-            np.maximum.at(peak, rows, np.abs(flat))
-            # squares of very large or small components leave the range of doubles
-            flat = np.where(((peak > 1e-100) & (peak < 1e100))[rows], flat, flat / peak[rows])
-            norms = np.sqrt(np.bincount(rows, flat * flat, minlength=len(sizes)))
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(flat / norms[rows]))
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(sizes, pa.int32()), lists], names=["id", "size", "e"])
 
-    return rows.where(sound).mapInArrow(unit, "id long, size int, e array<double>")
+def _unit(rows: np.ndarray) -> np.ndarray:
+    """Rows of length one in double precision."""
+    rows = rows.astype(np.float64)
+    # squares of very large or small components leave the range of doubles
+    peak = np.abs(rows).max(axis=1, keepdims=True)
+    rows = np.where((peak > 1e-100) & (peak < 1e100), rows, rows / peak)
+    return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
 def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
@@ -140,12 +150,12 @@ def _flat(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _by_size(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """The places of a batch's vectors of one length, and their matrix."""
+    """The places of a batch's vectors of one length, and their unit vectors."""
     flat, sizes = _flat(batch["e"])
     starts = np.cumsum(sizes) - sizes
     for size in np.unique(sizes).tolist():
         at = np.flatnonzero(sizes == size)
-        yield size, at, flat[starts[at][:, None] + np.arange(size)]
+        yield size, at, _unit(flat[starts[at][:, None] + np.arange(size)])
 
 
 def _angles(e: np.ndarray, centres: np.ndarray) -> np.ndarray:
@@ -167,10 +177,11 @@ def _placed(df: DataFrame, id: str, centres: dict[int, np.ndarray]) -> DataFrame
             columns = [batch["id"], batch["e"], batch["size"], pa.array(own, pa.int32()), pa.array((angle / RING).astype(np.int32)), pa.array(angle)]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "e", "size", "centre", "ring", "angle"])
 
-    return _units(df, id).mapInArrow(place, "id long, e array<double>, size int, centre int, ring int, angle double")
+    sound = _sound(df, id)
+    return sound.mapInArrow(place, f"id long, e {sound.schema['e'].dataType.simpleString()}, size int, centre int, ring int, angle double")
 
 
-def _rings(asked: DataFrame, known, centres: dict[int, np.ndarray], k: int) -> DataFrame:
+def _rings(asked: DataFrame, known: pd.DataFrame, centres: dict[int, np.ndarray], k: int) -> DataFrame:
     """``(id, size, centre, ring)``: the rings that can reach a query's ``least``.
 
     Where that is null, the nearest rings that hold ``k`` vectors at least, and two at least.
@@ -199,22 +210,25 @@ def _rings(asked: DataFrame, known, centres: dict[int, np.ndarray], k: int) -> D
     return asked.mapInArrow(ask, "id long, size int, centre int, ring int")
 
 
-def _searched(queries: DataFrame, asked: DataFrame, blocks: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
-    """``(query_id, vec_id, score)``: of each query the ``k`` best of every block of the rings it asks for."""
-    own = asked.join(blocks, ["size", "centre", "ring"]).join(queries.select("id", "e", "group"), "id").select("group", *BLOCK, "id", "e")
-    visits = own.select("group", *BLOCK).distinct()
-    held = visits.join(vectors, BLOCK).select("group", *BLOCK, "id", "e")
-    names = ["group", *BLOCK]
-    left = own.toDF(*[f"{c}1" for c in names], "id", "e").groupBy(*[f"{c}1" for c in names])
-    right = held.toDF(*[f"{c}2" for c in names], "id", "e").groupBy(*[f"{c}2" for c in names])
+def _searched(asked: DataFrame, vectors: DataFrame, k: int) -> DataFrame:
+    """``(query_id, vec_id, score)``: of each query of ``(id, block, rings, e, group)`` the ``k`` best of every block."""
+    held = asked.select("group", "block").distinct().join(vectors, "block").select(F.col("group").alias("g"), F.col("block").alias("b"), "id", "e", "centre", "ring")
+    none = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
 
     def best(asked: pa.Table, held: pa.Table) -> pa.Table:
-        matrix = lambda t: np.stack(t["e"].to_numpy())
-        of, ids = asked["id"].to_numpy(), held["id"].to_numpy()
-        if not len(of) or not len(ids):
-            return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        scores = np.round(matrix(asked) @ matrix(held).T, 6)
-        top = np.stack([np.lexsort((ids, -row))[:k] for row in scores])
-        return pa.table({"query_id": np.repeat(of, top.shape[1]), "vec_id": ids[top].ravel(), "score": np.take_along_axis(scores, top, 1).ravel()})
-
-    return left.cogroup(right).applyInArrow(best, "query_id long, vec_id long, score double")
+        if not asked.num_rows or not held.num_rows:
+            return none
+        matrix = lambda t: _unit(np.stack(t["e"].to_numpy()))
+        of, ids, a, b = asked["id"].to_numpy(), held["id"].to_numpy(), matrix(asked), matrix(held)
+        cell = held["centre"].to_numpy() * RINGS + held["ring"].to_numpy()
+        out = []
+        for i, wanted in enumerate(asked["rings"].to_numpy()):
+            at = np.flatnonzero(np.isin(cell, wanted))
+            score = np.round(b[at] @ a[i], 6)
+            top = np.lexsort((ids[at], -score))[:k]
+            out.append((np.full(len(top), of[i]), ids[at][top], score[top]))
+        columns = [np.concatenate(c) for c in zip(*out, strict=True)]
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
+
+    left = asked.select(F.col("group").alias("g1"), F.col("block").alias("b1"), "id", "e", "rings").groupBy("g1", "b1")
+    return left.cogroup(held.groupBy("g", "b")).applyInArrow(best, "query_id long, vec_id long, score double")
