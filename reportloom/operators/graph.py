@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.storage import discarded, stored
+from ..sources.storage import bucketed, discarded, stored
 
 #: Relations that a document states.
 RELATIONS = ["implements", "implemented_by", "references_external", "related", "supersedes"]
 #: Steps in one round of a walk, and rounds after which the nodes seen are one table again.
 HOPS, COMPACT = 8, 12
-#: Rows of a stored bucket, about, and files that a hub's edges are spread over.
-EACH, SPREAD = 100_000, 16
+#: Rows of a stored bucket, about, files or buckets that a hub's edges are spread over, and buckets that Spark takes at most.
+EACH, SPREAD, MOST = 100_000, 16, 100_000
 
 
 def nodes(docs: DataFrame) -> DataFrame:
@@ -119,6 +119,23 @@ def stored_neighbours(spark: SparkSession, path: str, id: str) -> DataFrame:
     return looked_up(spark, path, id).select("direction", "type", F.col("other").alias("id"))
 
 
+def linked(edges: DataFrame, each: int = EACH) -> DataFrame:
+    """``(from, to, salt)``: distinct links, stored in buckets of about ``each`` by start and salt."""
+    ends = edges.select(F.col("from").cast("string").alias("from"), F.col("to").cast("string").alias("to"))
+    ends = ends.where("`from` is not null and `to` is not null and `from` <> `to`").distinct()
+    once = stored(ends.withColumn("salt", F.pmod(F.xxhash64("to"), F.lit(SPREAD)).cast("int")), "links")
+    parts = min(MOST, once.count() // each + 1)
+    links = bucketed(once.repartition(parts, "from", "salt"), "links", parts, "from", "salt")
+    discarded(once)
+    return links
+
+
+def step(at: DataFrame, links: DataFrame) -> DataFrame:
+    """``(id)``: where the links of :func:`linked` lead from the nodes of ``at(id)``; nodes are copied to each salt, links stay where they are."""
+    starts = at.select(F.col("id").alias("from"), F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"))
+    return starts.join(links, ["from", "salt"]).select(F.col("to").alias("id")).distinct()
+
+
 def authority_chain(edges: DataFrame, id: str) -> DataFrame:
     """``(id, depth)``: what a node reaches along edges, at its least depth; cycles end there.
 
@@ -127,20 +144,23 @@ def authority_chain(edges: DataFrame, id: str) -> DataFrame:
     none.  Every step keeps distinct nodes only, so diamonds and cliques do not multiply.  Rounds
     are written to the shared folder.  Ids are compared as text; null ends are no edges, and the
     node itself is not part of what it reaches.
+
+    Links are shuffled once, into buckets by their start and a salt of their end, which spreads a
+    hub over :data:`SPREAD` of them; a step moves only the nodes that it starts from.
     """
     spark = edges.sparkSession
-    ends = edges.select(F.col("from").cast("string").alias("from"), F.col("to").cast("string").alias("to"))
-    links = stored(ends.where("`from` is not null and `to` is not null and `from` <> `to`").distinct(), "links")
+    links = linked(edges)
     front = spark.createDataFrame([(id, 0)], "id string, depth int")
     seen, depth = [front], 0
     while True:
         at, steps = front.select("id"), []
         for hop in range(1, HOPS + 1):
-            at = at.join(links, F.col("id") == F.col("from")).select(F.col("to").alias("id")).distinct()
+            at = step(at, links)
             steps.append(at.withColumn("depth", F.lit(depth + hop)))
         found = _union(steps).groupBy("id").agg(F.min("depth").alias("depth"))
         front = stored(found.join(_union(seen).select("id"), "id", "left_anti"), "front")
         if front.isEmpty():
+            discarded(links)
             return _union(seen).where(F.col("id") != id)
         depth += HOPS
         seen.append(front)

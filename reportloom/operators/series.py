@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays, text
 from ..sources import frontmatter
-from ..sources.storage import discarded, stored
+from ..sources.storage import bucketed, buckets, discarded, stored
 
 FAR = 2_147_483_647
 #: Lines after its own that a collection period may take; characters of a label line, below which.
@@ -26,10 +26,11 @@ PERIOD_LINES, LABEL_CHARS = 3, 120
 def lines_of(docs: DataFrame, column: str = "text") -> DataFrame:
     """``(doc_id, pos, line, s)``: the lines of each text, ``s`` without white space at its ends.
 
-    Line ends of other systems count as line feeds.  Rows are dealt out by document here, once.
+    Line ends of other systems count as line feeds.  Rows are dealt out by document here, once, and
+    into as many parts as the session names: a small text makes many rows of windows.
     """
     split = F.split(F.regexp_replace(F.col(column), r"\r\n?", "\n"), "\n")
-    rows = docs.where(F.col(column).isNotNull()).repartition("doc_id").select("doc_id", F.posexplode(split).alias("pos", "line"))
+    rows = docs.where(F.col(column).isNotNull()).repartition(buckets(docs.sparkSession), "doc_id").select("doc_id", F.posexplode(split).alias("pos", "line"))
     return rows.withColumn("s", text.strip("line"))
 
 
@@ -248,9 +249,10 @@ def extract(docs: DataFrame, geometry: bool = True) -> Series:
     A blank cell gives no row; a written non-value such as ``No Data`` does.  Every block or run
     that is refused, and every document without text or blocks, is one row of ``problems``.  Lines
     with the parts of their block, measures and gated runs are each worked out once and written to
-    the shared folder; rows and problems read the latter two.
+    the shared folder; rows and problems read the latter two.  Lines are kept in buckets by document:
+    measures and runs are windows over them without another exchange.
     """
-    headed = stored(headers_of(blocks_of(lines_of(docs))), "headed")
+    headed = bucketed(headers_of(blocks_of(lines_of(docs))), "headed", buckets(docs.sparkSession), "doc_id")
     measures = stored(measures_of(headed), "measures")
     runs = runs_of(headed)
     layout = layout_runs(docs.where(F.col("layout").isNotNull())) if geometry and "layout" in docs.columns else None

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Paths of the tables that each open :func:`scratch` block has written, innermost last.
 _OPEN: list[list[str]] = []
+#: What names of tables begin with that the session's catalogue knows.
+_BUCKETED = "reportloom_"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -51,12 +53,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def buckets(spark: SparkSession) -> int:
+    """In how many parts a shuffle of this session is dealt out: ``spark.sql.shuffle.partitions``."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bucketed(df: DataFrame, name: str, parts: int, *keys: str) -> DataFrame:
+    """As :func:`stored`, in ``parts`` buckets by a hash of ``keys``: joins and groups by them do not shuffle it again.
+
+    ``df`` is to be repartitioned by ``keys`` into as many ``parts``, which makes a file for each; tasks that
+    hold rows of several buckets write several files.  The session's catalogue names the table until it is deleted.
+    """
+    path = new_path(df.sparkSession, f"{_BUCKETED}{name}")
+    df.write.bucketBy(parts, *keys).option("path", path).option("compression", "zstd").saveAsTable(_table(path))
+    return df.sparkSession.table(_table(path))
+
+
+def _table(path: str) -> str:
+    return path.rsplit("/", 1)[1].replace("-", "_")
+
+
 def discarded(*tables: DataFrame) -> None:
     """Delete tables of :func:`stored` that nothing reads any more."""
     for t in tables:
         for path in {f.rsplit("/", 1)[0] for f in t.inputFiles()}:
             if "/reportloom/" in path:
-                removed(t.sparkSession, path)
+                _dropped(t.sparkSession, path)
 
 
 @contextmanager
@@ -70,7 +92,13 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         for path in _OPEN.pop():
-            removed(spark, path)
+            _dropped(spark, path)
+
+
+def _dropped(spark: SparkSession, path: str) -> None:
+    if path.rsplit("/", 1)[1].startswith(_BUCKETED):
+        spark.sql(f"DROP TABLE IF EXISTS {_table(path)}")
+    removed(spark, path)
 
 
 def removed(spark: SparkSession, path: str) -> None:

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from reportloom.functions import text
 from reportloom.operators import catalogue, citations, entities, graph, quality, search
-from reportloom.sources import frontmatter, tables
+from reportloom.sources import frontmatter, storage, tables
 
 
 def one(spark, value, column):
@@ -109,6 +109,26 @@ def test_reach_has_no_depth_cap(spark, monkeypatch):
     assert reach(spark, chain, "n0") == {f"n{i}": i for i in range(1, 201)} | {"d": 1}
 
 
+def test_a_step_leaves_links_where_they_are(spark):
+    hub = [("hub", f"n{i}") for i in range(400)] + [(f"n{i}", "end") for i in range(400)] + [("hub", "n1")] * 5
+    edges = spark.createDataFrame([(a, "t", b) for a, b in hub], "`from` string, type string, `to` string")
+    with storage.scratch(spark):
+        links = graph.linked(edges, 50)
+        assert links.count() == 800 and links.where("`from` = 'hub'").select("salt").distinct().count() == graph.SPREAD
+        # a hub's links are in several buckets
+        assert len({r[0] for r in links.where("`from` = 'hub'").select(F.input_file_name()).collect()}) > 1
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        try:
+            found = graph.step(spark.createDataFrame([("hub",), ("n7",), ("none",)], "id string"), links)
+            assert {r.id for r in found.collect()} == {f"n{i}" for i in range(400)} | {"end"}
+            plan = graph.step(spark.createDataFrame([("hub",)], "id string"), links)._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        # nodes to the buckets, and what is reached to be made distinct
+        assert plan.count("Exchange hashpartitioning") == 2 and "Bucketed: true" in plan
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("reportloom_")]
+
+
 def test_suggestions_lose_no_link(spark, monkeypatch):
     import difflib
     import random

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from reportloom.functions import arrays, text
 from reportloom.operators import series
+from reportloom.sources import storage
 
 HEAD = "Annual Performance Progress Report\nReporting Year 2021\n"
 YEARS = ["2017", "2018", "2019", "2020", "2021"]
@@ -147,3 +148,13 @@ def test_many_lines_are_placed_at_once():
                 want[k] = v
             assert out == want
     assert sum(x is not None for x in got) > 20 and arrays.placed([], [], [], []) == []
+
+
+def test_measures_and_runs_need_no_exchange(spark):
+    docs = spark.createDataFrame([("d", "KPM #1 A\nReport Year 2019 2020\nActual 1 2\nTarget 3 4")], "doc_id string, text string")
+    with storage.scratch(spark):
+        headed = storage.bucketed(series.headers_of(series.blocks_of(series.lines_of(docs))), "headed", storage.buckets(spark), "doc_id")
+        for found in (series.measures_of(headed), series.runs_of(headed)):
+            assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+        assert [tuple(r) for r in series.runs_of(headed).select("actual", "target").collect()] == [(["1", "2"], ["3", "4"])]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("reportloom_")]
