@@ -38,14 +38,17 @@ class FileForEach(DataSource):
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
         if not overwrite:
             raise ValueError("a folder of files is written as a whole: mode must be overwrite")
-        return FolderWriter(self.options["path"].rstrip("/"))
+        writer = FolderWriter(self.options["path"].rstrip("/"))
+        writer.begin()
+        return writer
 
 
 class FolderWriter(DataSourceWriter):
     """Tasks write to a folder beside the target, and the whole set takes the target's place at once.
 
     A task that runs again writes the same names again.  If a task fails for good, the folder beside
-    goes and the old files are as they were.  Taking the place is two renames, whatever the number
+    is renamed and deleted: tasks that still run make folders only inside it, so they fail then and
+    bring nothing back.  The old files are as they were.  Taking the place is two renames, whatever the number
     of files; file systems without renames of folders are no place for this.
     """
 
@@ -56,6 +59,10 @@ class FolderWriter(DataSourceWriter):
     def aside(self, kind: str) -> str:
         return f"{located(self.path)[1]}.{kind}-{self.own}"
 
+    def begin(self) -> None:
+        files, _ = located(self.path)
+        files.create_dir(self.aside("new"), recursive=True)
+
     def write(self, iterator: Iterator[Row]) -> Wrote:
         files, _ = located(self.path)
         made, n = set(), 0
@@ -63,10 +70,12 @@ class FolderWriter(DataSourceWriter):
             parts = (row["name"] or "").split("/")
             if any(p in ("", ".", "..") for p in parts):
                 raise ValueError(f"no name for a file: {row['name']!r}")
-            folder = "/".join([self.aside("new"), *parts[:-1]])
-            if folder not in made:
-                files.create_dir(folder, recursive=True)
-                made.add(folder)
+            folder = self.aside("new")
+            for part in parts[:-1]:
+                folder = f"{folder}/{part}"
+                if folder not in made:
+                    files.create_dir(folder, recursive=False)
+                    made.add(folder)
             with files.open_output_stream(f"{folder}/{parts[-1]}") as out:
                 out.write((row["content"] or "").encode())
             n += 1
@@ -74,7 +83,6 @@ class FolderWriter(DataSourceWriter):
 
     def commit(self, messages: list[Wrote | None]) -> None:
         files, path = located(self.path)
-        files.create_dir(self.aside("new"), recursive=True)
         there = files.get_file_info(path).type != fs.FileType.NotFound
         if there:
             files.move(path, self.aside("old"))
@@ -90,7 +98,8 @@ class FolderWriter(DataSourceWriter):
     def abort(self, messages: list[Wrote | None]) -> None:
         files, _ = located(self.path)
         if files.get_file_info(self.aside("new")).type != fs.FileType.NotFound:
-            files.delete_dir(self.aside("new"))
+            files.move(self.aside("new"), self.aside("gone"))
+            files.delete_dir(self.aside("gone"))
 
 
 def write_files(rows: DataFrame, path: str) -> None:

@@ -2,6 +2,7 @@ import json
 import random
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from reportloom import cli
@@ -72,6 +73,13 @@ def test_files_are_written_as_a_set(spark, tmp_path):
     with pytest.raises(Exception, match="no name for a file"):
         files.write_files(rows.select("name", F.lit("new").alias("content")).union(spark.sql("SELECT '../x', 'y'")), f"file://{out}")
     assert len(read()) == 40 and "new" not in read().values() and [p.name for p in tmp_path.iterdir()] == ["set"]
+    # a task that outlives the abort brings no folder back
+    late = files.FolderWriter(str(out))
+    late.begin()
+    late.abort([])
+    with pytest.raises(OSError):
+        late.write(iter([Row(name="d0/n0.md", content="late")]))
+    assert [p.name for p in tmp_path.iterdir()] == ["set"]
     with pytest.raises(ValueError, match="one name"):
         files.write_files(rows.union(rows.limit(1)), str(out))
     with pytest.raises(Exception, match="overwrite"):
