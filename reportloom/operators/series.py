@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions import arrays, text
 from ..sources import frontmatter
-from ..sources.storage import bucketed, buckets, discarded, stored
+from ..sources.storage import bucketed, buckets, discarded, spread, stored
 
 FAR = 2_147_483_647
 #: Lines after its own that a collection period may take; characters of a label line, below which.
@@ -210,7 +210,7 @@ def gated(runs: DataFrame, measures: DataFrame, layout: DataFrame | None) -> Dat
     layout's values in exactly one way and the labels agree.  A target of another length than the
     years is accepted on equal values or a single embedding, else it is dropped whole.
     """
-    out = runs.join(measures, ["doc_id", "block"])
+    out = runs.join(spread(measures), ["doc_id", "block"])
     out = out.withColumn("ordinal", F.row_number().over(Window.partitionBy("doc_id", "kpm_number").orderBy("block", "run")) - 1)
     none = F.lit(None).cast("array<string>")
     if layout is None:
@@ -222,8 +222,8 @@ def gated(runs: DataFrame, measures: DataFrame, layout: DataFrame | None) -> Dat
         own = F.col("submeasure").isNotNull() & ~F.col("submeasure").startswith("unlabelled run ") & (F.col("submeasure") != "")
         out = out.withColumn("want", F.when(short & own, text.measure_key("submeasure")))
         a, b = once.withColumnsRenamed({"doc_id": "d1", "kpm": "k1"}), layout.select(F.col("doc_id").alias("d2"), F.col("kpm").alias("k2"), F.col("ordinal").alias("o2"), F.struct("label", "a", "t").alias("by_order"))
-        out = out.join(a, (F.col("doc_id") == F.col("d1")) & (F.col("kpm_number") == F.col("k1")) & (F.col("want") == F.col("key")), "left")
-        out = out.join(b, (F.col("doc_id") == F.col("d2")) & (F.col("kpm_number") == F.col("k2")) & (F.col("ordinal") == F.col("o2")), "left")
+        out = out.join(spread(a), (F.col("doc_id") == F.col("d1")) & (F.col("kpm_number") == F.col("k1")) & (F.col("want") == F.col("key")), "left")
+        out = out.join(spread(b), (F.col("doc_id") == F.col("d2")) & (F.col("kpm_number") == F.col("k2")) & (F.col("ordinal") == F.col("o2")), "left")
         pick = F.coalesce("by_label", "by_order")
         out = out.withColumns({"l_label": pick["label"], "a": pick["a"], "t": pick["t"]})
     n = F.size("years")
@@ -262,7 +262,7 @@ def extract(docs: DataFrame, geometry: bool = True) -> Series:
     values = checked.where("accepted").select("doc_id", "block", "run", "kpm_number", "measure", "submeasure", "data_collection_period", F.posexplode(cells).alias("year_index", "c"))
     values = values.where(F.col("c.actual").isNotNull())
     facts = docs.select("doc_id", "agency", "reporting_year", "measure_status", "source_url")
-    rows = values.join(facts, "doc_id").select(
+    rows = values.join(spread(facts), "doc_id").select(
         "agency", F.col("doc_id").alias("agency_doc"), "reporting_year", "measure_status", "kpm_number",
         F.substring(text.measure_key("measure"), 1, text.KEY_CHARS).alias("measure_key"),
         F.substring("measure", 1, text.TEXT_CHARS).alias("measure_text"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .storage import stored
+from .storage import spread, stored
 from .tables import table
 
 #: Cells of all reports, in SQL that Spark and DuckDB both run.
@@ -85,5 +85,5 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     query = _RENDER
     for name in ("nation", "orders", "customer"):
         query = query.replace(f"FROM {name} ", f"FROM {{{name}}} ").replace(f"FROM {name})", f"FROM {{{name}}})").replace(f"JOIN {name} ", f"JOIN {{{name}}} ")
-    rendered = spark.sql(query, nation=table(spark, sf_dir, "nation"), orders=table(spark, sf_dir, "orders"), customer=table(spark, sf_dir, "customer"))
+    rendered = spark.sql(query, nation=table(spark, sf_dir, "nation"), orders=table(spark, sf_dir, "orders"), customer=spread(table(spark, sf_dir, "customer")))
     return stored(rendered, "reports")

@@ -158,3 +158,13 @@ def test_measures_and_runs_need_no_exchange(spark):
             assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
         assert [tuple(r) for r in series.runs_of(headed).select("actual", "target").collect()] == [(["1", "2"], ["3", "4"])]
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("reportloom_")]
+
+
+def test_rows_are_not_broadcast(spark):
+    """Files of runs are many times smaller than the rows they explode to: joins are dealt out by document."""
+    from reportloom.sources import reports
+
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    with storage.scratch(spark):
+        found = series.extract(reports.reports(spark, "/root/testdata/sf0.001"))
+        assert "SortMergeJoin" in plan(found.rows) and "BroadcastHashJoin" not in plan(found.rows)
