@@ -9,9 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.storage import discarded, new_path, removed, scratch, shared_dir, stored
+from ..sources.storage import discarded, new_path, removed, scratch, shared_dir, spread, stored
 
-__all__ = ["discarded", "new_path", "removed", "scratch", "shared_dir", "stored"]
+__all__ = ["discarded", "new_path", "removed", "scratch", "shared_dir", "spread", "stored"]
 
 #: Rows written to one Arrow batch by the Python stages hold at most about this many bytes.
 BATCH_BYTES = 8 << 20

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import HEAVY, discarded, stored
+from .common import HEAVY, discarded, spread, stored
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -53,4 +53,4 @@ def _met(rows: DataFrame, minima: DataFrame, total: int) -> DataFrame:
     """Rows ``(u, v)`` with the minimum ``m`` of their ``u``, of which ``c`` of ``total`` rows have one."""
     heavy = F.broadcast(minima.where(F.col("c") * HEAVY > total).select("u", "m"))
     rest = minima.where(F.col("c") * HEAVY <= total).select("u", "m")
-    return rows.join(heavy, "u").union(rows.join(heavy.select("u"), "u", "left_anti").join(rest, "u"))
+    return rows.join(heavy, "u").union(rows.join(heavy.select("u"), "u", "left_anti").join(spread(rest), "u"))

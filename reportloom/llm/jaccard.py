@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _BASE, _INVERSE, _powers
-from .common import discarded, free_name, quoted, slices, stored, text_or_empty
+from .common import discarded, free_name, quoted, slices, spread, stored, text_or_empty
 from .components import connected_components
 
 #: Prefixes that hold a frequent shingle, at least.
@@ -133,11 +133,11 @@ def near_classes(docs: DataFrame, id: str = "doc_id", text: str = "text", width:
     edges = _candidates(sets.where("n > 1"), num, den)
     # rows that share an id belong together whatever their texts are
     twice = rows.where("id is not null and n > 0").groupBy("id").agg(F.count_distinct("key").alias("c")).where("c > 1").select("id")
-    same = rows.join(twice, "id", "left_semi").join(sets.select("key", "rep"), "key").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    same = rows.join(spread(twice), "id", "left_semi").join(spread(sets.select("key", "rep")), "key").where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     clusters = connected_components(edges)
     labels = _verified(base, sets.select("rep", "n"), clusters, width, num, den, same)
-    classes = sets.select("key", "rep").join(labels, sets["rep"] == labels["node"], "left").select(F.col("key").alias("of"), F.coalesce("component", "rep").alias("component"))
-    return rows.join(classes, F.col("key") == F.col("of"), "left").select(
+    classes = sets.select("key", "rep").join(spread(labels), sets["rep"] == labels["node"], "left").select(F.col("key").alias("of"), F.coalesce("component", "rep").alias("component"))
+    return rows.join(spread(classes), F.col("key") == F.col("of"), "left").select(
         F.col("id").alias(id), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
     )
 
@@ -173,9 +173,9 @@ def _candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
     popular = hubs.where(F.col("c") > POPULAR)
     if popular.count() <= BROADCAST_POPULAR:  # their sets stay spread over the tasks that have them
         popular = F.broadcast(popular)
-        met = combos.join(popular, "sig").union(combos.join(popular.select("sig"), "sig", "left_anti").join(hubs.where(F.col("c") <= POPULAR), "sig"))
+        met = combos.join(popular, "sig").union(combos.join(popular.select("sig"), "sig", "left_anti").join(spread(hubs.where(F.col("c") <= POPULAR)), "sig"))
     else:
-        met = combos.join(hubs, "sig")
+        met = combos.join(spread(hubs), "sig")
     return rare.union(met.where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")))
 
 
@@ -189,7 +189,7 @@ def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int
     but first those go that cannot link: too few of their shingles occur in another text of the
     cluster.
     """
-    placed = clusters.join(sizes, clusters["node"] == sizes["rep"]).select("node", "component", "n")
+    placed = clusters.join(spread(sizes), clusters["node"] == sizes["rep"]).select("node", "component", "n")
     totals = placed.groupBy("component").agg(F.sum("n").alias("total"), F.count("*").alias("texts"))
     blocks = F.greatest(F.ceil(F.col("total") / CLUSTER_SHINGLES), F.ceil(F.col("texts") / CLUSTER_TEXTS)).cast("int")
     placed = placed.join(totals, "component").select("node", "component", "n", blocks.alias("blocks"))
@@ -197,7 +197,7 @@ def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int
 
     def texts_of(rows: DataFrame) -> DataFrame:
         few = rows.count() <= BROADCAST_IDS
-        return base.join(F.broadcast(rows) if few else rows, base["id"] == rows["node"])
+        return base.join(F.broadcast(rows) if few else spread(rows), base["id"] == rows["node"])
 
     def compared(rows: DataFrame, between: bool = False) -> DataFrame:
         """Links within each ``(component, i, j)`` of rows, or of those that ask with all."""
@@ -238,27 +238,28 @@ def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int
                 shared = np.add.reduceat((df[token] > 1).astype(np.int64), np.r_[0, np.cumsum([len(h) for h in hs])[:-1]])
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(shared)], names=["node", "c"])
 
-        met = texts_of(rows.join(parts, "component").select("component", "node", "parts")).select("component", "node", "parts", "t")
+        met = texts_of(rows.join(F.broadcast(parts), "component").select("component", "node", "parts")).select("component", "node", "parts", "t")
         lists = met.mapInArrow(dealt, "component long, part int, node long, hs array<long>").repartition("component", "part").sortWithinPartitions("component", "part")
         held = lists.mapInArrow(counted, "node long, c long").groupBy(F.col("node").alias("of")).agg(F.sum("c").alias("c"))
-        return stored(rows.join(held, F.col("node") == F.col("of")).where(F.col("c") * den >= F.col("n") * num).drop("of", "c"), "supported")
+        return stored(rows.join(spread(held), F.col("node") == F.col("of")).where(F.col("c") * den >= F.col("n") * num).drop("of", "c"), "supported")
 
+    # what has a row for each large cluster is broadcast: over CLUSTER_TEXTS texts or CLUSTER_SHINGLES shingles make one
     zero, no = F.lit(0), F.lit(False)
     found = compared(placed.select("node", "component", F.col("block").alias("i"), zero.alias("j"), no.alias("asks"), F.col("node").alias("label")))
     large = placed.where("blocks > 1")
     if not large.isEmpty():
-        own = large.join(found, F.col("node") == F.col("a"), "left").select("node", "component", F.coalesce("b", "node").alias("label"))
+        own = large.join(spread(found), F.col("node") == F.col("a"), "left").select("node", "component", F.coalesce("b", "node").alias("label"))
         first = own.where("node = label")
         fits = first.groupBy("component").agg(F.count("*").alias("c")).where(F.col("c") <= CLUSTER_TEXTS).select("component")
-        more = compared(first.join(fits, "component").select("node", "component", zero.alias("i"), zero.alias("j"), no.alias("asks"), "label"))
+        more = compared(first.join(F.broadcast(fits), "component").select("node", "component", zero.alias("i"), zero.alias("j"), no.alias("asks"), "label"))
         merged = connected_components(found.select("a", "b").union(more.select("a", "b")))
-        named = large.join(merged.select(F.col("node").alias("of"), F.col("component").alias("to")), F.col("node") == F.col("of"), "left")
+        named = large.join(spread(merged.select(F.col("node").alias("of"), F.col("component").alias("to"))), F.col("node") == F.col("of"), "left")
         named = stored(named.select("node", "component", "n", "blocks", "block", F.coalesce("to", "node").alias("label")), "named")
         main = named.groupBy("component", "label").agg(F.count("*").alias("c")).groupBy("component").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
-        rest = named.join(main, "component").withColumn("asks", F.col("label") != F.col("main"))
-        rest = supported(rest.join(rest.where("asks").select("component").distinct(), "component", "left_semi"))
+        rest = named.join(F.broadcast(main), "component").withColumn("asks", F.col("label") != F.col("main"))
+        rest = supported(rest.join(F.broadcast(rest.where("asks").select("component").distinct()), "component", "left_semi"))
         asked = rest.where("asks").groupBy("component").agg(F.ceil(F.count("*") / CLUSTER_TEXTS).cast("int").alias("parts"))
-        rest = rest.join(asked, "component")
+        rest = rest.join(F.broadcast(asked), "component")
         every = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
         mine = F.pmod(F.xxhash64(F.lit(1), "node"), F.col("parts")).cast("int")
         asking = rest.where("asks").select("node", "component", F.explode(every("blocks")).alias("i"), mine.alias("j"), "asks", "label")
@@ -391,11 +392,11 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text", width: int
     nameless = docs.where(F.col(quoted(id)).isNull())
     if named.groupBy(quoted(id)).count().where("count > 1").isEmpty():
         kept = near_classes(named, id, text, width, percent).where(F.col("component_id") == F.col(quoted(id))).select(F.col(quoted(id)).alias(key))
-        return named.join(kept, F.col(quoted(id)) == F.col(key), "left_semi").union(nameless)
+        return named.join(spread(kept), F.col(quoted(id)) == F.col(key), "left_semi").union(nameless)
     each = named.withColumns({own: F.xxhash64(quoted(id), text_or_empty(quoted(text))), row: F.xxhash64(F.to_json(F.struct(*[F.col(quoted(c)) for c in docs.columns])))})
     classes = near_classes(each.select(F.col(own).alias("doc"), F.col(quoted(text)).alias("text")), "doc", "text", width, percent).distinct()
     ids = each.select(F.col(own).alias("own"), F.col(quoted(id)).alias("id"), F.col(row).alias("row"))
-    first = ids.join(classes, F.col("own") == F.col("doc")).groupBy("component_id").agg(F.min(F.struct("id", "own", "row")).alias("k"))
+    first = ids.join(spread(classes), F.col("own") == F.col("doc")).groupBy("component_id").agg(F.min(F.struct("id", "own", "row")).alias("k"))
     kept = stored(first.select(F.col("k.own").alias(key), F.col("k.row").alias(key + "row")), "kept")
-    left = each.join(kept, (F.col(own) == F.col(key)) & (F.col(row) == F.col(key + "row")), "left_semi").dropDuplicates([own, row])
+    left = each.join(spread(kept), (F.col(own) == F.col(key)) & (F.col(row) == F.col(key + "row")), "left_semi").dropDuplicates([own, row])
     return left.drop(own, row).union(nameless)

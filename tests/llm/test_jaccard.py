@@ -144,3 +144,16 @@ def test_linked_forgets_nothing():
         assert (np.isin(np.arange(60), index.near(x, np.ones(60, bool))) == links[x]).all()
     a, b = jaccard.Sets(sets, 85, 100).classes(np.arange(400))
     assert set(b) <= set(range(400)) and (b <= a).all()
+
+
+def test_growing_tables_are_not_broadcast(spark):
+    """Files of ids are many times smaller than their rows: their joins are dealt out by the keys whatever the files' size."""
+    from reportloom.llm.components import _met
+
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    docs = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e"), (3, "x y z")], "doc_id long, text string")
+    found = jaccard.near_classes(docs, width=4, percent=85)
+    assert "SortMergeJoin" in plan(found) and "BroadcastHashJoin" not in plan(found)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 2, 1), (2, 2, 1), (3, 1, 3)]
+    rows = spark.createDataFrame([(2, 1), (3, 1)], "u long, v long")
+    assert "SortMergeJoin" in plan(_met(rows, spark.createDataFrame([(2, 1, 1), (3, 1, 1)], "u long, m long, c long"), 2))
