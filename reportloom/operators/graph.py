@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.storage import bucketed, discarded, stored
+from ..sources.storage import bucketed, discarded, spread, stored
 
 #: Relations that a document states.
 RELATIONS = ["implements", "implemented_by", "references_external", "related", "supersedes"]
@@ -131,9 +131,12 @@ def linked(edges: DataFrame, each: int = EACH) -> DataFrame:
 
 
 def step(at: DataFrame, links: DataFrame) -> DataFrame:
-    """``(id)``: where the links of :func:`linked` lead from the nodes of ``at(id)``; nodes are copied to each salt, links stay where they are."""
+    """``(id)``: where the links of :func:`linked` lead from the nodes of ``at(id)``; nodes are copied to each salt, links stay where they are.
+
+    A join by hash in each bucket: copies count for no more than the nodes in a plan, so a broadcast would send many times its limit.
+    """
     starts = at.select(F.col("id").alias("from"), F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("salt"))
-    return starts.join(links, ["from", "salt"]).select(F.col("to").alias("id")).distinct()
+    return starts.hint("shuffle_hash").join(links, ["from", "salt"]).select(F.col("to").alias("id")).distinct()
 
 
 def authority_chain(edges: DataFrame, id: str) -> DataFrame:
@@ -158,7 +161,7 @@ def authority_chain(edges: DataFrame, id: str) -> DataFrame:
             at = step(at, links)
             steps.append(at.withColumn("depth", F.lit(depth + hop)))
         found = _union(steps).groupBy("id").agg(F.min("depth").alias("depth"))
-        front = stored(found.join(_union(seen).select("id"), "id", "left_anti"), "front")
+        front = stored(found.join(spread(_union(seen).select("id")), "id", "left_anti"), "front")
         if front.isEmpty():
             discarded(links)
             return _union(seen).where(F.col("id") != id)

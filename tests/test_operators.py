@@ -247,3 +247,12 @@ def test_a_lookup_reads_one_bucket(spark, tmp_path):
     docs = spark.createDataFrame([(f"d{i}", i) for i in range(100)] + [(None, 5)], "id string, n int")
     graph.write_documents(docs, f"{tmp_path}/d", each=10)
     assert graph.looked_up(spark, f"{tmp_path}/d", "d42").first().n == 42 and graph.looked_up(spark, f"{tmp_path}/d", "x").isEmpty()
+
+
+def test_steps_of_a_walk_broadcast_nothing(spark):
+    """Files of links are many times smaller than their rows, and so are nodes than their copies."""
+    with storage.scratch(spark):
+        links = graph.linked(spark.createDataFrame([("a", "b"), ("b", "c")], "from string, to string"), 1)
+        found = graph.step(spark.createDataFrame([("a",)], "id string"), links)
+        assert "BroadcastHashJoin" not in found._jdf.queryExecution().sparkPlan().toString()
+        assert [r.id for r in found.collect()] == ["b"]
