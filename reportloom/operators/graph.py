@@ -13,6 +13,8 @@ RELATIONS = ["implements", "implemented_by", "references_external", "related", "
 HOPS, COMPACT = 8, 12
 #: Rows of a stored bucket, about, files or buckets that a hub's edges are spread over, and buckets that Spark takes at most.
 EACH, SPREAD, MOST = 100_000, 16, 100_000
+#: Buckets that smaller ones are joined into where they would be more; larger tables have one for each :data:`EACH` rows.
+FOLDERS = 256
 
 
 def nodes(docs: DataFrame) -> DataFrame:
@@ -82,8 +84,10 @@ def neighbours(edges: DataFrame, id: str) -> DataFrame:
 def write_adjacency(edges: DataFrame, path: str, each: int = EACH) -> None:
     """Edges stored for lookups from both ends: ``(id, direction, type, other)`` in buckets of about ``each`` rows.
 
-    A bucket is a folder, by a hash of the id, and sorted by it; buckets grow in number with the
-    edges.  A hub's edges, which one bucket holds, are written by several tasks to several files.
+    A bucket is a folder, by a hash of the id; buckets grow in number with the edges.  Where ``each`` would
+    make very many, several share a folder: it is sorted by ``place_``, the hash before, and id, so that a lookup
+    skips what else it holds by the files' statistics.  A hub's edges, which one bucket holds, are
+    written by several tasks to several files.
     Null ends are no edges.
     """
     ways = F.inline(F.array(*[F.struct(F.col(a).cast("string").alias("id"), F.lit(d).alias("direction"), F.col("type"), F.col(b).cast("string").alias("other")) for a, d, b in (("from", "out", "to"), ("to", "in", "from"))]))
@@ -97,10 +101,13 @@ def write_documents(docs: DataFrame, path: str, each: int = EACH) -> None:
 
 
 def _bucketed(rows: DataFrame, path: str, each: int, salt: Column) -> None:
-    buckets = max(1, -(-rows.count() // each))
-    dealt = rows.withColumn("bucket", _bucket(F.col("id"), F.lit(buckets))).repartition("bucket", salt).sortWithinPartitions("bucket", "id")
+    n = rows.count()
+    places = max(1, -(-n // each))
+    buckets = min(places, max(FOLDERS, -(-n // EACH)))
+    dealt = rows.withColumn("place_", _bucket(F.col("id"), F.lit(places))).withColumn("bucket", F.col("place_") % buckets)
+    dealt = dealt.repartition("bucket", salt).sortWithinPartitions("bucket", "place_", "id")
     dealt.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(f"{path}/rows")
-    rows.sparkSession.range(1).select(F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(f"{path}/layout")
+    rows.sparkSession.range(1).select(F.lit(places).alias("places"), F.lit(buckets).alias("buckets")).write.mode("overwrite").parquet(f"{path}/layout")
 
 
 def _bucket(id: Column, buckets: Column) -> Column:
@@ -108,10 +115,11 @@ def _bucket(id: Column, buckets: Column) -> Column:
 
 
 def looked_up(spark: SparkSession, path: str, id: str) -> DataFrame:
-    """The rows of one id in what :func:`write_adjacency` or :func:`write_documents` stored: one bucket is read."""
+    """The rows of one id in what :func:`write_adjacency` or :func:`write_documents` stored: one bucket is read, and of it what can hold its place."""
     layout = spark.read.parquet(f"{path}/layout")
-    bucket = layout.select(_bucket(F.lit(id), F.col("buckets"))).first()[0]
-    return spark.read.parquet(f"{path}/rows").where((F.col("bucket") == bucket) & (F.col("id") == id)).drop("bucket")
+    place, buckets = layout.select(_bucket(F.lit(id), F.col("places")), "buckets").first()
+    here = (F.col("bucket") == place % buckets) & (F.col("place_") == place) & (F.col("id") == id)
+    return spark.read.parquet(f"{path}/rows").where(here).drop("bucket", "place_")
 
 
 def stored_neighbours(spark: SparkSession, path: str, id: str) -> DataFrame:

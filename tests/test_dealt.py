@@ -1,7 +1,11 @@
 """Work on rows of small files is dealt out to tasks, whatever the files' bytes or row groups."""
 
+import os
+
 import pytest
+from pyspark.sql import functions as F
 
+from reportloom.operators import graph
 from reportloom.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -16,3 +20,13 @@ def test_front_matter_is_rendered_and_read_in_all_tasks(spark, name):
     df = catalog.queries()[name](spark, SF)
     assert df.rdd.getNumPartitions() == 8
     assert plan(df).count("EvalPython") == 1
+
+
+def test_folders_do_not_grow_with_small_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(graph, "FOLDERS", 4)
+    edges = spark.range(3000).select(F.col("id").cast("string").alias("from"), F.lit("related").alias("type"), (F.col("id") + 1).cast("string").alias("to"))
+    graph.write_adjacency(edges, f"{tmp_path}/a", each=10)
+    assert len([f for f in os.listdir(f"{tmp_path}/a/rows") if f.startswith("bucket=")]) == 4
+    for id in ("0", "17", "3000", "x"):
+        want = sorted(map(tuple, graph.neighbours(edges, id).collect()))
+        assert sorted(map(tuple, graph.stored_neighbours(spark, f"{tmp_path}/a", id).collect())) == want
