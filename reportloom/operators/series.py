@@ -106,7 +106,7 @@ def runs_of(headed: DataFrame) -> DataFrame:
     years = F.when(F.col("inline_years") > 0, F.col("inline_years")).otherwise(F.col("run_from") - F.col("year_at") - 1)
     rows = headed.where(i >= F.col("run_from")).select("doc_id", "block", "i", "s", years.alias("n")).where("n > 0")
     rows = rows.withColumn("stop_at", _first(block, s.rlike(text.STOP) | s.startswith("KPM #"))).where("i < stop_at")
-    word = F.get(text.words(F.regexp_replace(F.lower(s), ":+$", "")), F.lit(0))
+    word = text.first_word(F.regexp_replace(F.lower(s), ":+$", ""))
     rows = rows.withColumns({"kind": F.when(word.isin("actual", "target"), word), "is_value": text.is_value(s)})
     run = block.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("run", F.count("kind").over(run))
@@ -164,7 +164,7 @@ def layout_runs(docs: DataFrame, column: str = "layout") -> DataFrame:
     part = Window.partitionBy("doc_id", "part")
     rows = rows.withColumn("kpm", F.max(F.when(F.col("head"), F.regexp_extract("s", text.LAYOUT_HEAD, 1))).over(part))
     series = ~F.col("head") & text.is_layout_series_head("s")
-    word = F.regexp_replace(F.coalesce(F.get(text.words("s"), F.lit(0)), F.lit("")), ":+$", "")
+    word = F.regexp_replace(text.first_word("s"), ":+$", "")
     kind = F.when(F.col("head"), "head").when(series, "series").when(word.isin("Actual", "Target"), word).when(F.lower(word) == "target", "off")
     rows = rows.withColumn("kind", kind)
     upto = part.orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
