@@ -18,11 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .files import located
-from .storage import removed, scratch, stored
+from .storage import new_path, removed, scratch, stored
 from .tables import there
 
 #: Folders of a table, and bytes of files that a task reads.
 BUCKETS, TASK_BYTES = 256, 64 << 20
+#: Files that a task lists, and bytes of contents that a task hands on at a time, about.
+LISTED, BATCH_BYTES = 4096, 8 << 20
 #: Files that are part of a document.
 GLOB = "*.{md,txt}"
 _FILE = "path string, doc_id string, length long, modified timestamp, sha256 string"
@@ -41,16 +43,24 @@ class Refreshed:
 
 
 def listed(spark: SparkSession, root: str, glob: str = GLOB) -> DataFrame:
-    """``(path, doc_id, length, modified)`` of the files below a folder; none is opened.
+    """``(path, doc_id, length, modified)`` of the files below a folder, stored; none is opened.
+
+    Spark deals files out to tasks as if each cost the reading of 4 MB: where none is read, a session
+    with other such costs lists :data:`LISTED` of them in a task.
 
     A document's files share their name up to the first dot.  Names that begin with ``_`` or a dot
     and CHANGELOG files belong to none.  Spark lists no file without a byte: such a file is as one that
     is not there, for a refresh as for a scan.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
+    own = spark.newSession()
+    for name, size in (("openCostInBytes", 1 << 20), ("maxPartitionBytes", LISTED << 20)):
+        own.conf.set(f"spark.sql.files.{name}", str(size))
+    files = own.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
     doc = F.substring_index(F.element_at(F.split("path", "/"), -1), ".", 1)
     rows = files.select("path", doc.alias("doc_id"), "length", F.col("modificationTime").alias("modified"))
-    return rows.where(~F.col("doc_id").startswith("_") & ~F.col("doc_id").isin("", "CHANGELOG"))
+    rows, path = rows.where(~F.col("doc_id").startswith("_") & ~F.col("doc_id").isin("", "CHANGELOG")), new_path(spark, "listing")
+    rows.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def contents(files: DataFrame) -> DataFrame:
@@ -61,13 +71,18 @@ def contents(files: DataFrame) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                system, at = located(batch["path"][i].as_py())
+            texts, hashes, first, size = [], [], 0, 0
+            for i, path in enumerate(batch["path"].to_pylist(), 1):
+                system, at = located(path)
                 with system.open_input_stream(at) as f:
                     data = f.read()
-                row = batch.slice(i, 1)
-                more = [pa.array([data.decode(errors="replace")]), pa.array([hashlib.sha256(data).hexdigest()])]
-                yield pa.RecordBatch.from_arrays([*row.columns, *more], names=[*row.schema.names, "content", "sha256"])
+                texts.append(data.decode(errors="replace"))
+                hashes.append(hashlib.sha256(data).hexdigest())
+                size += len(data)
+                if size >= BATCH_BYTES or i == batch.num_rows:
+                    rows = batch.slice(first, i - first)
+                    yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string()), pa.array(hashes, pa.string())], names=[*rows.schema.names, "content", "sha256"])
+                    texts, hashes, first, size = [], [], i, 0
 
     found = files.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
     tasks = max(1, min(found["n"], found["bytes"] // TASK_BYTES + files.sparkSession.sparkContext.defaultParallelism))
@@ -106,7 +121,7 @@ def _refresh(spark: SparkSession, root: str, target: str, build: Build, buckets:
     bucket = F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int")
     ledger_type = spark.createDataFrame([], f"{_FILE}, bucket int").schema
     ledger = _rows(spark, f"{target}/ledger", ledger_type)
-    now = stored(listed(spark, root, glob), "listing")
+    now = listed(spark, root, glob)
     odd = contents(now.join(ledger, ["path", "length", "modified"], "left_anti"))
     lost = stored(ledger.join(now, "path", "left_anti").select("path", "doc_id"), "lost")
     fresh = odd.join(ledger.select("path", "sha256"), ["path", "sha256"], "left_anti").select("doc_id")

@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from reportloom.sources import ledger
+from reportloom.sources import ledger, storage
 
 
 def words(files):
@@ -92,3 +92,16 @@ def test_empty_folders_and_odd_bytes(spark, tmp_path):
     with pytest.raises(ValueError):
         put(root, "a.md", "a")
         ledger.refresh(spark, root, target, lambda f: {"ledger": f})
+
+
+def test_files_are_listed_many_in_a_task(spark, tmp_path):
+    """A listing opens no file, so its tasks are as few as the session's cores; the rows are those of Spark's own listing."""
+    for i in range(200):
+        (tmp_path / f"d{i}.md").write_text(f"text {i}")
+    (tmp_path / "_no.md").write_text("x")
+    with storage.scratch(spark):
+        now = ledger.listed(spark, str(tmp_path))
+        assert len(now.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+        assert {(r.doc_id, r.length) for r in now.collect()} == {(f"d{i}", len(f"text {i}")) for i in range(200)}
+        assert {r.doc_id: r.content for r in ledger.contents(now).collect()} == {f"d{i}": f"text {i}" for i in range(200)}
+    assert spark.conf.get("spark.sql.files.openCostInBytes") != str(1 << 20)
