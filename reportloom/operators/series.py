@@ -178,8 +178,7 @@ def layout_runs(docs: DataFrame, column: str = "layout") -> DataFrame:
     label = F.max_by(F.when(is_label, F.col("s")), F.when(is_label, F.col("pos"))).over(Window.partitionBy("doc_id", "part", "reset"))
     rows = rows.withColumn("label", label).where(F.col("kind").isin("Actual", "Target"))
     start = F.length("raw") - F.length(F.regexp_replace("raw", rf"\A{text.WHITE}+", "")) + F.length("kind")
-    rows = rows.withColumn("centres", arrays.year_centres("columns_at"))
-    rows = rows.withColumn("placed", arrays.align(F.col("raw"), start, F.col("centres"), F.size("centres")))
+    rows = rows.withColumn("placed", arrays.align_under(F.col("raw"), start, F.col("columns_at")))
     order = part.orderBy("pos")
     rows = rows.withColumns({"t_kind": F.lead("kind").over(order), "t_prior": F.lead("prior").over(order), "t_placed": F.lead("placed").over(order)})
     bound = (F.col("t_kind") == "Target") & (F.col("t_prior") == "Actual")

@@ -168,3 +168,10 @@ def test_rows_are_not_broadcast(spark):
     with storage.scratch(spark):
         found = series.extract(reports.reports(spark, "/root/testdata/sf0.001"))
         assert "SortMergeJoin" in plan(found.rows) and "BroadcastHashJoin" not in plan(found.rows)
+
+
+def test_layout_lines_go_to_python_once(spark):
+    docs = spark.createDataFrame([("d", "KPM #1\nReport Year      2019     2020\nA\nActual              7        8\nTarget                       9\nActual 1 2 3"), ("e", "KPM #1\nActual   7   8")], "doc_id string, layout string")
+    found = series.layout_runs(docs)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("EvalPython") == 1
+    assert [(r.doc_id, r.ordinal, r.a, r.t) for r in found.orderBy("doc_id", "ordinal").collect()] == [("d", 0, ["7", "8"], [None, "9"]), ("d", 1, None, None), ("e", 0, None, None)]
