@@ -164,8 +164,8 @@ def _candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
     hot = seen.where("frequent = 1").where(F.col("hot") >= low).select("h", "rep", "n", F.explode(F.array_distinct(F.array(band(low), band(high)))).alias("band"))
     sub = F.col("h").bitwiseAND(F.expr("shiftleft(1L, band) - 1"))
     grouped = hot.groupBy("rep", "n", "band", sub.alias("sub")).agg(F.array_sort(F.collect_list("h")).alias("hs")).where(F.size("hs") > 1)
-    # sizes of linked sets lie in one span or in two that touch: sets of other sizes never meet
-    span = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(max(den / num, 1.01) * (1 + 1e-6)))).cast("int")
+    # sets of sizes that cannot link never meet
+    span = _span("n", num, den)
     two = F.flatten(F.transform("hs", lambda x, i: F.transform(F.slice(F.col("hs"), i + 2, F.size("hs")), lambda y: F.xxhash64(F.col("band"), F.col("span"), x, y))))
     combos = grouped.withColumn("span", F.explode(F.array(span, span + 1))).select("rep", F.explode(two).alias("sig"))
     hubs = combos.groupBy("sig").agg(F.min("rep").alias("hub"), F.max("rep").alias("far"), F.count("*").alias("c")).where("hub <> far")
@@ -182,18 +182,20 @@ def _candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
 def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int, num: int, den: int, same: DataFrame) -> DataFrame:
     """The classes ``(node, component)`` that exact comparison within clusters leaves.
 
-    A cluster too large for one task is dealt into blocks, each compared in itself.  Then the
+    A cluster too large for one task is first taken apart (see :func:`_refined`): mostly it is a chain of
+    chance hits, which grows faster than the texts.  What stays too large is dealt into blocks, each compared in itself.  Then the
     smallest texts' ids of all classes found so far are compared with each other, which makes one
     class of a large group of near copies.  What may still be missed joins two classes, so all texts
     outside the largest class of their cluster are compared with every text of it, block by block;
     but first those go that cannot link: too few of their shingles occur in another text of the
     cluster.
     """
-    placed = clusters.join(spread(sizes), clusters["node"] == sizes["rep"]).select("node", "component", "n")
-    totals = placed.groupBy("component").agg(F.sum("n").alias("total"), F.count("*").alias("texts"))
-    blocks = F.greatest(F.ceil(F.col("total") / CLUSTER_SHINGLES), F.ceil(F.col("texts") / CLUSTER_TEXTS)).cast("int")
-    placed = placed.join(totals, "component").select("node", "component", "n", blocks.alias("blocks"))
-    placed = stored(placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")), "placed")
+
+    def blocked(labels: DataFrame) -> DataFrame:
+        """Rows ``(node, component)`` with their sizes and the block of the cluster that they fall in."""
+        sized = labels.join(spread(sizes), labels["node"] == sizes["rep"]).select("node", "component", "n")
+        totals = sized.groupBy("component").agg(_blocks().alias("blocks"))
+        return sized.join(totals, "component").select("node", "component", "n", "blocks", _block(F.col("blocks")).alias("block"))
 
     def texts_of(rows: DataFrame) -> DataFrame:
         few = rows.count() <= BROADCAST_IDS
@@ -214,12 +216,14 @@ def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int
         return stored(met.mapInArrow(run, "a long, b long"), "links")
 
     def supported(rows: DataFrame) -> DataFrame:
-        """Of rows those of which enough shingles occur in another text of the cluster.
+        """Of rows those of which enough shingles occur in another text of the cluster, for one as small as any there.
 
         Each text's shingles are dealt out by their hash, as lists, to parts of a cluster that one
         task can hold; a part counts its shingles and tells each text how many it shares.
         """
-        parts = rows.groupBy("component").agg(F.ceil(F.sum("n") / CLUSTER_SHINGLES).cast("int").alias("parts"))
+        parts = rows.groupBy("component").agg(F.ceil(F.sum("n") / CLUSTER_SHINGLES).cast("int").alias("parts"), F.min("n").alias("least"))
+        # linked sets share num / (num + den) of both their sizes, and the smaller has num / den of the larger
+        enough = (F.col("c") * den >= F.col("n") * num) & (F.col("c") * (num + den) >= (F.col("n") + F.col("least")) * num)
 
         def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
@@ -241,8 +245,13 @@ def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int
         met = texts_of(rows.join(F.broadcast(parts), "component").select("component", "node", "parts")).select("component", "node", "parts", "t")
         lists = met.mapInArrow(dealt, "component long, part int, node long, hs array<long>").repartition("component", "part").sortWithinPartitions("component", "part")
         held = lists.mapInArrow(counted, "node long, c long").groupBy(F.col("node").alias("of")).agg(F.sum("c").alias("c"))
-        return stored(rows.join(spread(held), F.col("node") == F.col("of")).where(F.col("c") * den >= F.col("n") * num).drop("of", "c"), "supported")
+        return stored(rows.join(F.broadcast(parts.select("component", "least")), "component").join(spread(held), F.col("node") == F.col("of")).where(enough).drop("of", "c", "least"), "supported")
 
+    placed = stored(blocked(clusters), "placed")
+    if not (large := placed.where("blocks > 1")).isEmpty():
+        lists = stored(_listed(texts_of(large.select("node", "component")).select("component", "node", "t"), width), "lists")
+        finer = connected_components(_refined(lists, num, den))
+        placed = stored(placed.where("blocks = 1").unionByName(blocked(finer)), "placed")
     # what has a row for each large cluster is broadcast: over CLUSTER_TEXTS texts or CLUSTER_SHINGLES shingles make one
     zero, no = F.lit(0), F.lit(False)
     found = compared(placed.select("node", "component", F.col("block").alias("i"), zero.alias("j"), no.alias("asks"), F.col("node").alias("label")))
@@ -258,8 +267,9 @@ def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int
         main = named.groupBy("component", "label").agg(F.count("*").alias("c")).groupBy("component").agg(F.max_by("label", F.struct("c", "label")).alias("main"))
         rest = named.join(F.broadcast(main), "component").withColumn("asks", F.col("label") != F.col("main"))
         rest = supported(rest.join(F.broadcast(rest.where("asks").select("component").distinct()), "component", "left_semi"))
-        asked = rest.where("asks").groupBy("component").agg(F.ceil(F.count("*") / CLUSTER_TEXTS).cast("int").alias("parts"))
-        rest = rest.join(F.broadcast(asked), "component")
+        # blocks are made anew, of the texts that are left
+        left = rest.groupBy("component").agg(F.ceil(F.count_if("asks") / CLUSTER_TEXTS).cast("int").alias("parts"), _blocks().alias("blocks")).where("parts > 0")
+        rest = rest.drop("blocks", "block").join(F.broadcast(left), "component").withColumn("block", _block(F.col("blocks")))
         every = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
         mine = F.pmod(F.xxhash64(F.lit(1), "node"), F.col("parts")).cast("int")
         asking = rest.where("asks").select("node", "component", F.explode(every("blocks")).alias("i"), mine.alias("j"), "asks", "label")
@@ -273,6 +283,51 @@ def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int
     return found.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
+def _blocks() -> Column:
+    """Into how many blocks a cluster of texts of ``n`` shingles is dealt."""
+    return F.greatest(F.ceil(F.sum("n") / CLUSTER_SHINGLES), F.ceil(F.count("*") / CLUSTER_TEXTS)).cast("int")
+
+
+def _block(blocks: Column) -> Column:
+    return F.pmod(F.xxhash64("node"), blocks).cast("int")
+
+
+def _listed(texts: DataFrame, width: int) -> DataFrame:
+    """Rows ``(component, node, t)`` with the whole set ``hs`` of each text, its size ``n`` and a hash ``own``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [shingles(t, width).view(np.int64) for t in batch.column(3).to_pylist()]
+            n = np.array([len(s) for s in sets], np.int64)
+            hs = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n), hs], names=["component", "node", "own", "n", "hs"])
+
+    return texts.select("component", "node", F.xxhash64("t").alias("own"), "t").mapInArrow(run, "component long, node long, own long, n long, hs array<long>")
+
+
+def _refined(lists: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges ``(a, b)`` whose connected parts hold every pair of a cluster's sets that may link.
+
+    Here shingles are in the order of how few texts of the cluster hold them, so linked sets share one among
+    the first ``n - need + 1`` of each that two texts hold: chance hits are of common shingles, and those come
+    last.  Whatever shares none links with nothing.  Rows that share a node and a text only make more edges.
+    """
+    tokens = lists.select("component", "node", "own", "n", F.explode("hs").alias("h"))
+    counts = tokens.groupBy("component", "h").agg(F.count("*").alias("c")).where("c > 1")
+    seen = tokens.join(spread(counts), ["component", "h"]).groupBy("component", "node", "own", "n").agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("xs"))
+    spare = (F.size("xs") - F.ceil(F.col("n") * num / den)).cast("int")
+    heads = seen.where(spare >= 0).select("component", "node", _span("n", num, den).alias("span"), F.explode(F.slice("xs", F.lit(1), spare + 1)).alias("x"))
+    heads = heads.select("component", "node", F.col("x.h").alias("h"), F.explode(F.array(F.col("span"), F.col("span") + 1)).alias("span"))
+    heads = stored(heads, "heads")
+    hubs = heads.groupBy("component", "h", "span").agg(F.min("node").alias("hub"), F.max("node").alias("far")).where("hub <> far")
+    return heads.join(spread(hubs), ["component", "h", "span"]).where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+
+
+def _span(n: str, num: int, den: int) -> Column:
+    """Sizes of linked sets lie in one span or in two that touch."""
+    return F.floor(F.log(F.col(n).cast("double")) / F.lit(math.log(max(den / num, 1.01) * (1 + 1e-6)))).cast("int")
+
+
 def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, ...]]:
     """Runs of rows with the same first columns: the columns after those."""
     key, kept = None, []
