@@ -182,13 +182,12 @@ def _candidates(sets: DataFrame, num: int, den: int) -> DataFrame:
 def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int, num: int, den: int, same: DataFrame) -> DataFrame:
     """The classes ``(node, component)`` that exact comparison within clusters leaves.
 
-    A cluster too large for one task is first taken apart (see :func:`_refined`): mostly it is a chain of
-    chance hits, which grows faster than the texts.  What stays too large is dealt into blocks, each compared in itself.  Then the
+    A cluster too large for one task is dealt into blocks, each compared in itself.  Then the
     smallest texts' ids of all classes found so far are compared with each other, which makes one
     class of a large group of near copies.  What may still be missed joins two classes, so all texts
     outside the largest class of their cluster are compared with every text of it, block by block;
     but first those go that cannot link: too few of their shingles occur in another text of the
-    cluster.
+    cluster, which may be mostly a chain of chance hits.  Blocks are made anew of what is left.
     """
 
     def blocked(labels: DataFrame) -> DataFrame:
@@ -248,10 +247,6 @@ def _verified(base: DataFrame, sizes: DataFrame, clusters: DataFrame, width: int
         return stored(rows.join(F.broadcast(parts.select("component", "least")), "component").join(spread(held), F.col("node") == F.col("of")).where(enough).drop("of", "c", "least"), "supported")
 
     placed = stored(blocked(clusters), "placed")
-    if not (large := placed.where("blocks > 1")).isEmpty():
-        lists = stored(_listed(texts_of(large.select("node", "component")).select("component", "node", "t"), width), "lists")
-        finer = connected_components(_refined(lists, num, den))
-        placed = stored(placed.where("blocks = 1").unionByName(blocked(finer)), "placed")
     # what has a row for each large cluster is broadcast: over CLUSTER_TEXTS texts or CLUSTER_SHINGLES shingles make one
     zero, no = F.lit(0), F.lit(False)
     found = compared(placed.select("node", "component", F.col("block").alias("i"), zero.alias("j"), no.alias("asks"), F.col("node").alias("label")))
@@ -292,37 +287,6 @@ def _block(blocks: Column) -> Column:
     return F.pmod(F.xxhash64("node"), blocks).cast("int")
 
 
-def _listed(texts: DataFrame, width: int) -> DataFrame:
-    """Rows ``(component, node, t)`` with the whole set ``hs`` of each text, its size ``n`` and a hash ``own``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = [shingles(t, width).view(np.int64) for t in batch.column(3).to_pylist()]
-            n = np.array([len(s) for s in sets], np.int64)
-            hs = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)].astype(np.int32)), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n), hs], names=["component", "node", "own", "n", "hs"])
-
-    return texts.select("component", "node", F.xxhash64("t").alias("own"), "t").mapInArrow(run, "component long, node long, own long, n long, hs array<long>")
-
-
-def _refined(lists: DataFrame, num: int, den: int) -> DataFrame:
-    """Edges ``(a, b)`` whose connected parts hold every pair of a cluster's sets that may link.
-
-    Here shingles are in the order of how few texts of the cluster hold them, so linked sets share one among
-    the first ``n - need + 1`` of each that two texts hold: chance hits are of common shingles, and those come
-    last.  Whatever shares none links with nothing.  Rows that share a node and a text only make more edges.
-    """
-    tokens = lists.select("component", "node", "own", "n", F.explode("hs").alias("h"))
-    counts = tokens.groupBy("component", "h").agg(F.count("*").alias("c")).where("c > 1")
-    seen = tokens.join(spread(counts), ["component", "h"]).groupBy("component", "node", "own", "n").agg(F.array_sort(F.collect_list(F.struct("c", "h"))).alias("xs"))
-    spare = (F.size("xs") - F.ceil(F.col("n") * num / den)).cast("int")
-    heads = seen.where(spare >= 0).select("component", "node", _span("n", num, den).alias("span"), F.explode(F.slice("xs", F.lit(1), spare + 1)).alias("x"))
-    heads = heads.select("component", "node", F.col("x.h").alias("h"), F.explode(F.array(F.col("span"), F.col("span") + 1)).alias("span"))
-    heads = stored(heads, "heads")
-    hubs = heads.groupBy("component", "h", "span").agg(F.min("node").alias("hub"), F.max("node").alias("far")).where("hub <> far")
-    return heads.join(spread(hubs), ["component", "h", "span"]).where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-
-
 def _span(n: str, num: int, den: int) -> Column:
     """Sizes of linked sets lie in one span or in two that touch."""
     return F.floor(F.log(F.col(n).cast("double")) / F.lit(math.log(max(den / num, 1.01) * (1 + 1e-6)))).cast("int")
